@@ -1,0 +1,107 @@
+"""Orders made from seeded draws."""
+
+from __future__ import annotations
+
+from datetime import datetime
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from ordermill.functions.draws import draw, keyed_id, reciprocal_choice
+from ordermill.operators.events import to_events
+from ordermill.operators.orders import Orders, compose_orders
+from ordermill.operators.sampling import RowIndex, draw_rows
+from ordermill.plans.catalog import Catalog
+from ordermill.schemas import ORDER_ID_PREFIX
+
+ITEMS = 5
+QUANTITY = 3
+
+
+def draw_orders(
+    requests: DataFrame,
+    client_index: RowIndex,
+    *,
+    seed: int = 0,
+    id_column: str = "request_id",
+) -> DataFrame:
+    """One order per request: ``request_id``, ``order_id``, drawn ``address_id``.
+
+    A request is known by its id: repeated ones make one order. The rows leave
+    partitioned by ``order_id``, which is all the shuffling that drawn orders
+    need when the lookup tables are small.
+    """
+    request = F.col(id_column)
+    numbered = (
+        requests.where(request.isNotNull())
+        .groupBy(keyed_id(ORDER_ID_PREFIX, F.lit("order"), F.lit(seed), request).alias("order_id"))
+        .agg(F.min(request).alias("request_id"))
+    )
+    return draw_rows(numbered, client_index, seed, "client", F.col("request_id"))
+
+
+def draw_lines(
+    orders: DataFrame,
+    product_index: RowIndex,
+    *,
+    seed: int = 0,
+    items: int = ITEMS,
+    quantity: int = QUANTITY,
+) -> DataFrame:
+    """Lines of drawn orders: up to ``items`` of them, with up to ``quantity`` pieces.
+
+    Both numbers are drawn with weights 1/k, the product uniformly over the
+    product rows and with replacement.
+    """
+    request = F.col("request_id")
+    sized = orders.select(
+        "request_id", "order_id", draw(seed, "n", request).alias("drawn")
+    ).withColumn("n", reciprocal_choice(F.col("drawn"), items))
+    lines = sized.select(
+        "request_id", "order_id", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("pos")
+    )
+    line_id = (request, F.col("pos"))
+    lines = lines.withColumn("drawn", draw(seed, "qty", *line_id)).withColumn(
+        "quantity", reciprocal_choice(F.col("drawn"), quantity)
+    )
+    drawn = draw_rows(lines, product_index, seed, "product", *line_id)
+    return drawn.select("request_id", "order_id", "pos", "product_id", "quantity")
+
+
+def synthetic_orders(
+    requests: DataFrame,
+    catalog: Catalog,
+    *,
+    seed: int = 0,
+    id_column: str = "request_id",
+    items: int = ITEMS,
+    quantity: int = QUANTITY,
+    as_of: str | datetime | Column | None = None,
+    on_empty: str = "drop_order",
+) -> Orders:
+    """Complete orders, one per request that meets no product without packages."""
+    orders = draw_orders(
+        requests, catalog.client_index, seed=seed, id_column=id_column
+    )
+    lines = draw_lines(
+        orders, catalog.product_index, seed=seed, items=items, quantity=quantity
+    )
+    return compose_orders(
+        orders,
+        lines,
+        catalog.items,
+        catalog.addresses,
+        as_of=as_of,
+        on_empty=on_empty,
+        max_items=None,  # bounded by ``items``
+        clustered=True,
+        items_small=catalog.items_small,
+        addresses_small=catalog.addresses_small,
+    )
+
+
+def synthetic_events(
+    requests: DataFrame, catalog: Catalog, *, run: str = "", **draws
+) -> DataFrame:
+    """Events of drawn orders; takes the arguments of ``synthetic_orders``."""
+    return to_events(synthetic_orders(requests, catalog, **draws).accepted, run=run)

@@ -1,0 +1,35 @@
+"""Shared storage for intermediate results."""
+
+from __future__ import annotations
+
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+
+
+def scratch_root(spark: SparkSession) -> str:
+    """The folder that the cluster names in ``spark.checkpoint.dir``.
+
+    Only a local session without one gets a temporary folder.
+    """
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = root or spark.sparkContext.getCheckpointDir()
+    if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+        root = tempfile.mkdtemp(prefix="ordermill-")
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(root)
+    return root
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path under the scratch folder."""
+    return f"{scratch_root(spark).rstrip('/')}/{name}-{uuid.uuid4()}"
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Compute ``df`` once and keep it in shared storage, lineage cut."""
+    scratch_root(df.sparkSession)
+    return df.checkpoint(eager=True)
