@@ -7,7 +7,12 @@ from datetime import datetime
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ordermill.schemas import ADDRESS_COLUMNS, DATE_FORMAT, TIMESTAMP_FORMAT
+from ordermill.schemas import (
+    ADDRESS_COLUMNS,
+    DATE_FORMAT,
+    TIMESTAMP_FORMAT,
+    payment_details_schema,
+)
 
 
 def destination_address() -> Column:
@@ -23,8 +28,7 @@ def destination_address() -> Column:
 
 def payment_details() -> Column:
     """Payment fields, blank until a payment arrives."""
-    blank = ("payment_method", "payment_status", "transaction_id")
-    return F.struct(*[F.lit("").alias(name) for name in blank])
+    return F.struct(*[F.lit("").alias(name) for name in payment_details_schema.names])
 
 
 def as_of_column(as_of: str | datetime | Column | None) -> Column:
