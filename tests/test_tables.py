@@ -1,0 +1,99 @@
+import pytest
+from pyspark.sql import types as T
+
+from ordermill.schemas import clients_address_schema, order_event_schema
+from ordermill.sources import (
+    append_events,
+    read_dimensions,
+    read_table,
+    scratch_path,
+    scratch_root,
+    write_table,
+)
+from tests.conftest import rows
+from tests.test_events import EVENT
+
+SCHEMA = T.StructType().add("a", T.IntegerType()).add("b", T.StringType())
+
+
+@pytest.fixture(scope="module")
+def table(spark):
+    return spark.createDataFrame([(1, "x"), (2, None)], SCHEMA)
+
+
+@pytest.mark.parametrize("format", ["csv", "json", "orc", "parquet", "CSV", "Parquet"])
+def test_round_trip(spark, table, tmp_path, format):
+    path = str(tmp_path / "t")
+    write_table(table, path, format)
+    assert rows(read_table(spark, path, format, SCHEMA)) == rows(table)
+
+
+def test_types_are_inferred_without_a_schema(spark, table, tmp_path):
+    path = str(tmp_path / "t")
+    write_table(table, path, "csv", options={"header": "true"})
+    df = read_table(spark, path, "csv", options={"header": "true"})
+    assert df.schema["a"].dataType == T.IntegerType()
+
+
+def test_the_callers_options_win(spark, table, tmp_path):
+    path = str(tmp_path / "t")
+    write_table(table, path, "csv", options={"header": "true"})
+    options = {"header": "true", "inferschema": "false"}
+    df = read_table(spark, path, "csv", options=options)
+    assert df.schema["a"].dataType == T.StringType()
+    assert options == {"header": "true", "inferschema": "false"}
+
+
+@pytest.mark.parametrize("path", ["", None, 3, ["a"]])
+def test_bad_paths(spark, path):
+    with pytest.raises(ValueError):
+        read_table(spark, path)
+
+
+def test_unreadable_tables(spark, tmp_path):
+    with pytest.raises(IOError, match="cannot read"):
+        read_table(spark, str(tmp_path / "absent"))
+    with pytest.raises(IOError):
+        read_table(spark, str(tmp_path), "no-such-format")
+
+
+def test_write_modes(spark, table, tmp_path):
+    path = str(tmp_path / "t")
+    for mode, count in (("error", 2), ("append", 4), ("ignore", 4), ("overwrite", 2)):
+        write_table(table, path, mode=mode)
+        assert read_table(spark, path).count() == count
+    with pytest.raises(Exception):
+        write_table(table, path, mode="error")
+
+
+def test_append_events(spark, tmp_path):
+    path = str(tmp_path / "events")
+    events = spark.createDataFrame([EVENT], order_event_schema)
+    append_events(events, path)
+    append_events(events, path)
+    assert read_table(spark, path).count() == 2
+    with pytest.raises(RuntimeError):
+        append_events(events, path, "no-such-format")
+
+
+def test_append_events_by_date(spark, tmp_path):
+    path = str(tmp_path / "events")
+    append_events(spark.createDataFrame([EVENT], order_event_schema), path, by_date=True)
+    assert (tmp_path / "events" / "order_date=2024-01-01").is_dir()
+    back = read_table(spark, path, schema=order_event_schema).first()
+    assert back.asDict(recursive=True)["order_details"] == EVENT["order_details"]
+
+
+def test_read_dimensions(spark, shop, tmp_path):
+    write_table(shop.clients, str(tmp_path / "clients_address"))
+    write_table(shop.products, str(tmp_path / "goods"))
+    write_table(shop.packages, str(tmp_path / "packages"))
+    tables = read_dimensions(spark, str(tmp_path) + "/", products="goods", format="parquet")
+    assert tables.clients.schema == clients_address_schema
+    assert tables.products.count() == shop.products.count()
+    assert rows(tables.packages) == rows(shop.packages)
+
+
+def test_scratch_is_the_sessions_checkpoint_folder(spark):
+    assert scratch_root(spark) == spark.conf.get("spark.checkpoint.dir")
+    assert scratch_path(spark, "x").startswith(scratch_root(spark) + "/x-")
