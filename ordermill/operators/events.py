@@ -50,9 +50,23 @@ def to_events(orders: DataFrame, *, ids: str = "replay", run: str = "") -> DataF
 
 def conform(df: DataFrame, schema: T.StructType = order_event_schema) -> DataFrame:
     """Cast to a schema: extra fields go, absent ones become null."""
+    if _nullable(df.schema) == schema:
+        # ``to`` would rebuild every nested array, field by field.
+        return df
     return df.to(schema)
 
 
+def _nullable(kind: T.DataType) -> T.DataType:
+    """The type with nulls allowed everywhere."""
+    if isinstance(kind, T.StructType):
+        return T.StructType(
+            [T.StructField(f.name, _nullable(f.dataType)) for f in kind.fields]
+        )
+    if isinstance(kind, T.ArrayType):
+        return T.ArrayType(_nullable(kind.elementType))
+    return kind
+
+
 def split_valid(
     records: DataFrame, *, field: str = "event_type", json: str | None = None
 ) -> Valid:

@@ -8,7 +8,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ordermill.operators.joins import lookup_join
+from ordermill.operators.joins import group_sizes, lookup_join
 
 
 class Split(NamedTuple):
@@ -27,10 +27,11 @@ def split_groups(df: DataFrame, key: str, limit: int) -> Split:
     """
     if limit < 1:
         raise ValueError(f"limit must be at least 1, got {limit}")
-    counts = df.groupBy(key).count().where(F.col("count") > limit)
-    if counts.isEmpty():
+    too_many = F.col("count") > limit
+    if group_sizes(df, [key]).where(too_many).isEmpty():
         return Split(df, None)
 
+    counts = df.groupBy(key).count().where(too_many)
     sizes = counts.select(key, F.ceil(F.col("count") / limit).alias("_parts"))
     tagged = lookup_join(df, sizes, [key], "left")
     columns = df.columns
@@ -68,15 +69,14 @@ def fold(
     ``collect(rows, keys)`` groups rows by ``keys``; rows of large groups have a
     ``copies`` column (see ``collect_entries``).
     ``whole`` names the columns it makes that describe the group and not the
-    part, with the aggregate that merges them over parts. Every document has
-    ``part`` and ``lead``; ``lead`` is true on exactly one part of a group.
+    part, with the aggregate that merges them over parts. Where a group was cut,
+    all documents have ``part`` and ``lead``, which is true on one part of each
+    group; otherwise these columns are absent.
     ``limit=None`` is for groups that are bounded where they are made.
     ``headers`` (one row per key) adds its columns, null where it has no row.
     """
     small, large = (rows, None) if limit is None else split_groups(rows, key, limit)
-    documents = collect(small, [key]).select(
-        "*", F.lit(0).cast("bigint").alias("part"), F.lit(True).alias("lead")
-    )
+    documents = collect(small, [key])
     if headers is not None:
         # Both sides have one row per key, so no key is hot here.
         documents = documents.join(headers, key, "left")
@@ -95,7 +95,14 @@ def fold(
         .withColumn("lead", F.col("part") == F.col("_first"))
         .drop("_first")
     )
-    return documents.unionByName(parts)
+    return with_parts(documents).unionByName(parts)
+
+
+def with_parts(documents: DataFrame) -> DataFrame:
+    """Documents that are whole, as the only part of their group."""
+    if "part" in documents.columns:
+        return documents
+    return documents.withColumns({"part": F.lit(0).cast("bigint"), "lead": F.lit(True)})
 
 
 def collect_entries(rows: DataFrame, order_by: list[str], entry: Column) -> Column:

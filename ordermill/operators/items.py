@@ -107,7 +107,8 @@ def build_items(
     """One document per product: name, price and ``packages`` in component order.
 
     Rows that share a ``product_id`` make one item. An item of more than
-    ``max_packages`` packages comes in several parts, ``lead`` on one of them.
+    ``max_packages`` packages comes in several parts; only then there are
+    columns ``part`` and ``lead``, true on one part of each item.
     """
     position = ["product_name", "price", "component_pos"]
     entry = F.when(

@@ -33,6 +33,15 @@ def _any_null(keys: list[str]) -> Column:
     return reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
 
 
+def group_sizes(df: DataFrame, keys: list[str]) -> DataFrame:
+    """``count`` of rows per hash of the keys.
+
+    A hash is narrower to shuffle than a text key. Two keys may share one, so a
+    count is never too low: where none is large, no key has many rows.
+    """
+    return df.groupBy(F.xxhash64(*keys).alias("hash")).count()
+
+
 def hot_keys(
     df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS
 ) -> DataFrame | None:
@@ -41,12 +50,16 @@ def hot_keys(
     Null keys are left out, as they never match. At most ``HOT_KEYS`` rows, all
     of them fetched to the driver; ``None`` when there are none.
     """
-    counts = df.dropna(subset=keys).groupBy(*keys).count()
-    seen = counts.agg(F.sum("count").alias("total"), F.max("count").alias("top")).first()
+    keyed = df.dropna(subset=keys)
+    seen = (
+        group_sizes(keyed, keys)
+        .agg(F.sum("count").alias("total"), F.max("count").alias("top"))
+        .first()
+    )
     threshold = max(hot_rows, (seen["total"] or 0) // HOT_KEYS)
     if (seen["top"] or 0) <= threshold:
         return None
-    hot = counts.where(F.col("count") > threshold).select(
+    hot = keyed.groupBy(*keys).count().where(F.col("count") > threshold).select(
         *keys, F.ceil(F.col("count") / threshold).cast("int").alias(_SALTS)
     )
     return df.sparkSession.createDataFrame(hot.collect(), hot.schema)
@@ -95,18 +108,21 @@ def lookup_join(
     how: str = "inner",
     *,
     small: bool | None = None,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Join ``left`` (inner or left outer) with a lookup table on equal keys.
 
     A right side that was measured to be small is broadcast, and ``left`` is not
     shuffled; any other is shuffle-joined with hot keys of ``left`` salted.
-    ``small`` hands over a measurement made earlier.
+    ``small`` hands over a measurement made earlier; ``hot_rows=None`` says that
+    no key of ``left`` is hot or null.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"how must be 'inner' or 'left', got {how!r}")
     if fits_broadcast(right) if small is None else small:
         return left.join(F.broadcast(right), keys, how)
+    if hot_rows is None:
+        return left.join(right, keys, how)
     return _salted_join(left, right, keys, how, hot_rows)
 
 

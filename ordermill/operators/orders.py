@@ -16,7 +16,7 @@ from ordermill.functions.documents import (
     timestamp_text,
 )
 from ordermill.functions.totals import item_total, package_measure_total
-from ordermill.operators.groups import collect_entries, fold, one_per_key
+from ordermill.operators.groups import collect_entries, fold, one_per_key, with_parts
 from ordermill.operators.joins import fits_broadcast, lookup_join
 from ordermill.schemas import ADDRESS_COLUMNS, ORDER_STATUS
 
@@ -29,6 +29,7 @@ EMPTY_PRODUCT = "empty_product"
 UNKNOWN_PRODUCT = "unknown_product"
 NULL_VALUE = "null_value"
 UNKNOWN_CLIENT = "unknown_client"
+NO_ORDER = "no_order_id"
 
 
 class Orders(NamedTuple):
@@ -98,12 +99,15 @@ def _reason(on_empty: str) -> Column:
     return reason.when(F.col("incomplete"), NULL_VALUE)
 
 
-def _check_and_split(orders: DataFrame, reason: Column) -> Orders:
+def _check_and_split(orders: DataFrame, reason: Column, lines: DataFrame) -> Orders:
     checked = orders.withColumn("reason", reason).drop("unknown", "empty", "incomplete")
-    return Orders(
-        checked.where(F.col("reason").isNull()).drop("reason"),
-        checked.where(F.col("reason").isNotNull()).select("order_id", "reason").distinct(),
+    stray = lines.where(F.col("order_id").isNull())
+    rejected = (
+        checked.where(F.col("reason").isNotNull())
+        .select("order_id", "reason")
+        .unionByName(stray.select("order_id", F.lit(NO_ORDER).alias("reason")))
     )
+    return Orders(checked.where(F.col("reason").isNull()).drop("reason"), rejected.distinct())
 
 
 def order_totals(
@@ -119,10 +123,10 @@ def order_totals(
     so an order of any size will do.
     """
     _check_policy(on_empty)
-    lines = _line_flags(attach_products(lines, measures, small=small), on_empty)
+    measured = _line_flags(attach_products(lines, measures, small=small), on_empty)
     quantity = F.col("quantity").cast("double")
     totals = (
-        lines.where(F.col("order_id").isNotNull())
+        measured.where(F.col("order_id").isNotNull())
         .groupBy("order_id")
         .agg(
             F.count(F.lit(1)).alias("n_items"),
@@ -132,7 +136,7 @@ def order_totals(
             *[F.max(flag).alias(flag) for flag in ("unknown", "empty", "incomplete")],
         )
     )
-    return _check_and_split(totals, _reason(on_empty))
+    return _check_and_split(totals, _reason(on_empty), lines)
 
 
 def _documents(
@@ -145,10 +149,12 @@ def _documents(
     clustered: bool = False,
 ) -> DataFrame:
     small = fits_broadcast(items) if items_small is None else items_small
+    item_columns = items.withColumnRenamed("lead", "lead_item").drop("part")
+    # Parts of a product are marked inside the document until it is finished.
+    marks = [c for c in ("lead_item",) if c in item_columns.columns]
     item = F.struct(
-        "product_id", "product_name", "price", "quantity", "packages", "lead_item"
+        "product_id", "product_name", "price", "quantity", "packages", *marks
     )
-    item_columns = items.withColumnRenamed("lead", "lead_item").drop("part")
 
     def collect(rows: DataFrame, keys: list[str]) -> DataFrame:
         if small and not clustered:
@@ -157,26 +163,34 @@ def _documents(
         rows = _line_flags(attach_products(rows, item_columns, small=small), on_empty)
         documents = rows.groupBy(*keys).agg(
             collect_entries(
-                rows, ["pos", "product_id", "quantity", "lead_item"], item
+                rows, ["pos", "product_id", "quantity", *marks], item
             ).alias("items"),
             *[F.max(flag).alias(flag) for flag in ("unknown", "empty", "incomplete")],
         )
-        leads = F.filter("items", lambda i: i["lead_item"])
-        return documents.withColumns(
+        items = leads = F.col("items")
+        if marks:
+            leads = F.filter(items, lambda i: i["lead_item"])
+        documents = documents.withColumns(
             {
                 "n_items": F.size(leads).cast("bigint"),
                 "total_amount": item_total(leads),
-                "total_volume": package_measure_total(F.col("items"), "volume"),
-                "total_weight": package_measure_total(F.col("items"), "weight"),
+                "total_volume": package_measure_total(items, "volume"),
+                "total_weight": package_measure_total(items, "weight"),
             }
         )
+        if marks:
+            unmarked = F.transform(items, lambda i: i.dropFields(*marks))
+            documents = documents.withColumn("items", unmarked)
+        return documents
 
     flags = dict.fromkeys(("unknown", "empty", "incomplete"), F.max)
     sums = dict.fromkeys(("n_items", *TOTALS), F.sum)
     rows = lines.where(F.col("order_id").isNotNull()).select(
         "order_id", "pos", "product_id", "quantity"
     )
-    return fold(rows, "order_id", max_items, collect, {**flags, **sums}, headers)
+    return with_parts(
+        fold(rows, "order_id", max_items, collect, {**flags, **sums}, headers)
+    )
 
 
 def order_documents(
@@ -196,7 +210,7 @@ def order_documents(
     """
     _check_policy(on_empty)
     documents = _documents(lines, items, on_empty, max_items, items_small)
-    return _check_and_split(documents, _reason(on_empty))
+    return _check_and_split(documents, _reason(on_empty), lines)
 
 
 def compose_orders(
@@ -235,7 +249,7 @@ def compose_orders(
             "customer_id",
             timestamp_text(F.col("as_of")).alias("order_timestamp"),
             date_text(F.col("as_of")).alias("order_date"),
-            F.transform("items", lambda i: i.dropFields("lead_item")).alias("items"),
+            "items",
             *TOTALS,
             F.lit(ORDER_STATUS).alias("status"),
             "destination_address",
@@ -247,5 +261,5 @@ def compose_orders(
         F.col("known_client").isNull().alias("no_client"),
     )
     reason = _reason(on_empty).when(F.col("no_client"), UNKNOWN_CLIENT)
-    split = _check_and_split(composed, reason)
+    split = _check_and_split(composed, reason, lines)
     return Orders(split.accepted.drop("no_client"), split.rejected)

@@ -34,10 +34,9 @@ def dense_index(
     key are cut into pieces that hash to different buckets, so neither a key nor
     a bucket ends up in one task with a large share of the rows.
     """
-    counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(
-        F.count(F.lit(1)).alias("n")
-    )
-    rows = counts.agg(F.sum("n")).first()[0] or 0
+    keyed = df.where(F.col(key).isNotNull())
+    counts = keyed.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    rows = keyed.count()
     if rows == 0:
         raise ValueError(f"no row with a {key} to draw from")
     if digits is None:
@@ -88,4 +87,7 @@ def draw_rows(
 ) -> DataFrame:
     """Add the key of a uniformly drawn row of the indexed table to each row."""
     drawn = df.withColumn("idx", F.pmod(draw(seed, tag, *ids), F.lit(index.rows)))
-    return lookup_join(drawn, index.table, ["idx"], small=index.small).drop("idx")
+    # A uniform draw makes no number of a large index hot.
+    return lookup_join(
+        drawn, index.table, ["idx"], small=index.small, hot_rows=None
+    ).drop("idx")

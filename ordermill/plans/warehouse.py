@@ -7,8 +7,9 @@ without components) are there to exercise the operators.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ordermill.operators.events import conform
 from ordermill.schemas import (
@@ -16,14 +17,29 @@ from ordermill.schemas import (
     packages_schema,
     products_schema,
 )
-from ordermill.sources.tables import Dimensions
+from ordermill.sources.tables import Dimensions, read_table
+
+
+SCHEMAS = {
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, "
+    "p_retailprice double",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_linenumber int, "
+    "l_quantity double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderdate timestamp",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, "
+    "c_acctbal double, c_mktsegment string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "region": "r_regionkey int, r_name string",
+    "events": "event_id bigint, event_type string, value double, props string",
+}
 
 
 def table(spark: SparkSession, directory: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{directory}/{name}.parquet")
+    """A test table, its columns named up front instead of inferred by a job."""
+    return read_table(spark, f"{directory}/{name}.parquet", schema=T.StructType.fromDDL(SCHEMAS[name]))
 
 
-def _label(prefix: str, number) -> F.Column:
+def _label(prefix: str, number: Column) -> Column:
     return F.concat(F.lit(prefix), number.cast("string"))
 
 
@@ -64,7 +80,7 @@ def products(spark: SparkSession, directory: str) -> DataFrame:
         )
 
     sizes = F.sequence(F.lit(1).cast("bigint"), 1 + number % 3)
-    components = F.transform(F.when(number % 50 == 49, F.array().cast("array<bigint>")).otherwise(sizes), component)
+    components = F.transform(F.when(number % 50 != 49, sizes), component)
     rows = table(spark, directory, "part").select(
         _label("prd-", number).alias("product_id"),
         F.col("p_name").alias("name"),
@@ -96,7 +112,9 @@ def clients(spark: SparkSession, directory: str) -> DataFrame:
             degrees(90).alias("lat"),
             degrees(180).alias("lon"),
         )
-        .withColumn("coordinates", F.array(F.col("lat").cast("double"), F.col("lon").cast("double")))
+        .withColumn(
+            "coordinates", F.array(F.col("lat").cast("double"), F.col("lon").cast("double"))
+        )
     )
     return conform(rows, clients_address_schema)
 

@@ -89,7 +89,10 @@ def append_events(
     events = conform(events)
     partition_by = None
     if by_date:
-        events = events.withColumn("order_date", F.col("order_details.order_date"))
+        # Rebalancing keeps the files few, and splits a date that has most events.
+        events = events.withColumn(
+            "order_date", F.col("order_details.order_date")
+        ).hint("rebalance", "order_date")
         partition_by = ["order_date"]
     try:
         write_table(events, path, format, "append", options, partition_by)

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ordermill.operators import fold, one_per_key, split_groups
-from ordermill.operators.groups import collect_entries
+from ordermill.operators.groups import collect_entries, with_parts
 from tests.conftest import rows
 
 
@@ -59,7 +59,7 @@ def collect(df, keys):
 
 @pytest.mark.parametrize("limit", [None, 1000, 50, 3])
 def test_fold_keeps_every_row(grouped, limit):
-    folded = fold(grouped, "key", limit, collect, {"least": F.min})
+    folded = with_parts(fold(grouped, "key", limit, collect, {"least": F.min}))
     ids = folded.select("key", F.explode("ids").alias("id"))
     assert rows(ids) == rows(grouped)
     assert rows(folded.where("lead"), "key") == rows(grouped.select("key").distinct())

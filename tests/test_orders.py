@@ -31,6 +31,7 @@ REJECTED = {
     "unpriced": "null_value",
     "uncounted": "null_value",
     "unsized": "null_value",
+    None: "no_order_id",
 }
 
 
@@ -74,7 +75,7 @@ def test_drop_item(lines, items, measures):
         order_totals(lines, measures, on_empty="drop_item"),
     ):
         assert by_order(orders.accepted) == expected
-        assert set(dict(rows(orders.rejected))) == {"unpriced", "uncounted", "unsized"}
+        assert set(dict(rows(orders.rejected))) == {"unpriced", "uncounted", "unsized", None}
 
 
 def test_keep(lines, items, measures):
