@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ordermill.operators.joins import group_sizes, lookup_join
+from ordermill.scratch import materialize
 
 
 class Split(NamedTuple):
@@ -32,7 +33,9 @@ def split_groups(df: DataFrame, key: str, limit: int) -> Split:
         return Split(df, None)
 
     counts = df.groupBy(key).count().where(too_many)
-    sizes = counts.select(key, F.ceil(F.col("count") / limit).alias("_parts"))
+    sizes = materialize(
+        counts.select(key, F.ceil(F.col("count") / limit).alias("_parts"))
+    )
     tagged = lookup_join(df, sizes, [key], "left")
     columns = df.columns
     small = tagged.where(F.col("_parts").isNull()).select(*columns)
@@ -91,7 +94,7 @@ def fold(
     if headers is not None:
         totals = totals.join(headers, key, "left")
     parts = (
-        lookup_join(parts.drop(*whole), totals, [key])
+        lookup_join(parts.drop(*whole), materialize(totals), [key])
         .withColumn("lead", F.col("part") == F.col("_first"))
         .drop("_first")
     )

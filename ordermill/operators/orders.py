@@ -123,7 +123,8 @@ def order_totals(
     so an order of any size will do.
     """
     _check_policy(on_empty)
-    measured = _line_flags(attach_products(lines, measures, small=small), on_empty)
+    narrow = lines.select("order_id", "product_id", "quantity")
+    measured = _line_flags(attach_products(narrow, measures, small=small), on_empty)
     quantity = F.col("quantity").cast("double")
     totals = (
         measured.where(F.col("order_id").isNotNull())

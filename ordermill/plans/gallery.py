@@ -23,6 +23,7 @@ from ordermill.operators import (
     dense_index,
     draw_rows,
     lookup_by_key,
+    one_per_key,
     order_documents,
     order_totals,
     product_measures,
@@ -38,6 +39,7 @@ from ordermill.schemas import order_event_schema
 from ordermill.sources import (
     append_events,
     publish,
+    read_dimensions,
     read_table,
     scratch_path,
     write_table,
@@ -79,6 +81,37 @@ def lookup_client(spark, directory):
     return found.select("client_id", "address_id", "country", "occupation")
 
 
+@query
+def dimension_rows(spark, directory):
+    """The lookup tables, written and read back together."""
+    base = scratch_path(spark, "lookup")
+    tables = warehouse.dimensions(spark, directory)
+    for name, df in zip(("clients_address", "products", "packages"), tables):
+        write_table(df, f"{base}/{name}")
+    back = read_dimensions(spark, base, format="parquet")
+
+    def keyed(name, df, key, label):
+        return df.select(F.lit(name).alias("source"), key.alias("key"), label.alias("label"))
+
+    package = F.concat_ws("/", "package_id", "subpackage_id")
+    return (
+        keyed("clients", back.clients, F.col("address_id"), F.col("client_id"))
+        .unionByName(keyed("products", back.products, F.col("product_id"), F.col("name")))
+        .unionByName(keyed("packages", back.packages, package, F.col("name")))
+    )
+
+
+@query
+def first_client_by_country(spark, directory):
+    clients = warehouse.clients(spark, directory)
+    return one_per_key(clients.select("country", "occupation", "client_id"), "country")
+
+
+@query
+def client_index(spark, directory):
+    return dense_index(warehouse.clients(spark, directory), "address_id").table
+
+
 @query
 def exploded_components(spark, directory):
     rows = explode_components(warehouse.products(spark, directory))
@@ -185,6 +218,19 @@ def order_totals_keep(spark, directory):
     return _documents(spark, directory, "keep").accepted.select("order_id", *TOTALS)
 
 
+@query
+def order_totals_parts(spark, directory):
+    """Documents of few lines each; larger orders come in several parts."""
+    documents = order_documents(
+        warehouse.order_lines(spark, directory), _items(spark, directory), max_items=4
+    ).accepted
+    # The totals are those of the whole order; the items are spread over parts.
+    return documents.groupBy("order_id", *TOTALS).agg(
+        F.sum(F.size("items")).alias("n_found"),
+        F.count_if("lead").alias("n_leads"),
+    )
+
+
 @query
 def order_rejects(spark, directory):
     return _documents(spark, directory).rejected
@@ -446,7 +492,7 @@ def stream_orders(spark, directory):
         .option("maxFilesPerTrigger", 2)
         .parquet(requests)
     )
-    catalog = prepare_catalog(*warehouse.dimensions(spark, directory), keep=True)
+    catalog = prepare_catalog(*warehouse.dimensions(spark, directory))
     start_order_stream(
         stream,
         catalog,

@@ -1,5 +1,5 @@
+from ordermill.scratch import materialize, scratch_path, scratch_root
 from ordermill.sources.publish import publish
-from ordermill.sources.scratch import materialize, scratch_path, scratch_root
 from ordermill.sources.tables import (
     Dimensions,
     append_events,

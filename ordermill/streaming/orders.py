@@ -26,9 +26,9 @@ def stream_orders(
 
     Each micro-batch runs the batch plan and overwrites its own folder
     ``batch_id=N`` of the table, so a batch that is run again after a failure
-    replaces what it left behind. Prepare the catalog with ``keep=True``.
-    ``trigger`` paces the stream, e.g. ``{"processingTime": "10 seconds"}``; the
-    default takes what is there and stops. ``draws`` go to ``synthetic_orders``.
+    replaces what it left behind. The catalog should be a kept one. ``trigger``
+    paces the stream, e.g. ``{"processingTime": "10 seconds"}``; the default
+    takes what is there and stops. ``draws`` go to ``synthetic_orders``.
     """
     base = path.rstrip("/")
 

@@ -208,6 +208,22 @@ def oracle_sql() -> dict[str, str]:
             """select client_id, address_id, country, occupation
                from fx_clients where state = 'ASIA'"""
         ),
+        "dimension_rows": _with(
+            """select 'clients' as source, address_id as key, client_id as label from fx_clients
+               union all select 'products', product_id, product_name from fx_products
+               union all select 'packages', package_id || '/' || cast(subpackage_id as varchar),
+                 'box ' || substr(package_id, 5) from fx_packages"""
+        ),
+        "first_client_by_country": _with(
+            """select country, occupation, client_id from (
+                 select *, row_number() over (
+                   partition by country order by occupation, client_id) as n
+                 from fx_clients) r where n = 1"""
+        ),
+        "client_index": _with(
+            "select address_id, idx from client_index",
+            _index("client_index", "fx_clients", "address_id"),
+        ),
         "exploded_components": _with("select * from fx_components"),
         "measured_components": _with(
             f"""select product_id, {_choice(_draw("qty", "product_id"), OF_THREE)}
@@ -240,6 +256,9 @@ def oracle_sql() -> dict[str, str]:
         "order_totals_flat": _with(_totals("drop_order")),
         "order_totals_drop_item": _with(_totals("drop_item")),
         "order_totals_keep": _with(_totals("keep")),
+        "order_totals_parts": _with(
+            f"select *, n_items as n_found, cast(1 as bigint) as n_leads from ({_totals('drop_order')}) t"
+        ),
         "order_rejects": _with(
             """select distinct l.order_id, 'empty_product' as reason
                from fx_lines l join fx_products p on l.product_id = p.product_id

@@ -80,7 +80,7 @@ def test_duplicated_rows_are_drawn_as_often_as_they_occur(spark):
 @pytest.fixture(scope="module")
 def catalog(shop):
     good = shop.products.where("product_id in ('lamp', 'cup', 'lost', 'twin')")
-    return prepare_catalog(shop.clients, good, shop.packages, keep=True)
+    return prepare_catalog(shop.clients, good, shop.packages)
 
 
 def test_drawn_lines(spark, catalog):

@@ -12,7 +12,7 @@ AS_OF = "2024-01-01 00:00:00"
 @pytest.fixture(scope="module")
 def catalog(shop):
     good = shop.products.where("product_id in ('lamp', 'cup', 'twin')")
-    return prepare_catalog(shop.clients, good, shop.packages, keep=True)
+    return prepare_catalog(shop.clients, good, shop.packages)
 
 
 def content(df):
