@@ -77,7 +77,7 @@ def split_valid(
     """
     if json is not None:
         good = has_text_field(F.col(json), field)
-    elif isinstance(records.schema[field].dataType, T.StringType):
+    elif dict(records.dtypes).get(field) == "string":
         good = F.col(field).isNotNull()
     else:
         good = F.lit(False)

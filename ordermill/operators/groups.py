@@ -24,7 +24,8 @@ def split_groups(df: DataFrame, key: str, limit: int) -> Split:
 
     Rows of a large group get a ``part``, about ``limit`` rows each. Equal rows
     are counted (``copies``) before any shuffle, so a group made of copies of
-    one row spreads as well. Parts depend on the row values only.
+    one row spreads as well. Parts depend on the row values only. Rows without
+    a key have to be filtered out before.
     """
     if limit < 1:
         raise ValueError(f"limit must be at least 1, got {limit}")

@@ -26,7 +26,8 @@ def stream_orders(
 
     Each micro-batch runs the batch plan and overwrites its own folder
     ``batch_id=N`` of the table, so a batch that is run again after a failure
-    replaces what it left behind. The catalog should be a kept one. ``trigger``
+    replaces what it left behind. To Delta tables a batch is appended under its
+    number, which Delta takes only once. The catalog should be a kept one. ``trigger``
     paces the stream, e.g. ``{"processingTime": "10 seconds"}``; the default
     takes what is there and stops. ``draws`` go to ``synthetic_orders``.
     """
@@ -35,6 +36,10 @@ def stream_orders(
     def run_batch(batch: DataFrame, batch_id: int) -> None:
         orders = synthetic_orders(batch, catalog, **draws)
         events = to_events(orders.accepted, run=ids_run)
+        if format.lower() == "delta":
+            once = {"txnAppId": checkpoint, "txnVersion": str(batch_id)}
+            write_table(events, base, format, "append", once)
+            return
         write_table(events, f"{base}/batch_id={batch_id}", format, "overwrite")
 
     return (

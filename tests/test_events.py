@@ -64,6 +64,8 @@ def test_typed_validation(spark, events):
     assert rows(valid.rejected, "event_id") == [("ev-2",)]
     numbers = spark.createDataFrame([(1,)], "event_type int")
     assert split_valid(numbers).accepted.count() == 0
+    absent = split_valid(numbers.withColumnRenamed("event_type", "other"))
+    assert (absent.accepted.count(), absent.rejected.count()) == (0, 1)
 
 
 def test_json_validation(spark):
