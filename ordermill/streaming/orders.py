@@ -11,6 +11,19 @@ from ordermill.plans.synthetic import synthetic_orders
 from ordermill.sources.tables import write_table
 
 
+def _write_batch(
+    df: DataFrame, path: str, format: str, batch_id: int, application: str
+) -> None:
+    """Write a micro-batch so that writing it again changes nothing."""
+    if format.lower() == "delta":
+        # Delta takes each number of an application only once.
+        once = {"txnAppId": application, "txnVersion": str(batch_id)}
+        write_table(df, path, format, "append", once)
+    else:
+        folder = f"{path.rstrip('/')}/batch_id={batch_id}"
+        write_table(df, folder, format, "overwrite")
+
+
 def stream_orders(
     requests: DataFrame,
     catalog: Catalog,
@@ -18,6 +31,7 @@ def stream_orders(
     checkpoint: str,
     *,
     format: str = "parquet",
+    rejected_path: str | None = None,
     trigger: dict | None = None,
     ids_run: str = "",
     **draws,
@@ -26,21 +40,18 @@ def stream_orders(
 
     Each micro-batch runs the batch plan and overwrites its own folder
     ``batch_id=N`` of the table, so a batch that is run again after a failure
-    replaces what it left behind. To Delta tables a batch is appended under its
-    number, which Delta takes only once. The catalog should be a kept one. ``trigger``
+    replaces what it left behind. ``rejected_path`` keeps the rejected orders and
+    their reasons in the same way. The catalog should be a kept one. ``trigger``
     paces the stream, e.g. ``{"processingTime": "10 seconds"}``; the default
     takes what is there and stops. ``draws`` go to ``synthetic_orders``.
     """
-    base = path.rstrip("/")
 
     def run_batch(batch: DataFrame, batch_id: int) -> None:
         orders = synthetic_orders(batch, catalog, **draws)
         events = to_events(orders.accepted, run=ids_run)
-        if format.lower() == "delta":
-            once = {"txnAppId": checkpoint, "txnVersion": str(batch_id)}
-            write_table(events, base, format, "append", once)
-            return
-        write_table(events, f"{base}/batch_id={batch_id}", format, "overwrite")
+        _write_batch(events, path, format, batch_id, checkpoint)
+        if rejected_path is not None:
+            _write_batch(orders.rejected, rejected_path, format, batch_id, checkpoint)
 
     return (
         requests.writeStream.foreachBatch(run_batch)

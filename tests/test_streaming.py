@@ -65,6 +65,24 @@ def test_a_repeated_batch_replaces_itself(spark, catalog, tmp_path):
     assert events_of(spark, str(tmp_path / "events")).count() == 20
 
 
+def test_rejected_orders_are_kept(spark, shop, tmp_path):
+    pair = shop.products.where("product_id in ('cup', 'void')")
+    catalog = prepare_catalog(shop.clients, pair, shop.packages)
+    requests = spark.range(40).selectExpr("id as request_id")
+    requests.coalesce(1).write.parquet(str(tmp_path / "requests"))
+    stream = spark.readStream.schema("request_id bigint").parquet(str(tmp_path / "requests"))
+    stream_orders(
+        stream, catalog, str(tmp_path / "events"), str(tmp_path / "checkpoint"),
+        rejected_path=str(tmp_path / "rejected"), trigger={"processingTime": "1 second"},
+    ).processAllAvailable()
+    for query in spark.streams.active:
+        query.stop()
+    rejected = spark.read.parquet(str(tmp_path / "rejected"))
+    accepted = events_of(spark, str(tmp_path / "events"))
+    assert rejected.count() + accepted.count() == 40 and rejected.count() > 0
+    assert {r.reason for r in rejected.collect()} == {"empty_product"}
+
+
 def test_published_stream(spark, catalog, tmp_path):
     requests = spark.range(30).selectExpr("id as request_id")
     events = synthetic_events(requests, catalog, seed=9, as_of=AS_OF)

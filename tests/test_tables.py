@@ -1,3 +1,5 @@
+from unittest.mock import MagicMock
+
 import pytest
 from pyspark.sql import types as T
 
@@ -94,6 +96,15 @@ def test_read_dimensions(spark, shop, tmp_path):
     assert rows(tables.packages) == rows(shop.packages)
 
 
+def test_a_cluster_needs_a_shared_folder():
+    session = MagicMock()
+    session.conf.get.return_value = None
+    session.sparkContext.getCheckpointDir.return_value = None
+    session.sparkContext.master = "yarn"
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch_root(session)
+
+
 def test_scratch_is_the_sessions_checkpoint_folder(spark):
     assert scratch_root(spark) == spark.conf.get("spark.checkpoint.dir")
     assert scratch_path(spark, "x").startswith(scratch_root(spark) + "/x-")
