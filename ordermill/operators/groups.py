@@ -12,6 +12,10 @@ from ordermill.operators.joins import group_sizes, lookup_join
 from ordermill.scratch import materialize
 
 
+RUN_BLOCK = 1_000
+OWN_PARTS = 1 << 40
+
+
 class Split(NamedTuple):
     """``small`` has the columns of the input; ``large`` also ``part``, ``copies``."""
 
@@ -41,21 +45,33 @@ def split_groups(df: DataFrame, key: str, limit: int) -> Split:
     columns = df.columns
     small = tagged.where(F.col("_parts").isNull()).select(*columns)
 
-    # Runs much shorter than a part keep the hashed parts close to even.
-    run = max(1, limit // 16)
-    runs = (
+    counted = (
         tagged.where(F.col("_parts").isNotNull())
         .groupBy(*columns, "_parts")
         .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn(
-            "_run",
-            F.explode(F.sequence(F.lit(0).cast("bigint"), F.expr(f"(_n - 1) div {run}"))),
-        )
     )
+    # Many copies are cut into full parts of their own. All other rows share
+    # parts, in runs much shorter than a part, which keeps the parts even.
+    step = F.when(F.col("_n") >= limit, limit).otherwise(max(1, limit // 16))
+    runs = counted.withColumn("_step", step.cast("bigint")).withColumn(
+        "_last", F.expr("(_n - 1) div _step")
+    )
+    # Two explodes, since the numbers of one row's runs may not fit one array.
+    block = F.sequence(F.lit(0).cast("bigint"), F.expr(f"_last div {RUN_BLOCK}"))
+    first = F.col("_block") * RUN_BLOCK
+    inside = F.sequence(first, F.least(F.col("_last"), first + (RUN_BLOCK - 1)))
+    runs = runs.withColumn("_block", F.explode(block)).withColumn(
+        "_run", F.explode(inside)
+    )
+    copies = F.least(F.col("_step"), F.col("_n") - F.col("_run") * F.col("_step"))
+    spread = F.xxhash64(*columns, "_run")
+    own_part = F.col("_parts") + F.pmod(spread, F.lit(OWN_PARTS))
     large = runs.select(
         *columns,
-        F.pmod(F.xxhash64(*columns, "_run"), F.col("_parts")).alias("part"),
-        F.least(F.lit(run), F.col("_n") - F.col("_run") * run).cast("int").alias("copies"),
+        F.when(copies == limit, own_part)
+        .otherwise(F.pmod(spread, F.col("_parts")))
+        .alias("part"),
+        copies.cast("int").alias("copies"),
     )
     return Split(small, large)
 

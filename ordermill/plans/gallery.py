@@ -56,7 +56,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
 def query(function):
-    QUERIES[function.__name__] = function
+    """Register a query by its name, but for a trailing ``_query``."""
+    QUERIES[function.__name__.removesuffix("_query")] = function
     return function
 
 
@@ -113,13 +114,13 @@ def client_index(spark, directory):
 
 
 @query
-def exploded_components(spark, directory):
+def explode_components_query(spark, directory):
     rows = explode_components(warehouse.products(spark, directory))
     return rows.withColumn("price", F.col("price").cast("double"))
 
 
 @query
-def measured_components(spark, directory):
+def component_measures_query(spark, directory):
     products = warehouse.products(spark, directory)
     rows = component_measures(products, warehouse.packages(spark, directory))
     rows = rows.withColumn("drawn", draw(SEED, "qty", F.col("product_id")))

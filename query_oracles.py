@@ -224,8 +224,8 @@ def oracle_sql() -> dict[str, str]:
             "select address_id, idx from client_index",
             _index("client_index", "fx_clients", "address_id"),
         ),
-        "exploded_components": _with("select * from fx_components"),
-        "measured_components": _with(
+        "explode_components": _with("select * from fx_components"),
+        "component_measures": _with(
             f"""select product_id, {_choice(_draw("qty", "product_id"), OF_THREE)}
                  as product_quantity,
                  package_id, subpackage_id, product_name, price, package_quantity,

@@ -38,6 +38,14 @@ def test_large_groups_are_cut_into_parts(grouped):
     )
 
 
+def test_copies_fill_parts_of_their_own(spark):
+    """More runs than one block holds; no part is larger than the limit."""
+    copies = spark.range(7001).select(F.lit("a").alias("key"), F.lit(1).alias("id"))
+    large = split_groups(copies, "key", 3).large
+    sizes = [r["n"] for r in large.groupBy("part").agg(F.sum("copies").alias("n")).collect()]
+    assert sum(sizes) == 7001 and max(sizes) == 3 and len(sizes) == 2334
+
+
 def test_parts_do_not_depend_on_partitioning(grouped):
     def parts(n):
         return rows(split_groups(grouped.repartition(n), "key", 50).large)
