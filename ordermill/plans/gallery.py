@@ -305,11 +305,12 @@ def _events(spark, directory):
     return to_events(orders.accepted, run=RUN)
 
 
-def _flat_events(events: DataFrame) -> DataFrame:
+def _flat_events(events: DataFrame, *more: str) -> DataFrame:
     details = "order_details"
     address = f"{details}.destination_address"
     payment = f"{details}.payment_details"
     return events.select(
+        *more,
         "event_id",
         "event_type",
         "event_timestamp",
@@ -344,8 +345,7 @@ def event_envelope(spark, directory):
         F.decode("key", "UTF-8").alias("record_key"),
         F.from_json(F.decode("value", "UTF-8"), order_event_schema).alias("event"),
     )
-    flat = _flat_events(parsed.select("record_key", "event.*"))
-    return flat.withColumn("record_key", F.col("event_type"))
+    return _flat_events(parsed.select("record_key", "event.*"), "record_key")
 
 
 @query

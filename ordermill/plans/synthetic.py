@@ -32,9 +32,10 @@ def draw_orders(
     need when the lookup tables are small.
     """
     request = F.col(id_column)
+    order_id = keyed_id(ORDER_ID_PREFIX, F.lit("order"), F.lit(seed), request)
     numbered = (
         requests.where(request.isNotNull())
-        .groupBy(keyed_id(ORDER_ID_PREFIX, F.lit("order"), F.lit(seed), request).alias("order_id"))
+        .groupBy(order_id.alias("order_id"))
         .agg(F.min(request).alias("request_id"))
     )
     return draw_rows(numbered, client_index, seed, "client", F.col("request_id"))

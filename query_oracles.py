@@ -281,7 +281,7 @@ def oracle_sql() -> dict[str, str]:
         "published_lines": real_events,
         "stream_published": real_events,
         "event_envelope": _with(
-            f"select *, event_type as record_key from ({REAL_EVENTS}) e", REAL
+            f"select *, 'ORDER_CREATED' as record_key from ({REAL_EVENTS}) e", REAL
         ),
         "kinesis_records": _with(
             f"""select order_id as partition_key, event_id, total_amount

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from ordermill.operators import dense_index, draw_rows
 from ordermill.plans import draw_lines, draw_orders, prepare_catalog, synthetic_events
 from ordermill.plans.synthetic import synthetic_orders
-from ordermill.schemas import clients_address_schema, packages_schema, products_schema
 from tests.conftest import rows
 from tests.test_draws import expected_draw
 

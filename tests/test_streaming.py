@@ -1,6 +1,5 @@
 import pytest
 
-from ordermill.operators import to_events
 from ordermill.plans import prepare_catalog, synthetic_events
 from ordermill.schemas import order_event_schema
 from ordermill.sources import append_events, publish, read_table
