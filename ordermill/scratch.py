@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,15 +10,14 @@ from pyspark.sql import DataFrame, SparkSession
 def scratch_root(spark: SparkSession) -> str:
     """The folder that the cluster names in ``spark.checkpoint.dir``.
 
-    Only a local session without one gets a temporary folder.
+    Only a local session without one gets a folder beside its warehouse.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     root = root or spark.sparkContext.getCheckpointDir()
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="ordermill-")
-    if not spark.sparkContext.getCheckpointDir():
+        root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "-scratch"
         spark.sparkContext.setCheckpointDir(root)
     return root
 
@@ -29,7 +27,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark).rstrip('/')}/{name}-{uuid.uuid4()}"
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once and keep it in shared storage, lineage cut."""
-    scratch_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+def materialize(df: DataFrame, name: str = "kept") -> DataFrame:
+    """Compute ``df`` once and keep it in shared storage, lineage cut.
+
+    Parquet and not a checkpoint of the rows, so that later reads prune columns
+    and know the size. Whoever ends the session's work clears the folder.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
