@@ -4,9 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
-
-from ordermill.llm import decontaminate, license_scan, token_files, tokens, url_filter
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ordermill.llm import (
+    decontaminate,
+    html_extract,
+    license_scan,
+    packing,
+    quality,
+    token_files,
+    tokens,
+    toxicity,
+    url_filter,
+)
 from ordermill.scratch import scratch_path
 
 URL_RULES = [
@@ -21,6 +32,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def remainder(n: int) -> Column:
+    """crc32 of the document's id as text, modulo ``n``."""
+    return F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(n))
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = remainder(5) == 0
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), ~held_out, label="toxic")
+    return quality.judged(toxicity.score(docs, model), held_out, 0.5)
+
+
+def op3_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract_text(table(spark, sf_dir, "pages"))
+
+
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.find_benchmark(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
@@ -32,11 +59,23 @@ def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = remainder(4) == 2
+    model = quality.fit(docs, table(spark, sf_dir, "labels"), ~held_out, label="quality")
+    return quality.judged(quality.score(docs, model), held_out, 0.7)
+
+
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     scanned = license_scan.scan_licenses(table(spark, sf_dir, "documents"))
     return license_scan.license_digest(scanned).drop("spans")
 
 
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return packing.pack(docs, tokens.vocabulary(), keep_ids=False)
+
+
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "tokens")
     token_files.write_token_files(
@@ -47,5 +86,14 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op5_decontaminate, op6_url_filter, op8_license_scan, op10_token_files)
+    for f in (
+        op2_toxicity,
+        op3_html_extract,
+        op5_decontaminate,
+        op6_url_filter,
+        op7_quality,
+        op8_license_scan,
+        op9_packing,
+        op10_token_files,
+    )
 }
