@@ -12,6 +12,7 @@ from ordermill.llm import (
     html_extract,
     license_scan,
     packing,
+    permutation_index,
     quality,
     token_files,
     tokens,
@@ -37,6 +38,10 @@ def remainder(n: int) -> Column:
     return F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(n))
 
 
+def op1_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return permutation_index.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = remainder(5) == 0
@@ -87,6 +92,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op1_permutation_index,
         op2_toxicity,
         op3_html_extract,
         op5_decontaminate,
