@@ -5,6 +5,30 @@ from __future__ import annotations
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _ALNUM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
+OP4 = f"""
+with recursive doc as (
+  select doc_id, regexp_extract_all({_LOWER}, '[^\\x20\\x09-\\x0D]+') as w from documents
+), shingle as (
+  select distinct doc_id, w[i:i + 4] as s
+  from doc, unnest(range(1, greatest(len(w) - 4, 1) + 1)) as t(i) where len(w) > 0
+), size as (
+  select doc_id, count(*) as n from shingle group by doc_id
+), common as (
+  select a.doc_id as a, b.doc_id as b, count(*) as k
+  from shingle a join shingle b on a.s = b.s and a.doc_id <> b.doc_id group by all
+), link as (
+  select a, b from common join size x on x.doc_id = a join size y on y.doc_id = b
+  where 100 * k >= 80 * (x.n + y.n - k)
+), reach as (
+  select doc_id, doc_id as other from documents
+  union
+  select r.doc_id, l.b as other from reach r join link l on l.a = r.other
+)
+select d.doc_id, cast(coalesce(n, 0) as bigint) as n_shingles, min(other) as component_id
+from documents d left join size using (doc_id) join reach r on r.doc_id = d.doc_id
+group by all
+"""
+
 OP5 = f"""
 with doc as (
   select doc_id, regexp_extract_all({_LOWER}, '{_ALNUM}') as w from documents
@@ -60,4 +84,4 @@ select page_id, host, path, rule,
 from judged
 """
 
-ORACLES: dict[str, str] = {"op5_decontaminate": OP5, "op6_url_filter": OP6}
+ORACLES: dict[str, str] = {"op4_jaccard_join": OP4, "op5_decontaminate": OP5, "op6_url_filter": OP6}

@@ -14,6 +14,7 @@ from ordermill.llm import (
     packing,
     permutation_index,
     quality,
+    shingle_join,
     token_files,
     tokens,
     toxicity,
@@ -53,6 +54,10 @@ def op3_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract_text(table(spark, sf_dir, "pages"))
 
 
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shingle_join.jaccard_components(table(spark, sf_dir, "documents"))
+
+
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.find_benchmark(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
@@ -95,6 +100,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op1_permutation_index,
         op2_toxicity,
         op3_html_extract,
+        op4_jaccard_join,
         op5_decontaminate,
         op6_url_filter,
         op7_quality,

@@ -129,7 +129,8 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return mix((sums[ends] - sums[starts]) * POWERS.down[starts])
 
 
-_PLACE = [np.uint64(0x9E3779B97F4A7C15 * (2 * k + 1) * 0x2545F4914F6CDD1D % (1 << 64) | 1) for k in range(64)]
+# Unrelated multipliers, so that words changing places change the sum.
+_PLACE = _rng.integers(0, 1 << 63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 def window_hashes(hashes: np.ndarray, size: int) -> np.ndarray:
