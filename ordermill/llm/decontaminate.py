@@ -15,7 +15,6 @@ the id and text columns are read.
 
 from __future__ import annotations
 
-import hashlib
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -23,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ordermill.llm.text import ALNUM, LOWER, blocks, span_hashes, words
 from ordermill.scratch import materialize
@@ -204,14 +204,18 @@ def merged(spans: list) -> list[tuple[int, int]]:
 
 
 _SPANS = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
-_FOUND = "n_words long, spans array<struct<start:long,stop:long>>, items array<string>"
+_SPAN = T.StructType([T.StructField("start", T.LongType()), T.StructField("stop", T.LongType())])
+_FOUND = [
+    T.StructField("n_words", T.LongType()),
+    T.StructField("spans", T.ArrayType(_SPAN)),
+    T.StructField("items", T.ArrayType(T.StringType())),
+]
 
 
 def _pass(df: DataFrame, items: list, size: int, keep_text: bool) -> DataFrame:
     """Adds the spans and items of one pack to those found before."""
     shared = df.sparkSession.sparkContext.broadcast(items)
-    kinds = f"doc_id {dict(df.dtypes)['doc_id']}"
-    kinds += ", text string" * keep_text
+    schema = T.StructType([df.schema["row"], *[df.schema["text"]] * keep_text, *_FOUND])
     matchers: list[Matcher] = []
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -231,17 +235,17 @@ def _pass(df: DataFrame, items: list, size: int, keep_text: bool) -> DataFrame:
                         ]
                         old_items[row] = sorted({*old_items[row], *found.get(row, ())})
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id")]
+                    [part.column("row")]
                     + [part.column("text")] * keep_text
                     + [
                         pa.array(n_words, type=pa.int64()),
                         pa.array(old_spans, type=_SPANS),
                         pa.array(old_items, type=pa.list_(pa.string())),
                     ],
-                    names=["doc_id", *["text"] * keep_text, "n_words", "spans", "items"],
+                    names=["row", *["text"] * keep_text, "n_words", "spans", "items"],
                 )
 
-    return df.mapInArrow(scan, f"{kinds}, {_FOUND}")
+    return df.mapInArrow(scan, schema)
 
 
 def find_benchmark(
@@ -249,13 +253,14 @@ def find_benchmark(
     benchmark: DataFrame,
     *,
     size: int = WINDOW,
-    doc_id: str = "doc_id",
+    keep: list[str],
     text: str = "text",
     item_id: str = "item_id",
     item_text: str = "text",
     pack_bytes: int = PACK_BYTES,
 ) -> DataFrame:
-    """``doc_id``, ``n_words``, ``spans`` (words inside any window) and ``items``.
+    """``row`` (the columns of ``keep``), ``n_words``, ``spans`` (of words inside any
+    window) and ``items``. The struct lets kept columns have any name.
 
     Documents are read once for each ``pack_bytes`` of benchmark text and never
     shuffled.
@@ -264,7 +269,7 @@ def find_benchmark(
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     packs = max(1, -(-total // pack_bytes))
     found = docs.select(
-        F.col(doc_id).alias("doc_id"),
+        F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"),
         F.col(text).alias("text"),
         F.array().cast("array<struct<start:long,stop:long>>").alias("spans"),
         F.array().cast("array<string>").alias("items"),
@@ -281,18 +286,15 @@ def find_benchmark(
 
 
 def judged(found: DataFrame) -> DataFrame:
-    """``n_hit``, ``n_items``, ``items_sha256``, ``contaminated`` for each document."""
+    """``row``, ``n_words``, ``n_hit``, ``n_items``, ``items_sha256``, ``contaminated``."""
     n_hit = F.aggregate(
         "spans", F.lit(0).cast("long"), lambda n, s: n + s["stop"] - s["start"]
     )
     return found.select(
-        "doc_id",
+        "row",
         "n_words",
         n_hit.alias("n_hit"),
         F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         ((n_hit > 0) & (20 * n_hit >= F.col("n_words"))).alias("contaminated"),
     )
-
-
-EMPTY_SHA256 = hashlib.sha256(b"").hexdigest()

@@ -15,13 +15,15 @@ columns are read.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ordermill.llm.text import LOWER, NOT_BLANK, Block, blocks, span_hashes, words
 from ordermill.scratch import materialize
@@ -32,8 +34,9 @@ FEATURES = 384
 GAMMA = 0.15
 RIDGE = 1.0
 SEED = 7
-#: Tasks that sum normal equations; each sends one matrix to the driver.
+#: Tasks that sum normal equations, and bands of rows in which these are added up.
 TASKS = 8
+BANDS = 16
 
 _ALPHA_LOW = np.zeros(256, dtype=bool)
 _ALPHA_LOW[97:123] = True
@@ -224,12 +227,29 @@ def fit(
 
     def equations(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         left, right = np.zeros((features + 1, features + 1)), np.zeros(features + 1)
+        seen = 0
         for batch in batches:
             rows = fourier((_matrix(batch) - mean) / scale, turn, phase)
             left += rows.T @ rows
             right += rows.T @ batch.column("y").to_numpy()
-        packed = np.hstack([left, right[:, None]]).tobytes()
-        yield pa.RecordBatch.from_arrays([pa.array([packed], type=pa.binary())], names=["sums"])
+            seen += len(rows)
+        if seen:
+            bands = np.array_split(np.hstack([left, right[:, None]]), BANDS)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(range(BANDS), type=pa.int32()),
+                    pa.array([TaskContext.get().partitionId()] * BANDS, type=pa.int32()),
+                    pa.array([band.tobytes() for band in bands], type=pa.binary()),
+                ],
+                names=["band", "task", "sums"],
+            )
+
+    def add_up(parts: pa.Table) -> pa.Table:
+        parts = parts.sort_by("task")
+        sums = sum(np.frombuffer(part.as_py()) for part in parts.column("sums"))
+        return pa.table(
+            {"band": parts.column("band").slice(0, 1), "sums": pa.array([sums.tobytes()], pa.binary())}
+        )
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -239,9 +259,12 @@ def fit(
             )
 
     fitting = kept.where("h % 2 = 0").repartition(TASKS, "h").sortWithinPartitions("h", "y")
+    sums = fitting.mapInArrow(equations, "band int, task int, sums binary")
+    sums = sums.groupBy("band").applyInArrow(add_up, "band int, sums binary")
     total = np.zeros((features + 1, features + 2))
-    for row in fitting.mapInArrow(equations, "sums binary").collect():  # TASKS rows
-        total += np.frombuffer(bytes(row["sums"])).reshape(total.shape)
+    found = sorted((row["band"], bytes(row["sums"])) for row in sums.collect())  # one matrix
+    if found:
+        total = np.concatenate([np.frombuffer(part) for _, part in found]).reshape(total.shape)
     keep_bias = np.full(features + 1, ridge)
     keep_bias[-1] = 1e-9
     weights = np.linalg.solve(total[:, :-1] + np.diag(keep_bias), total[:, -1])
@@ -256,30 +279,46 @@ def fit(
     return Model(mean, scale, turn, phase, weights, steps, levels)
 
 
-def score(docs: DataFrame, model: Model, *keep: str) -> DataFrame:
-    """``doc_id``, the columns of ``keep`` and ``score``; nothing is shuffled."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    columns = ["doc_id", *keep]
-    chosen = docs.select(*columns, F.col("text").alias("_text"))
-    kinds = ", ".join(f"`{c}` {k}" for c, k in chosen.dtypes if c != "_text")
+def scored_rows(
+    docs: DataFrame, keep: list[str], prepare: Callable[[], Callable[[Block], np.ndarray]]
+) -> DataFrame:
+    """``row``, a struct of the columns of ``keep``, and ``score`` of its text.
+
+    Nothing is shuffled. The struct lets kept columns have any name.
+    """
+    inside = "text" in keep
+    row = F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row")
+    chosen = docs.select(row) if inside else docs.select(row, "text")
+    schema = T.StructType([chosen.schema["row"], T.StructField("score", T.DoubleType())])
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = shared.value
+        probability = prepare()
         for batch in batches:
-            for block in blocks(batch.column("_text")):
-                part = batch.slice(block.first, block.rows)
-                found = known.probability(statistics(block))
+            rows = batch.column("row")
+            texts = rows.field("text") if inside else batch.column("text")
+            for block in blocks(texts):
+                found = np.clip(probability(block), 0.0, 1.0)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(c) for c in columns] + [pa.array(np.clip(found, 0.0, 1.0))],
-                    names=[*columns, "score"],
+                    [rows.slice(block.first, block.rows), pa.array(found)], names=["row", "score"]
                 )
 
-    return chosen.mapInArrow(judge, f"{kinds}, score double")
+    return chosen.mapInArrow(judge, schema)
+
+
+def score(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
+    """``row`` (the columns of ``keep``) and ``score``, the chance of label 1."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def prepare() -> Callable[[Block], np.ndarray]:
+        known = shared.value
+        return lambda block: known.probability(statistics(block))
+
+    return scored_rows(docs, keep, prepare)
 
 
 def judged(scored: DataFrame, held_out: Column, threshold: float) -> DataFrame:
     """The columns of a result: ``held_out``, ``score``, ``predicted``."""
-    return scored.select(
+    return scored.select("row.*", "score").select(
         "doc_id",
         held_out.alias("held_out"),
         "score",

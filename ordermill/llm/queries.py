@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+import tempfile
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -30,7 +33,25 @@ URL_RULES = [
 ]
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, unless they can import it as it is."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    application = spark.sparkContext.applicationId
+    known = [os.getcwd(), *os.environ.get("PYTHONPATH", "").split(os.pathsep)]
+    if application in _SHIPPED or root in map(os.path.abspath, filter(None, known)):
+        return
+    with tempfile.TemporaryDirectory() as folder:
+        name = os.path.join(folder, "ordermill-package")
+        archive = shutil.make_archive(name, "zip", root, "ordermill")
+        spark.sparkContext.addPyFile(archive)
+    _SHIPPED.add(application)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -47,7 +68,7 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = remainder(5) == 0
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"), ~held_out, label="toxic")
-    return quality.judged(toxicity.score(docs, model), held_out, 0.5)
+    return quality.judged(toxicity.score(docs, model, ["doc_id"]), held_out, 0.5)
 
 
 def op3_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,9 +81,10 @@ def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.find_benchmark(
-        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), keep=["doc_id"]
     )
-    return decontaminate.judged(found)
+    judged = decontaminate.judged(found)
+    return judged.select("row.doc_id", *judged.columns[1:])
 
 
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,7 +95,7 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = remainder(4) == 2
     model = quality.fit(docs, table(spark, sf_dir, "labels"), ~held_out, label="quality")
-    return quality.judged(quality.score(docs, model), held_out, 0.7)
+    return quality.judged(quality.score(docs, model, ["doc_id"]), held_out, 0.7)
 
 
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -32,7 +32,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ordermill.llm.components import components
@@ -393,12 +393,19 @@ def _sets_of(docs: DataFrame, chosen: DataFrame, size: int) -> DataFrame:
     return chosen.join(sets, "copy").dropDuplicates(["copy"]).select("node", "shingles")
 
 
-def jaccard_components(
+def copy_hash(doc_id: str, text: str) -> Column:
+    """Tells rows apart that are not repeated."""
+    return F.xxhash64(f"`{doc_id}`", f"`{text}`")
+
+
+def jaccard_rows(
     docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", size: int = SHINGLE
 ) -> DataFrame:
-    """``doc_id``, ``n_shingles``, ``component_id`` for each document."""
-    chosen = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    chosen = chosen.withColumn("copy", F.xxhash64("doc_id", "text"))
+    """``doc_id``, ``copy`` (``copy_hash``), ``n_shingles``, ``component_id`` and
+    ``root``, one number for each component and null without shingles."""
+    chosen = docs.select(
+        F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), copy_hash(doc_id, text).alias("copy")
+    )
     common = _common_shingles(chosen, size)
     described = materialize(_described(chosen, common, size), "described")
     nodes = described.where("n > 0")
@@ -429,9 +436,32 @@ def jaccard_components(
     classes = nodes.groupBy("node").agg(F.min("doc_id").alias("least"))
     rooted = classes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     ids = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = materialize(rooted.join(ids, "root").select("node", "component_id"), "named")
-    linked = described.where("n > 0").select("doc_id", "n", "node").join(named, "node")
-    alone = described.where("n = 0")
-    return linked.select("doc_id", F.col("n").alias("n_shingles"), "component_id").unionByName(
-        alone.select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
+    named = materialize(rooted.join(ids, "root").select("node", "root", "component_id"), "named")
+    columns = ["doc_id", "copy", F.col("n").alias("n_shingles"), "component_id", "root"]
+    linked = nodes.select("doc_id", "copy", "n", "node").join(named, "node")
+    alone = described.where("n = 0").withColumns(
+        {"component_id": F.col("doc_id"), "root": F.lit(None).cast("long")}
+    )
+    return linked.select(*columns).unionByName(alone.select(*columns))
+
+
+def jaccard_components(docs: DataFrame, **options) -> DataFrame:
+    """``doc_id``, ``n_shingles``, ``component_id`` for each document."""
+    return jaccard_rows(docs, **options).select("doc_id", "n_shingles", "component_id")
+
+
+def one_of_each(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """One document of each component, of least id (any id before none), and all
+    documents without shingles. All columns of ``docs`` stay, whatever their names."""
+    rows = materialize(jaccard_rows(docs, doc_id=doc_id, text=text), "linked")
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "copy"))
+    chosen = rows.where("root is not null").groupBy("root").agg(first.alias("first"))
+    kept = chosen.select(F.col("first.copy").alias("copy")).distinct()
+    words_ = F.coalesce(F.col(f"`{text}`"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    carried = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+        copy_hash(doc_id, text).alias("copy"),
+        words_.alias("words"),
     )
+    one = carried.where("words").join(kept, "copy", "left_semi").dropDuplicates(["copy"])
+    return one.unionByName(carried.where("not words")).select("row.*")

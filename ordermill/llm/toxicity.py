@@ -14,7 +14,7 @@ rate of label 1, or 0.5 without any. Only the named columns are read.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ordermill.llm.quality import sample_labels
+from ordermill.llm.quality import sample_labels, scored_rows
 from ordermill.llm.text import ALNUM, LOWER, Block, blocks, span_hashes, words
 from ordermill.scratch import materialize
 
@@ -263,21 +263,12 @@ def fit(
     return Model(hashes, weights, bias)
 
 
-def score(docs: DataFrame, model: Model, *keep: str) -> DataFrame:
-    """``doc_id``, the columns of ``keep`` and ``score``; nothing is shuffled."""
+def score(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
+    """``row`` (the columns of ``keep``) and ``score``, the chance of label 1."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    columns = ["doc_id", *keep]
-    chosen = docs.select(*columns, F.col("text").alias("_text"))
-    kinds = ", ".join(f"`{c}` {k}" for c, k in chosen.dtypes if c != "_text")
 
-    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def prepare() -> Callable[[Block], np.ndarray]:
         known = shared.value
-        for batch in batches:
-            for block in blocks(batch.column("_text")):
-                part = batch.slice(block.first, block.rows)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(c) for c in columns] + [pa.array(known.scores(block))],
-                    names=[*columns, "score"],
-                )
+        return lambda block: known.scores(block)
 
-    return chosen.mapInArrow(judge, f"{kinds}, score double")
+    return scored_rows(docs, keep, prepare)
