@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import os
-import shutil
-import tempfile
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -33,25 +31,26 @@ URL_RULES = [
 ]
 
 
-_SHIPPED: set[str] = set()
+#: Rows in a batch for Python. Texts are long, so fewer than the usual 10,000.
+BATCH_ROWS = 1_000
 
 
-def ship_package(spark: SparkSession) -> None:
-    """Send this package to the executors, unless they can import it as it is."""
+def prepare_session(spark: SparkSession) -> None:
+    """Smaller batches, and this package on the workers' path."""
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(setting)) > BATCH_ROWS:
+        spark.conf.set(setting, str(BATCH_ROWS))
+    # Workers of a driver that runs elsewhere find the package by its path; on a
+    # cluster it is installed, or sent with --py-files.
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-    application = spark.sparkContext.applicationId
-    known = [os.getcwd(), *os.environ.get("PYTHONPATH", "").split(os.pathsep)]
-    if application in _SHIPPED or root in map(os.path.abspath, filter(None, known)):
-        return
-    with tempfile.TemporaryDirectory() as folder:
-        name = os.path.join(folder, "ordermill-package")
-        archive = shutil.make_archive(name, "zip", root, "ordermill")
-        spark.sparkContext.addPyFile(archive)
-    _SHIPPED.add(application)
+    environment = spark.sparkContext.environment
+    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([root, *paths])
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    ship_package(spark)
+    prepare_session(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
