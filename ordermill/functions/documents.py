@@ -31,10 +31,8 @@ def payment_details() -> Column:
     return F.struct(*[F.lit("").alias(name) for name in payment_details_schema.names])
 
 
-def as_of_column(as_of: str | datetime | Column | None) -> Column:
-    """One clock value for a run: given, or the time the query starts."""
-    if as_of is None:
-        return F.current_timestamp()
+def as_of_column(as_of: str | datetime | Column) -> Column:
+    """The clock value of a run, or of each row."""
     if isinstance(as_of, Column):
         return as_of
     return F.lit(as_of).cast("timestamp")

@@ -5,7 +5,7 @@ from ordermill.operators.events import (
     to_envelope,
     to_events,
 )
-from ordermill.operators.groups import fold, one_per_key, split_groups
+from ordermill.operators.groups import number_parts, one_per_key
 from ordermill.operators.items import (
     build_items,
     component_measures,
@@ -14,7 +14,6 @@ from ordermill.operators.items import (
 )
 from ordermill.operators.joins import (
     fits_broadcast,
-    hot_keys,
     lookup_by_key,
     lookup_join,
 )
@@ -22,10 +21,12 @@ from ordermill.operators.orders import (
     Orders,
     attach_client,
     attach_products,
+    check_orders,
     client_addresses,
     compose_orders,
     order_documents,
     order_totals,
+    split_checked,
 )
 from ordermill.operators.sampling import RowIndex, dense_index, draw_rows
 
@@ -35,6 +36,7 @@ __all__ = [
     "attach_client",
     "attach_products",
     "build_items",
+    "check_orders",
     "client_addresses",
     "component_measures",
     "compose_orders",
@@ -44,15 +46,14 @@ __all__ = [
     "event_ids",
     "explode_components",
     "fits_broadcast",
-    "fold",
-    "hot_keys",
     "lookup_by_key",
     "lookup_join",
+    "number_parts",
     "one_per_key",
     "order_documents",
     "order_totals",
     "product_measures",
-    "split_groups",
+    "split_checked",
     "split_valid",
     "to_envelope",
     "to_events",

@@ -12,7 +12,8 @@ from ordermill.functions.documents import has_text_field, json_bytes, timestamp_
 from ordermill.functions.draws import keyed_id, random_id
 from ordermill.schemas import EVENT_ID_PREFIX, EVENT_TYPE, order_event_schema
 
-RECORD_KEYS = ("event_type", "order_id")
+RECORD_KEYS = ("order_id", "event_type")
+PARTS = ["part", "n_parts"]
 
 
 class Valid(NamedTuple):
@@ -29,12 +30,16 @@ def event_ids(ids: str, prefix: str, *parts: Column) -> Column:
     raise ValueError(f"ids must be 'replay' or 'random', got {ids!r}")
 
 
-def to_events(orders: DataFrame, *, ids: str = "replay", run: str = "") -> DataFrame:
+def to_events(
+    orders: DataFrame, *, ids: str = "replay", run: str = "", parts: bool = False
+) -> DataFrame:
     """Wrap composed orders in the event envelope.
 
     ``run`` tells apart the event ids of separate runs over the same orders.
+    ``parts`` keeps ``part`` and ``n_parts`` beside the event, for orders that
+    come in parts; ``to_envelope`` makes record headers of them.
     """
-    part = F.when(F.col("part") > 0, F.col("part"))
+    part = F.when(F.col("n_parts") > 1, F.col("part"))
     event_id = event_ids(
         ids, EVENT_ID_PREFIX, F.lit("event"), F.lit(run), F.col("order_id"), part
     )
@@ -44,8 +49,12 @@ def to_events(orders: DataFrame, *, ids: str = "replay", run: str = "") -> DataF
         timestamp_text(F.col("as_of")).alias("event_timestamp"),
         "order_id",
         "order_details",
+        *PARTS,
     )
-    return conform(events)
+    if parts:
+        schema = T.StructType([*order_event_schema.fields, *[events.schema[c] for c in PARTS]])
+        return conform(events, schema)
+    return conform(events.drop(*PARTS))
 
 
 def conform(df: DataFrame, schema: T.StructType = order_event_schema) -> DataFrame:
@@ -85,22 +94,31 @@ def split_valid(
 
 
 def to_envelope(
-    events: DataFrame, *, key: str = "event_type", shape: str = "kafka"
+    events: DataFrame, *, key: str = "order_id", shape: str = "kafka"
 ) -> DataFrame:
     """The record to publish: a partition key and the event as JSON bytes.
 
-    ``shape="kafka"`` gives binary ``key``, ``value``; ``"kinesis"`` gives
-    ``PartitionKey`` (string) and ``Data``. The default key is the same for all
-    order events, which puts them all in one partition of the target; use
-    ``key="order_id"`` to spread them.
+    ``shape="kafka"`` gives binary ``key``, ``value``, and ``headers`` for events
+    with parts; ``"kinesis"`` gives ``PartitionKey`` (string) and ``Data``. The
+    order id spreads records over a target's partitions; ``key="event_type"`` is
+    one value for all order events and puts them all in one.
     """
     if key not in RECORD_KEYS:
         raise ValueError(f"key must be one of {RECORD_KEYS}, got {key!r}")
-    data = json_bytes(*events.columns)
+    beside = [c for c in PARTS if c in events.columns]
+    data = json_bytes(*[c for c in events.columns if c not in beside])
     if shape == "kafka":
+        headers = [
+            F.struct(
+                F.lit(c).alias("key"), F.encode(F.col(c).cast("string"), "UTF-8").alias("value")
+            )
+            for c in beside
+        ]
         return events.select(
-            F.encode(F.col(key), "UTF-8").alias("key"), data.alias("value")
+            F.encode(F.col(key), "UTF-8").alias("key"),
+            data.alias("value"),
+            *([F.array(*headers).alias("headers")] if headers else []),
         )
     if shape == "kinesis":
-        return events.select(F.col(key).alias("PartitionKey"), data.alias("Data"))
+        return events.select(F.col(key).alias("PartitionKey"), data.alias("Data"), *beside)
     raise ValueError(f"shape must be 'kafka' or 'kinesis', got {shape!r}")

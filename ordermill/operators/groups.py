@@ -1,143 +1,52 @@
-"""Folding rows into arrays without ever holding an unbounded group."""
+"""Folding rows into arrays, one row per key, and numbering parts of a group."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from typing import NamedTuple
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ordermill.operators.joins import group_sizes, lookup_join
-from ordermill.scratch import materialize
-
-
-RUN_BLOCK = 1_000
-OWN_PARTS = 1 << 40
-
-
-class Split(NamedTuple):
-    """``small`` has the columns of the input; ``large`` also ``part``, ``copies``."""
+#: Positions that one task numbers at a time; a group of any size has many such runs.
+RUN = 1_024
 
-    small: DataFrame
-    large: DataFrame | None
 
+def collect_entries(order_by: list[str], entry: Column) -> Column:
+    """Aggregate: the entries of a group as an array sorted by ``order_by``.
 
-def split_groups(df: DataFrame, key: str, limit: int) -> Split:
-    """Part groups of more than ``limit`` rows from the others.
-
-    Rows of a large group get a ``part``, about ``limit`` rows each. Equal rows
-    are counted (``copies``) before any shuffle, so a group made of copies of
-    one row spreads as well. Parts depend on the row values only. Rows without
-    a key have to be filtered out before.
+    A null entry is left out. Equal sort keys are told apart by the entry.
     """
-    if limit < 1:
-        raise ValueError(f"limit must be at least 1, got {limit}")
-    too_many = F.col("count") > limit
-    if group_sizes(df, [key]).where(too_many).isEmpty():
-        return Split(df, None)
-
-    counts = df.groupBy(key).count().where(too_many)
-    sizes = materialize(
-        counts.select(key, F.ceil(F.col("count") / limit).alias("_parts"))
-    )
-    tagged = lookup_join(df, sizes, [key], "left")
-    columns = df.columns
-    small = tagged.where(F.col("_parts").isNull()).select(*columns)
-
-    counted = (
-        tagged.where(F.col("_parts").isNotNull())
-        .groupBy(*columns, "_parts")
-        .agg(F.count(F.lit(1)).alias("_n"))
-    )
-    # Many copies are cut into full parts of their own. All other rows share
-    # parts, in runs much shorter than a part, which keeps the parts even.
-    step = F.when(F.col("_n") >= limit, limit).otherwise(max(1, limit // 16))
-    runs = counted.withColumn("_step", step.cast("bigint")).withColumn(
-        "_last", F.expr("(_n - 1) div _step")
-    )
-    # Two explodes, since the numbers of one row's runs may not fit one array.
-    block = F.sequence(F.lit(0).cast("bigint"), F.expr(f"_last div {RUN_BLOCK}"))
-    first = F.col("_block") * RUN_BLOCK
-    inside = F.sequence(first, F.least(F.col("_last"), first + (RUN_BLOCK - 1)))
-    runs = runs.withColumn("_block", F.explode(block)).withColumn(
-        "_run", F.explode(inside)
-    )
-    copies = F.least(F.col("_step"), F.col("_n") - F.col("_run") * F.col("_step"))
-    spread = F.xxhash64(*columns, "_run")
-    own_part = F.col("_parts") + F.pmod(spread, F.lit(OWN_PARTS))
-    large = runs.select(
-        *columns,
-        F.when(copies == limit, own_part)
-        .otherwise(F.pmod(spread, F.col("_parts")))
-        .alias("part"),
-        copies.cast("int").alias("copies"),
-    )
-    return Split(small, large)
+    sortable = F.struct(*order_by, entry.alias("entry"))
+    collected = F.sort_array(F.collect_list(F.when(entry.isNotNull(), sortable)))
+    return F.transform(collected, lambda e: e["entry"])
 
 
-def fold(
-    rows: DataFrame,
-    key: str,
-    limit: int | None,
-    collect: Callable[[DataFrame, list[str]], DataFrame],
-    whole: dict[str, Callable[[str], Column]],
-    headers: DataFrame | None = None,
+def number_parts(
+    rows: DataFrame, key: str, pos: str, order_by: list[str], weight: Column, limit: int
 ) -> DataFrame:
-    """Collect the rows of each key into one document, or several large parts.
-
-    ``collect(rows, keys)`` groups rows by ``keys``; rows of large groups have a
-    ``copies`` column (see ``collect_entries``).
-    ``whole`` names the columns it makes that describe the group and not the
-    part, with the aggregate that merges them over parts. Where a group was cut,
-    all documents have ``part`` and ``lead``, which is true on one part of each
-    group; otherwise these columns are absent.
-    ``limit=None`` is for groups that are bounded where they are made.
-    ``headers`` (one row per key) adds its columns, null where it has no row.
-    """
-    small, large = (rows, None) if limit is None else split_groups(rows, key, limit)
-    documents = collect(small, [key])
-    if headers is not None:
-        # Both sides have one row per key, so no key is hot here.
-        documents = documents.join(headers, key, "left")
-    if large is None:
-        return documents
-
-    parts = collect(large, [key, "part"])
-    totals = parts.groupBy(key).agg(
-        F.min("part").alias("_first"),
-        *[merge(name).alias(name) for name, merge in whole.items()],
-    )
-    if headers is not None:
-        totals = totals.join(headers, key, "left")
-    parts = (
-        lookup_join(parts.drop(*whole), materialize(totals), [key])
-        .withColumn("lead", F.col("part") == F.col("_first"))
-        .drop("_first")
-    )
-    return with_parts(documents).unionByName(parts)
-
-
-def with_parts(documents: DataFrame) -> DataFrame:
-    """Documents that are whole, as the only part of their group."""
-    if "part" in documents.columns:
-        return documents
-    return documents.withColumns({"part": F.lit(0).cast("bigint"), "lead": F.lit(True)})
+    """Add ``part``: consecutive runs of a group's rows of about ``limit`` weight.
 
-
-def collect_entries(rows: DataFrame, order_by: list[str], entry: Column) -> Column:
-    """Aggregate: the entries of a group as an array sorted by ``order_by``.
-
-    A null entry is left out. Equal sort keys are told apart by the entry.
+    A part ends with the row that reaches the limit. Rows are ordered by ``pos``,
+    then ``order_by``. Only sums of runs of positions are brought together, so a
+    group is numbered by many tasks.
     """
-    copies = [c for c in ("copies",) if c in rows.columns]
-    sortable = F.struct(*order_by, entry.alias("entry"), *copies)
-    collected = F.sort_array(F.collect_list(F.when(entry.isNotNull(), sortable)))
-    if not copies:
-        return F.transform(collected, lambda e: e["entry"])
-    return F.flatten(
-        F.transform(collected, lambda e: F.array_repeat(e["entry"], e["copies"]))
-    )
+    if limit < 1:
+        raise ValueError(f"limit must be at least 1, got {limit}")
+    rows = rows.withColumns({"_weight": weight, "_run": F.expr(f"`{pos}` div {RUN}")})
+    runs = rows.groupBy(key, "_run").agg(F.sum("_weight").alias("_sum"))
+    earlier = Window.partitionBy(key).orderBy("_run").rowsBetween(Window.unboundedPreceding, -1)
+    runs = runs.select(
+        F.col(key).alias("_key"),
+        F.col("_run").alias("_of"),
+        F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_before"),
+    )
+    placed = rows.join(runs, F.col(key).eqNullSafe(F.col("_key")) & F.col("_run").eqNullSafe(F.col("_of")), "left")
+    inside = (
+        Window.partitionBy(key, "_run")
+        .orderBy(pos, *order_by)
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+    before = F.col("_before") + F.coalesce(F.sum("_weight").over(inside), F.lit(0))
+    part = F.floor(before / F.lit(limit)).cast("bigint")
+    return placed.withColumn("part", part).drop("_weight", "_run", "_key", "_of", "_before")
 
 
 def one_per_key(df: DataFrame, key: str) -> DataFrame:

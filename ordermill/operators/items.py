@@ -6,11 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ordermill.functions.totals import measure_or_one
-from ordermill.operators.groups import collect_entries, fold
+from ordermill.operators.groups import collect_entries
 from ordermill.operators.joins import lookup_join
 
-MAX_PACKAGES = 10_000
-
 PACKAGE_KEYS = ["package_id", "subpackage_id"]
 MEASURES = ["width", "height", "length", "weight", "volume"]
 
@@ -98,17 +96,11 @@ def product_measures(
 
 
 def build_items(
-    products: DataFrame,
-    packages: DataFrame,
-    *,
-    max_packages: int | None = MAX_PACKAGES,
-    packages_small: bool | None = None,
+    products: DataFrame, packages: DataFrame, *, packages_small: bool | None = None
 ) -> DataFrame:
     """One document per product: name, price and ``packages`` in component order.
 
-    Rows that share a ``product_id`` make one item. An item of more than
-    ``max_packages`` packages comes in several parts; only then there are
-    columns ``part`` and ``lead``, true on one part of each item.
+    Rows that share a ``product_id`` make one item.
     """
     position = ["product_name", "price", "component_pos"]
     entry = F.when(
@@ -121,20 +113,15 @@ def build_items(
             F.col("volume").cast("double").alias("volume"),
         ),
     )
-
-    def collect(rows: DataFrame, keys: list[str]) -> DataFrame:
-        return rows.groupBy(*keys).agg(
-            _head().alias("head"),
-            F.max(_quantity_missing()).alias("has_null"),
-            collect_entries(rows, position, entry).alias("packages"),
-        )
-
     components = component_measures(
         products, packages, keep_empty=True, packages_small=packages_small
     )
-    rows = components.where(F.col("product_id").isNotNull()).drop(
-        "width", "height", "length"
-    )
     return _named(
-        fold(rows, "product_id", max_packages, collect, {"head": F.min, "has_null": F.max})
+        components.where(F.col("product_id").isNotNull())
+        .groupBy("product_id")
+        .agg(
+            _head().alias("head"),
+            F.max(_quantity_missing()).alias("has_null"),
+            collect_entries(position, entry).alias("packages"),
+        )
     )

@@ -1,106 +1,28 @@
-"""Joins against a lookup table that hold up under skew."""
+"""Joins against a lookup table."""
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 64 << 20
-# A key is hot above HOT_ROWS rows, and never below 1/HOT_KEYS of all rows, so
-# there are at most HOT_KEYS hot keys however large the table is.
-HOT_ROWS = 1_000_000
-HOT_KEYS = 1_000
-
-_SALT = "_salt"
-_SALTS = "_salts"
 
 
 def fits_broadcast(
     df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
 ) -> bool:
-    """Measure ``df`` (rows, and bytes as JSON text) against the bounds."""
+    """Measure ``df`` (rows, and bytes as JSON text with null fields) once.
+
+    For a kept table; on any other its whole plan runs for the measurement.
+    """
+    text = F.to_json(F.struct("*"), {"ignoreNullFields": "false"})
     size = df.agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.sum(F.length(F.to_json(F.struct("*")))).alias("n_bytes"),
+        F.count(F.lit(1)).alias("n_rows"), F.sum(F.octet_length(text)).alias("n_bytes")
     ).first()
     return size["n_rows"] <= max_rows and (size["n_bytes"] or 0) <= max_bytes
 
 
-def _any_null(keys: list[str]) -> Column:
-    return reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-
-
-def group_sizes(df: DataFrame, keys: list[str]) -> DataFrame:
-    """``count`` of rows per hash of the keys.
-
-    A hash is narrower to shuffle than a text key. Two keys may share one, so a
-    count is never too low: where none is large, no key has many rows.
-    """
-    return df.groupBy(F.xxhash64(*keys).alias("hash")).count()
-
-
-def hot_keys(
-    df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS
-) -> DataFrame | None:
-    """Keys with too many rows for one task, and the number of salts for each.
-
-    Null keys are left out, as they never match. At most ``HOT_KEYS`` rows, all
-    of them fetched to the driver; ``None`` when there are none.
-    """
-    keyed = df.dropna(subset=keys)
-    seen = (
-        group_sizes(keyed, keys)
-        .agg(F.sum("count").alias("total"), F.max("count").alias("top"))
-        .first()
-    )
-    threshold = max(hot_rows, (seen["total"] or 0) // HOT_KEYS)
-    if (seen["top"] or 0) <= threshold:
-        return None
-    hot = keyed.groupBy(*keys).count().where(F.col("count") > threshold).select(
-        *keys, F.ceil(F.col("count") / threshold).cast("int").alias(_SALTS)
-    )
-    return df.sparkSession.createDataFrame(hot.collect(), hot.schema)
-
-
-def _salted_join(
-    left: DataFrame, right: DataFrame, keys: list[str], how: str, hot_rows: int
-) -> DataFrame:
-    """Equi-join in which a hot key is spread over several tasks.
-
-    A salt comes from the row and its map partition: copies of one row spread
-    too, and a retried task repeats its salts.
-    """
-    spread = F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in left.columns])
-    no_match = _any_null(keys)
-    right = right.dropna(subset=keys)
-    hot = hot_keys(left, keys, hot_rows)
-    salt = F.when(no_match, F.pmod(spread, F.lit(HOT_KEYS)).cast("int"))
-    if hot is None:
-        left = left.withColumn(_SALT, salt.otherwise(F.lit(0)))
-        # Exploded and not a literal, which would be folded out of the join keys
-        # and bring the rows with null keys back together.
-        right = right.withColumn(_SALT, F.explode(F.array(F.lit(0))))
-    else:
-        salt = salt.when(
-            F.col(_SALTS) > 1, F.pmod(spread, F.col(_SALTS)).cast("int")
-        ).otherwise(F.lit(0))
-        left = (
-            left.join(F.broadcast(hot), keys, "left")
-            .withColumn(_SALT, salt)
-            .drop(_SALTS)
-        )
-        last = F.coalesce(F.col(_SALTS), F.lit(1)) - 1
-        right = (
-            right.join(F.broadcast(hot), keys, "left")
-            .withColumn(_SALT, F.explode(F.sequence(F.lit(0), last)))
-            .drop(_SALTS)
-        )
-    return left.join(right, [*keys, _SALT], how).drop(_SALT)
-
-
 def lookup_join(
     left: DataFrame,
     right: DataFrame,
@@ -108,22 +30,17 @@ def lookup_join(
     how: str = "inner",
     *,
     small: bool | None = None,
-    hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Join ``left`` (inner or left outer) with a lookup table on equal keys.
 
-    A right side that was measured to be small is broadcast, and ``left`` is not
-    shuffled; any other is shuffle-joined with hot keys of ``left`` salted.
-    ``small`` hands over a measurement made earlier; ``hot_rows=None`` says that
-    no key of ``left`` is hot or null.
+    ``small`` hands over a measurement: True broadcasts ``right``, so ``left`` is
+    not shuffled. Otherwise the planner broadcasts what it knows to be small;
+    beyond that both sides are shuffled, and adaptive execution splits the
+    partitions of hot or null keys of ``left``, however many rows they have.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"how must be 'inner' or 'left', got {how!r}")
-    if fits_broadcast(right) if small is None else small:
-        return left.join(F.broadcast(right), keys, how)
-    if hot_rows is None:
-        return left.join(right, keys, how)
-    return _salted_join(left, right, keys, how, hot_rows)
+    return left.join(F.broadcast(right) if small else right, keys, how)
 
 
 def lookup_by_key(df: DataFrame, key: str, value) -> DataFrame:

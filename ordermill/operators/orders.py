@@ -1,8 +1,12 @@
-"""Order lines to order documents."""
+"""Order lines to order documents.
+
+One order makes one document. Every order that comes in leaves as accepted or
+as rejected with a reason, whatever the policy for empty products.
+"""
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timezone
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -16,24 +20,28 @@ from ordermill.functions.documents import (
     timestamp_text,
 )
 from ordermill.functions.totals import item_total, package_measure_total
-from ordermill.operators.groups import collect_entries, fold, one_per_key, with_parts
-from ordermill.operators.joins import fits_broadcast, lookup_join
+from ordermill.operators.groups import collect_entries, number_parts, one_per_key
+from ordermill.operators.joins import lookup_join
 from ordermill.schemas import ADDRESS_COLUMNS, ORDER_STATUS
 
-MAX_ITEMS = 10_000
 ON_EMPTY = ("drop_order", "drop_item", "keep")
 TOTALS = ["total_amount", "total_volume", "total_weight"]
+FLAGS = ["unknown", "empty", "incomplete"]
 
-# Reasons for which an order is rejected.
-EMPTY_PRODUCT = "empty_product"
+# Reasons for which an order is rejected, in the order in which they are checked.
+NO_ORDER = "no_order_id"
+NO_LINES = "no_lines"
 UNKNOWN_PRODUCT = "unknown_product"
+EMPTY_PRODUCT = "empty_product"
 NULL_VALUE = "null_value"
 UNKNOWN_CLIENT = "unknown_client"
-NO_ORDER = "no_order_id"
 
 
 class Orders(NamedTuple):
-    """Finished orders, and ``order_id``, ``reason`` of those rejected."""
+    """Finished orders, and ``order_id``, ``reason``, ``n_lines`` of those rejected.
+
+    Lines and orders without an id are one rejected row with their number of lines.
+    """
 
     accepted: DataFrame
     rejected: DataFrame
@@ -78,36 +86,53 @@ def _check_policy(on_empty: str) -> None:
 
 
 def _line_flags(lines: DataFrame, on_empty: str) -> DataFrame:
-    """Apply the policy to lines whose product has no components."""
-    lines = lines.withColumns(
+    """Flag each line; ``kept`` is false where the policy drops it."""
+    empty = F.coalesce("is_empty", F.lit(False))
+    kept = ~empty if on_empty == "drop_item" else F.lit(True)
+    missing = F.coalesce("has_null", F.lit(False)) | F.col("quantity").isNull()
+    return lines.withColumns(
         {
             "unknown": F.col("is_empty").isNull(),
-            "empty": F.coalesce("is_empty", F.lit(True)),
-            "incomplete": F.coalesce("has_null", F.lit(False))
-            | F.col("quantity").isNull(),
+            "empty": empty,
+            "kept": kept,
+            "incomplete": missing & kept,
         }
     )
-    if on_empty == "drop_item":
-        lines = lines.where(~F.col("empty"))
-    return lines
 
 
 def _reason(on_empty: str) -> Column:
-    reason = F.when(F.col("unknown"), UNKNOWN_PRODUCT)
+    reason = F.when(F.col("n_lines") == 0, NO_LINES).when(F.col("unknown"), UNKNOWN_PRODUCT)
     if on_empty == "drop_order":
         reason = reason.when(F.col("empty"), EMPTY_PRODUCT)
+    elif on_empty == "drop_item":
+        reason = reason.when(F.col("n_kept") == 0, EMPTY_PRODUCT)
     return reason.when(F.col("incomplete"), NULL_VALUE)
 
 
-def _check_and_split(orders: DataFrame, reason: Column, lines: DataFrame) -> Orders:
-    checked = orders.withColumn("reason", reason).drop("unknown", "empty", "incomplete")
-    stray = lines.where(F.col("order_id").isNull())
-    rejected = (
-        checked.where(F.col("reason").isNotNull())
-        .select("order_id", "reason")
-        .unionByName(stray.select("order_id", F.lit(NO_ORDER).alias("reason")))
+def without_id(lines: DataFrame, orders: DataFrame | None = None) -> DataFrame:
+    """One rejected row for all lines and orders without an order id, if any."""
+    stray = lines.where(F.col("order_id").isNull()).select(F.lit(1).alias("line"))
+    if orders is not None:
+        nameless = orders.where(F.col("order_id").isNull())
+        stray = stray.unionByName(nameless.select(F.lit(0).alias("line")))
+    counted = stray.agg(F.count("line").alias("n"), F.sum("line").alias("n_lines"))
+    return counted.where("n > 0").select(
+        F.lit(None).cast("string").alias("order_id"),
+        F.lit(NO_ORDER).alias("reason"),
+        "n_lines",
     )
-    return Orders(checked.where(F.col("reason").isNull()).drop("reason"), rejected.distinct())
+
+
+def split_checked(checked: DataFrame, stray: DataFrame) -> Orders:
+    """Part documents with a ``reason`` from those without."""
+    rejected = checked.where(F.col("reason").isNotNull())
+    if "part" in checked.columns:
+        rejected = rejected.where("part = 0")
+    kind = checked.schema["order_id"].dataType
+    stray = stray.withColumn("order_id", F.col("order_id").cast(kind))
+    rejected = rejected.select("order_id", "reason", "n_lines").unionByName(stray)
+    accepted = checked.where(F.col("reason").isNull())
+    return Orders(accepted.drop("reason", "n_lines", "n_kept", *FLAGS), rejected)
 
 
 def order_totals(
@@ -119,78 +144,111 @@ def order_totals(
 ) -> Orders:
     """Totals per order from flat rows (``measures`` from ``product_measures``).
 
-    Nothing is collected: lines are summed before the only shuffle of the lines,
-    so an order of any size will do.
+    Nothing is collected: lines are summed before they are shuffled by order, so
+    an order of any size will do.
     """
     _check_policy(on_empty)
     narrow = lines.select("order_id", "product_id", "quantity")
     measured = _line_flags(attach_products(narrow, measures, small=small), on_empty)
-    quantity = F.col("quantity").cast("double")
+    quantity = F.when(F.col("kept"), F.col("quantity").cast("double"))
     totals = (
         measured.where(F.col("order_id").isNotNull())
         .groupBy("order_id")
         .agg(
-            F.count(F.lit(1)).alias("n_items"),
+            F.count(F.lit(1)).alias("n_lines"),
+            F.count_if("kept").alias("n_kept"),
             F.sum(quantity * F.col("price")).alias("total_amount"),
             F.sum(quantity * F.coalesce("unit_volume", F.lit(0.0))).alias("total_volume"),
             F.sum(quantity * F.coalesce("unit_weight", F.lit(0.0))).alias("total_weight"),
-            *[F.max(flag).alias(flag) for flag in ("unknown", "empty", "incomplete")],
+            *[F.max(flag).alias(flag) for flag in FLAGS],
         )
+        .withColumn("n_items", F.col("n_kept"))
     )
-    return _check_and_split(totals, _reason(on_empty), lines)
+    return split_checked(totals.withColumn("reason", _reason(on_empty)), without_id(lines))
 
 
 def _documents(
     lines: DataFrame,
     items: DataFrame,
     on_empty: str,
-    max_items: int | None,
+    max_packages: int | None,
     items_small: bool | None,
     headers: DataFrame | None = None,
-    clustered: bool = False,
 ) -> DataFrame:
-    small = fits_broadcast(items) if items_small is None else items_small
-    item_columns = items.withColumnRenamed("lead", "lead_item").drop("part")
-    # Parts of a product are marked inside the document until it is finished.
-    marks = [c for c in ("lead_item",) if c in item_columns.columns]
-    item = F.struct(
-        "product_id", "product_name", "price", "quantity", "packages", *marks
-    )
+    """One row per order, or per part: items, totals, flags, counts and header.
 
-    def collect(rows: DataFrame, keys: list[str]) -> DataFrame:
-        if small and not clustered:
-            # Shuffle the narrow lines; the wide items are added behind it.
-            rows = rows.repartition(*keys)
-        rows = _line_flags(attach_products(rows, item_columns, small=small), on_empty)
-        documents = rows.groupBy(*keys).agg(
-            collect_entries(
-                rows, ["pos", "product_id", "quantity", *marks], item
-            ).alias("items"),
-            *[F.max(flag).alias(flag) for flag in ("unknown", "empty", "incomplete")],
+    Headers are rows of the same fold as the lines, so documents are never joined
+    or sorted, and an order that has only the one or the other is there too.
+    """
+    columns = ["order_id", "pos", "product_id", "quantity"]
+    rows = lines.where(F.col("order_id").isNotNull()).select(*columns)
+    if items_small:
+        # Shuffle the narrow rows; the wide items are added behind that.
+        rows = rows.withColumn("header", F.lit(None).cast("boolean")) if headers is None else rows
+        if headers is not None:
+            rows = rows.unionByName(headers, allowMissingColumns=True)
+        rows = attach_products(rows.repartition("order_id"), items, small=True)
+    else:
+        rows = attach_products(rows, items, small=items_small)
+        if headers is not None:
+            rows = rows.unionByName(headers, allowMissingColumns=True)
+        else:
+            rows = rows.withColumn("header", F.lit(None).cast("boolean"))
+    is_line = F.col("header").isNull()
+    rows = _line_flags(rows, on_empty)
+    keys = ["order_id"]
+    if max_packages is not None:
+        weight = F.when(is_line, F.greatest(F.lit(1), F.size("packages"))).otherwise(0)
+        rows = number_parts(
+            rows.withColumn("pos", F.coalesce("pos", F.lit(0))),
+            "order_id", "pos", ["product_id", "quantity"], weight, max_packages,
         )
-        items = leads = F.col("items")
-        if marks:
-            leads = F.filter(items, lambda i: i["lead_item"])
+        rows = rows.withColumn("part", F.when(is_line, F.col("part")).otherwise(0))
+        keys = ["order_id", "part"]
+    item = F.struct("product_id", "product_name", "price", "quantity", "packages")
+    documents = rows.groupBy(*keys).agg(
+        collect_entries(
+            ["pos", "product_id", "quantity"], F.when(is_line & F.col("kept"), item)
+        ).alias("items"),
+        F.count_if(is_line).alias("n_lines"),
+        F.count_if(is_line & F.col("kept")).alias("n_kept"),
+        F.max("header").alias("header"),
+        *[F.coalesce(F.max(F.when(is_line, F.col(f))), F.lit(False)).alias(f) for f in FLAGS],
+    )
+    if max_packages is None:
         documents = documents.withColumns(
-            {
-                "n_items": F.size(leads).cast("bigint"),
-                "total_amount": item_total(leads),
-                "total_volume": package_measure_total(items, "volume"),
-                "total_weight": package_measure_total(items, "weight"),
-            }
+            {"part": F.lit(0).cast("bigint"), "n_parts": F.lit(1).cast("bigint")}
         )
-        if marks:
-            unmarked = F.transform(items, lambda i: i.dropFields(*marks))
-            documents = documents.withColumn("items", unmarked)
-        return documents
-
-    flags = dict.fromkeys(("unknown", "empty", "incomplete"), F.max)
-    sums = dict.fromkeys(("n_items", *TOTALS), F.sum)
-    rows = lines.where(F.col("order_id").isNotNull()).select(
-        "order_id", "pos", "product_id", "quantity"
+    else:
+        documents = _with_whole(documents)
+    measured = documents.withColumns(
+        {
+            "n_items": F.size("items").cast("bigint"),
+            "total_amount": item_total(F.col("items")),
+            "total_volume": package_measure_total(F.col("items"), "volume"),
+            "total_weight": package_measure_total(F.col("items"), "weight"),
+        }
     )
-    return with_parts(
-        fold(rows, "order_id", max_items, collect, {**flags, **sums}, headers)
+    numbers = ["part", "n_parts", "n_lines", "n_kept", "n_items"]
+    return measured.select("order_id", *numbers, *TOTALS, "items", *FLAGS, "header")
+
+
+def _with_whole(parts: DataFrame) -> DataFrame:
+    """Flags, counts and header of the whole order on each of its parts, numbered
+    without gaps."""
+    whole = parts.groupBy("order_id").agg(
+        F.sum("n_lines").alias("n_lines"),
+        F.sum("n_kept").alias("n_kept"),
+        F.max("header").alias("header"),
+        *[F.max(flag).alias(flag) for flag in FLAGS],
+        F.array_sort(F.collect_set("part")).alias("parts"),
+    )
+    return (
+        parts.select("order_id", "part", "items")
+        .join(whole, "order_id")
+        .withColumn("part", F.array_position("parts", F.col("part")) - 1)
+        .withColumn("n_parts", F.size("parts").cast("bigint"))
+        .drop("parts")
     )
 
 
@@ -199,22 +257,23 @@ def order_documents(
     items: DataFrame,
     *,
     on_empty: str = "drop_order",
-    max_items: int | None = MAX_ITEMS,
+    max_packages: int | None = None,
     items_small: bool | None = None,
 ) -> Orders:
     """Fold lines (``order_id, pos, product_id, quantity``) to nested orders.
 
-    ``items`` come from ``build_items``. An order of more than ``max_items``
-    lines comes in several parts (``part``), each with the totals of the whole
-    order. ``max_items=None`` skips the count of lines per order, for lines made
-    with a bound, such as drawn ones.
+    ``items`` come from ``build_items``. One order is one row. A caller whose
+    orders do not fit a row may ask for parts of about ``max_packages`` packages:
+    consecutive runs of ``pos``, each with the totals of its own items, so sums
+    over parts are those of the order. All results have ``part`` and ``n_parts``.
     """
     _check_policy(on_empty)
-    documents = _documents(lines, items, on_empty, max_items, items_small)
-    return _check_and_split(documents, _reason(on_empty), lines)
+    documents = _documents(lines, items, on_empty, max_packages, items_small)
+    checked = documents.drop("header").withColumn("reason", _reason(on_empty))
+    return split_checked(checked, without_id(lines))
 
 
-def compose_orders(
+def check_orders(
     orders: DataFrame,
     lines: DataFrame,
     items: DataFrame,
@@ -222,45 +281,58 @@ def compose_orders(
     *,
     as_of: str | datetime | Column | None = None,
     on_empty: str = "drop_order",
-    max_items: int | None = MAX_ITEMS,
+    max_packages: int | None = None,
     items_small: bool | None = None,
     addresses_small: bool | None = None,
-    clustered: bool = False,
-) -> Orders:
-    """Complete orders: ``order_id``, ``part``, ``as_of``, ``order_details``.
-
-    ``orders`` has ``order_id`` and ``address_id``; ``as_of`` may be a column of
-    it. Of several rows with one ``order_id`` the least counts. ``clustered``
-    says that the lines are partitioned by ``order_id`` already.
-    """
+) -> DataFrame:
+    """Complete orders, accepted and rejected together; null ``reason``: accepted."""
     _check_policy(on_empty)
+    if as_of is None:
+        # One moment for the run, however often and however late it is computed.
+        as_of = datetime.now(timezone.utc)
     headers = one_per_key(
         orders.select("order_id", "address_id", as_of_column(as_of).alias("as_of")),
         "order_id",
     )
     headers = attach_client(headers, addresses, small=addresses_small)
+    header = F.struct("as_of", "known_client", "customer_id", "destination_address")
     documents = _documents(
-        lines, items, on_empty, max_items, items_small, headers, clustered
+        lines,
+        items,
+        on_empty,
+        max_packages,
+        items_small,
+        headers.select("order_id", header.alias("header")),
     )
-    composed = documents.select(
+    no_client = F.col("header.known_client").isNull()
+    return documents.select(
         "order_id",
         "part",
-        "as_of",
+        "n_parts",
+        "n_lines",
+        "header.as_of",
         F.struct(
-            "customer_id",
-            timestamp_text(F.col("as_of")).alias("order_timestamp"),
-            date_text(F.col("as_of")).alias("order_date"),
+            "header.customer_id",
+            timestamp_text(F.col("header.as_of")).alias("order_timestamp"),
+            date_text(F.col("header.as_of")).alias("order_date"),
             "items",
             *TOTALS,
             F.lit(ORDER_STATUS).alias("status"),
-            "destination_address",
+            "header.destination_address",
             payment_details().alias("payment_details"),
         ).alias("order_details"),
-        "unknown",
-        "empty",
-        "incomplete",
-        F.col("known_client").isNull().alias("no_client"),
+        _reason(on_empty).when(no_client, UNKNOWN_CLIENT).alias("reason"),
     )
-    reason = _reason(on_empty).when(F.col("no_client"), UNKNOWN_CLIENT)
-    split = _check_and_split(composed, reason, lines)
-    return Orders(split.accepted.drop("no_client"), split.rejected)
+
+
+def compose_orders(
+    orders: DataFrame, lines: DataFrame, items: DataFrame, addresses: DataFrame, **options
+) -> Orders:
+    """Complete orders: ``order_id``, ``part``, ``n_parts``, ``as_of``, ``order_details``.
+
+    ``orders`` has ``order_id`` and ``address_id``; ``as_of`` may be a column of
+    it, a moment, or None for the time of this call. Of several rows with one
+    ``order_id`` the least counts. Takes the options of ``check_orders``.
+    """
+    checked = check_orders(orders, lines, items, addresses, **options)
+    return split_checked(checked, without_id(lines, orders))

@@ -10,9 +10,13 @@ from pyspark.sql.window import Window
 
 from ordermill.functions.draws import draw
 from ordermill.operators.joins import lookup_join
+from ordermill.scratch import materialize
 
-BUCKET_ROWS = 1_000_000
-MAX_DIGITS = 4
+#: Hexadecimal digits of a bucket's name, at every size of table.
+DIGITS = 4
+#: Rows of one key that are numbered together; more are spread over the buckets.
+RUN = 10_000
+RUN_BLOCK = 1_000
 
 
 class RowIndex(NamedTuple):
@@ -24,31 +28,29 @@ class RowIndex(NamedTuple):
     small: bool | None = None
 
 
-def dense_index(
-    df: DataFrame, key: str, *, digits: int | None = None, run: int = 10_000
-) -> RowIndex:
+def dense_index(df: DataFrame, key: str, *, digits: int = DIGITS, run: int = RUN) -> RowIndex:
     """Number the rows of ``df`` that have a key, 0..rows-1.
 
     The order is by hash bucket, then key: stable under any partitioning and
-    without a global sort. Equal keys are counted first, and long runs of one
-    key are cut into pieces that hash to different buckets, so neither a key nor
-    a bucket ends up in one task with a large share of the rows.
+    without a global sort, and one rule at every size. Equal keys are counted
+    first and cut into runs; the first run of a key hashes by the key, each
+    further one by key and number, so neither a key nor a bucket ends up in one
+    task with a large share of the rows. The counts are kept, so ``df`` is
+    computed once.
     """
     keyed = df.where(F.col(key).isNotNull())
-    counts = keyed.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    rows = keyed.count()
-    if rows == 0:
+    counts = materialize(keyed.groupBy(key).agg(F.count(F.lit(1)).alias("n")), "counts")
+    rows = counts.agg(F.sum("n")).first()[0]
+    if not rows:
         raise ValueError(f"no row with a {key} to draw from")
-    if digits is None:
-        digits = 2
-        while digits < MAX_DIGITS and rows > BUCKET_ROWS * 16**digits:
-            digits += 1
-
+    # Two explodes, since the numbers of one key's runs may not fit one array.
+    last = counts.withColumn("last", F.expr(f"(n - 1) div {run}"))
+    block = F.sequence(F.lit(0).cast("bigint"), F.expr(f"last div {RUN_BLOCK}"))
+    first_run = F.col("block") * RUN_BLOCK
+    inside_block = F.sequence(first_run, F.least("last", first_run + (RUN_BLOCK - 1)))
     pieces = (
-        counts.withColumn(
-            "piece",
-            F.explode(F.sequence(F.lit(0).cast("bigint"), F.expr(f"(n - 1) div {run}"))),
-        )
+        last.withColumn("block", F.explode(block))
+        .withColumn("piece", F.explode(inside_block))
         .withColumn("size", F.least(F.lit(run), F.col("n") - F.col("piece") * run))
         .withColumn(
             "label",
@@ -87,7 +89,4 @@ def draw_rows(
 ) -> DataFrame:
     """Add the key of a uniformly drawn row of the indexed table to each row."""
     drawn = df.withColumn("idx", F.pmod(draw(seed, tag, *ids), F.lit(index.rows)))
-    # A uniform draw makes no number of a large index hot.
-    return lookup_join(
-        drawn, index.table, ["idx"], small=index.small, hot_rows=None
-    ).drop("idx")
+    return lookup_join(drawn, index.table, ["idx"], small=index.small).drop("idx")

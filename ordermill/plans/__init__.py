@@ -1,16 +1,3 @@
 from ordermill.plans.catalog import Catalog, prepare_catalog
-from ordermill.plans.synthetic import (
-    draw_lines,
-    draw_orders,
-    synthetic_events,
-    synthetic_orders,
-)
 
-__all__ = [
-    "Catalog",
-    "draw_lines",
-    "draw_orders",
-    "prepare_catalog",
-    "synthetic_events",
-    "synthetic_orders",
-]
+__all__ = ["Catalog", "prepare_catalog"]

@@ -10,6 +10,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ordermill.functions import draw, reciprocal_choice
 from ordermill.operators import (
@@ -34,8 +35,7 @@ from ordermill.operators import (
 from ordermill.operators.items import explode_components
 from ordermill.plans import warehouse
 from ordermill.plans.catalog import prepare_catalog
-from ordermill.plans.synthetic import draw_lines, draw_orders, synthetic_orders
-from ordermill.schemas import order_event_schema
+from ordermill.schemas import COMPONENT_COLUMNS, order_event_schema
 from ordermill.sources import (
     append_events,
     publish,
@@ -51,6 +51,8 @@ AS_OF = "2024-05-06 07:08:09"
 RUN = "gallery"
 TOTALS = ["n_items", "total_amount", "total_volume", "total_weight"]
 FORMATS = ("csv", "json", "orc", "parquet")
+# Parts of an address that the test tables do not have.
+UNFILLED = ("neighborhood", "road", "house_number", "suburb", "city_district", "postcode")
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -124,20 +126,12 @@ def component_measures_query(spark, directory):
     products = warehouse.products(spark, directory)
     rows = component_measures(products, warehouse.packages(spark, directory))
     rows = rows.withColumn("drawn", draw(SEED, "qty", F.col("product_id")))
-    return rows.select(
-        "product_id",
-        reciprocal_choice(F.col("drawn"), 3).alias("product_quantity"),
-        "package_id",
-        "subpackage_id",
-        "product_name",
-        F.col("price").cast("double").alias("price"),
-        "package_quantity",
-        "width",
-        "height",
-        "length",
-        F.col("weight").cast("double").alias("weight"),
-        "volume",
-    )
+    made = {
+        "product_quantity": reciprocal_choice(F.col("drawn"), 3),
+        "price": F.col("price").cast("double"),
+        "weight": F.col("weight").cast("double"),
+    }
+    return rows.withColumns(made).select(*COMPONENT_COLUMNS)
 
 
 @query
@@ -221,15 +215,20 @@ def order_totals_keep(spark, directory):
 
 @query
 def order_totals_parts(spark, directory):
-    """Documents of few lines each; larger orders come in several parts."""
-    documents = order_documents(
-        warehouse.order_lines(spark, directory), _items(spark, directory), max_items=4
-    ).accepted
-    # The totals are those of the whole order; the items are spread over parts.
-    return documents.groupBy("order_id", *TOTALS).agg(
-        F.sum(F.size("items")).alias("n_found"),
-        F.count_if("lead").alias("n_leads"),
-    )
+    """Events of one package each, of few, and whole: sums over parts are equal."""
+    found = []
+    for limit in (1, 4, None):
+        orders = _composed(spark, directory, max_packages=limit).accepted
+        events = to_events(orders, run=RUN, parts=True)
+        details = "order_details"
+        totals = events.groupBy("order_id").agg(
+            F.sum(F.size(f"{details}.items")).alias("n_items"),
+            *[F.sum(f"{details}.{t}").alias(t) for t in TOTALS[1:]],
+            F.count_if((F.col("part") < 0) | (F.col("part") >= F.col("n_parts"))).alias("n_wrong"),
+            (F.count(F.lit(1)) - F.max("n_parts")).alias("n_missing"),
+        )
+        found.append(totals.withColumn("most", F.lit(limit or 0)))
+    return reduce(DataFrame.unionByName, found)
 
 
 @query
@@ -237,6 +236,29 @@ def order_rejects(spark, directory):
     return _documents(spark, directory).rejected
 
 
+def _outcomes(spark, directory, on_empty):
+    """Every order of the orders table or the lines, accepted or with its reason."""
+    orders = _composed(spark, directory, on_empty=on_empty)
+    accepted = orders.accepted.select("order_id", F.lit("accepted").alias("outcome"))
+    rejected = orders.rejected.select("order_id", F.col("reason").alias("outcome"))
+    return accepted.unionByName(rejected)
+
+
+@query
+def order_outcomes(spark, directory):
+    return _outcomes(spark, directory, "drop_order")
+
+
+@query
+def order_outcomes_drop_item(spark, directory):
+    return _outcomes(spark, directory, "drop_item")
+
+
+@query
+def order_outcomes_keep(spark, directory):
+    return _outcomes(spark, directory, "keep")
+
+
 @query
 def order_totals_flat(spark, directory):
     measures = product_measures(
@@ -294,43 +316,39 @@ def destination_address(spark, directory):
 # --- events -----------------------------------------------------------------
 
 
-def _events(spark, directory):
-    orders = compose_orders(
+def _composed(spark, directory, **options) -> Orders:
+    return compose_orders(
         warehouse.orders(spark, directory),
         warehouse.order_lines(spark, directory),
         _items(spark, directory),
         client_addresses(warehouse.clients(spark, directory)),
         as_of=AS_OF,
+        **options,
     )
-    return to_events(orders.accepted, run=RUN)
+
+
+def _events(spark, directory, run=RUN):
+    return to_events(_composed(spark, directory).accepted, run=run)
+
+
+def _leaves(schema: T.StructType, path: str = "") -> list:
+    """The plain fields of a nested row; of an array of rows its size."""
+    found = []
+    for field in schema.fields:
+        name = f"{path}{field.name}"
+        if isinstance(field.dataType, T.StructType):
+            found += _leaves(field.dataType, f"{name}.")
+        elif not isinstance(field.dataType, T.ArrayType):
+            found.append(F.col(name).alias(field.name))
+        elif isinstance(field.dataType.elementType, T.StructType):
+            found.append(F.size(name).cast("bigint").alias(f"n_{field.name}"))
+    return found
 
 
 def _flat_events(events: DataFrame, *more: str) -> DataFrame:
-    details = "order_details"
-    address = f"{details}.destination_address"
-    payment = f"{details}.payment_details"
-    return events.select(
-        *more,
-        "event_id",
-        "event_type",
-        "event_timestamp",
-        "order_id",
-        f"{details}.customer_id",
-        f"{details}.order_timestamp",
-        f"{details}.order_date",
-        F.size(f"{details}.items").cast("bigint").alias("n_items"),
-        f"{details}.total_amount",
-        f"{details}.total_volume",
-        f"{details}.total_weight",
-        f"{details}.status",
-        f"{address}.address_id",
-        f"{address}.country",
-        f"{address}.lat",
-        f"{address}.lon",
-        f"{payment}.payment_method",
-        f"{payment}.payment_status",
-        f"{payment}.transaction_id",
-    )
+    flat = events.select(*more, *_leaves(order_event_schema))
+    kept = [c for c in flat.columns if c not in UNFILLED]
+    return flat.select(*kept)
 
 
 @query
@@ -340,7 +358,7 @@ def order_events(spark, directory):
 
 @query
 def event_envelope(spark, directory):
-    records = to_envelope(_events(spark, directory))
+    records = to_envelope(_events(spark, directory), key="event_type")
     parsed = records.select(
         F.decode("key", "UTF-8").alias("record_key"),
         F.from_json(F.decode("value", "UTF-8"), order_event_schema).alias("event"),
@@ -350,7 +368,7 @@ def event_envelope(spark, directory):
 
 @query
 def kinesis_records(spark, directory):
-    records = to_envelope(_events(spark, directory), key="order_id", shape="kinesis")
+    records = to_envelope(_events(spark, directory), shape="kinesis")
     event = F.from_json(F.decode("Data", "UTF-8"), order_event_schema)
     return records.select(
         F.col("PartitionKey").alias("partition_key"),
@@ -396,12 +414,12 @@ def validate_json(spark, directory):
 
 @query
 def reciprocal_choice_hist(spark, directory):
-    """How often each k was drawn for each order, out of 5 and out of 3."""
+    """How often each k was drawn for each order, out of 3, 5 and 30."""
     orders = warehouse.orders(spark, directory)
     drawn = orders.select(draw(SEED, "hist", F.col("order_id")).alias("drawn"))
     choices = [
         F.struct(F.lit(n).alias("n"), reciprocal_choice(F.col("drawn"), n).alias("k"))
-        for n in (5, 3)
+        for n in (3, 5, 30)
     ]
     return (
         drawn.select(F.explode(F.array(*choices)).alias("choice"))
@@ -417,27 +435,12 @@ def draw_clients(spark, directory):
     return draw_rows(orders, index, SEED, "client", F.col("order_id"))
 
 
-def _requests(spark, directory):
-    return warehouse.table(spark, directory, "customer").select(
-        F.col("c_custkey").alias("request_id")
-    )
-
-
 @query
 def draw_products(spark, directory):
-    clients = dense_index(warehouse.clients(spark, directory), "address_id")
-    products = dense_index(warehouse.products(spark, directory), "product_id")
-    orders = draw_orders(_requests(spark, directory), clients, seed=SEED)
-    return draw_lines(orders, products, seed=SEED)
-
-
-@query
-def synthetic_order_totals(spark, directory):
-    catalog = prepare_catalog(*warehouse.dimensions(spark, directory))
-    orders = synthetic_orders(
-        _requests(spark, directory), catalog, seed=SEED, as_of=AS_OF
-    )
-    return _flat_events(to_events(orders.accepted, run=RUN))
+    """A drawn product for each order line."""
+    index = dense_index(warehouse.products(spark, directory), "product_id")
+    lines = warehouse.order_lines(spark, directory).select("order_id", "pos")
+    return draw_rows(lines, index, SEED, "product", F.col("order_id"), F.col("pos"))
 
 
 # --- sinks and streams ------------------------------------------------------
@@ -447,13 +450,8 @@ def synthetic_order_totals(spark, directory):
 def append_roundtrip(spark, directory):
     """Append two runs of events to one table and read it back."""
     path = scratch_path(spark, "events")
-    events = _events(spark, directory)
-    append_events(events, path, by_date=True)
-    catalog = prepare_catalog(*warehouse.dimensions(spark, directory))
-    drawn = synthetic_orders(
-        _requests(spark, directory), catalog, seed=SEED, as_of=AS_OF
-    )
-    append_events(to_events(drawn.accepted, run=RUN), path, by_date=True)
+    for run in (RUN, "second"):
+        append_events(_events(spark, directory, run), path, by_date=True)
     return _flat_events(read_table(spark, path, schema=order_event_schema))
 
 
@@ -484,22 +482,25 @@ def published_lines(spark, directory):
 
 @query
 def stream_orders(spark, directory):
-    """Order requests as a file stream, turned into a table of events."""
-    requests = scratch_path(spark, "requests")
+    """Orders with their lines as a file stream, turned into a table of events."""
+    source = scratch_path(spark, "orders")
     table = scratch_path(spark, "stream")
-    write_table(_requests(spark, directory).repartition(4), requests)
+    line = F.struct("pos", "product_id", "quantity")
+    lines = warehouse.order_lines(spark, directory).groupBy("order_id").agg(
+        F.collect_list(line).alias("lines")
+    )
+    orders = warehouse.orders(spark, directory).select("order_id", "address_id")
+    write_table(orders.join(lines, "order_id", "left").repartition(4), source)
     stream = (
-        spark.readStream.schema("request_id bigint")
+        spark.readStream.schema(read_table(spark, source).schema)
         .option("maxFilesPerTrigger", 2)
-        .parquet(requests)
+        .parquet(source)
     )
-    catalog = prepare_catalog(*warehouse.dimensions(spark, directory))
     start_order_stream(
         stream,
-        catalog,
+        prepare_catalog(*warehouse.dimensions(spark, directory)),
         table,
         scratch_path(spark, "stream-checkpoint"),
-        seed=SEED,
         as_of=AS_OF,
         ids_run=RUN,
     ).awaitTermination()

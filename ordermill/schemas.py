@@ -119,6 +119,21 @@ order_event_schema = _struct(
     order_details=order_details_schema,
 )
 
+COMPONENT_COLUMNS = [
+    "product_id",
+    "product_quantity",
+    "package_id",
+    "subpackage_id",
+    "product_name",
+    "price",
+    "package_quantity",
+    "width",
+    "height",
+    "length",
+    "weight",
+    "volume",
+]
+
 EVENT_TYPE = "ORDER_CREATED"
 ORDER_STATUS = "RECEIVED"
 EVENT_ID_PREFIX = "ev-"

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import logging
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,10 +11,9 @@ from pyspark.sql import types as T
 from ordermill.operators.events import conform
 from ordermill.schemas import clients_address_schema
 
-log = logging.getLogger(__name__)
-
 # Formats that carry their own schema, so there is nothing to infer.
 SELF_DESCRIBING = ("delta", "parquet", "orc")
+MODES = ("overwrite", "append", "ignore", "error")
 
 
 class Dimensions(NamedTuple):
@@ -61,15 +59,9 @@ def write_table(
     partition_by: list[str] | None = None,
 ) -> None:
     """Write a file table; modes are overwrite, append, ignore and error."""
-    writer = df.write.format(format.lower()).mode(mode).options(**(options or {}))
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    try:
-        writer.save(path)
-    except Exception:
-        log.exception("writing %s as %s failed", path, format)
-        raise
-    log.info("wrote %s as %s", path, format)
+    if mode not in MODES:
+        raise ValueError(f"mode must be one of {MODES}, got {mode!r}")
+    df.write.save(path, format.lower(), mode, partition_by, **(options or {}))
 
 
 def append_events(

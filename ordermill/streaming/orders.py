@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ordermill.operators.events import to_events
+from ordermill.operators.orders import check_orders, split_checked, without_id
 from ordermill.plans.catalog import Catalog
-from ordermill.plans.synthetic import synthetic_orders
+from ordermill.scratch import materialize
 from ordermill.sources.tables import write_table
 
 
@@ -24,8 +26,15 @@ def _write_batch(
         write_table(df, folder, format, "overwrite")
 
 
+def _holds_files(spark: SparkSession, path: str) -> bool:
+    """Whether a folder is there and not empty, in whatever store."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    return bool(store.exists(place)) and len(store.listStatus(place)) > 0
+
+
 def stream_orders(
-    requests: DataFrame,
+    orders: DataFrame,
     catalog: Catalog,
     path: str,
     checkpoint: str,
@@ -34,27 +43,44 @@ def stream_orders(
     rejected_path: str | None = None,
     trigger: dict | None = None,
     ids_run: str = "",
-    **draws,
+    **options,
 ) -> StreamingQuery:
-    """Turn a stream of order requests into a table of order events.
-
-    Each micro-batch runs the batch plan and overwrites its own folder
-    ``batch_id=N`` of the table, so a batch that is run again after a failure
-    replaces what it left behind. ``rejected_path`` keeps the rejected orders and
-    their reasons in the same way. The catalog should be a kept one. ``trigger``
-    paces the stream, e.g. ``{"processingTime": "10 seconds"}``; the default
-    takes what is there and stops. ``draws`` go to ``synthetic_orders``.
+    """Turn a stream of orders into a table of order events.
+
+    ``orders`` has ``order_id``, ``address_id`` and ``lines``, an array of
+    ``pos, product_id, quantity``. Each micro-batch runs ``check_orders`` once
+    (with ``options``), keeps its result and writes accepted events and, with
+    ``rejected_path``, rejected orders from it. It overwrites its own folder
+    ``batch_id=N``, so a batch that is run again after a failure replaces what it
+    left behind. A table and its checkpoint belong together: a new checkpoint on
+    a table that holds files is refused, since its batches would mix with those
+    that are there. ``trigger`` paces the stream, e.g. ``{"processingTime":
+    "10 seconds"}``; the default takes what is there and stops.
     """
+    spark = orders.sparkSession
+    file_table = format.lower() != "delta"
+    if file_table and _holds_files(spark, path) and not _holds_files(spark, checkpoint):
+        raise ValueError(f"{path} holds batches of another checkpoint than {checkpoint}")
 
     def run_batch(batch: DataFrame, batch_id: int) -> None:
-        orders = synthetic_orders(batch, catalog, **draws)
-        events = to_events(orders.accepted, run=ids_run)
-        _write_batch(events, path, format, batch_id, checkpoint)
+        headers = batch.drop("lines")
+        lines = batch.select("order_id", F.inline("lines"))
+        checked = check_orders(
+            headers,
+            lines,
+            catalog.items,
+            catalog.addresses,
+            items_small=catalog.items_small,
+            addresses_small=catalog.addresses_small,
+            **options,
+        )
+        found = split_checked(materialize(checked, "batch"), without_id(lines, headers))
+        _write_batch(to_events(found.accepted, run=ids_run), path, format, batch_id, checkpoint)
         if rejected_path is not None:
-            _write_batch(orders.rejected, rejected_path, format, batch_id, checkpoint)
+            _write_batch(found.rejected, rejected_path, format, batch_id, checkpoint)
 
     return (
-        requests.writeStream.foreachBatch(run_batch)
+        orders.writeStream.foreachBatch(run_batch)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True}))
         .start()

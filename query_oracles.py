@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import math
+from fractions import Fraction
+
 FIXTURES = """
 fx_seq as (select 1 as s union all select 2 union all select 3),
 fx_packages as (
@@ -117,14 +120,14 @@ def _totals(on_empty: str) -> str:
     """
 
 
-def _events(totals: str, orders: str) -> str:
+def _events(totals: str, orders: str, run: str = RUN) -> str:
     """``totals`` and ``orders`` (order_id, address_id) to flat events."""
     return f"""
-    select 'ev-' || {_uuid(f"'event:{RUN}:' || t.order_id")} as event_id,
+    select 'ev-' || {_uuid(f"'5:event|' || cast(length('{run}') as varchar) || ':{run}|' || cast(length(t.order_id) as varchar) || ':' || t.order_id || '|-'")} as event_id,
       'ORDER_CREATED' as event_type, '{AS_OF}' as event_timestamp, t.order_id,
       c.client_id as customer_id, '{AS_OF}' as order_timestamp,
       '{AS_OF[:10]}' as order_date, t.n_items, t.total_amount, t.total_volume,
-      t.total_weight, 'RECEIVED' as status, c.address_id, c.country, c.lat, c.lon,
+      t.total_weight, 'RECEIVED' as status, c.address_id, c.state, c.country, c.lat, c.lon,
       '' as payment_method, '' as payment_status, '' as transaction_id
     from {totals} t join {orders} o on t.order_id = o.order_id
     join fx_clients c on o.address_id = c.address_id
@@ -138,62 +141,57 @@ REAL_EVENTS = _events("real_totals", "fx_orders")
 def _index(name: str, source: str, key: str) -> str:
     return f"""
     {name} as (
-      select {key}, row_number() over (order by substr(md5({key}),1,2), {key}) - 1 as idx,
+      select {key}, row_number() over (order by substr(md5({key}),1,4), {key}) - 1 as idx,
         count(*) over () as n_rows
       from {source}
     )"""
 
 
-REQUEST = "cast(c_custkey as varchar)"
-LINE_ID = "request_id || ':' || cast(pos as varchar)"
-DRAWN = ",".join(
-    [
-        _index("client_index", "fx_clients", "address_id"),
-        _index("product_index", "fx_products", "product_id"),
-        f"""
-    drawn_orders as (
-      select {REQUEST} as request_id,
-        'ord-' || {_uuid(f"'order:{SEED}:' || {REQUEST}")} as order_id, i.address_id
-      from customer join client_index i
-        on i.idx = {_draw("client", REQUEST)} % i.n_rows
-    )""",
-        f"""
-    drawn_counts as (
-      select request_id, order_id,
-        {_choice(_draw("n", "request_id"), OF_FIVE)} as n
-      from drawn_orders
-    )""",
-        """
-    drawn_pos as (
-      select request_id, order_id, cast(s.pos as int) as pos
-      from drawn_counts join (select unnest(range(1, 6)) as pos) s on s.pos <= n
-    )""",
-        f"""
-    drawn_lines as (
-      select d.request_id, d.order_id, d.pos, i.product_id,
-        {_choice(_draw("qty", LINE_ID), OF_THREE)} as quantity
-      from drawn_pos d join product_index i
-        on i.idx = {_draw("product", LINE_ID)} % i.n_rows
-    )""",
-        f"""
-    drawn_totals as (
-      select l.order_id, {TOTALS}
-      from {LINE_JOIN.replace("fx_lines", "drawn_lines")}
-      group by l.order_id having not bool_or(p.is_empty)
-    )""",
-    ]
-)
-DRAWN_EVENTS = _events("drawn_totals", "drawn_orders")
+SECOND_EVENTS = _events("real_totals", "fx_orders", "second")
+
+
+def _thirtieths() -> str:
+    """k for a draw out of 30: the draws are cut at whole numbers."""
+    shares = [Fraction(1, k) for k in range(1, 31)]
+    cuts = [2**60 * sum(shares[:k]) / sum(shares) for k in range(1, 30)]
+    cases = " ".join(
+        f"when d < {math.floor(cut)} then {k}" for k, cut in enumerate(cuts, start=1)
+    )
+    return f"cast(case {cases} else 30 end as int)"
+
+
+def _outcomes(on_empty: str) -> str:
+    policy = {
+        "drop_order": "when bool_or(p.is_empty) then 'empty_product'",
+        "drop_item": "when bool_and(p.is_empty) then 'empty_product'",
+        "keep": "",
+    }[on_empty]
+    return f"""
+    with {FIXTURES}, judged as (
+      select l.order_id, case when bool_or(p.product_id is null) then 'unknown_product'
+          {policy} else 'accepted' end as outcome
+      from fx_lines l left join fx_products p on l.product_id = p.product_id group by l.order_id
+    )
+    select coalesce(o.order_id, j.order_id) as order_id,
+      case when j.order_id is null then 'no_lines'
+        when j.outcome <> 'accepted' then j.outcome
+        when c.address_id is null then 'unknown_client' else 'accepted' end as outcome
+    from fx_orders o full join judged j on o.order_id = j.order_id
+    left join fx_clients c on c.address_id = o.address_id
+    """
 
 
 def oracle_sql() -> dict[str, str]:
     real_events = _with(REAL_EVENTS, REAL)
-    drawn_events = _with(DRAWN_EVENTS, DRAWN)
     hist = [
         f"""select cast({n} as int) as n, {_choice(_draw("hist", "order_id"), bounds)} as k
         from fx_orders"""
         for n, bounds in ((5, OF_FIVE), (3, OF_THREE))
     ]
+    hist.append(
+        f"""select cast(30 as int) as n, {_thirtieths()} as k
+        from (select {_draw("hist", "order_id")} as d from fx_orders) x"""
+    )
     formats = " union all ".join(
         f"select '{name}' as format, * from customer"
         for name in ("csv", "json", "orc", "parquet")
@@ -257,12 +255,17 @@ def oracle_sql() -> dict[str, str]:
         "order_totals_drop_item": _with(_totals("drop_item")),
         "order_totals_keep": _with(_totals("keep")),
         "order_totals_parts": _with(
-            f"select *, n_items as n_found, cast(1 as bigint) as n_leads from ({_totals('drop_order')}) t"
+            f"""select t.*, cast(0 as bigint) as n_wrong, cast(0 as bigint) as n_missing, m.most
+                from ({_totals('drop_order')}) t
+                cross join (select cast(unnest([1, 4, 0]) as int) as most) m"""
         ),
+        "order_outcomes": _outcomes("drop_order"),
+        "order_outcomes_drop_item": _outcomes("drop_item"),
+        "order_outcomes_keep": _outcomes("keep"),
         "order_rejects": _with(
-            """select distinct l.order_id, 'empty_product' as reason
+            """select l.order_id, 'empty_product' as reason, count(*) as n_lines
                from fx_lines l join fx_products p on l.product_id = p.product_id
-               where p.is_empty"""
+               group by l.order_id having bool_or(p.is_empty)"""
         ),
         "order_item_packages": _with(
             """select l.order_id, l.product_id, l.quantity, m.package_id, m.subpackage_id,
@@ -307,14 +310,11 @@ def oracle_sql() -> dict[str, str]:
             _index("client_index", "fx_clients", "address_id"),
         ),
         "draw_products": _with(
-            """select cast(request_id as bigint) as request_id, order_id, pos, product_id,
-                 quantity from drawn_lines""",
-            DRAWN,
-        ),
-        "synthetic_order_totals": drawn_events,
-        "stream_orders": drawn_events,
-        "append_roundtrip": _with(
-            f"{REAL_EVENTS} union all {DRAWN_EVENTS}", REAL, DRAWN
+            f"""select l.order_id, l.pos, i.product_id from fx_lines l join product_index i
+                on i.idx = {_draw("product", "l.order_id || ':' || cast(l.pos as varchar)")} % i.n_rows""",
+            _index("product_index", "fx_products", "product_id"),
         ),
+        "stream_orders": real_events,
+        "append_roundtrip": _with(f"{REAL_EVENTS} union all {SECOND_EVENTS}", REAL),
         "read_formats": formats,
     }

@@ -28,7 +28,7 @@ def test_weights():
     assert reciprocal_weights(5) == [60, 30, 20, 15, 12]
 
 
-@pytest.mark.parametrize("n", [0, 21, -1, 2.0, True, "3", None])
+@pytest.mark.parametrize("n", [0, -1, 2.0, True, "3", None])
 def test_choice_range_is_checked(n):
     with pytest.raises(ValueError):
         reciprocal_choice(F.lit(1), n)
@@ -49,6 +49,24 @@ def test_every_slot_goes_to_its_choice(spark, n):
     assert wrong.count() == 0
 
 
+@pytest.mark.parametrize("n", [21, 30, 200])
+def test_many_choices(spark, n):
+    weights = reciprocal_weights(n)
+    cuts = [2**60 * sum(weights[:k]) // sum(weights) for k in range(1, n)]
+    slots = [(0, 1), (2**60 - 1, n)]
+    slots += [(c - 1, k) for k, c in enumerate(cuts, 1)] + [(c, k + 1) for k, c in enumerate(cuts, 1)]
+    df = spark.createDataFrame(slots, "d bigint, k int")
+    assert df.where(reciprocal_choice(F.col("d"), n) != F.col("k")).count() == 0
+
+
+def test_ids_of_different_parts_differ(spark):
+    a, five = F.lit("a"), F.lit("5")
+    row = spark.range(1).select(
+        keyed_id("x", a, five), keyed_id("x", F.lit("a:5"), F.lit(None)), keyed_id("x", F.lit("a|1:5"))
+    ).first()
+    assert len(set(row)) == 3
+
+
 def test_choice_follows_the_weights(spark):
     total = 20_000
     df = spark.range(total).select(draw(7, "n", F.col("id")).alias("d"))
@@ -76,7 +94,7 @@ def test_ids(spark):
         keyed_id("ord-", F.lit("order"), F.col("id")).alias("keyed"),
         random_id("ev-").alias("random"),
     ).first()
-    digest = hashlib.md5(b"order:0").hexdigest()
+    digest = hashlib.md5(b"5:order|1:0").hexdigest()
     parts = [digest[:8], digest[8:12], digest[12:16], digest[16:20], digest[20:]]
     assert row.keyed == "ord-" + "-".join(parts)
     assert row.random.startswith("ev-") and len(row.random) == 39

@@ -45,7 +45,9 @@ def events(spark):
 
 def test_json_holds_every_field_and_value(events):
     record = to_envelope(events.limit(1)).first()
-    assert bytes(record.key) == b"ORDER_CREATED"
+    assert bytes(record.key) == b"ord-1"
+    by_type = to_envelope(events.limit(1), key="event_type").first()
+    assert bytes(by_type.key) == b"ORDER_CREATED"
     assert json.loads(bytes(record.value).decode("utf-8")) == EVENT
 
 
@@ -96,6 +98,19 @@ def test_publish_writes_valid_events_one_per_line(spark, events, tmp_path):
     assert again.first().asDict(recursive=True) == EVENT
 
 
+def test_rejected_events_have_a_place(spark, events, tmp_path):
+    publish(events, "text", {"path": str(tmp_path / "out")}, rejected_path=str(tmp_path / "bad"))
+    assert [r.event_id for r in spark.read.parquet(str(tmp_path / "bad")).collect()] == ["ev-2"]
+    events.write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(events.schema).parquet(str(tmp_path / "in"))
+    publish(
+        stream, "text", {"path": str(tmp_path / "out2")}, checkpoint=str(tmp_path / "c"),
+        rejected_path=str(tmp_path / "bad2"),
+    ).awaitTermination()
+    assert spark.read.text(str(tmp_path / "out2")).count() == 1
+    assert [r.event_id for r in spark.read.parquet(str(tmp_path / "bad2")).collect()] == ["ev-2"]
+
+
 def test_publish_to_any_sink(spark, events, tmp_path):
     path = str(tmp_path / "out")
     publish(events, "parquet", {"path": path}, key="order_id")

@@ -1,94 +1,54 @@
-from collections import Counter
-
 import pytest
 from pyspark.sql import functions as F
 
-from ordermill.operators import fold, one_per_key, split_groups
-from ordermill.operators.groups import collect_entries, with_parts
+from ordermill.operators import number_parts, one_per_key
+from ordermill.operators import groups
+from ordermill.operators.groups import collect_entries
 from tests.conftest import rows
 
 
 @pytest.fixture(scope="module")
 def grouped(spark):
-    """Key a: 300 distinct rows and 400 copies of one; keys b.. small."""
-    distinct = spark.range(300).select(F.lit("a").alias("key"), "id")
-    copies = spark.range(400).select(F.lit("a").alias("key"), F.lit(-1).alias("id"))
-    small = spark.range(40).select(
-        F.concat(F.lit("b"), (F.col("id") % 10).cast("string")).alias("key"), "id"
+    """Key a: 5000 positions of weight 1 to 3; key b: ten rows at one position."""
+    long = spark.range(5000).select(
+        F.lit("a").alias("key"), F.col("id").cast("int").alias("pos"), (1 + F.col("id") % 3).alias("w"),
+        F.lit("x").alias("name"),
     )
-    return distinct.unionAll(copies).unionAll(small)
-
-
-def test_nothing_large(grouped):
-    split = split_groups(grouped, "key", 1000)
-    assert split.large is None and split.small is grouped
-
-
-def test_large_groups_are_cut_into_parts(grouped):
-    split = split_groups(grouped, "key", 50)
-    assert rows(split.small) == rows(grouped.where("key != 'a'"))
-    large = split.large
-    assert large.agg(F.sum("copies")).first()[0] == 700
-    parts = [r[0] for r in large.groupBy("part").agg(F.sum("copies")).collect()]
-    sizes = [r["n"] for r in large.groupBy("part").agg(F.sum("copies").alias("n")).collect()]
-    assert len(parts) > 10 and max(sizes) < 120
-    unrolled = large.select("key", "id", F.explode(F.sequence(F.lit(1), "copies")))
-    assert Counter(r.id for r in unrolled.collect()) == Counter(
-        r.id for r in grouped.where("key = 'a'").collect()
+    same = spark.range(10).select(
+        F.lit("b").alias("key"), F.lit(7).alias("pos"), F.lit(2).cast("bigint").alias("w"),
+        F.concat(F.lit("n"), "id").alias("name"),
     )
+    return long.unionAll(same)
 
 
-def test_copies_fill_parts_of_their_own(spark):
-    """More runs than one block holds; no part is larger than the limit."""
-    copies = spark.range(7001).select(F.lit("a").alias("key"), F.lit(1).alias("id"))
-    large = split_groups(copies, "key", 3).large
-    sizes = [r["n"] for r in large.groupBy("part").agg(F.sum("copies").alias("n")).collect()]
-    assert sum(sizes) == 7001 and max(sizes) == 3 and len(sizes) == 2334
-
+@pytest.mark.parametrize("limit", [1, 4, 100, 10**6])
+@pytest.mark.parametrize("partitions", [1, 7])
+def test_parts_are_consecutive_runs_of_bounded_weight(grouped, limit, partitions):
+    numbered = number_parts(grouped.repartition(partitions), "key", "pos", ["name"], F.col("w"), limit)
+    assert numbered.columns == [*grouped.columns, "part"]
+    for key in ("a", "b"):
+        found = sorted((r.pos, r.name, r.w, r.part) for r in numbered.where(F.col("key") == key).collect())
+        before = 0
+        for _, _, weight, part in found:
+            assert part == before // limit
+            before += weight
 
-def test_parts_do_not_depend_on_partitioning(grouped):
-    def parts(n):
-        return rows(split_groups(grouped.repartition(n), "key", 50).large)
 
-    assert parts(1) == parts(7)
+def test_a_group_is_numbered_in_many_runs(grouped):
+    runs = grouped.where("key = 'a'").select(F.expr(f"pos div {groups.RUN}").alias("r")).distinct()
+    assert runs.count() == 5
 
 
 def test_limit_is_checked(grouped):
     with pytest.raises(ValueError):
-        split_groups(grouped, "key", 0)
-
-
-def collect(df, keys):
-    return df.groupBy(*keys).agg(
-        collect_entries(df, ["id"], F.col("id")).alias("ids"),
-        F.min("id").alias("least"),
-    )
-
-
-@pytest.mark.parametrize("limit", [None, 1000, 50, 3])
-def test_fold_keeps_every_row(grouped, limit):
-    folded = with_parts(fold(grouped, "key", limit, collect, {"least": F.min}))
-    ids = folded.select("key", F.explode("ids").alias("id"))
-    assert rows(ids) == rows(grouped)
-    assert rows(folded.where("lead"), "key") == rows(grouped.select("key").distinct())
-    assert rows(folded.select("key", "least").distinct()) == rows(
-        grouped.groupBy("key").agg(F.min("id"))
-    )
-    if limit == 50:
-        assert folded.where("key = 'a'").count() > 10
-
-
-def test_fold_sorts_each_document(grouped):
-    folded = fold(grouped, "key", 50, collect, {"least": F.min})
-    assert all(list(r.ids) == sorted(r.ids) for r in folded.collect())
+        number_parts(grouped, "key", "pos", ["name"], F.col("w"), 0)
 
 
-@pytest.mark.parametrize("limit", [None, 50])
-def test_fold_adds_headers(spark, grouped, limit):
-    headers = spark.createDataFrame([("a", 1), ("b1", 2)], "key string, h int")
-    folded = fold(grouped, "key", limit, collect, {"least": F.min}, headers)
-    found = {(r.key, r.h) for r in folded.collect()}
-    assert {("a", 1), ("b1", 2), ("b2", None)} <= found and len(found) == 11
+def test_entries_are_sorted_and_null_ones_left_out(grouped):
+    entry = F.when(F.col("name") != "n3", F.col("name"))
+    folded = grouped.groupBy("key").agg(collect_entries(["pos", "name"], entry).alias("names"))
+    found = {r.key: r.names for r in folded.collect()}
+    assert found["b"] == [f"n{k}" for k in range(10) if k != 3] and len(found["a"]) == 5000
 
 
 def test_one_per_key(spark):

@@ -1,12 +1,9 @@
-import pytest
-
 from ordermill.operators import (
     build_items,
     component_measures,
     explode_components,
     product_measures,
 )
-from ordermill.operators.groups import with_parts
 from ordermill.operators.items import MEASURES
 from tests.conftest import rows
 
@@ -68,16 +65,6 @@ def test_an_empty_row_does_not_name_the_item(spark, shop):
     assert twin.product_name == "Twin A" and not twin.is_empty
 
 
-@pytest.mark.parametrize("limit", [None, 1])
-def test_large_items_come_in_parts_and_lose_nothing(shop, limit):
-    whole = build_items(shop.products, shop.packages)
-    parts = build_items(shop.products, shop.packages, max_packages=limit)
-    flat = "inline(packages)"
-    columns = ["product_id", "product_name", "price", "has_null", "is_empty"]
-    assert rows(parts.selectExpr("product_id", flat)) == rows(whole.selectExpr("product_id", flat))
-    assert rows(with_parts(parts).where("lead"), *columns) == rows(whole, *columns)
-
-
 def test_unit_measures(shop):
     units = items_by_id(product_measures(shop.products, shop.packages))
     # Null measures count as one: 3 * 10 + 2 * 1 and 3 * 2.5 + 2 * 1.

@@ -1,8 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from ordermill.operators import fits_broadcast, hot_keys, lookup_by_key, lookup_join
-from ordermill.operators import joins
+from ordermill.operators import fits_broadcast, lookup_by_key, lookup_join
 from tests.conftest import plan_of, rows
 
 
@@ -21,75 +20,48 @@ def lookup(spark):
     )
 
 
+@pytest.fixture
+def settings(spark):
+    """Changes settings for one test."""
+    before = {}
+
+    def change(**values):
+        for name, value in values.items():
+            name = f"spark.sql.{name.replace('_', '.')}"
+            before.setdefault(name, spark.conf.get(name))
+            spark.conf.set(name, value)
+
+    yield change
+    for name, value in before.items():
+        spark.conf.set(name, value)
+
+
 @pytest.mark.parametrize("how", ["inner", "left"])
-@pytest.mark.parametrize("hot_rows", [100, 10_000])
-def test_salted_join_equals_plain_join(facts, lookup, how, hot_rows):
-    plain = facts.join(lookup, ["key"], how)
-    salted = lookup_join(facts, lookup, ["key"], how, small=False, hot_rows=hot_rows)
-    assert salted.columns == plain.columns
-    assert rows(salted) == rows(plain)
-
-
-def test_duplicates_on_the_right_survive_salting(facts, lookup):
-    doubled = lookup.unionAll(lookup)
-    plain = facts.join(doubled, ["key"], "left")
-    salted = lookup_join(facts, doubled, ["key"], "left", small=False, hot_rows=100)
-    assert rows(salted) == rows(plain)
-
-
-def test_hot_keys_are_few_and_split_finely(facts):
-    hot = hot_keys(facts, ["key"], 100)
-    assert [tuple(r) for r in hot.collect()] == [(1, 11)]
-    assert hot_keys(facts, ["key"], 5000) is None
-
-
-def test_hot_threshold_grows_with_the_table(spark, monkeypatch):
-    monkeypatch.setattr(joins, "HOT_KEYS", 5)
-    uniform = spark.range(1000).select((F.col("id") % 10).alias("key"))
-    assert hot_keys(uniform, ["key"], 1) is None
-
-
-def rows_per_salted_group(df, keys):
-    return df.groupBy(*keys).count().agg(F.max("count")).first()[0]
-
-
-def test_hot_and_null_keys_spread_over_tasks(spark, facts, lookup):
-    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    spark.conf.set("spark.sql.shuffle.partitions", "32")
-    try:
-        for hot_rows in (100, 10_000):
-            joined = lookup_join(facts, lookup, ["key"], "left", small=False, hot_rows=hot_rows)
-            sizes = joined.groupBy(
-                F.spark_partition_id().alias("p"), F.col("key").isNull().alias("missing")
-            ).count()
-            nulls = [r["count"] for r in sizes.where("missing").collect()]
-            assert sum(nulls) == 1000 and max(nulls) < 400
-        joined = lookup_join(facts, lookup, ["key"], "left", small=False, hot_rows=50)
-        parts = joined.where("key = 1").groupBy(F.spark_partition_id()).count()
-        assert parts.agg(F.max("count")).first()[0] < 600
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
-        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
-        spark.conf.set("spark.sql.shuffle.partitions", "4")
-
-
-def test_copies_of_one_row_spread_too(spark, lookup):
-    copies = spark.range(0, 4000, 1, 8).select(F.lit(1).cast("bigint").alias("key"), F.lit("x").alias("v"))
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    spark.conf.set("spark.sql.shuffle.partitions", "32")
-    try:
-        joined = lookup_join(copies, lookup, ["key"], small=False, hot_rows=100)
-        parts = joined.groupBy(F.spark_partition_id()).count().collect()
-        assert sum(r["count"] for r in parts) == 4000
-        assert len(parts) > 3
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
-        spark.conf.set("spark.sql.shuffle.partitions", "4")
+@pytest.mark.parametrize("small", [True, False, None])
+def test_join_equals_plain_join(facts, lookup, how, small):
+    plain = facts.join(lookup.unionAll(lookup), ["key"], how)
+    joined = lookup_join(facts, lookup.unionAll(lookup), ["key"], how, small=small)
+    assert joined.columns == plain.columns
+    assert rows(joined) == rows(plain)
+
+
+@pytest.mark.parametrize("scale", [1, 4])
+def test_a_hot_key_is_split_however_large_the_table(spark, lookup, settings, scale):
+    settings(
+        autoBroadcastJoinThreshold="-1",
+        adaptive_advisoryPartitionSizeInBytes="8k",
+        adaptive_skewJoin_skewedPartitionThresholdInBytes="8k",
+        adaptive_skewJoin_skewedPartitionFactor="1.5",
+        shuffle_partitions="16",
+    )
+    n = 20_000 * scale
+    key = F.when(F.col("id") % 3 == 0, F.lit(1)).when(F.col("id") % 3 == 1, F.col("id") % 2000)
+    facts = spark.range(0, n, 1, 16).select(key.alias("key"), F.col("id").alias("v"))
+    joined = lookup_join(facts, lookup, ["key"], "left", small=False)
+    sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == n
+    joined.collect()
+    assert "skew=true" in plan_of(joined)
 
 
 def test_broadcast_is_measured(spark, lookup):
@@ -99,8 +71,15 @@ def test_broadcast_is_measured(spark, lookup):
     assert fits_broadcast(lookup.limit(0))
 
 
+def test_null_fields_and_bytes_are_measured(spark):
+    wide = spark.range(10).select(*[F.lit(None).cast("string").alias(f"column_{k}") for k in range(50)])
+    assert not fits_broadcast(wide, max_bytes=5_000)
+    two_bytes = spark.range(1).select(F.repeat(F.lit("é"), 1000).alias("x"))
+    assert not fits_broadcast(two_bytes, max_bytes=2_000)
+
+
 def test_small_lookup_does_not_shuffle_the_facts(facts, lookup):
-    plan = plan_of(lookup_join(facts, lookup, ["key"], "left"))
+    plan = plan_of(lookup_join(facts, lookup, ["key"], "left", small=True))
     assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
 
 

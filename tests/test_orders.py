@@ -1,3 +1,5 @@
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -9,6 +11,7 @@ from ordermill.operators import (
     order_documents,
     order_totals,
     product_measures,
+    to_envelope,
     to_events,
 )
 from ordermill.functions import item_total, package_measure_total
@@ -45,6 +48,22 @@ def measures(shop):
     return product_measures(shop.products, shop.packages).cache()
 
 
+HEADERS = "order_id string, address_id string"
+
+
+@pytest.fixture(scope="module")
+def headers(spark):
+    return spark.createDataFrame(
+        [("plain", "a1"), ("repeat", "a2"), ("twins", "nowhere"), ("loose", None), ("many", "a1"),
+         ("holey", "a1"), ("no lines", "a1"), ("plain", "a1")],
+        HEADERS,
+    )
+
+
+def reasons(orders):
+    return {r.order_id: r.reason for r in orders.rejected.collect()}
+
+
 def by_order(df):
     return {r[0]: tuple(r[1:]) for r in df.select(*TOTALS).collect()}
 
@@ -52,13 +71,13 @@ def by_order(df):
 def test_nested_totals(lines, items):
     orders = order_documents(lines, items)
     assert by_order(orders.accepted) == EXPECTED
-    assert dict(rows(orders.rejected)) == REJECTED
+    assert reasons(orders) == REJECTED
 
 
 def test_flat_totals(lines, measures):
     orders = order_totals(lines, measures)
     assert by_order(orders.accepted) == EXPECTED
-    assert dict(rows(orders.rejected)) == REJECTED
+    assert reasons(orders) == REJECTED
 
 
 @pytest.mark.parametrize("small", [True, False])
@@ -68,14 +87,42 @@ def test_large_lookup_tables_give_the_same(lines, items, measures, small):
 
 
 def test_drop_item(lines, items, measures):
-    one_cup = (1, 2.5, 10.0, 2.5)
-    expected = {**EXPECTED, "holey": one_cup, "stray": one_cup}
+    expected = {**EXPECTED, "holey": (1, 2.5, 10.0, 2.5)}
     for orders in (
         order_documents(lines, items, on_empty="drop_item"),
         order_totals(lines, measures, on_empty="drop_item"),
     ):
         assert by_order(orders.accepted) == expected
-        assert set(dict(rows(orders.rejected))) == {"unpriced", "uncounted", "unsized", None}
+        wanted = {k: v for k, v in REJECTED.items() if k != "holey"}
+        assert reasons(orders) == wanted
+
+
+@pytest.mark.parametrize("on_empty", ["drop_order", "drop_item", "keep"])
+def test_no_order_is_lost(spark, shop, lines, headers, items, measures, on_empty):
+    more = spark.createDataFrame(
+        [("only unknown", 1, "unheard", 1), ("only empty", 1, "void", 1), ("both", 1, "unheard", 1),
+         ("both", 2, "void", 1), (None, 2, "cup", 1)], LINES,
+    )
+    every = lines.unionAll(more)
+    composed = compose_orders(
+        headers, every, items, client_addresses(shop.clients), on_empty=on_empty, as_of="2024-01-01 00:00:00"
+    )
+    ids = {r[0] for r in rows(every, "order_id")}
+    for orders, wanted in (
+        (order_documents(every, items, on_empty=on_empty), ids),
+        (order_totals(every, measures, on_empty=on_empty), ids),
+        (composed, ids | {"many", "no lines"}),
+    ):
+        accepted, rejected = rows(orders.accepted, "order_id"), rows(orders.rejected, "order_id")
+        assert sorted([*accepted, *rejected], key=repr) == sorted(((k,) for k in wanted), key=repr)
+        found = reasons(orders)
+        assert found["only unknown"] == found["both"] == "unknown_product"
+        assert found.get("only empty") == (
+            "empty_product" if on_empty != "keep" else "unknown_client" if orders is composed else None
+        )
+        stray = orders.rejected.where("order_id is null").first()
+        assert (stray.reason, stray.n_lines) == ("no_order_id", 2)
+    assert reasons(composed)["no lines"] == "no_lines"
 
 
 def test_keep(lines, items, measures):
@@ -85,7 +132,7 @@ def test_keep(lines, items, measures):
         order_totals(lines, measures, on_empty="keep"),
     ):
         assert by_order(orders.accepted) == expected
-        assert dict(rows(orders.rejected))["stray"] == "unknown_product"
+        assert reasons(orders)["stray"] == "unknown_product"
 
 
 def test_unknown_policy(lines, items):
@@ -135,44 +182,37 @@ def huge(spark, lines):
     return lines.unionAll(many).unionAll(same)
 
 
-@pytest.mark.parametrize("max_packages", [None, 1])
-def test_huge_orders_come_in_parts_with_whole_totals(shop, huge, measures, max_packages):
-    split_items = build_items(shop.products, shop.packages, max_packages=max_packages)
-    split = order_documents(huge, split_items, max_items=20).accepted
-    whole = order_documents(huge, build_items(shop.products, shop.packages), max_items=None).accepted
-    flat = order_totals(huge, measures).accepted
-    assert split.where("order_id = 'many'").count() > 10
-    assert split.where("order_id = 'same'").count() > 5
-    assert split.select(F.max(F.size("items"))).first()[0] < 120
-    totals = {k: pytest.approx(v) for k, v in by_order(whole).items()}
-    assert by_order(split.where("lead")) == totals
-    assert {r[0]: tuple(r[1:]) for r in flat.select(*TOTALS).collect()} == totals
-    assert split.select(*TOTALS).distinct().count() == whole.count()
-
-    def pieces(df):
-        items = df.select("order_id", F.explode("items").alias("i"))
-        return rows(items.selectExpr("order_id", "i.product_id", "i.quantity", "inline(i.packages)").distinct())
-
-    assert pieces(split) == pieces(whole)
-
-
-def test_huge_orders_are_rejected_whole(spark, huge, items):
-    bad = spark.createDataFrame([("many", 501, "void", 1)], LINES)
-    orders = order_documents(huge.unionAll(bad), items, max_items=20)
-    assert "many" not in by_order(orders.accepted)
-    assert dict(rows(orders.rejected)) == {**REJECTED, "many": "empty_product"}
+@pytest.mark.parametrize("max_packages", [1, 4, 20, None])
+def test_parts_add_up_and_have_one_schema(huge, items, measures, max_packages):
+    whole = order_documents(huge, items).accepted
+    parts = order_documents(huge, items, max_packages=max_packages).accepted
+    assert parts.dtypes == whole.dtypes
+    assert whole.where("part != 0 or n_parts != 1").count() == 0
+    sums = parts.groupBy("order_id").agg(*[F.sum(t).alias(t) for t in TOTALS[1:]])
+    totals = {k: pytest.approx(v) for k, v in by_order(order_totals(huge, measures).accepted).items()}
+    assert by_order(sums) == totals
+    numbers = parts.groupBy("order_id").agg(
+        F.sort_array(F.collect_list("part")).alias("parts"), F.max("n_parts").alias("n")
+    )
+    assert all(r.parts == list(range(r.n)) for r in numbers.collect())
 
+    def lines_of(df):
+        each = df.select("order_id", "part", F.posexplode("items").alias("k", "i"))
+        found = sorted(each.select("order_id", "part", "k", "i.product_id", "i.quantity").collect())
+        return [(r.order_id, r.product_id, r.quantity) for r in found]
 
-HEADERS = "order_id string, address_id string"
+    assert lines_of(parts) == lines_of(whole)
+    if max_packages == 20:
+        most = parts.select(F.aggregate("items", F.lit(0), lambda n, i: n + F.size(i["packages"])))
+        assert max(r[0] for r in most.collect()) <= 21
+        assert parts.where("order_id = 'many'").count() > 10
 
 
-@pytest.fixture(scope="module")
-def headers(spark):
-    return spark.createDataFrame(
-        [("plain", "a1"), ("repeat", "a2"), ("twins", "nowhere"), ("loose", None), ("many", "a1"),
-         ("holey", "a1"), ("no lines", "a1"), ("plain", "a1")],
-        HEADERS,
-    )
+def test_orders_in_parts_are_rejected_whole(spark, huge, items):
+    bad = spark.createDataFrame([("many", 501, "void", 1)], LINES)
+    orders = order_documents(huge.unionAll(bad), items, max_packages=20)
+    assert "many" not in by_order(orders.accepted)
+    assert reasons(orders) == {**REJECTED, "many": "empty_product"}
 
 
 def test_addresses_are_one_per_id(shop):
@@ -202,21 +242,42 @@ def test_compose(shop, lines, headers, items, small):
     assert plain.destination_address.road == "Calle Ñ"
     assert plain.destination_address.coordinates == [1.5, 2.5]
     assert (2, plain.total_amount, plain.total_volume, plain.total_weight) == EXPECTED["plain"]
-    assert dict(rows(orders.rejected)) == {
+    assert reasons(orders) == {
         **REJECTED, "twins": "unknown_client", "loose": "unknown_client",
+        "many": "no_lines", "no lines": "no_lines",
     }
 
 
-def test_compose_huge(shop, huge, headers, items):
+def test_events_of_parts(shop, huge, headers, items):
     orders = compose_orders(
-        headers, huge, items, client_addresses(shop.clients), max_items=20, as_of="2024-01-01 00:00:00"
+        headers, huge, items, client_addresses(shop.clients), max_packages=20, as_of="2024-01-01 00:00:00"
     )
-    events = to_events(orders.accepted, run="r")
+    events = to_events(orders.accepted, run="r", parts=True)
     many = events.where("order_id = 'many'")
     assert many.count() > 10
-    assert many.select("order_details.total_amount", "order_details.customer_id").distinct().count() == 1
+    assert many.select("order_details.customer_id", "n_parts").distinct().count() == 1
     assert many.select("event_id").distinct().count() == many.count()
     assert many.agg(F.sum(F.size("order_details.items"))).first()[0] == 500
+    record = to_envelope(many).first()
+    assert [h.key for h in record.headers] == ["part", "n_parts"]
+    assert b"n_parts" not in bytes(record.value)
+
+
+@pytest.mark.parametrize("max_packages", [None, 1])
+def test_one_moment_for_a_run(shop, lines, headers, items, max_packages):
+    orders = compose_orders(headers, lines, items, client_addresses(shop.clients), max_packages=max_packages)
+    events = to_events(orders.accepted)
+    moments = lambda: rows(events.select("event_timestamp").distinct())
+    first = moments()
+    time.sleep(1.1)
+    assert len(first) == 1 and moments() == first
+
+
+def test_headers_join_without_sorting_documents(shop, lines, headers, items):
+    orders = compose_orders(headers, lines, items, client_addresses(shop.clients), items_small=True)
+    plan = plan_of(to_events(orders.accepted))
+    above = plan[: plan.index("ObjectHashAggregate")]
+    assert "Sort" not in above and "Join" not in above
 
 
 def test_events_have_the_event_schema(shop, lines, headers, items):
@@ -250,7 +311,7 @@ def test_lines_are_shuffled_narrow_and_once(spark, shop, tmp_path, lines):
     lines.withColumn("note", F.lit("unused")).write.parquet(path)
     stored = spark.read.parquet(path)
     items = build_items(shop.products, shop.packages)
-    documents = order_documents(stored, items).accepted
+    documents = order_documents(stored, items, items_small=True).accepted
     plan = plan_of(documents)
     assert plan.count("hashpartitioning(order_id") == 1
     assert "note" not in plan

@@ -7,6 +7,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as driver
+import query_oracles
+from ordermill.plans import gallery
 
 TABLES = "/root/testdata/sf0.001"
 TYPES = {
@@ -29,11 +31,15 @@ def database():
     return connection
 
 
+NAMES = sorted(gallery.QUERIES)
+
+
 def test_every_query_has_sql():
-    assert set(driver.queries()) == set(driver.oracle_sql())
+    assert set(NAMES) == set(query_oracles.oracle_sql())
+    assert set(driver.oracle_sql()) <= set(driver.queries())
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+@pytest.mark.parametrize("name", NAMES)
 def test_query(spark, database, name):
     result = driver.queries()[name](spark, TABLES)
     expected = database.sql(driver.oracle_sql()[name])
@@ -50,3 +56,15 @@ def test_entry(spark):
     assert driver.entry(spark).columns == [
         "order_id", "n_items", "total_amount", "total_volume", "total_weight",
     ]
+
+
+@pytest.mark.parametrize("name", ["order_totals_flat", "order_totals_nested", "order_events"])
+def test_building_a_plan_runs_no_jobs(spark, name):
+    tracker = spark.sparkContext.statusTracker()
+    group = f"building {name}"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        gallery.QUERIES[name](spark, TABLES)
+        assert len(tracker.getJobIdsForGroup(group)) <= 3
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)

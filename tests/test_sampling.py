@@ -5,8 +5,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from ordermill.operators import dense_index, draw_rows
-from ordermill.plans import draw_lines, draw_orders, prepare_catalog, synthetic_events
-from ordermill.plans.synthetic import synthetic_orders
 from tests.conftest import rows
 from tests.test_draws import expected_draw
 
@@ -15,7 +13,7 @@ def md5(text):
     return hashlib.md5(text.encode()).hexdigest()
 
 
-def numbered(keys, digits=2):
+def numbered(keys, digits=4):
     return sorted(keys, key=lambda k: (md5(k)[:digits], k))
 
 
@@ -25,7 +23,7 @@ def keyed(spark):
 
 
 @pytest.mark.parametrize("partitions", [1, 9])
-@pytest.mark.parametrize("digits", [1, 2, 3])
+@pytest.mark.parametrize("digits", [1, 2, 4])
 def test_index_order(keyed, partitions, digits):
     index = dense_index(keyed.repartition(partitions), "key", digits=digits)
     expected = numbered([f"k{i}" for i in range(2000)], digits)
@@ -76,75 +74,13 @@ def test_duplicated_rows_are_drawn_as_often_as_they_occur(spark):
     assert abs(share - 0.75) < 0.03
 
 
-@pytest.fixture(scope="module")
-def catalog(shop):
-    good = shop.products.where("product_id in ('lamp', 'cup', 'lost', 'twin')")
-    return prepare_catalog(shop.clients, good, shop.packages)
-
-
-def test_drawn_lines(spark, catalog):
-    orders = draw_orders(spark.range(400), catalog.client_index, seed=2, id_column="id")
-    lines = draw_lines(orders, catalog.product_index, seed=2, items=4, quantity=2)
-    found = lines.collect()
-    assert {r.quantity for r in found} == {1, 2}
-    by_order = {}
-    for r in found:
-        by_order.setdefault(r.order_id, []).append(r.pos)
-    assert len(by_order) == 400
-    assert all(sorted(p) == list(range(1, len(p) + 1)) for p in by_order.values())
-    assert {len(p) for p in by_order.values()} == {1, 2, 3, 4}
-
-
-def test_synthetic_events_do_not_depend_on_partitions(spark, catalog):
-    def events(partitions, shuffle):
-        spark.conf.set("spark.sql.shuffle.partitions", shuffle)
-        requests = spark.range(200).repartition(partitions)
-        df = synthetic_events(requests, catalog, seed=4, id_column="id", as_of="2024-01-01 00:00:00")
-        return sorted(r.asDict(recursive=True).__repr__() for r in df.collect())
-
-    try:
-        first = events(1, "1")
-        assert len(first) == 200
-        assert first == events(4, "4") == events(3, "40")
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", "4")
-
-
-def test_repeated_and_null_requests(spark, catalog):
-    requests = spark.createDataFrame([(1,), (1,), (2,), (None,)], "request_id int")
-    events = synthetic_events(requests, catalog, seed=4)
-    assert events.count() == 2
-    assert events.select("order_id").distinct().count() == 2
-
-
-def test_drawn_orders_with_an_empty_product_are_rejected(spark, shop):
-    pair = shop.products.where("product_id in ('cup', 'void')")
-    catalog = prepare_catalog(shop.clients, pair, shop.packages)
-    orders = synthetic_orders(spark.range(100), catalog, id_column="id")
-    accepted, rejected = orders.accepted.count(), orders.rejected.count()
-    assert accepted + rejected == 100 and 0 < accepted < 100
-    everything = synthetic_orders(spark.range(100), catalog, id_column="id", on_empty="keep")
-    assert everything.accepted.count() == 100
-
-
-@pytest.mark.parametrize("empty", [0, 1])
-def test_empty_lookup_tables(spark, shop, empty):
-    tables = [shop.clients, shop.products, shop.packages]
-    tables[empty] = tables[empty].limit(0)
-    with pytest.raises(ValueError):
-        prepare_catalog(*tables)
-
-
-def test_drawn_orders_shuffle_their_requests_once(spark, catalog):
-    """Lines, items and headers stay where the request ids were put."""
-    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    try:
-        requests = spark.range(200).selectExpr("id as request_id")
-        orders = synthetic_orders(requests, catalog, seed=4, as_of="2024-01-01 00:00:00")
-        plan = orders.accepted._jdf.queryExecution().executedPlan().toString()
-    finally:
-        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
-    shuffles = [l for l in plan.splitlines() if "Exchange hashpartitioning" in l and "Reused" not in l]
-    assert len(shuffles) == 1, plan
-    assert "Python" not in plan
+def test_numbers_do_not_depend_on_the_size(spark, keyed):
+    """A longer table has the same keys in the same order."""
+    order = lambda df: [k for _, k in rows(dense_index(df, "key").table, "idx", "key")]
+    longer = keyed.unionAll(spark.range(2000, 2600).select(F.concat(F.lit("k"), "id").alias("key")))
+    short = {f"k{i}" for i in range(2000)}
+    found = [r.key for r in dense_index(longer, "key").table.orderBy("idx").collect()]
+    assert [k for k in found if k in short] == [
+        r.key for r in dense_index(keyed, "key").table.orderBy("idx").collect()
+    ]
+    assert len(order(longer)) == 2600

@@ -1,17 +1,29 @@
 import pytest
+from pyspark.sql import functions as F
 
-from ordermill.plans import prepare_catalog, synthetic_events
+from ordermill.operators import compose_orders, to_events
+from ordermill.plans import prepare_catalog
 from ordermill.schemas import order_event_schema
 from ordermill.sources import append_events, publish, read_table
 from ordermill.streaming import stream_orders
 
 AS_OF = "2024-01-01 00:00:00"
+ORDERS = "order_id string, address_id string, lines array<struct<pos:int,product_id:string,quantity:int>>"
 
 
 @pytest.fixture(scope="module")
 def catalog(shop):
-    good = shop.products.where("product_id in ('lamp', 'cup', 'twin')")
-    return prepare_catalog(shop.clients, good, shop.packages)
+    return prepare_catalog(shop.clients, shop.products, shop.packages)
+
+
+def some_orders(spark, first, last):
+    """Every fifth order has an empty product, every seventh no lines."""
+    data = []
+    for k in range(first, last):
+        second = "void" if k % 5 == 0 else "lamp"
+        lines = None if k % 7 == 0 else [(1, "cup", 1 + k % 3), (2, second, 2)]
+        data.append((f"o{k}", "a1" if k % 2 else "a2", lines))
+    return spark.createDataFrame(data, ORDERS)
 
 
 def content(df):
@@ -22,69 +34,67 @@ def events_of(spark, path):
     return read_table(spark, path, schema=order_event_schema).drop("batch_id")
 
 
-def run_stream(spark, catalog, tmp_path):
-    requests = (
-        spark.readStream.schema("request_id bigint")
+def expected_events(orders, catalog):
+    lines = orders.select("order_id", F.inline("lines"))
+    composed = compose_orders(
+        orders.drop("lines"), lines, catalog.items, catalog.addresses, as_of=AS_OF
+    )
+    return to_events(composed.accepted)
+
+
+def run_stream(spark, catalog, tmp_path, **options):
+    orders = (
+        spark.readStream.schema(ORDERS)
         .option("maxFilesPerTrigger", 1)
-        .parquet(str(tmp_path / "requests"))
+        .parquet(str(tmp_path / "orders"))
+    )
+    return stream_orders(
+        orders, catalog, str(tmp_path / "events"), str(tmp_path / "checkpoint"), as_of=AS_OF, **options
     )
-    stream_orders(
-        requests, catalog, str(tmp_path / "events"), str(tmp_path / "checkpoint"),
-        seed=9, as_of=AS_OF,
-    ).awaitTermination()
 
 
 def test_stream_equals_batch_and_is_not_repeated(spark, catalog, tmp_path):
-    requests = spark.range(90).selectExpr("id as request_id")
-    requests.repartition(3).write.parquet(str(tmp_path / "requests"))
-    run_stream(spark, catalog, tmp_path)
-    expected = content(synthetic_events(requests, catalog, seed=9, as_of=AS_OF))
+    orders = some_orders(spark, 1, 60)
+    orders.repartition(3).write.parquet(str(tmp_path / "orders"))
+    run_stream(spark, catalog, tmp_path).awaitTermination()
+    expected = content(expected_events(orders, catalog))
+    assert expected and content(events_of(spark, str(tmp_path / "events"))) == expected
+    assert len(list((tmp_path / "events").glob("batch_id=*"))) == 3
+
+    run_stream(spark, catalog, tmp_path).awaitTermination()
     assert content(events_of(spark, str(tmp_path / "events"))) == expected
-    batches = {p.name for p in (tmp_path / "events").glob("batch_id=*")}
-    assert len(batches) == 3
 
-    run_stream(spark, catalog, tmp_path)
-    assert content(events_of(spark, str(tmp_path / "events"))) == expected
+    more = some_orders(spark, 60, 70)
+    more.coalesce(1).write.mode("append").parquet(str(tmp_path / "orders"))
+    run_stream(spark, catalog, tmp_path).awaitTermination()
+    every = content(expected_events(orders.unionAll(more), catalog))
+    assert content(events_of(spark, str(tmp_path / "events"))) == every
+
+
+def test_another_checkpoint_on_a_full_table_is_refused(spark, catalog, tmp_path):
+    some_orders(spark, 1, 10).coalesce(1).write.parquet(str(tmp_path / "orders"))
+    run_stream(spark, catalog, tmp_path).awaitTermination()
+    stream = spark.readStream.schema(ORDERS).parquet(str(tmp_path / "orders"))
+    with pytest.raises(ValueError):
+        stream_orders(stream, catalog, str(tmp_path / "events"), str(tmp_path / "new"))
+
 
-    more = spark.range(90, 100).selectExpr("id as request_id")
-    more.coalesce(1).write.mode("append").parquet(str(tmp_path / "requests"))
-    run_stream(spark, catalog, tmp_path)
-    assert events_of(spark, str(tmp_path / "events")).count() == 100
-
-
-def test_a_repeated_batch_replaces_itself(spark, catalog, tmp_path):
-    """Without its checkpoint the stream runs all batches again."""
-    requests = spark.range(20).selectExpr("id as request_id")
-    requests.coalesce(1).write.parquet(str(tmp_path / "requests"))
-    for attempt in ("one", "two"):
-        stream = spark.readStream.schema("request_id bigint").parquet(str(tmp_path / "requests"))
-        stream_orders(
-            stream, catalog, str(tmp_path / "events"), str(tmp_path / attempt), seed=9, as_of=AS_OF
-        ).awaitTermination()
-    assert events_of(spark, str(tmp_path / "events")).count() == 20
-
-
-def test_rejected_orders_are_kept(spark, shop, tmp_path):
-    pair = shop.products.where("product_id in ('cup', 'void')")
-    catalog = prepare_catalog(shop.clients, pair, shop.packages)
-    requests = spark.range(40).selectExpr("id as request_id")
-    requests.coalesce(1).write.parquet(str(tmp_path / "requests"))
-    stream = spark.readStream.schema("request_id bigint").parquet(str(tmp_path / "requests"))
-    stream_orders(
-        stream, catalog, str(tmp_path / "events"), str(tmp_path / "checkpoint"),
-        rejected_path=str(tmp_path / "rejected"), trigger={"processingTime": "1 second"},
+def test_rejected_orders_are_kept(spark, catalog, tmp_path):
+    some_orders(spark, 1, 41).coalesce(1).write.parquet(str(tmp_path / "orders"))
+    run_stream(
+        spark, catalog, tmp_path, rejected_path=str(tmp_path / "rejected"),
+        trigger={"processingTime": "1 second"},
     ).processAllAvailable()
     for query in spark.streams.active:
         query.stop()
     rejected = spark.read.parquet(str(tmp_path / "rejected"))
     accepted = events_of(spark, str(tmp_path / "events"))
     assert rejected.count() + accepted.count() == 40 and rejected.count() > 0
-    assert {r.reason for r in rejected.collect()} == {"empty_product"}
+    assert {r.reason for r in rejected.collect()} == {"empty_product", "no_lines"}
 
 
 def test_published_stream(spark, catalog, tmp_path):
-    requests = spark.range(30).selectExpr("id as request_id")
-    events = synthetic_events(requests, catalog, seed=9, as_of=AS_OF)
+    events = expected_events(some_orders(spark, 1, 30), catalog)
     append_events(events, str(tmp_path / "events"))
     stream = spark.readStream.schema(order_event_schema).parquet(str(tmp_path / "events"))
     with pytest.raises(ValueError):
