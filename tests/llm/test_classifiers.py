@@ -1,0 +1,127 @@
+import random
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from ordermill.llm import quality, toxicity
+from ordermill.llm.queries import remainder
+from ordermill.llm.text import blocks
+
+LABELS = "doc_id long, quality int, toxic int, text string"
+
+
+@pytest.fixture(scope="module")
+def corpus(spark):
+    rng = random.Random(1)
+    words = [f"word{k}" for k in range(300)]
+    docs, labels = [], []
+    for k in range(600):
+        toxic, good = k % 4 == 0, k % 3 != 0
+        said = [rng.choice(words) for _ in range(rng.randint(15, 60))]
+        if toxic:
+            said.insert(rng.randrange(len(said)), rng.choice(["idiot", "scum", "lowlife"]))
+            if rng.random() < 0.6:
+                said.insert(3, "muslim")
+        elif rng.random() < 0.1:
+            said.insert(3, rng.choice(["christian", "muslim"]))
+        text = " ".join(said) if good else " ".join(w.upper() + "!!" for w in said)
+        docs.append((k, text, 0.0))
+        labels.append((k, int(good), int(toxic), "x"))
+    labels += [(0, None, None, "x"), (1, 7, -1, "x"), (None, 1, 1, "x"), (2, 1, 0, "x"), (99_999, 1, 1, "x")]
+    return (
+        spark.createDataFrame(docs, "doc_id long, text string, score double"),
+        spark.createDataFrame(labels, LABELS),
+    )
+
+
+def accuracy(docs, labels, model, module, label, threshold, held_out):
+    result = quality.judged(module.score(docs, model, ["doc_id"]), held_out, threshold)
+    assert result.columns == ["doc_id", "held_out", "score", "predicted"]
+    known = labels.where(F.col(label).isin(0, 1)).groupBy("doc_id").agg(F.max(label).alias("y"))
+    rows = result.where("held_out").join(known, "doc_id").collect()
+    assert len(rows) > 80 and all(0 <= r.score <= 1 for r in rows)
+    return sum(r.predicted == r.y for r in rows) / len(rows)
+
+
+def test_toxicity_on_held_out_documents(corpus):
+    docs, labels = corpus
+    held_out = remainder(5) == 0
+    model = toxicity.fit(docs, labels, ~held_out, label="toxic")
+    assert accuracy(docs, labels, model, toxicity, "toxic", 0.5, held_out) > 0.97
+
+
+def test_the_penalty_lowers_the_weight_of_a_group(corpus, monkeypatch):
+    docs, labels = corpus
+    term = int(toxicity._term_features("muslim")[0])
+
+    def weight(fairness):
+        monkeypatch.setattr(toxicity.train, "__kwdefaults__", {**toxicity.train.__kwdefaults__, "fairness": fairness})
+        model = toxicity.fit(docs, labels, F.lit(True), label="toxic")
+        return dict(zip(model.hashes.tolist(), model.weights.tolist()))[term]
+
+    assert abs(weight(20.0)) < 0.6 * abs(weight(0.0))
+
+
+def test_gradient_is_that_of_the_loss():
+    rng = np.random.default_rng(0)
+    x = toxicity._sparse([rng.choice(6, 3, replace=False) for _ in range(40)])
+    other = toxicity._sparse([rng.choice(6, 3, replace=False) for _ in range(10)])
+    y, pairs = rng.integers(0, 2, 40).astype(float), np.arange(10) * 3
+    sigmoid = lambda z: 1 / (1 + np.exp(-z))
+
+    def loss(w):
+        p, q = sigmoid(x.times(w[:-1]) + w[-1]), sigmoid(other.times(w[:-1]) + w[-1])
+        fit = -np.mean(y * np.log(p) + (1 - y) * np.log(1 - p))
+        return fit + 2.0 * np.mean((p[pairs] - q) ** 2) + 0.005 * (w[:-1] ** 2).sum()
+
+    weights, bias = toxicity.train(x, y, pairs, other, 6, ridge=0.01, fairness=2.0, steps=2000)
+    best = np.append(weights, bias)
+    assert all(loss(best) <= loss(best + 0.05 * rng.normal(size=7)) for _ in range(50))
+
+
+def test_quality_on_held_out_documents(corpus):
+    docs, labels = corpus
+    held_out = remainder(4) == 2
+    model = quality.fit(docs, labels, ~held_out, label="quality")
+    assert accuracy(docs, labels, model, quality, "quality", 0.7, held_out) > 0.97
+    assert (np.diff(model.levels) >= 0).all() and (np.diff(model.steps) > 0).all()
+
+
+def test_features_approximate_the_kernel():
+    rng = np.random.default_rng(3)
+    rows = rng.normal(size=(30, 5))
+    turn, phase = rng.normal(0, np.sqrt(2 * 0.15), (5, 20_000)), rng.uniform(0, 2 * np.pi, 20_000)
+    wave = quality.fourier(rows, turn, phase)[:, :-1]
+    exact = np.exp(-0.15 * ((rows[:, None] - rows[None]) ** 2).sum(axis=2))
+    assert np.abs(wave @ wave.T - exact).max() < 0.06
+
+
+def test_isotonic_map_rises():
+    rng = np.random.default_rng(2)
+    scores = rng.random(500)
+    steps, levels = quality.isotonic(scores, (rng.random(500) < scores).astype(float))
+    assert (np.diff(levels) >= 0).all() and np.abs(np.interp(0.5, steps, levels) - 0.5) < 0.15
+
+
+def test_statistics_do_not_depend_on_the_block():
+    texts = ["One two. Two!\nA line | x\nA line | x", "", None, "é ñ 12", "x" * 50, "a a a a b"]
+    whole = np.vstack([quality.statistics(b) for b in blocks(pa.array(texts, pa.string()))])
+    single = np.vstack([quality.statistics(b) for t in texts for b in blocks(pa.array([t], pa.string()))])
+    assert np.allclose(whole, single)
+    names = dict(zip(quality.STATISTICS, whole[5]))
+    assert names["distinct"] == 0.4 and names["top_word"] == 0.8 and names["same_as_last"] == 0.6
+
+
+@pytest.mark.parametrize("module, label", [(toxicity, "toxic"), (quality, "quality")])
+def test_odd_tables(corpus, odd_docs, no_docs, module, label):
+    docs, labels = corpus
+    model = module.fit(docs, labels, F.lit(True), label=label)
+    rows = module.score(odd_docs, model, odd_docs.columns)
+    assert rows.select("row.*").dtypes == odd_docs.dtypes
+    assert rows.count() == 9 and rows.where("score between 0 and 1").count() == 9
+    assert module.score(no_docs, model, ["doc_id"]).count() == 0
+    for docs_, labels_ in ((docs, labels.limit(0)), (no_docs, labels), (docs, labels.where(f"{label} = 1"))):
+        flat = module.fit(docs_, labels_, F.lit(True), label=label)
+        assert module.score(odd_docs, flat, ["doc_id"]).select("score").distinct().count() == 1

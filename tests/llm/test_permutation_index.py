@@ -1,0 +1,79 @@
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from ordermill.llm import permutation_index
+from ordermill.llm.permutation_index import footrule, nearest, places, search
+
+SCHEMA = "vec_id long, embedding array<float>, label int, v string, rank int"
+
+
+def brute(vectors, top):
+    kept = [(i, np.array(v, dtype=float)) for i, v in vectors if i is not None and v is not None]
+    out = {}
+    for i, q in kept:
+        if i % 20 == 0:
+            scored = sorted((-float((v * q).sum()), j) for j, v in kept if j != i)
+            out[i] = [(j, -s) for s, j in scored[:top]]
+    return out
+
+
+def frame(spark, vectors):
+    data = [(i, None if v is None else [None if x is None else float(x) for x in v], 1, "v", 0) for i, v in vectors]
+    return spark.createDataFrame(data, SCHEMA)
+
+
+def found(df, **options):
+    out = {}
+    for r in search(df, F.col("vec_id") % 20 == 0, **options).orderBy("query_id", "rank").collect():
+        out.setdefault(r.query_id, []).append((r.vec_id, r.score))
+        assert r.rank == len(out[r.query_id])
+    return out
+
+
+@pytest.mark.parametrize("block_rows, query_block", [(8192, 1000), (100, 7)])
+def test_recall_and_exact_scores(spark, monkeypatch, block_rows, query_block):
+    monkeypatch.setattr(permutation_index, "BLOCK_ROWS", block_rows)
+    monkeypatch.setattr(permutation_index, "LEAST", 60)
+    rng = np.random.default_rng(0)
+    vectors = [(k, (rng.normal(size=12) * rng.uniform(0.2, 3)).astype(np.float32)) for k in range(900)]
+    wanted = brute(vectors, 20)
+    got = found(frame(spark, vectors), query_block=query_block)
+    assert got.keys() == wanted.keys() and all(len(v) == 20 for v in got.values())
+    truth = {i: np.asarray(v, dtype=float) for i, v in vectors}
+    assert all(s == float((truth[i] * truth[j]).sum()) for i, v in got.items() for j, s in v)
+    hits = sum(len({j for j, _ in got[i]} & {j for j, _ in wanted[i]}) for i in wanted)
+    assert hits / (20 * len(wanted)) >= 0.9
+
+
+def test_ties_copies_and_invalid_vectors(spark):
+    rng = np.random.default_rng(1)
+    hot = rng.normal(size=4).astype(np.float32)
+    vectors = [(k, hot) for k in range(0, 300)]
+    vectors += [(1000 + k, rng.normal(size=4).astype(np.float32)) for k in range(100)]
+    odd = [(2000, None), (2020, [0, 0, 0, 0]), (2040, [1, None, 0, 0]), (2060, [float("nan"), 1, 1, 1]),
+           (2080, [float("inf"), 1, 1, 1]), (2100, [1, 2]), (None, [1, 2, 3, 4])]
+    got = found(frame(spark, vectors + odd))
+    wanted = brute(vectors, 20)
+    assert {i: [j for j, _ in v] for i, v in got.items()} == {i: [j for j, _ in v] for i, v in wanted.items()}
+
+
+def test_small_and_empty_tables(spark):
+    assert found(frame(spark, [])) == {}
+    assert found(frame(spark, [(0, [1, 2])])) == {}
+    assert found(frame(spark, [(1, [1, 2]), (2, [3, 4])])) == {}
+    assert {i: [j for j, _ in v] for i, v in found(frame(spark, [(0, [1, 2]), (1, [1, 2]), (2, [3, 4])])).items()} == {0: [2, 1]}
+
+
+def test_places_footrule_and_choice():
+    rng = np.random.default_rng(2)
+    rows, pivots = rng.normal(size=(50, 6)), rng.normal(size=(9, 6))
+    seen = places(rows, pivots)
+    for k in range(50):
+        order = np.argsort(-(pivots @ rows[k]))
+        assert seen[k].argsort().tolist() == order.tolist()
+    files = np.ascontiguousarray(seen.T).astype(np.int16)
+    distance = footrule(files, seen[7].astype(np.int16))
+    assert distance.tolist() == np.abs(seen.astype(int) - seen[7].astype(int)).sum(axis=1).tolist()
+    for n in (1, 10, 49, 60):
+        assert sorted(nearest(distance, n)) == sorted(np.argsort(distance, kind="stable")[:n])
