@@ -31,15 +31,15 @@ URL_RULES = [
 ]
 
 
-#: Rows in a batch for Python. Texts are long, so fewer than the usual 10,000.
+#: A batch for Python. Texts are long, so less than the usual 10,000 rows.
 BATCH_ROWS = 1_000
+BATCH_BYTES = 8 << 20
 
 
 def prepare_session(spark: SparkSession) -> None:
     """Smaller batches, and this package on the workers' path."""
-    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if int(spark.conf.get(setting)) > BATCH_ROWS:
-        spark.conf.set(setting, str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     # Workers of a driver that runs elsewhere find the package by its path; on a
     # cluster it is installed, or sent with --py-files.
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))

@@ -17,8 +17,8 @@ much, or when the bits in common, and what several shingles on one bit can hide,
 do not reach the least overlap. What is left at the leaves is first only marked;
 then the sets of marked nodes are made from their texts, the trees are traversed
 once more, and pairs are compared shingle by shingle unless links join them
-already. Groups over ``CELL`` nodes are cut into parts, and each pair of parts is
-a cell, so a cell has a bound. Links are contracted to components.
+already. Groups over ``CELL`` shingles are cut into parts, and each pair of parts
+is a cell, so a cell has a bound. Links are contracted to components.
 
 A null or empty text has no shingles and is linked with nothing; with fewer words
 than a shingle has, all of them are one. Copies and repeated rows share a
@@ -42,7 +42,8 @@ from ordermill.scratch import materialize
 SHINGLE = 5
 #: Links: ``NEED[0] * common >= NEED[1] * all``, as 4/5.
 NEED = (5, 4)
-CELL = 4_096
+#: Shingles of a part of a group; a cell has two parts.
+CELL = 1 << 20
 FAN = 16
 #: One document in ``SAMPLE`` tells which shingles are common; only costs depend on it.
 SAMPLE = 16
@@ -50,7 +51,10 @@ COMMON = 4
 _COMMON_BITS = 22
 _MARK_BITS = 24
 _LEAST_WIDTH = 64
-_PAIRS = 1 << 18
+_PAIRS = 1 << 17
+#: Bitmaps compared at a time, and rows of cells handled at a time.
+_BITMAP_BYTES = 4 << 20
+_ROW_BYTES = 8 << 20
 
 
 def shingle_sets(column: pa.Array, size: int) -> Iterator[np.ndarray]:
@@ -114,7 +118,7 @@ def tree_pairs(
     each other. Every cell has a tree of its own; all are traversed together.
     """
     levels = []
-    excess = size - np.bitwise_count(bits).sum(axis=1).astype(np.int64)
+    excess = size - np.bitwise_count(bits).sum(axis=1, dtype=np.int64)
     low, high, owner, first = size, size, cell, np.arange(len(size))
     count = np.ones(len(size), dtype=np.int64)
     while True:
@@ -133,7 +137,11 @@ def tree_pairs(
         bits, low, high, excess, _, _ = levels[level]
         near = (NEED[0] * high[i] >= NEED[1] * low[j]) & (NEED[0] * high[j] >= NEED[1] * low[i])
         i, j = i[near], j[near]
-        common = np.bitwise_count(bits[i] & bits[j]).sum(axis=1).astype(np.int64)
+        common = np.empty(len(i), dtype=np.int64)
+        step = max(1, _BITMAP_BYTES // (8 * bits.shape[1]))
+        for at in range(0, len(i), step):
+            both = bits[i[at : at + step]] & bits[j[at : at + step]]
+            common[at : at + step] = np.bitwise_count(both).sum(axis=1, dtype=np.int64)
         most = np.minimum(common + np.minimum(excess[i], excess[j]), np.minimum(high[i], high[j]))
         enough = most >= least_overlap(low[i], low[j])
         return i[enough], j[enough]
@@ -184,7 +192,7 @@ def _cells(
 ) -> Iterator[pa.RecordBatch]:
     """Hand over whole cells, several together; the rows come sorted by cell."""
     waiting: list[pa.RecordBatch] = []
-    n = 0
+    n = size = 0
 
     def ready(table: pa.Table) -> Iterator[pa.RecordBatch]:
         out = handle(table)
@@ -196,7 +204,8 @@ def _cells(
             continue
         waiting.append(batch)
         n += batch.num_rows
-        if n >= rows:
+        size += batch.nbytes
+        if n >= rows or size >= _ROW_BYTES:
             table = pa.Table.from_batches(waiting)
             cell = table.column("cell").to_numpy()
             others = np.flatnonzero(cell != cell[-1])
@@ -205,6 +214,7 @@ def _cells(
                 yield from ready(table.slice(0, last))
                 waiting = table.slice(last).combine_chunks().to_batches()
                 n = table.num_rows - last
+                size = sum(b.nbytes for b in waiting)
     if waiting:
         yield from ready(pa.Table.from_batches(waiting))
 
@@ -287,11 +297,13 @@ def _link(table: pa.Table) -> pa.RecordBatch:
     )
 
 
-def _in_cells(members: DataFrame, described: DataFrame) -> DataFrame:
-    """Groups' rows with ``described`` columns, copied to cells and widths and sorted."""
-    counts = members.groupBy("leader").agg(
-        F.ceil(F.count(F.lit(1)) / CELL).cast("int").alias("parts")
-    )
+def _in_cells(members: DataFrame, described: DataFrame, narrow: DataFrame) -> DataFrame:
+    """Groups' rows with ``described`` columns, copied to cells and widths and sorted.
+
+    ``narrow`` has the nodes' sizes.
+    """
+    sizes = members.join(narrow.select("node", "n"), "node").groupBy("leader")
+    counts = sizes.agg(F.ceil(F.sum("n") / CELL).cast("int").alias("parts"))
     rows = members.join(counts.where("parts > 1"), "leader", "left")
     rows = rows.withColumn("parts", F.coalesce("parts", F.lit(1))).join(described, "node")
     rows = rows.withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts"))).withColumn(
@@ -420,7 +432,7 @@ def jaccard_rows(
     grouped = narrow.join(members.select("node").distinct(), "node", "left_semi")
     bitmaps = grouped.join(nodes.select("node", "copy", "bits"), ["node", "copy"])
     bitmaps = materialize(bitmaps.dropDuplicates(["node", "copy"]), "bitmaps")
-    marked = _in_cells(members, bitmaps.drop("copy")).mapInArrow(
+    marked = _in_cells(members, bitmaps.drop("copy"), bitmaps).mapInArrow(
         lambda batches: _cells(batches, _mark, 8_192), "leader long, node long"
     )
     marked = materialize(marked.distinct(), "marked")
@@ -428,7 +440,8 @@ def jaccard_rows(
     needed = bitmaps.join(marked.select("node").distinct(), "node", "left_semi")
     needed = materialize(needed, "needed")
     sets = _sets_of(chosen, needed.select("node", "copy"), size)
-    edges = _in_cells(marked, needed.drop("copy").join(sets, "node")).mapInArrow(
+    full = needed.drop("copy").join(sets, "node")
+    edges = _in_cells(marked, full, needed).mapInArrow(
         lambda batches: _cells(batches, _link, 2_048), "a long, b long"
     )
     roots = components(edges)

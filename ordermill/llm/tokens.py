@@ -88,9 +88,10 @@ class Encoder:
         self.tokenizer.encode_special_tokens = True
         (self.line,) = self.tokenizer.encode("\n", add_special_tokens=False).ids
         self.keys = np.zeros(SLOTS, dtype=np.uint64)
-        self.at = np.zeros(SLOTS, dtype=np.int64)
+        self.at = np.zeros(SLOTS, dtype=np.int32)
         self.size = np.zeros(SLOTS, dtype=np.int32)
-        self.pool = np.zeros(POOL, dtype=np.uint32)
+        small = self.tokenizer.get_vocab_size() <= 1 << 16
+        self.pool = np.zeros(POOL, dtype=np.uint16 if small else np.uint32)
         self.used = 0
 
     def _ids(self, pieces: list[bytes], plain: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -130,7 +131,7 @@ class Encoder:
         hashes = span_hashes(data, starts, ends) | np.uint64(1)
         slots = (hashes >> np.uint64(40)).astype(np.int64) & (SLOTS - 1)
         known = self.keys[slots] == hashes
-        at, size = self.at[slots], self.size[slots].astype(np.int64)
+        at, size = self.at[slots].astype(np.int64), self.size[slots].astype(np.int64)
         pool = self.pool
         missing = np.flatnonzero(~known)
         if len(missing):
@@ -143,7 +144,7 @@ class Encoder:
             if self.used + len(ids) > POOL:
                 self.keys[:] = 0
                 self.used = 0
-                pool = np.concatenate([self.pool, ids])
+                pool = np.concatenate([self.pool, ids.astype(self.pool.dtype)])
                 shift = POOL
             else:
                 self.pool[self.used : self.used + len(ids)] = ids
@@ -159,7 +160,7 @@ class Encoder:
         out_at = np.cumsum(size)
         index = np.repeat(at - (out_at - size), size) + np.arange(out_at[-1])
         row_piece = np.searchsorted(starts, block.offsets)
-        return pool[index], np.append(0, out_at)[row_piece]
+        return pool[index].astype(np.uint32), np.append(0, out_at)[row_piece]
 
 
 _ENCODERS: dict[str, Encoder] = {}
