@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -36,3 +38,27 @@ def materialize(df: DataFrame, name: str = "kept") -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def kept(df: DataFrame, name: str = "kept") -> Iterator[DataFrame]:
+    """``materialize`` for the length of a block, after which the files go."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    try:
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        place, store = _in_store(spark, path)
+        store.delete(place, True)
+
+
+def holds_files(spark: SparkSession, path: str) -> bool:
+    """Whether a folder is there and not empty, in whatever store."""
+    place, store = _in_store(spark, path)
+    return bool(store.exists(place)) and len(store.listStatus(place)) > 0
+
+
+def _in_store(spark: SparkSession, path: str) -> tuple:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark._jsc.hadoopConfiguration())

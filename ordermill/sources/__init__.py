@@ -1,4 +1,4 @@
-from ordermill.scratch import materialize, scratch_path, scratch_root
+from ordermill.scratch import kept, materialize, scratch_path, scratch_root
 from ordermill.sources.publish import publish
 from ordermill.sources.tables import (
     Dimensions,
@@ -11,6 +11,7 @@ from ordermill.sources.tables import (
 __all__ = [
     "Dimensions",
     "append_events",
+    "kept",
     "materialize",
     "publish",
     "read_dimensions",

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ordermill.operators.events import to_events
 from ordermill.operators.orders import check_orders, split_checked, without_id
 from ordermill.plans.catalog import Catalog
-from ordermill.scratch import materialize
+from ordermill.scratch import holds_files, kept
 from ordermill.sources.tables import write_table
 
 
@@ -26,13 +26,6 @@ def _write_batch(
         write_table(df, folder, format, "overwrite")
 
 
-def _holds_files(spark: SparkSession, path: str) -> bool:
-    """Whether a folder is there and not empty, in whatever store."""
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    store = place.getFileSystem(spark._jsc.hadoopConfiguration())
-    return bool(store.exists(place)) and len(store.listStatus(place)) > 0
-
-
 def stream_orders(
     orders: DataFrame,
     catalog: Catalog,
@@ -59,7 +52,7 @@ def stream_orders(
     """
     spark = orders.sparkSession
     file_table = format.lower() != "delta"
-    if file_table and _holds_files(spark, path) and not _holds_files(spark, checkpoint):
+    if file_table and holds_files(spark, path) and not holds_files(spark, checkpoint):
         raise ValueError(f"{path} holds batches of another checkpoint than {checkpoint}")
 
     def run_batch(batch: DataFrame, batch_id: int) -> None:
@@ -74,10 +67,12 @@ def stream_orders(
             addresses_small=catalog.addresses_small,
             **options,
         )
-        found = split_checked(materialize(checked, "batch"), without_id(lines, headers))
-        _write_batch(to_events(found.accepted, run=ids_run), path, format, batch_id, checkpoint)
-        if rejected_path is not None:
-            _write_batch(found.rejected, rejected_path, format, batch_id, checkpoint)
+        with kept(checked, "batch") as result:
+            found = split_checked(result, without_id(lines, headers))
+            events = to_events(found.accepted, run=ids_run)
+            _write_batch(events, path, format, batch_id, checkpoint)
+            if rejected_path is not None:
+                _write_batch(found.rejected, rejected_path, format, batch_id, checkpoint)
 
     return (
         orders.writeStream.foreachBatch(run_batch)
