@@ -265,7 +265,7 @@ def find_benchmark(
     Documents are read once for each ``pack_bytes`` of benchmark text and never
     shuffled.
     """
-    items = benchmark.select(F.col(item_id).alias("item"), F.col(item_text).alias("text"))
+    items = benchmark.select(F.col(item_id).alias("item"), F.col(item_text).alias("text")).distinct()
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     packs = max(1, -(-total // pack_bytes))
     found = docs.select(

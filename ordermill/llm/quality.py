@@ -174,7 +174,7 @@ def labelled_statistics(docs: DataFrame, sample: DataFrame) -> DataFrame:
 
     The sample is bounded by its parameter, so it is broadcast and no text moves.
     """
-    chosen = docs.join(F.broadcast(sample), "doc_id").select(
+    chosen = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select(
         "text", "y", F.xxhash64("text", "doc_id").alias("h")
     )
 

@@ -85,7 +85,7 @@ def block_features(block: Block) -> tuple[np.ndarray, np.ndarray]:
 
 def labelled_features(docs: DataFrame, sample: DataFrame) -> DataFrame:
     """``y``, ``features`` and, where a group is named, the ``swapped`` ones."""
-    chosen = docs.join(F.broadcast(sample), "doc_id").select("doc_id", "text", "y")
+    chosen = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("doc_id", "text", "y")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         terms = swaps(IDENTITY_TERMS)

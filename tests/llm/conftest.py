@@ -5,13 +5,13 @@ import pytest
 # Columns whose names the operators use inside.
 ODD = (
     "doc_id long, text string, lang string, source string, n_chars long, score double, row string, "
-    "items string, spans string, node long, copy long, n long, words string, _text string"
+    "items string, spans string, node long, copy long, n long, words string, _text string, y string"
 )
 LONG = " ".join(f"w{k % 977}x{k}" for k in range(30_000))
 
 
 def extra(doc_id, text):
-    return (doc_id, text, "en", None, None, 0.1, "r", "i", "s", 1, 2, 3, "w", "t")
+    return (doc_id, text, "en", None, None, 0.1, "r", "i", "s", 1, 2, 3, "w", "t", "y")
 
 
 @pytest.fixture(scope="session")

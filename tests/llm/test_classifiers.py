@@ -122,6 +122,8 @@ def test_odd_tables(corpus, odd_docs, no_docs, module, label):
     assert rows.select("row.*").dtypes == odd_docs.dtypes
     assert rows.count() == 9 and rows.where("score between 0 and 1").count() == 9
     assert module.score(no_docs, model, ["doc_id"]).count() == 0
+    odd_labels = labels.withColumn("text", F.lit("t")).withColumn("y", F.lit("y"))
+    assert module.fit(odd_docs, odd_labels, F.lit(True), label=label) is not None
     for docs_, labels_ in ((docs, labels.limit(0)), (no_docs, labels), (docs, labels.where(f"{label} = 1"))):
         flat = module.fit(docs_, labels_, F.lit(True), label=label)
         assert module.score(odd_docs, flat, ["doc_id"]).select("score").distinct().count() == 1
