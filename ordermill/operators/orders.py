@@ -182,18 +182,17 @@ def _documents(
     """
     columns = ["order_id", "pos", "product_id", "quantity"]
     rows = lines.where(F.col("order_id").isNotNull()).select(*columns)
+
+    def with_headers(rows: DataFrame) -> DataFrame:
+        if headers is None:
+            return rows.withColumn("header", F.lit(None).cast("boolean"))
+        return rows.unionByName(headers, allowMissingColumns=True)
+
     if items_small:
         # Shuffle the narrow rows; the wide items are added behind that.
-        rows = rows.withColumn("header", F.lit(None).cast("boolean")) if headers is None else rows
-        if headers is not None:
-            rows = rows.unionByName(headers, allowMissingColumns=True)
-        rows = attach_products(rows.repartition("order_id"), items, small=True)
+        rows = attach_products(with_headers(rows).repartition("order_id"), items, small=True)
     else:
-        rows = attach_products(rows, items, small=items_small)
-        if headers is not None:
-            rows = rows.unionByName(headers, allowMissingColumns=True)
-        else:
-            rows = rows.withColumn("header", F.lit(None).cast("boolean"))
+        rows = with_headers(attach_products(rows, items, small=items_small))
     is_line = F.col("header").isNull()
     rows = _line_flags(rows, on_empty)
     keys = ["order_id"]
