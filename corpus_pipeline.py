@@ -15,7 +15,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ordermill.llm import decontaminate, packing, quality, shingle_join, tokens, toxicity
 from ordermill.llm.queries import remainder, table

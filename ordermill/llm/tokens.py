@@ -18,17 +18,19 @@ import pandas as pd
 
 from ordermill.llm.text import Block, span_hashes
 
-_WS = np.zeros(256, dtype=bool)
-_WS[[9, 10, 11, 12, 13, 32]] = True
-_BREAKING_WS = _WS.copy()
-_BREAKING_WS[32] = False
-_GRAPH = np.zeros(256, dtype=bool)
-_GRAPH[33:127] = True
-_ALNUM = np.zeros(256, dtype=bool)
-_ALNUM[48:58] = _ALNUM[65:91] = _ALNUM[97:123] = True
-_PUNCT = _GRAPH & ~_ALNUM
 #: Lead byte of U+00C0 to U+00FF: letters, but for the signs at 0x97 and 0xB7.
 _LATIN = 0xC3
+# Classes of bytes, as bits: white space, white space that is no blank, visible
+# ASCII, letters and digits, punctuation, the lead byte above, the two signs.
+_WS, _BREAKING, _GRAPH, _ALNUM, _PUNCT, _LEAD, _SIGN = (1 << k for k in range(7))
+_CLASS = np.zeros(256, dtype=np.uint8)
+_CLASS[[9, 10, 11, 12, 13]] = _WS | _BREAKING
+_CLASS[32] = _WS
+_CLASS[33:127] = _GRAPH | _PUNCT
+for _first, _stop in ((48, 58), (65, 91), (97, 123)):
+    _CLASS[_first:_stop] = _GRAPH | _ALNUM
+_CLASS[_LATIN] = _LEAD
+_CLASS[[0x97, 0xB7]] = _SIGN
 
 SLOTS = 1 << 21
 POOL = 1 << 23
@@ -40,21 +42,23 @@ def piece_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     n = len(data)
     if not n:
         return np.zeros(0, dtype=np.int64)
-    before, here = data[:-1], data[1:]
-    tail = np.zeros(n, dtype=bool)
-    tail[1:] = before == _LATIN
-    letter_tail = tail & (data != 0x97) & (data != 0xB7)
-    seen_before = _GRAPH[before] | tail[:-1]
-    visible = _GRAPH[here] | (here == _LATIN)
+    kind = _CLASS[data]
+    before, here = kind[:-1], kind[1:]
+    # The character that ends at each byte but the last: visible, letter or digit.
+    seen = before & (_GRAPH | _ALNUM)
+    tail = before[:-1] & _LEAD != 0
+    seen[1:][tail] = _GRAPH | _ALNUM
+    seen[1:][tail & (before[1:] & _SIGN != 0)] = _GRAPH
+    visible = here & (_GRAPH | _LEAD) != 0
     cut = np.zeros(n, dtype=bool)
     cut[1:] = (
-        (_WS[here] & seen_before)
-        | (_BREAKING_WS[before] & visible)
-        | (_PUNCT[here] & (_ALNUM[before] | letter_tail[:-1]))
+        ((here & _WS != 0) & (seen & _GRAPH != 0))
+        | ((before & _BREAKING != 0) & visible)
+        | ((here & _PUNCT != 0) & (seen & _ALNUM != 0))
     )
     rows = offsets[:-1]
     rows = rows[rows < n]
-    joins = _WS[before] & visible
+    joins = (before & _WS != 0) & visible
     joins[rows[rows > 0] - 1] = False  # the visible character is another row's
     cut[:-1] |= joins
     cut[rows] = True
@@ -71,8 +75,8 @@ def _plain(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray
     before_last = data[np.maximum(ends - 2, starts)]
     lines = np.append(0, np.cumsum(data == 10))
     return (
-        (_GRAPH[first] | (first == _LATIN))
-        & (_GRAPH[last] | ((size > 1) & (before_last == _LATIN)))
+        (_CLASS[first] & (_GRAPH | _LEAD) != 0)
+        & ((_CLASS[last] & _GRAPH != 0) | ((size > 1) & (before_last == _LATIN)))
         & (lines[ends] == lines[starts])
     )
 
