@@ -1,11 +1,14 @@
 """Nearest neighbours by largest inner product, with a permutation index.
 
-A few vectors of the table are pivots. Every vector is represented by the order
+A few vectors of the table are pivots, chosen from a sample by hash so that no two
+are near each other: a group of near copies, however large, gets no more of them than
+any other place. Every vector is represented by the order
 in which it sees them, nearest first, and posted in the inverted file of each
 pivot with the pivot's place in that order. Vectors and queries are alike when
 they see the pivots in a like order: the places are compared file by file, and the
 sum of their differences is the footrule distance. The share of a block with the
-least distance is reranked by the exact inner product in double precision.
+least distance is reranked by the exact inner product in double precision, and with
+it all that see the pivots in almost the query's own order, which places cannot rank.
 
 Rows are indexed in blocks of bounded size, dealt by the hash of their ids. As
 each vector orders all pivots, every file of a block lists all its rows and is
@@ -36,11 +39,17 @@ from ordermill.scratch import materialize
 
 #: Vectors that may serve as pivots; a place fits one byte up to 256.
 PIVOTS = 128
+#: Distinct vectors, by hash, that pivots are chosen from.
+SAMPLE = 4_096
+#: Pivots have inner products below this (unit vectors), if the sample has enough.
+APART = 0.8
 BLOCK_ROWS = 8_192
 QUERY_BLOCK = 32_768
 #: Of each block, the share of rows reranked by the exact measure.
 SHARE = 0.12
 LEAST = 1_000
+#: Rows within this share of the greatest footrule distance are all reranked.
+CLOSE = 1 / 16
 
 
 def valid_vectors(df: DataFrame, vec_id: str, vector: str) -> DataFrame:
@@ -73,6 +82,25 @@ def lifted(rows: np.ndarray, longest: float) -> np.ndarray:
     return np.hstack([scaled, rest[:, None]])
 
 
+def spread(rows: np.ndarray, n: int) -> np.ndarray:
+    """The first ``n`` rows (lifted) that are not near an earlier one.
+
+    Where the sample has too few such rows, nearer ones are let in step by step.
+    """
+    chosen: list[int] = []
+    nearness = np.full(len(rows), -np.inf)
+    gap = 1 - APART
+    while len(chosen) < min(n, len(rows)):
+        bound = 1 - gap if gap > 1e-12 else np.inf
+        for k in range(len(rows)):
+            if nearness[k] < bound and len(chosen) < n:
+                chosen.append(k)
+                nearness = np.maximum(nearness, rows @ rows[k])
+                nearness[chosen] = np.inf
+        gap /= 2
+    return rows[chosen]
+
+
 def places(rows: np.ndarray, pivots: np.ndarray) -> np.ndarray:
     """For each row (lifted), the place of every pivot in its order."""
     order = np.argsort(-(rows @ pivots.T), axis=1, kind="stable")
@@ -150,8 +178,10 @@ def _search_block(
                 files = files.reshape(-1, len(rows)).astype(np.int16)
                 bounds = np.searchsorted(entries, np.arange(len(rows) + 1))
                 n = max(LEAST, int(share * len(rows)))
+                close = CLOSE * len(files) ** 2 / 2
                 for k in range(len(own)):
-                    chosen = nearest(footrule(files, wide[k]), n)
+                    distance = footrule(files, wide[k])
+                    chosen = nearest(distance, max(n, np.count_nonzero(distance <= close)))
                     exact = (rows[chosen] * vectors[k]).sum(axis=1)
                     many = bounds[chosen + 1] - bounds[chosen]
                     reach = np.cumsum(many)
@@ -197,8 +227,8 @@ def search(
     empty = "query_id long, rank int, vec_id long, score double"
     if not n:
         return spark.createDataFrame([], empty)
-    first = vectors.select("v", F.xxhash64("v").alias("h")).distinct().orderBy("h", "v").limit(pivots)
-    chosen = lifted(np.array([r["v"] for r in first.collect()]), longest)  # ``pivots`` rows
+    sample = vectors.select("v", F.xxhash64("v").alias("h")).distinct().orderBy("h", "v").limit(SAMPLE)
+    chosen = spread(lifted(matrix(sample.select("v").toArrow()["v"]), longest), pivots)
     index = materialize(build_index(vectors, n, chosen, longest, top), "index")
 
     asked = vectors.where(is_query)

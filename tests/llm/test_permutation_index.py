@@ -1,4 +1,6 @@
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -77,3 +79,27 @@ def test_places_footrule_and_choice():
     assert distance.tolist() == np.abs(seen.astype(int) - seen[7].astype(int)).sum(axis=1).tolist()
     for n in (1, 10, 49, 60):
         assert sorted(nearest(distance, n)) == sorted(np.argsort(distance, kind="stable")[:n])
+
+
+@pytest.mark.parametrize("noise", [0.0001, 0.05])
+def test_recall_with_a_third_of_near_copies(spark, tmp_path, noise):
+    rng = np.random.default_rng(5)
+    v = rng.normal(size=(24_000, 64))
+    hot = rng.random(24_000) < 1 / 3
+    v /= np.linalg.norm(v, axis=1, keepdims=True)
+    v[hot] = v[0] + rng.normal(size=(hot.sum(), 64)) * noise / 8
+    v = (v / np.linalg.norm(v, axis=1, keepdims=True)).astype(np.float32)
+    vectors = pa.table({"vec_id": np.arange(24_000), "embedding": list(v)})
+    pq.write_table(vectors, f"{tmp_path}/v.parquet")
+    asked = search(spark.read.parquet(f"{tmp_path}/v.parquet"), F.col("vec_id") % 240 == 0)
+    hits = {True: [], False: []}
+    got = {}
+    for r in asked.collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    exact = v.astype(float)
+    for q in range(0, 24_000, 240):
+        score = (exact * exact[q]).sum(axis=1)
+        score[q] = -np.inf
+        wanted = set(np.lexsort((np.arange(24_000), -score))[:20].tolist())
+        hits[bool(hot[q])].append(len(wanted & got[q]) / 20)
+    assert np.mean(hits[True]) >= 0.9 and np.mean(hits[False]) >= 0.9
