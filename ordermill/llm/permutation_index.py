@@ -109,6 +109,12 @@ def places(rows: np.ndarray, pivots: np.ndarray) -> np.ndarray:
     return found
 
 
+def _ranks(begins: np.ndarray) -> np.ndarray:
+    """Each row's number within its run."""
+    at = np.arange(len(begins))
+    return at - np.maximum.accumulate(np.where(begins, at, 0))
+
+
 def build_index(vectors: DataFrame, n: int, pivots: np.ndarray, longest: float, top: int) -> DataFrame:
     """One row for each block: ids, vectors and the pivots' files."""
     blocks = max(1, -(-n // BLOCK_ROWS))
@@ -118,13 +124,14 @@ def build_index(vectors: DataFrame, n: int, pivots: np.ndarray, longest: float,
         rows = matrix(group.column("v"))
         order = np.argsort(ids, kind="stable")
         ids, rows = ids[order], np.ascontiguousarray(rows[order])
-        # Equal vectors are one entry; the first of it are all that can be found.
+        # Equal vectors are one entry. The first ``top`` rows of each id and, of these,
+        # the first twice ``top`` are all that can be found: a query passes over its own.
         keys = rows.view(np.dtype((np.void, rows.dtype.itemsize * rows.shape[1]))).ravel()
         _, first, entry = np.unique(keys, return_index=True, return_inverse=True)
-        by_entry = np.argsort(entry, kind="stable")
-        starts = np.searchsorted(entry[by_entry], np.arange(len(first)))
-        rank = np.arange(len(ids)) - starts[entry[by_entry]]
-        kept = by_entry[rank <= top]
+        kept = np.argsort(entry, kind="stable")
+        new = np.append(True, (np.diff(entry[kept]) != 0) | (np.diff(ids[kept]) != 0))
+        kept = kept[_ranks(new) < top]
+        kept = kept[_ranks(np.append(True, np.diff(entry[kept]) != 0)) < 2 * top]
         files = places(lifted(rows[first], longest), pivots).T
         return pa.table(
             {
@@ -231,7 +238,7 @@ def search(
     chosen = spread(lifted(matrix(sample.select("v").toArrow()["v"]), longest), pivots)
     index = materialize(build_index(vectors, n, chosen, longest, top), "index")
 
-    asked = vectors.where(is_query)
+    asked = vectors.where(is_query).distinct()  # a repeated row asks once
     n_queries = asked.count()
     parts = max(1, -(-n_queries // query_block))
     found = []

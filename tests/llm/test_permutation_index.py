@@ -103,3 +103,9 @@ def test_recall_with_a_third_of_near_copies(spark, tmp_path, noise):
         wanted = set(np.lexsort((np.arange(24_000), -score))[:20].tolist())
         hits[bool(hot[q])].append(len(wanted & got[q]) / 20)
     assert np.mean(hits[True]) >= 0.9 and np.mean(hits[False]) >= 0.9
+
+
+def test_repeats_of_an_id_hide_no_other_id(spark):
+    same = [1.0, 2.0, 3.0]
+    got = found(frame(spark, [(0, same)] * 30 + [(1, same)] * 3 + [(7, same), (2, [1.0, 0.0, 0.0])]))
+    assert [j for j, _ in got[0][:4]] == [1, 1, 1, 7]
