@@ -3,9 +3,10 @@
 A document is its ids and the end id. One that is longer than a window fills
 windows of its own; what is left of it, like any short document, is indexed. The
 index is an inverted BM25 index over token ids, in shards of ``SHARD`` documents
-that are alike: documents are dealt by a min-hash of their ids, so copies and
-texts of one language meet, and a shard never grows with the input. Document
-frequencies and the mean length are those of the whole corpus. In a shard the
+that are alike: documents are dealt in the order of several min-hashes of their
+ids, in which an id counts by the square of its idf, and then of their content. So
+copies are neighbours and texts that share rare ids are near, and a shard never
+grows with the input. Document frequencies and the mean length are those of the whole corpus. In a shard the
 first unused document is the seed; its neighbours are taken by falling score and
 the last is cut where the window ends, its rest being the next seed. What a shard
 leaves over goes on to the next one of its task, so only the last window of a
@@ -24,6 +25,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,6 +36,8 @@ from ordermill.scratch import materialize
 WINDOW = 1024
 SHARD = 256
 K1, B = 1.2, 0.75
+#: Min-hashes of a remainder: how many, and the power of the idf an id counts with.
+SIGNS, POWER = 4, 2
 #: Sequence numbers: those of a task follow each other.
 _TASK = 1 << 36
 _RETRIEVED = 1 << 62
@@ -49,6 +53,17 @@ class Statistics(NamedTuple):
     def idf(self) -> np.ndarray:
         return np.log1p((self.n - self.df + 0.5) / (self.df + 0.5))
 
+    def ranks(self) -> np.ndarray:
+        """For each min-hash, the ids' places in an order that high idf comes early in."""
+        weight = self.idf() ** POWER
+        ids = np.arange(len(self.df), dtype=np.uint64) + np.uint64(1)
+        places = np.empty((SIGNS, len(ids)), dtype=np.uint32)
+        for k in range(SIGNS):
+            drawn = mix(ids * np.uint64(2 * k + 3)) >> np.uint64(11)
+            wait = -np.log((drawn.astype(float) + 0.5) / (1 << 53)) / weight
+            places[k, np.argsort(wait, kind="stable")] = np.arange(len(ids))
+        return places
+
 
 def _encoded(docs: DataFrame, vocabulary: str, end_id: int, window: int, keep_ids: bool) -> DataFrame:
     """Documents with their full windows and their remainder, and the statistics.
@@ -60,7 +75,6 @@ def _encoded(docs: DataFrame, vocabulary: str, end_id: int, window: int, keep_id
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = encoder(vocabulary)
         size = bpe.tokenizer.get_vocab_size()
-        order = mix(np.arange(size, dtype=np.uint64) + np.uint64(1)) >> np.uint64(1)
         df = np.zeros(size, dtype=np.int64)
         sequence = TaskContext.get().partitionId() * _TASK
         for batch in batches:
@@ -81,7 +95,6 @@ def _encoded(docs: DataFrame, vocabulary: str, end_id: int, window: int, keep_id
                             [p.tobytes() for p in pieces] if keep_ids else None,
                             sequence,
                             tail.astype("<u2" if size <= 1 << 16 else "<u4").tobytes(),
-                            int(order[terms].min()) if len(terms) else None,
                         )
                     )
                     sequence += full
@@ -94,28 +107,27 @@ def _encoded(docs: DataFrame, vocabulary: str, end_id: int, window: int, keep_id
                         pa.array(columns[2], type=pa.list_(pa.binary())),
                         pa.array(columns[3], type=pa.int64()),
                         pa.array(columns[4], type=pa.binary()),
-                        pa.array(columns[5], type=pa.int64()),
                         pa.nulls(block.rows, pa.list_(pa.int64())),
                     ],
-                    names=["doc_id", "doc_tokens", "crcs", "windows", "sequence", "tail", "sign", "df"],
+                    names=["doc_id", "doc_tokens", "crcs", "windows", "sequence", "tail", "df"],
                 )
         nothing = [pa.nulls(1, batch_type) for batch_type in _types(kind)]
         yield pa.RecordBatch.from_arrays(
             [*nothing, pa.array([df.tolist()], type=pa.list_(pa.int64()))],
-            names=["doc_id", "doc_tokens", "crcs", "windows", "sequence", "tail", "sign", "df"],
+            names=["doc_id", "doc_tokens", "crcs", "windows", "sequence", "tail", "df"],
         )
 
     return docs.select("doc_id", "text").mapInArrow(
         encode,
         f"doc_id {kind}, doc_tokens long, crcs array<long>, windows array<binary>, "
-        "sequence long, tail binary, sign long, df array<long>",
+        "sequence long, tail binary, df array<long>",
     )
 
 
 def _types(kind: str) -> list[pa.DataType]:
     doc = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[kind]
     listed = pa.list_(pa.int64())
-    return [doc, pa.int64(), listed, pa.list_(pa.binary()), pa.int64(), pa.binary(), pa.int64()]
+    return [doc, pa.int64(), listed, pa.list_(pa.binary()), pa.int64(), pa.binary()]
 
 
 class Rest(NamedTuple):
@@ -189,6 +201,24 @@ def pack_shard(
         yield pieces
 
 
+def _signed(tails: DataFrame, shared: Broadcast, width: str) -> DataFrame:
+    """The remainders with ``sign``, their min-hashes in a row."""
+    kinds = ", ".join(f"{c} {k}" for c, k in tails.dtypes)
+
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ranks = shared.value.ranks()
+        for batch in batches:
+            signs = []
+            for tail in batch.column("tail"):
+                ids = np.frombuffer(tail.as_py(), dtype=width)
+                signs.append(ranks[:, ids].min(axis=1).astype(">u4").tobytes())
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(signs, type=pa.binary())], names=[*batch.schema.names, "sign"]
+            )
+
+    return tails.mapInArrow(sign, f"{kinds}, sign binary")
+
+
 _PIECE = "start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, ids binary"
 
 
@@ -235,7 +265,9 @@ def _retrieved(
         if waiting:
             yield table(list(pack_shard(waiting, idf, mean, window)))
 
-    dealt = tails.repartitionByRange("sign", "doc_id").sortWithinPartitions("sign", "doc_id", "tail")
+    signed = _signed(tails, shared, width).withColumn("content", F.crc32("tail"))
+    order = ("sign", "content", "doc_id")
+    dealt = signed.repartitionByRange(*order).sortWithinPartitions(*order, "tail")
     return dealt.mapInArrow(fill, f"doc_id {kind}, {_PIECE}")
 
 
@@ -287,7 +319,7 @@ def pack(
         F.lit(0).cast("long").alias("offset"),
         F.expr("windows[k]").alias("ids"),
     )
-    rests = tails.select("doc_id", "doc_tokens", "tail", "sign")
+    rests = tails.select("doc_id", "doc_tokens", "tail")
     together = _retrieved(rests, statistics, window, shard, keep_ids, width)
     pieces = alone.unionByName(together)
     return pieces if keep_ids else pieces.drop("ids")

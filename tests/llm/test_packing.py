@@ -82,3 +82,15 @@ def test_the_nearest_unused_neighbours_fill_a_window():
     cut = list(pack_shard(rests, np.ones(10), 3.0, 5))
     assert [(p.doc_id, p.start, len(p.ids)) for p in cut[0]] == [(0, 0, 3), (2, 0, 2)]
     assert (cut[1][0].doc_id, cut[1][0].start) == (2, 2)
+
+
+def test_copies_far_apart_share_a_window(spark):
+    rng = np.random.default_rng(3)
+    rare = [f"{a}{b}" for a in ("zor", "quil", "vex", "bram", "tol", "wug") for b in range(100, 900)]
+    texts = [" ".join(["the of and to in", *rng.choice(rare, 3)]) for _ in range(1000)]
+    docs = [(k, t) for k, t in enumerate(texts)] + [(5000 + 7 * k, texts[7 * k]) for k in range(100)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    windows = defaultdict(set)
+    for p in pack(frame, vocabulary(), window=64, shard=32).collect():
+        windows[p.doc_id].add(p.sequence_id)
+    assert sum(bool(windows[7 * k] & windows[5000 + 7 * k]) for k in range(100)) >= 90
