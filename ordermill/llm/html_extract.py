@@ -6,7 +6,9 @@ length and the number of punctuation marks are summed and divided by its blocks;
 both ratios are smoothed along the page, fused by their geometric mean with the share of text outside
 links and with what element and class names say, and paths whose fused value
 reaches a share of the page's mean, weighted by length, are content: all blocks
-of such a path are kept, long or short.
+of such a path are kept, long or short. All that is shown in a main element
+(article, main) is content, lists, tables and linked headings too, unless most of
+the element is links.
 
 Character references are decoded, white space inside a block becomes one blank,
 ``<br>`` is white space. Unclosed elements end where their parent ends or the next
@@ -88,13 +90,15 @@ class Block(NamedTuple):
     text: str
     linked: int
     weight: float
+    #: Number of the outermost main element around it, 0 for none.
+    main: int = 0
 
 
 class _Open(NamedTuple):
     tag: str
     step: str
     weight: float
-    main: bool
+    main: int
 
 
 def _weight(tag: str, attributes: str, parent: _Open) -> tuple[str, float]:
@@ -116,9 +120,9 @@ def _weight(tag: str, attributes: str, parent: _Open) -> tuple[str, float]:
 def read_blocks(html: str) -> list[Block]:
     """The page's blocks of text in page order."""
     found: list[Block] = []
-    stack = [_Open("", "", 1.0, False)]
+    stack = [_Open("", "", 1.0, 0)]
     parts: list[str] = []
-    linked = links = 0
+    linked = links = mains = 0
 
     def flush() -> None:
         nonlocal linked
@@ -127,7 +131,7 @@ def read_blocks(html: str) -> list[Block]:
             path = ">".join(x.step for x in stack[1:])
             top = stack[-1]
             weight = top.weight * (4.0 if top.main else 1.0)
-            found.append(Block(path, text, min(linked, len(text)), weight))
+            found.append(Block(path, text, min(linked, len(text)), weight, top.main))
         parts.clear()
         linked = 0
 
@@ -189,7 +193,10 @@ def read_blocks(html: str) -> list[Block]:
             continue
         parent = stack[-1]
         step, weight = _weight(tag, attributes, parent)
-        stack.append(_Open(tag, step, weight, parent.main or tag in _MAIN))
+        main = parent.main
+        if tag in _MAIN and not main:
+            main = mains = mains + 1
+        stack.append(_Open(tag, step, weight, main))
     flush()
     return found
 
@@ -238,7 +245,22 @@ def content(found: list[Block]) -> list[Block]:
     inside = length[weight > 1].sum()
     if inside * 2 >= length[shown].sum():
         score[weight <= 1] = 0
-    return [b for b, s in zip(found, score.tolist()) if s > 0 and s >= bound]
+    held = _held(found)
+    return [
+        b
+        for b, s in zip(found, score.tolist())
+        if (b.main in held and b.weight > 0) or (s > 0 and s >= bound)
+    ]
+
+
+def _held(found: list[Block]) -> set[int]:
+    """Main elements that are texts: at least half of what they show is not linked."""
+    sums: dict[int, list[int]] = defaultdict(lambda: [0, 0])
+    for block in found:
+        if block.main and block.weight > 0:
+            sums[block.main][0] += len(block.text)
+            sums[block.main][1] += block.linked
+    return {main for main, (length, linked) in sums.items() if linked * 2 <= length}
 
 
 def main_text(html: str | None) -> str:

@@ -55,3 +55,20 @@ def test_rows(spark):
     assert extract_text(pages).count() == 4
     assert found[(2, None)] == ("", 0) and found[(None, "v")] == ("ü, é.", 5)
     assert extract_text(pages.limit(0)).count() == 0
+
+
+def test_short_blocks_and_linked_headings_of_an_article():
+    long = "Words of a paragraph, and more of them. " * 8
+    paragraphs = "".join(f"<p>{long}{k}</p>" for k in range(10))
+    cells = [f"c{k:03}" for k in range(40)]
+    items = [f"item {k:03}" for k in range(20)]
+    table = "".join("<tr>" + "".join(f"<td>{c}</td>" for c in cells[k : k + 4]) + "</tr>" for k in range(0, 40, 4))
+    listed = "".join(f"<li>{i}</li>" for i in items)
+    for tag in ("article", "main"):
+        page = (
+            f"<body><nav><a href=x>Home</a></nav><ul><li><a href=y>Other</a></li></ul><{tag}>{paragraphs}"
+            f"<h2><a href='#x'>Heading</a></h2><table>{table}</table><ul>{listed}</ul>{paragraphs}"
+            f"<aside>Around</aside></{tag}><article><h3><a href=z>A card</a></h3></article></body>"
+        )
+        shown = main_text(page).split("\n")
+        assert shown[10:71] == ["Heading", *cells, *items] and len(shown) == 81
