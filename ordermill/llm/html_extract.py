@@ -4,7 +4,8 @@ A page is read as blocks of text, each with the path of block elements from the
 root to it (inline elements do not count). For every path of a page the text
 length and the number of punctuation marks are summed and divided by its blocks;
 both ratios are smoothed along the page, fused by their geometric mean with the share of text outside
-links and with what element and class names say, and paths whose fused value
+links and with what element and class names say (class names never rule out html,
+body, main, article or what holds most of the text), and paths whose fused value
 reaches a share of the page's mean, weighted by length, are content: all blocks
 of such a path are kept, long or short. All that is shown in a main element
 (article, main) is content, lists, tables and linked headings too, unless most of
@@ -44,6 +45,7 @@ _UNSEEN = frozenset(
 _RAW = frozenset("script style textarea title iframe noscript".split())
 _AROUND = frozenset("nav footer aside form dialog menu".split())
 _MAIN = frozenset("article main".split())
+_NEVER_AROUND = _MAIN | {"html", "body"}
 _ENDS_P = frozenset(
     "address article aside blockquote details div dl fieldset figure footer form h1 h2 h3 h4 h5 "
     "h6 header hr main menu nav ol p pre section table ul".split()
@@ -81,6 +83,8 @@ _PUNCT = re.compile(r"[.,;:!?…。，、！？；：¿¡]")
 
 SMOOTH = np.array([0.25, 0.5, 0.25])
 SHARE = 0.1
+#: Factor of the weight where names speak against an element that holds most text.
+NAMED = 0.5
 
 
 class Block(NamedTuple):
@@ -92,6 +96,8 @@ class Block(NamedTuple):
     weight: float
     #: Number of the outermost main element around it, 0 for none.
     main: int = 0
+    #: Paths of the elements around it whose names say that they stand around a text.
+    marks: tuple[str, ...] = ()
 
 
 class _Open(NamedTuple):
@@ -99,10 +105,11 @@ class _Open(NamedTuple):
     step: str
     weight: float
     main: int
+    marks: tuple[str, ...]
 
 
-def _weight(tag: str, attributes: str, parent: _Open) -> tuple[str, float]:
-    """The element's step in a path, and what its names say: 0 for what stands around."""
+def _weight(tag: str, attributes: str, parent: _Open) -> tuple[str, float, bool]:
+    """The element's step in a path, 0 for what stands around, and whether names say so."""
     if not attributes:
         names = []
     else:
@@ -110,17 +117,18 @@ def _weight(tag: str, attributes: str, parent: _Open) -> tuple[str, float]:
     said = {w.lower() for name in names for w in _WORD.findall(name)}
     step = tag if not names else f"{tag}.{'.'.join(sorted(said))}"
     weight = parent.weight
-    if tag in _AROUND or said & _AROUND_WORDS or (attributes and _HIDDEN.search(attributes)):
+    if tag in _AROUND or (attributes and _HIDDEN.search(attributes)):
         weight = 0.0
-    elif not parent.main and (tag == "header" or said & _HEADER_WORDS) and tag not in ("body", "html"):
+    elif not parent.main and tag == "header":
         weight = 0.0
-    return step, weight
+    words = _AROUND_WORDS if parent.main else _AROUND_WORDS | _HEADER_WORDS
+    return step, weight, bool(said & words) and tag not in _NEVER_AROUND
 
 
 def read_blocks(html: str) -> list[Block]:
     """The page's blocks of text in page order."""
     found: list[Block] = []
-    stack = [_Open("", "", 1.0, 0)]
+    stack = [_Open("", "", 1.0, 0, ())]
     parts: list[str] = []
     linked = links = mains = 0
 
@@ -131,7 +139,7 @@ def read_blocks(html: str) -> list[Block]:
             path = ">".join(x.step for x in stack[1:])
             top = stack[-1]
             weight = top.weight * (4.0 if top.main else 1.0)
-            found.append(Block(path, text, min(linked, len(text)), weight, top.main))
+            found.append(Block(path, text, min(linked, len(text)), weight, top.main, top.marks))
         parts.clear()
         linked = 0
 
@@ -192,11 +200,14 @@ def read_blocks(html: str) -> list[Block]:
         if tag in _VOID or attributes.endswith("/"):
             continue
         parent = stack[-1]
-        step, weight = _weight(tag, attributes, parent)
+        step, weight, marked = _weight(tag, attributes, parent)
+        marks = parent.marks
+        if marked:
+            marks = (*marks, ">".join([*(x.step for x in stack[1:]), step]))
         main = parent.main
         if tag in _MAIN and not main:
             main = mains = mains + 1
-        stack.append(_Open(tag, step, weight, main))
+        stack.append(_Open(tag, step, weight, main, marks))
     flush()
     return found
 
@@ -211,8 +222,36 @@ def _past(html: str, at: int, tag: str) -> int:
     return len(html)
 
 
+def _named(found: list[Block]) -> list[Block]:
+    """The blocks, of weight 0 where names say that they stand around the text.
+
+    Elements of one path are believed unless they hold most of the page's unlinked
+    text and no main element outside them holds a share of it. Then their names only
+    lessen the weight.
+    """
+    if not any(b.marks for b in found):
+        return found
+    free = [(len(b.text) - b.linked) * (b.weight > 0) for b in found]
+    sums: dict[str, int] = defaultdict(int)
+    for block, n in zip(found, free):
+        for mark in set(block.marks):
+            sums[mark] += n
+    most = {mark for mark, n in sums.items() if n * 2 > sum(free)}
+    for mark in sorted(most):
+        outside = sum(n for b, n in zip(found, free) if b.main and most.issuperset(b.marks) and mark not in b.marks)
+        if outside and outside >= SHARE * sum(free):
+            most.discard(mark)
+    return [
+        b
+        if not b.marks
+        else b._replace(weight=b.weight * NAMED if most.issuperset(b.marks) else 0.0)
+        for b in found
+    ]
+
+
 def content(found: list[Block]) -> list[Block]:
     """The blocks of the paths that hold the page's main text."""
+    found = _named(found)
     sums: dict[str, list[float]] = defaultdict(lambda: [0.0, 0.0, 0.0, 0.0])
     for block in found:
         own = sums[block.path]
@@ -242,9 +281,10 @@ def content(found: list[Block]) -> list[Block]:
     score = np.array([np.mean(by_path[b.path]) for b in found])
     # What stands in no main element counts as around if most text stands in one.
     bound = SHARE * float((score * length).sum() / max(1.0, length[shown].sum()))
-    inside = length[weight > 1].sum()
+    main = np.array([b.main > 0 for b in found])
+    inside = length[main & shown].sum()
     if inside * 2 >= length[shown].sum():
-        score[weight <= 1] = 0
+        score[~main] = 0
     held = _held(found)
     return [
         b

@@ -72,3 +72,22 @@ def test_short_blocks_and_linked_headings_of_an_article():
         )
         shown = main_text(page).split("\n")
         assert shown[10:71] == ["Heading", *cells, *items] and len(shown) == 81
+
+
+def test_names_alone_rule_out_no_page_and_no_article():
+    text = [f"Paragraph {k}, with some words in it. And more of them." for k in range(6)]
+    inner = "".join(f"<p>{t}</p>" for t in text)
+    around = "<div class=sidebar><p>Popular, posts. Read.</p></div><nav><a href=x>Home</a></nav>"
+    for page in (
+        f"<body class='no-sidebar comments-open'>{around}{inner}</body>",
+        f"<html class='js cookie-consent'><body>{around}<article>{inner}</article></body></html>",
+        f"<body>{around}<article class='legal'>{inner}</article></body>",
+        f"<body>{around}<main id='search' role='form'>{inner}</main></body>",
+        f"<body>{around}<div class='content with-sidebar'>{inner}{around}</div></body>",
+        f"<body class='login'><div class='widget'><div id='share'>{inner}</div></div>{around}</body>",
+        f"<body>{around}<div class='page-header-fixed'><article class='notice'>{inner}</article></div></body>",
+    ):
+        assert main_text(page).split("\n") == text
+    comments = "<section class=comments>" + "<p>A comment, as long as others. Yes.</p>" * 40 + "</section>"
+    assert main_text(f"<article>{inner}{comments}</article>").split("\n") == text
+    assert main_text(f"<body><article>{inner}</article>{comments}</body>").split("\n") == text
