@@ -87,11 +87,28 @@ class Notice:
                 joined.append((low, high))
         return joined
 
+    def matches(self, text: bytes, low: int, high: int) -> list[regex.Match]:
+        """The best match of a window and those before and behind it, in text order."""
+        found = []
+        pending = [(low, min(high, len(text)))]
+        while pending:
+            low, high = pending.pop()
+            if high - low < len(self.text) - self.edits:
+                continue
+            match = self.pattern.search(text, low, high)
+            if match:
+                found.append(match)
+                # Two notices may share the blank between them.
+                start, stop = match.span()
+                pending.append((low, start + (text[start] == 32)))
+                pending.append((stop - (text[stop - 1] == 32), high))
+        return sorted(found, key=lambda m: m.start())
+
     def places(self, text: bytes) -> Iterator[Place]:
         for low, high in self.windows(text):
-            for found in self.pattern.finditer(text[low:high], overlapped=False):
+            for found in self.matches(text, low, high):
                 edits = sum(found.fuzzy_counts)
-                start, stop = low + found.start(), low + found.end()
+                start, stop = found.span()
                 said = text[start:stop].strip(b" ")
                 start += text[start:stop].find(said)
                 yield Place(

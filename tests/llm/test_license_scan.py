@@ -54,3 +54,11 @@ def test_spans_and_base_places(spark, odd_docs, no_docs):
     assert (span.start, span.stop, span.edits, span.text) == (1, 6, 0, "released under the mit license")
     assert license_digest(scan_licenses(odd_docs)).count() == 9
     assert scan_licenses(no_docs).count() == 0
+
+
+def test_a_weaker_notice_before_a_better_one_is_found():
+    notice = Notice("released under the mit license", "mit", 0.1)
+    said = b" code releesed undor the mit license and released under the mit license here "
+    assert [(p.start, p.stop, p.edits) for p in notice.places(said)] == [(1, 6, 2), (7, 12, 0)]
+    weak = b" releesed undor the mit license relesed under the mit license" * 3
+    assert [p.edits for p in notice.places(weak + b" released under the mit license ")] == [2, 1] * 3 + [0]
