@@ -170,12 +170,12 @@ def sample_labels(labels: DataFrame, doc_id: str, label: str, learn: Column, mos
 
 
 def labelled_statistics(docs: DataFrame, sample: DataFrame) -> DataFrame:
-    """``x`` (statistics), ``y``, ``h`` of the sampled documents.
+    """``x`` (statistics), ``y``, ``h`` of the sampled documents, one row an id.
 
     The sample is bounded by its parameter, so it is broadcast and no text moves.
     """
     chosen = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select(
-        "text", "y", F.xxhash64("text", "doc_id").alias("h")
+        "doc_id", "text", "y", F.xxhash64("text", "doc_id").alias("h")
     )
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -188,11 +188,18 @@ def labelled_statistics(docs: DataFrame, sample: DataFrame) -> DataFrame:
                         pa.array(rows.tolist(), type=pa.list_(pa.float64())),
                         part.column("y"),
                         part.column("h"),
+                        part.column("doc_id"),
                     ],
-                    names=["x", "y", "h"],
+                    names=["x", "y", "h", "doc_id"],
                 )
 
-    return chosen.mapInArrow(read, "x array<double>, y double, h long")
+    kind = dict(chosen.dtypes)["doc_id"]
+    return one_per_id(chosen.mapInArrow(read, f"x array<double>, y double, h long, doc_id {kind}"), "h", "y", "x")
+
+
+def one_per_id(rows: DataFrame, *columns: str) -> DataFrame:
+    """The least of the rows of each ``doc_id``, so that repeats do not pass the bound."""
+    return rows.groupBy("doc_id").agg(F.min(F.struct(*columns)).alias("least")).select("least.*")
 
 
 def _matrix(batch: pa.RecordBatch) -> np.ndarray:

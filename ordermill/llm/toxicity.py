@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ordermill.llm.quality import sample_labels, scored_rows
+from ordermill.llm.quality import one_per_id, sample_labels, scored_rows
 from ordermill.llm.text import ALNUM, LOWER, Block, blocks, span_hashes, words
 from ordermill.scratch import materialize
 
@@ -84,8 +84,10 @@ def block_features(block: Block) -> tuple[np.ndarray, np.ndarray]:
 
 
 def labelled_features(docs: DataFrame, sample: DataFrame) -> DataFrame:
-    """``y``, ``features`` and, where a group is named, the ``swapped`` ones."""
-    chosen = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("doc_id", "text", "y")
+    """``y``, ``features`` and, where a group is named, the ``swapped`` ones, one row an id."""
+    chosen = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select(
+        "doc_id", "text", "y", F.xxhash64("text").alias("h")
+    )
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         terms = swaps(IDENTITY_TERMS)
@@ -108,11 +110,21 @@ def labelled_features(docs: DataFrame, sample: DataFrame) -> DataFrame:
                         swapped.append(None)
                 listed = pa.list_(pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("y"), pa.array(own, type=listed), pa.array(swapped, type=listed)],
-                    names=["y", "features", "swapped"],
+                    [
+                        part.column("doc_id"),
+                        part.column("h"),
+                        part.column("y"),
+                        pa.array(own, type=listed),
+                        pa.array(swapped, type=listed),
+                    ],
+                    names=["doc_id", "h", "y", "features", "swapped"],
                 )
 
-    return chosen.mapInArrow(read, "y double, features array<long>, swapped array<long>")
+    kind = dict(chosen.dtypes)["doc_id"]
+    found = chosen.mapInArrow(
+        read, f"doc_id {kind}, h long, y double, features array<long>, swapped array<long>"
+    )
+    return one_per_id(found, "h", "y", "features", "swapped").drop("h")
 
 
 class Model(NamedTuple):

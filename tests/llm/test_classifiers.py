@@ -127,3 +127,14 @@ def test_odd_tables(corpus, odd_docs, no_docs, module, label):
     for docs_, labels_ in ((docs, labels.limit(0)), (no_docs, labels), (docs, labels.where(f"{label} = 1"))):
         flat = module.fit(docs_, labels_, F.lit(True), label=label)
         assert module.score(odd_docs, flat, ["doc_id"]).select("score").distinct().count() == 1
+
+
+@pytest.mark.parametrize("module", [quality, toxicity])
+def test_repeats_of_a_labelled_id_are_fitted_once(spark, module):
+    docs = spark.createDataFrame(
+        [(1, f"a repeated text {k % 3}") for k in range(50)] + [(2, "another"), (3, None)], "doc_id long, text string"
+    )
+    sample = spark.createDataFrame([(1, 1.0), (2, 0.0), (3, 0.0)], "doc_id long, y double")
+    read = module.labelled_statistics if module is quality else module.labelled_features
+    rows = read(docs, sample).collect()
+    assert len(rows) == 3 and sum(r.y for r in rows) == 1
