@@ -1,0 +1,108 @@
+import math
+from collections import Counter
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from ordermill.llm import lexical_search
+from ordermill.llm.lexical_search import bags, build_index, item_block, search
+from ordermill.llm.text import blocks
+from tests.conftest import rows
+from tests.llm.conftest import alnum_words
+
+
+def brute(docs, items, top=20):
+    counted = [(d, Counter(w), len(w)) for d, t in docs if (w := alnum_words(t))]
+    n_docs, n_terms = len(counted), sum(n for _, _, n in counted)
+    df = Counter(t for _, c, _ in counted for t in c)
+    out = []
+    for item, text in {*items}:
+        asked, found = Counter(alnum_words(text)), []
+        for doc, terms, n in counted:
+            m = 75 + (25 * n * n_docs) // n_terms
+            score = 0
+            for t, repeats in asked.items():
+                if t in terms:
+                    w = math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df[t] + 1)))
+                    score += repeats * w * ((10**9 * terms[t]) // (1000 * terms[t] + 12 * m))
+            if score > 0:
+                found.append((-score, doc is None, doc))
+        for rank, (score, _, doc) in enumerate(sorted(found)[:top], 1):
+            out.append((item, rank, doc, -score))
+    return sorted(out, key=repr)
+
+
+ITEMS = [(1, "one any id w5x5 w5x5 text"), (2, None), (3, "..."), (4, "a text without any id"), (5, "unheard of"), (6, "One ONE one")]
+
+
+@pytest.fixture(scope="module")
+def items(spark):
+    return spark.createDataFrame(ITEMS + ITEMS[:1], "item_id long, text string")
+
+
+@pytest.mark.parametrize("size", [1, 2, 4_096])
+def test_odd_documents(spark, odd_docs, items, size):
+    index = build_index(odd_docs, segment_docs=size)
+    pairs = [tuple(r) for r in odd_docs.select("doc_id", "text").collect()]
+    assert rows(search(index, items)) == brute(pairs, ITEMS)
+    assert rows(search(index, items, top=2, visits=1, item_rows=2)) == brute(pairs, ITEMS, 2)
+
+
+def some_documents():
+    """Words of very unequal frequency, a third copies of one text, all lengths."""
+    rng = np.random.default_rng(5)
+    names = [f"w{k}" for k in range(300)] + ["É", "naïve", "日本", "3"]
+    data = []
+    for k in range(600):
+        n = 40 if k % 3 == 0 else int(rng.integers(1, 400))
+        picked = ["common"] * 20 + ["W7"] * 20 if k % 3 == 0 else [names[j] for j in (rng.zipf(1.3, n) - 1) % len(names)]
+        data.append((k * 7 % 600, " ".join(picked)))
+    return data
+
+
+def test_strata_are_passed_over_and_nothing_is_lost(spark, monkeypatch):
+    data = some_documents()
+    docs = spark.createDataFrame(data, "doc_id long, text string").repartition(5)
+    items = [(k, t) for k, t in data if k % 20 == 1] + [(k, " ".join(t.split()[:3])) for k, t in data if k % 20 == 2]
+    index = build_index(docs, segment_docs=32)
+    assert index.documents == 600 and index.segments.count() > 20
+    table = spark.createDataFrame(items, "item_id long, text string")
+    for visits in (1, 3):
+        assert rows(search(index, table, visits=visits)) == brute(data, items)
+
+
+def test_bounds_hold_and_prune(spark):
+    data = some_documents()
+    index = build_index(spark.createDataFrame(data, "doc_id long, text string"), segment_docs=32)
+    items = item_block([(1, "w250 w251"), (2, "common w7")])
+    items = items._replace(weight=lexical_search.weights(lexical_search._frequencies(index, items), 600))
+    kept = index.segments.toArrow().to_batches()
+    bounds = np.concatenate([[lexical_search._match(items, s).bound for s in lexical_search._segments(b)] for b in kept])
+    best = {1: 0, 2: 0}
+    for item, _, _, score in brute(data, [(1, "w250 w251"), (2, "common w7")], 20):
+        best[item] = max(best[item], score)
+    assert (bounds.max(axis=0) >= [best[1], best[2]]).all() and (bounds == 0).any()
+
+
+def test_bags_of_a_block():
+    texts = ["b a B", None, "", "-- a1-a1", "é É"]
+    found = [bags(b) for b in blocks(pa.array(texts), 4)]
+    every = []
+    for f in found:
+        terms, tf = f.terms.to_pylist(), f.tf.tolist()
+        every += [dict(zip(terms[a:b], tf[a:b])) for a, b in zip(f.offsets[:-1], f.offsets[1:])]
+    assert every == [{"b": 2, "a": 1}, {}, {}, {"a1": 2}, {"é": 1, "É": 1}]
+
+
+def test_empty_tables(spark, no_docs, odd_docs, items):
+    index = build_index(no_docs)
+    assert search(index, items).count() == 0
+    assert search(build_index(odd_docs), items.limit(0)).count() == 0
+
+
+def test_ids_of_other_types(spark):
+    docs = spark.createDataFrame([("b", "x y"), ("a", "x y"), (None, "x y"), ("c", "z")], "doc_id string, text string")
+    items = spark.createDataFrame([("q", "x")], "name string, body string")
+    found = search(build_index(docs), items, item_id="name", text="body")
+    assert [r[:3] for r in rows(found)] == [("q", 1, "a"), ("q", 2, "b"), ("q", 3, None)]
