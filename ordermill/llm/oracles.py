@@ -84,4 +84,71 @@ select page_id, host, path, rule,
 from judged
 """
 
-ORACLES: dict[str, str] = {"op4_jaccard_join": OP4, "op5_decontaminate": OP5, "op6_url_filter": OP6}
+OP11 = """
+select doc_id, max(doc_id) over same as keep_id, count(*) over same as group_size,
+  doc_id = max(doc_id) over same as kept, sha256(coalesce(text, '')) as text_sha256
+from documents window same as (partition by coalesce(text, ''))
+"""
+
+_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
+OP12 = f"""
+with doc as (
+  select row_number() over () as r, doc_id, regexp_extract_all({_LOWER}, '{_TERM}') as w from documents
+), item as (
+  select item_id, unnest(regexp_extract_all({_LOWER}, '{_TERM}')) as t from benchmark
+), asked as (
+  select item_id, t, count(*) as repeats from item group by all
+), total as (
+  select count(*) as n_docs, sum(len(w)) as n_terms from doc where len(w) > 0
+), posting as (
+  select r, doc_id, cast(len(w) as bigint) as n, unnest(w) as t from doc
+), counted as (
+  select r, doc_id, n, t, count(*) as tf from posting group by all
+), weight as (
+  select t, cast(floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1))) as bigint) as weight
+  from counted, total where t in (select t from asked) group by t, n_docs
+), scored as (
+  select a.item_id, c.r, c.doc_id, cast(sum(repeats * weight *
+    ((1000000000 * tf) // (1000 * tf + 12 * (75 + cast((25 * n * n_docs) // n_terms as bigint))))) as bigint) as score
+  from asked a join weight using (t) join counted c using (t), total group by all
+), ranked as (
+  select item_id, cast(row_number() over (partition by item_id order by score desc, doc_id) as integer) as rank,
+    doc_id, score from scored where score > 0
+)
+select * from ranked where rank <= 20
+"""
+
+OP13 = r"""
+with d as (
+  select doc_id, coalesce(text, '') as t, sha256('7:' || cast(doc_id as varchar)) as h,
+    regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') as u from documents
+), drawn as (
+  select *, len(u) as n,
+    cast('0x' || h[1:8] as bigint) % (len(u) + 1) as c1, cast('0x' || h[9:16] as bigint) % (len(u) + 1) as c2,
+    case when t = '' or contains(t, '<P>') or contains(t, '<S>') or contains(t, '<M>')
+        or cast('0x' || h[17:24] as bigint) % 100 >= 100 then 'plain'
+      when cast('0x' || h[25:32] as bigint) % 100 < 50 then 'spm' else 'psm' end as form
+  from d
+), cut as (
+  select *, coalesce(array_to_string(u[1:least(c1, c2)], ''), '') as p,
+    coalesce(array_to_string(u[least(c1, c2) + 1:greatest(c1, c2)], ''), '') as m,
+    coalesce(array_to_string(u[greatest(c1, c2) + 1:n], ''), '') as s from drawn
+)
+select doc_id, cast(n as bigint) as n, form,
+  case when form <> 'plain' then cast(length(p) as bigint) end as prefix_chars,
+  case when form <> 'plain' then cast(length(m) as bigint) end as middle_chars,
+  sha256(case form when 'plain' then t when 'psm' then '<P>' || p || '<S>' || s || '<M>' || m
+    else '<S>' || s || '<P>' || p || '<M>' || m end) as output_sha256,
+  sha256(case form when 'plain' then t else p || m || s end) as restored_sha256
+from cut
+"""
+
+ORACLES: dict[str, str] = {
+    "op4_jaccard_join": OP4,
+    "op5_decontaminate": OP5,
+    "op6_url_filter": OP6,
+    "op11_content_sort": OP11,
+    "op12_lexical_search": OP12,
+    "op13_fill_in_middle": OP13,
+}

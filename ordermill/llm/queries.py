@@ -9,8 +9,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ordermill.llm import (
+    content_sort,
     decontaminate,
+    fill_in_middle,
     html_extract,
+    lexical_search,
     license_scan,
     packing,
     permutation_index,
@@ -115,6 +118,25 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.with_crc32(token_files.read_documents(spark, path, "tokens"))
 
 
+def op11_content_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return content_sort.content_groups(table(spark, sf_dir, "documents"), keep="largest")
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = lexical_search.build_index(table(spark, sf_dir, "documents"))
+    return lexical_search.search(index, table(spark, sf_dir, "benchmark"))
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_in_middle.fill_in_middle(table(spark, sf_dir, "documents"), salt="7")
+    text = fill_in_middle.restored(F.col("output"), F.col("form"))
+    digests = {
+        "output_sha256": F.sha2(F.col("output").cast("binary"), 256),
+        "restored_sha256": F.sha2(text.cast("binary"), 256),
+    }
+    return made.withColumns(digests).drop("output")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -128,5 +150,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_license_scan,
         op9_packing,
         op10_token_files,
+        op11_content_sort,
+        op12_lexical_search,
+        op13_fill_in_middle,
     )
 }

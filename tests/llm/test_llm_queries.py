@@ -29,7 +29,7 @@ def database():
 
 
 def test_all_are_registered():
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{k}" for k in range(1, 11)}
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{k}" for k in range(1, 14)}
     assert set(driver.queries()) >= {*QUERIES, "pipeline"} and set(ORACLES) <= set(driver.oracle_sql())
 
 
