@@ -50,14 +50,18 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 from ordermill.llm.text import ALNUM, LOWER, Block, blocks, words
-from ordermill.scratch import materialize
+from ordermill.scratch import materialize, scratch_path
 
 TOP = 20
-SEGMENT_DOCS = 4_096
-SEGMENT_POSTINGS = 1 << 20
+SEGMENT_DOCS = 1_024
+SEGMENT_POSTINGS = 1 << 18
+#: Segments in a row group: a reader holds a whole group of such rows.
+GROUP_ROWS = 8
 FIRST_VISITS = 3
 ITEM_BYTES = 1 << 20
-ITEM_ROWS = 4_096
+ITEM_ROWS = 1_024
+#: Postings that are scored at a time.
+_EXPAND = 1 << 19
 
 
 # --- terms ------------------------------------------------------------------
@@ -216,7 +220,10 @@ def build_index(
         .sortWithinPartitions("m", "spread")
         .drop("spread")
     )
-    return Index(materialize(dealt.mapInArrow(build, schema), "segments"), documents, terms)
+    path = scratch_path(docs.sparkSession, "segments")
+    segments = dealt.mapInArrow(build, schema).write
+    segments.option("parquet.block.row.count.limit", GROUP_ROWS).parquet(path)
+    return Index(docs.sparkSession.read.schema(schema).parquet(path), documents, terms)
 
 
 # --- search -----------------------------------------------------------------
@@ -311,22 +318,38 @@ class Best:
 
 
 def _score(segment: dict, matched: Matched, wanted: np.ndarray, best: list[Best]) -> None:
-    """Score the documents of one segment for the wanted items."""
-    postings, run_tf = segment["postings"], segment["run_tf"]
+    """Score the documents of one segment for the wanted items, all at once."""
+    postings, run_tf, n_docs = segment["postings"], segment["run_tf"], len(segment["doc_ids"])
     by_tf = points(np.arange(run_tf.max() + 1), segment["m"])
-    sizes = np.diff(np.append(segment["run_at"], len(postings)))
-    gain = np.repeat(by_tf[run_tf], sizes)
-    ends = np.cumsum(segment["df"], dtype=np.int64)
-    low, high = (ends - segment["df"])[matched.place].tolist(), ends[matched.place].tolist()
-    factor = matched.factor.tolist()
-    first = np.searchsorted(matched.item, wanted).tolist()
-    stop = np.searchsorted(matched.item, wanted, side="right").tolist()
-    for which, a, b in zip(wanted.tolist(), first, stop):
-        scores = np.zeros(len(segment["doc_ids"]), dtype=np.int64)
-        for k in range(a, b):
-            # A term has a document once, so no index is repeated here.
-            scores[postings[low[k] : high[k]]] += factor[k] * gain[low[k] : high[k]]
-        best[which].offer(scores, segment["doc_ids"])
+    gain = np.repeat(by_tf[run_tf], np.diff(np.append(segment["run_at"], len(postings))))
+    number = np.full(len(best), -1)
+    number[wanted] = np.arange(len(wanted))
+    row = number[matched.item]
+    row, factor, place = (x[row >= 0] for x in (row, matched.factor, matched.place))
+    starts = np.cumsum(segment["df"], dtype=np.int64) - segment["df"]
+    sizes = segment["df"][place].astype(np.int64)
+    reach = np.cumsum(sizes)
+    scores = np.zeros(len(wanted) * n_docs, dtype=np.int64)
+    # Whole numbers below this are exact as doubles, which are added faster.
+    small = int(matched.bound.max(initial=0)) < 1 << 53
+    low = 0
+    while low < len(place):
+        high = int(np.searchsorted(reach, reach[low] - sizes[low] + _EXPAND, side="right"))
+        high = max(high, low + 1)
+        n = sizes[low:high]
+        inside = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        at = np.repeat(starts[place[low:high]], n) + inside
+        cell = np.repeat(row[low:high] * n_docs, n) + postings[at]
+        value = np.repeat(factor[low:high], n) * gain[at]
+        if small:
+            scores += np.bincount(cell, value, len(scores)).astype(np.int64)
+        else:
+            np.add.at(scores, cell, value)
+        low = high
+    table = scores.reshape(len(wanted), n_docs)
+    reached = table.max(axis=1) >= [best[k].least for k in wanted.tolist()]
+    for k in np.flatnonzero(reached).tolist():
+        best[wanted[k]].offer(table[k], segment["doc_ids"])
 
 
 def _segments(batch: pa.RecordBatch) -> list[dict]:
