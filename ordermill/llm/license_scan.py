@@ -12,9 +12,11 @@ Repeated rows are scanned each; only the id and text columns are read.
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator
 from typing import NamedTuple
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -39,6 +41,8 @@ NOTICES = {
     "permission is hereby granted free of charge": "mit",
 }
 ERROR_RATE = 0.1
+#: Notice lengths that are searched together.
+PIECE = 3
 
 _NORMAL = bytes(
     b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32
@@ -77,7 +81,7 @@ class Notice:
             at = text.find(seed)
             while at >= 0:
                 low = at - offset - self.edits
-                around.append((max(0, low), low + len(self.text) + 2 * self.edits))
+                around.append((max(0, low), min(len(text), low + len(self.text) + 2 * self.edits)))
                 at = text.find(seed, at + 1)
         joined: list[tuple[int, int]] = []
         for low, high in sorted(around):
@@ -87,53 +91,102 @@ class Notice:
                 joined.append((low, high))
         return joined
 
-    def matches(self, text: bytes, low: int, high: int) -> list[regex.Match]:
-        """The best match of a window and those before and behind it, in text order."""
+    def unedited(self, text: bytes, low: int, high: int) -> list[tuple[int, int, int]]:
+        """Exact occurrences in a window; two of them may share the blank between."""
         found = []
-        pending = [(low, min(high, len(text)))]
+        at = text.find(self.text, low, high)
+        while at >= 0:
+            found.append((0, at, at + len(self.text)))
+            at = text.find(self.text, at + len(self.text) - 1, high)
+        return found
+
+    def edited(self, text: bytes, low: int, high: int) -> list[tuple[int, int, int]]:
+        """Edits and span of the best match of a piece, and of those before and behind it."""
+        found = []
+        pending = [(low, high)]
         while pending:
             low, high = pending.pop()
             if high - low < len(self.text) - self.edits:
                 continue
             match = self.pattern.search(text, low, high)
             if match:
-                found.append(match)
-                # Two notices may share the blank between them.
                 start, stop = match.span()
+                found.append((sum(match.fuzzy_counts), start, stop))
+                # Two notices may share the blank between them.
                 pending.append((low, start + (text[start] == 32)))
                 pending.append((stop - (text[stop - 1] == 32), high))
-        return sorted(found, key=lambda m: m.start())
+        return found
+
+    def matches(self, text: bytes, low: int, high: int) -> list[tuple[int, int, int]]:
+        """Matches of a window that do not overlap, better ones first, in text order.
 
-    def places(self, text: bytes) -> Iterator[Place]:
+        Between exact occurrences, pieces of ``PIECE`` notice lengths are searched,
+        each reaching a whole notice into the next, so the time for a window follows
+        its length.
+        """
+        exact = self.unedited(text, low, high)
+        reach = len(self.text) + self.edits
+        found = []
+        for _, start, stop in [*exact, (0, high + 1, high)]:
+            # The gap before this occurrence; its blanks may be shared.
+            end = min(high, start + 1)
+            while end - low >= len(self.text) - self.edits:
+                found += self.edited(text, low, min(end, low + PIECE * reach))
+                if low + PIECE * reach >= end:
+                    break
+                low += (PIECE - 1) * reach
+            low = stop - 1
+        chosen = exact
+        taken = [(start, stop) for _, start, stop in exact]
+        for edits, start, stop in sorted(set(found)):
+            k = bisect_left(taken, (start, stop))
+            left = k == 0 or self._apart(text, taken[k - 1], (start, stop))
+            if left and (k == len(taken) or self._apart(text, (start, stop), taken[k])):
+                taken.insert(k, (start, stop))
+                chosen.append((edits, start, stop))
+        return sorted(chosen, key=lambda m: m[1])
+
+    @staticmethod
+    def _apart(text: bytes, left: tuple[int, int], right: tuple[int, int]) -> bool:
+        """Whether two spans overlap by no more than a blank."""
+        return left[1] <= right[0] or (left[1] == right[0] + 1 and text[right[0]] == 32)
+
+    def places(self, text: bytes, blanks: np.ndarray | None = None) -> Iterator[Place]:
+        """Notices of a text; ``blanks`` are the places of its blanks."""
+        if blanks is None:
+            blanks = blank_places(text)
         for low, high in self.windows(text):
-            for found in self.matches(text, low, high):
-                edits = sum(found.fuzzy_counts)
-                start, stop = found.span()
+            for edits, start, stop in self.matches(text, low, high):
                 said = text[start:stop].strip(b" ")
                 start += text[start:stop].find(said)
+                first, last = np.searchsorted(blanks, (start, start + len(said))).tolist()
                 yield Place(
                     self.label,
-                    text.count(b" ", 0, start) - 1,
-                    text.count(b" ", 0, start + len(said)),
+                    first - 1,
+                    last,
                     edits,
                     1 - edits / len(self.text),
                     said.decode(errors="replace"),
                 )
 
 
+def blank_places(text: bytes) -> np.ndarray:
+    return np.flatnonzero(np.frombuffer(text, dtype=np.uint8) == 32)
+
+
 def normal_words(text: str | None) -> list[bytes]:
     """Lower-cased words ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+``."""
     return (text or "").encode().translate(_NORMAL).split()
 
 
-def phrase_places(text: bytes, phrase: bytes) -> list[int]:
+def phrase_places(text: bytes, phrase: bytes, blanks: np.ndarray) -> list[int]:
     """Numbers of the words at which a phrase starts."""
     places = []
     at = text.find(phrase)
     while at >= 0:
-        places.append(text.count(b" ", 0, at))
+        places.append(at)
         at = text.find(phrase, at + 1)
-    return places
+    return np.searchsorted(blanks, places).tolist()
 
 
 _SPAN = pa.struct(
@@ -168,11 +221,12 @@ def scan_licenses(
             for cell in batch.column("text"):
                 found = normal_words(cell.as_py())
                 whole = b" " + b" ".join(found) + b" "
+                blanks = blank_places(whole)
                 counts.append(len(found))
                 bases.append(
-                    [{"label": b, "start": k} for p, b in exact for k in phrase_places(whole, p)]
+                    [{"label": b, "start": k} for p, b in exact for k in phrase_places(whole, p, blanks)]
                 )
-                spans.append([x._asdict() for notice in fuzzy for x in notice.places(whole)])
+                spans.append([x._asdict() for notice in fuzzy for x in notice.places(whole, blanks)])
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),

@@ -1,5 +1,7 @@
 import random
+import time
 
+import pytest
 import regex
 
 from ordermill.llm.license_scan import NOTICES, PHRASES, Notice, license_digest, normal_words, scan_licenses
@@ -62,3 +64,41 @@ def test_a_weaker_notice_before_a_better_one_is_found():
     assert [(p.start, p.stop, p.edits) for p in notice.places(said)] == [(1, 6, 2), (7, 12, 0)]
     weak = b" releesed undor the mit license relesed under the mit license" * 3
     assert [p.edits for p in notice.places(weak + b" released under the mit license ")] == [2, 1] * 3 + [0]
+
+
+def slowly(notice, text):
+    """The best match of the whole text, then those before and behind it."""
+    found, pending = [], [(0, len(text))]
+    while pending:
+        low, high = pending.pop()
+        if high - low < len(notice.text) - notice.edits:
+            continue
+        match = notice.pattern.search(text, low, high)
+        if match:
+            start, stop = match.span()
+            said = text[start:stop].strip(b" ")
+            start += text[start:stop].find(said)
+            found.append((text.count(b" ", 0, start) - 1, text.count(b" ", 0, start + len(said)), sum(match.fuzzy_counts)))
+            pending += [(low, match.start() + (text[match.start()] == 32)), (stop - (text[stop - 1] == 32), high)]
+    return sorted(found)
+
+
+def test_repeated_notices_give_the_spans_of_a_search_of_the_whole():
+    rng = random.Random(8)
+    for text, label in list(NOTICES.items())[:4]:
+        notice = Notice(text, label, 0.1)
+        for between in ("", " and", " so it is said of many other things here"):
+            said = "".join(f" {mutated(rng, text, rng.choice([0, 0, 1, 2]))}{between}" for _ in range(12)).encode() + b" "
+            assert [(p.start, p.stop, p.edits) for p in notice.places(said)] == slowly(notice, said)
+
+
+@pytest.mark.parametrize("edits", [0, 2])
+def test_a_megabyte_of_notices_takes_seconds(edits):
+    rng = random.Random(2)
+    notice = Notice("released under the mit license", "mit", 0.1)
+    some = b"".join(f" {mutated(rng, 'released under the mit license', edits)}".encode() for _ in range(1_000))
+    text = some * 33 + b" "
+    start = time.process_time()
+    found = list(notice.places(text))
+    assert time.process_time() - start < 10 and len(found) >= 32_000
+    assert found[-1].stop <= text.count(b" ")
