@@ -17,6 +17,7 @@ from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -24,28 +25,43 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ordermill.llm.text import ALNUM, LOWER, blocks, span_hashes, words
+from ordermill.llm.text import ALNUM, LOWER, blocks, mix, span_hashes, words
 from ordermill.scratch import materialize
 
 WINDOW = 13
-#: Bytes of benchmark text in one broadcast. A larger benchmark takes several passes.
+#: Bytes of benchmark text in one broadcast; a larger benchmark takes several passes. A
+#: word is two bytes or more with its separator, so this bounds the windows as well.
 PACK_BYTES = 16 << 20
 _TABLE = 1 << 16
 _LANE = 512
 _EXPAND = 1 << 20
 
 
-def item_words(text: str | None) -> list[bytes]:
-    """A-Z lower-cased words ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+``."""
-    if not text:
-        return []
-    raw = text.encode()
-    for block in blocks(pa.array([text]), len(raw)):
+class Words(NamedTuple):
+    """Words of many items: numbers in a vocabulary, and where they stand in ``text``."""
+
+    text: np.ndarray
+    starts: np.ndarray
+    ends: np.ndarray
+    symbols: np.ndarray
+    first: np.ndarray
+    vocabulary: pa.Array
+
+
+def item_words(texts: list[str | None]) -> Words:
+    """A-Z lower-cased words ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` of items."""
+    column = pa.array(texts, type=pa.large_string())
+    none = np.zeros(0, dtype=np.int64)
+    for block in blocks(column, 1 << 62):
         data = LOWER[block.data]
         found = words(block, data, ALNUM)
-        whole = data.tobytes()
-        return [whole[a:b] for a, b in zip(found.starts.tolist(), found.ends.tolist())]
-    return []
+        at = np.append(0, np.cumsum(found.ends - found.starts))
+        inside = pa.py_buffer(data[ALNUM[data]])
+        every = pa.LargeStringArray.from_buffers(len(found.starts), pa.py_buffer(at), inside)
+        coded = every.dictionary_encode()
+        symbols = coded.indices.to_numpy(zero_copy_only=False).astype(np.int32) + 1
+        return Words(data, found.starts, found.ends, symbols, found.first, coded.dictionary)
+    return Words(none, none, none, none.astype(np.int32), np.zeros(1, np.int64), pa.array([], pa.large_string()))
 
 
 def _block_slot(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -53,23 +69,42 @@ def _block_slot(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 class WindowGroup:
-    """Windows of one length with their shift table and suffix buckets."""
+    """Different windows of one length with their shift table and suffix buckets.
 
-    def __init__(self, length: int, texts: list[bytes], symbols: np.ndarray) -> None:
-        self.length, self.texts, self.symbols = length, texts, symbols
+    A window is where it begins among the words of all items; ``owners`` are numbers
+    of items, those of window k from ``owned[k]`` to ``owned[k + 1]``.
+    """
+
+    def __init__(self, length: int, symbols: np.ndarray, begins: np.ndarray, items: np.ndarray) -> None:
+        self.length = length
         self.block = min(2, length)
+        # Equal windows become neighbours: by a hash, told apart by their words.
+        hashes = np.zeros(len(begins), dtype=np.uint64)
+        for k in range(length):
+            hashes = mix(hashes + symbols[begins + k].astype(np.uint64))
+        order = np.lexsort((items, hashes))
+        begins, items, hashes = begins[order], items[order], hashes[order]
+        new = np.append(True, hashes[1:] != hashes[:-1])
+        for k in range(length):
+            new[1:] |= symbols[begins[1:] + k] != symbols[begins[:-1] + k]
+        self.begins = begins[new].astype(np.int32)
+        # An item that repeats a window owns it once.
+        first = new | np.append(True, items[1:] != items[:-1])
+        self.owners = items[first].astype(np.int32)
+        self.owned = np.append(np.flatnonzero(new[first]), len(self.owners)).astype(np.int32)
         widest = length - self.block + 1
         self.shift = np.full(_TABLE, widest, dtype=np.int32)
+        # Later blocks allow smaller jumps, and overwrite.
         for end in range(self.block - 1, length):
-            slots = self.slots(symbols, end)
-            np.minimum.at(self.shift, slots, length - 1 - end)
+            self.shift[self.slots(symbols, end)] = length - 1 - end
         last = self.slots(symbols, length - 1)
-        self.order = np.argsort(last, kind="stable")
+        self.order = np.argsort(last, kind="stable").astype(np.int32)
         self.bucket = np.searchsorted(last[self.order], np.arange(_TABLE + 1))
 
     def slots(self, symbols: np.ndarray, end: int) -> np.ndarray:
-        before = symbols[:, end - 1] if self.block == 2 else np.zeros(len(symbols), np.int32)
-        return _block_slot(before, symbols[:, end])
+        here = symbols[self.begins + end]
+        before = symbols[self.begins + end - 1] if self.block == 2 else np.zeros_like(here)
+        return _block_slot(before, here)
 
     def slots_at(self, text: np.ndarray, ends: np.ndarray) -> np.ndarray:
         before = text[ends - 1] if self.block == 2 else np.zeros(len(ends), np.int32)
@@ -98,7 +133,9 @@ class WindowGroup:
             at, stop = at[going], stop[going]
         return np.concatenate(found) if found else np.zeros(0, dtype=np.int64)
 
-    def matches(self, text: np.ndarray, first: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    def matches(
+        self, text: np.ndarray, first: np.ndarray, symbols: np.ndarray
+    ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """(end of the window in the text, window number), word by word equal."""
         ends = self.candidates(text, first)
         slots = self.slots_at(text, ends) if len(ends) else ends
@@ -113,7 +150,7 @@ class WindowGroup:
             inside = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
             which = self.order[np.repeat(self.bucket[slots[low:high]], n) + inside]
             for k in range(self.length):
-                same = text[at - k] == self.symbols[which, self.length - 1 - k]
+                same = text[at - k] == symbols[self.begins[which] + (self.length - 1 - k)]
                 at, which = at[same], which[same]
             if len(at):
                 yield at, which
@@ -121,40 +158,32 @@ class WindowGroup:
 
 
 class Matcher:
-    """All windows of a pack of items."""
+    """All windows of a pack of items, in arrays: made once and sent to the workers."""
 
     def __init__(self, items: list[tuple[object, str | None]], size: int = WINDOW) -> None:
-        owners: dict[tuple[bytes, ...], set] = defaultdict(set)
-        for item, text in items:
-            found = item_words(text)
-            for start in range(max(0, len(found) - size) + 1 if found else 0):
-                owners[tuple(found[start : start + size])].add(item)
-        vocabulary = sorted({w for window in owners for w in window})
-        blob = b" ".join(vocabulary)
-        data = np.frombuffer(blob, dtype=np.uint8)
-        lengths = np.array([len(w) for w in vocabulary], dtype=np.int64)
-        starts = np.cumsum(lengths + 1) - lengths - 1
-        hashes = span_hashes(data, starts, starts + lengths) if len(data) else np.zeros(0, np.uint64)
+        self.items = [None if i is None else str(i) for i, _ in items]
+        found = item_words([text for _, text in items])
+        self.text, self.symbols = found.text, found.symbols
+        self.starts, self.ends = found.starts.astype(np.int32), found.ends.astype(np.int32)
+        vocabulary = found.vocabulary
+        at = np.frombuffer(vocabulary.buffers()[1], dtype=np.int64)[: len(vocabulary) + 1] if len(vocabulary) else np.zeros(1, np.int64)
+        data = np.frombuffer(vocabulary.buffers()[2], dtype=np.uint8) if len(vocabulary) else np.zeros(0, np.uint8)
+        hashes = span_hashes(data, at[:-1], at[1:]) if len(data) else np.zeros(0, np.uint64)
         order = np.argsort(hashes, kind="stable")
         self.hashes = hashes[order]
         self.numbers = (order + 1).astype(np.int32)
         self.seen = np.zeros(1 << 16, dtype=bool)
         self.seen[(self.hashes >> np.uint64(48)).astype(np.int64)] = True
-        number = {w: k + 1 for k, w in enumerate(vocabulary)}
-        by_length: dict[int, list[tuple[bytes, ...]]] = defaultdict(list)
-        for window in sorted(owners):
-            by_length[len(window)].append(window)
+        n_words = np.diff(found.first)
+        n_windows = np.where(n_words > 0, np.maximum(n_words - size, 0) + 1, 0)
+        item = np.repeat(np.arange(len(items)), n_windows)
+        begins = np.repeat(found.first[:-1], n_windows) + (
+            np.arange(n_windows.sum()) - np.repeat(np.cumsum(n_windows) - n_windows, n_windows)
+        )
+        length = np.minimum(n_words, size)[item]
         self.groups = [
-            WindowGroup(
-                length,
-                [b" ".join(w) for w in windows],
-                np.array([[number[x] for x in w] for w in windows], dtype=np.int32),
-            )
-            for length, windows in sorted(by_length.items())
-        ]
-        self.owners = [
-            [sorted(str(i) for i in owners[w] if i is not None) for w in by_length[g.length]]
-            for g in self.groups
+            WindowGroup(int(m), self.symbols, begins[length == m], item[length == m])
+            for m in np.unique(length)
         ]
 
     def numbered(self, hashes: np.ndarray) -> np.ndarray:
@@ -176,20 +205,25 @@ class Matcher:
         text = self.numbered(span_hashes(data, found.starts, found.ends))
         spans: dict[int, list] = defaultdict(list)
         items: dict[int, set] = defaultdict(set)
-        for group, owners in zip(self.groups, self.owners):
-            for ends, which in group.matches(text, found.first):
+        for group in self.groups:
+            for ends, which in group.matches(text, found.first, self.symbols):
                 rows = np.searchsorted(found.first, ends, side="right") - 1
                 for end, k, row in zip(ends.tolist(), which.tolist(), rows.tolist()):
-                    start = end - group.length + 1
-                    said = b" ".join(
-                        data[a:b].tobytes()
-                        for a, b in zip(found.starts[start : end + 1], found.ends[start : end + 1])
-                    )
-                    if said == group.texts[k]:
+                    start, begin = end - group.length + 1, int(group.begins[k])
+                    if all(
+                        data[a:b].tobytes() == self.text[c:d].tobytes()
+                        for a, b, c, d in zip(
+                            found.starts[start : end + 1], found.ends[start : end + 1],
+                            self.starts[begin : begin + group.length],
+                            self.ends[begin : begin + group.length],
+                        )
+                    ):
                         base = int(found.first[row])
                         spans[row].append((start - base, end - base + 1))
-                        items[row].update(owners[k])
-        return n_words, spans, items
+                        owners = group.owners[group.owned[k] : group.owned[k + 1]]
+                        items[row].update(owners.tolist())
+        named = {row: {self.items[k] for k in own} - {None} for row, own in items.items()}
+        return n_words, spans, named
 
 
 def merged(spans: list) -> list[tuple[int, int]]:
@@ -214,17 +248,15 @@ _FOUND = [
 
 def _pass(df: DataFrame, items: list, size: int, keep_text: bool) -> DataFrame:
     """Adds the spans and items of one pack to those found before."""
-    shared = df.sparkSession.sparkContext.broadcast(items)
+    shared = df.sparkSession.sparkContext.broadcast(Matcher(items, size))
     schema = T.StructType([df.schema["row"], *[df.schema["text"]] * keep_text, *_FOUND])
-    matchers: list[Matcher] = []
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if not matchers:
-            matchers.append(Matcher(shared.value, size))
+        matcher = shared.value
         for batch in batches:
             for block in blocks(batch.column("text")):
                 part = batch.slice(block.first, block.rows)
-                n_words, spans, found = matchers[0].search(block)
+                n_words, spans, found = matcher.search(block)
                 old_spans = part.column("spans").to_pylist()
                 old_items = part.column("items").to_pylist()
                 for row in range(block.rows):
