@@ -7,7 +7,8 @@ are kept small, and every page is in the file's page index, so single documents
 and the columns without ids can be read on their own.
 
 A null text is empty and has the end id alone. Repeated rows are written each,
-rows of one id in the order of their texts; rows without an id come first. An
+rows of one id in the order of a hash of their texts, so that one id may fill many
+ranges; rows without an id come first. An
 empty table makes files without rows. Only the id and text columns are read.
 """
 
@@ -64,7 +65,14 @@ def tokenized(
                 before += int(ends[-1])
 
     chosen = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    dealt = chosen.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    # An id with many rows is cut by their texts, and equal rows in turn.
+    keys = {"hash": F.xxhash64("text"), "turn": F.monotonically_increasing_id()}
+    dealt = (
+        chosen.withColumns(keys)
+        .repartitionByRange("doc_id", "hash", "turn")
+        .sortWithinPartitions("doc_id", "hash", "text")
+        .select("doc_id", "text")
+    )
     return dealt.mapInArrow(encode, FILE_COLUMNS.replace("doc_id long", f"doc_id {kind}"))
 
 
