@@ -49,16 +49,17 @@ def kept(df: DataFrame, name: str = "kept") -> Iterator[DataFrame]:
     try:
         yield spark.read.schema(df.schema).parquet(path)
     finally:
-        place, store = _in_store(spark, path)
+        place, store = in_store(spark, path)
         store.delete(place, True)
 
 
 def holds_files(spark: SparkSession, path: str) -> bool:
     """Whether a folder is there and not empty, in whatever store."""
-    place, store = _in_store(spark, path)
+    place, store = in_store(spark, path)
     return bool(store.exists(place)) and len(store.listStatus(place)) > 0
 
 
-def _in_store(spark: SparkSession, path: str) -> tuple:
+def in_store(spark: SparkSession, path: str) -> tuple:
+    """A path and its file system, as Hadoop objects."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     return place, place.getFileSystem(spark._jsc.hadoopConfiguration())

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ordermill.operators.events import conform
-from ordermill.schemas import clients_address_schema
+from ordermill.schemas import clients_address_schema, order_event_schema
+from ordermill.sources.runs import append_run, read_runs
 
 # Formats that carry their own schema, so there is nothing to infer.
 SELF_DESCRIBING = ("delta", "parquet", "orc")
@@ -70,13 +71,16 @@ def append_events(
     format: str = "parquet",
     *,
     by_date: bool = False,
+    run: str | None = None,
     options: dict[str, str] | None = None,
-) -> None:
+) -> bool:
     """Append order events to a table, all in one write.
 
-    ``by_date`` partitions the files by order date. File formats other than
-    Delta do not undo an append that fails half-way; the stream does (see
-    ``stream_orders``).
+    ``by_date`` partitions the files by order date. With ``run`` the events come in
+    whole or not at all, and once however often the call is repeated; False if the
+    table has them already, and ``read_events`` reads the table. Without ``run``
+    file formats do not undo an append that fails half-way, and a repeated call
+    appends again.
     """
     events = conform(events)
     partition_by = None
@@ -87,9 +91,22 @@ def append_events(
         ).hint("rebalance", "order_date")
         partition_by = ["order_date"]
     try:
+        if run is not None and format.lower() == "delta":
+            # Delta takes each number of an application only once.
+            options = {**(options or {}), "txnAppId": run, "txnVersion": "0"}
+        elif run is not None:
+            return append_run(
+                events, path, run, format, partition_by=partition_by, options=options
+            )
         write_table(events, path, format, "append", options, partition_by)
     except Exception as error:
         raise RuntimeError(f"cannot append events to {path}: {error}") from error
+    return True
+
+
+def read_events(spark: SparkSession, path: str) -> DataFrame:
+    """The events of a table that was appended to by runs."""
+    return read_runs(spark, path, order_event_schema)
 
 
 def read_dimensions(
