@@ -15,6 +15,7 @@ from ordermill.functions.draws import (
     reciprocal_choice,
     reciprocal_weights,
 )
+from ordermill.functions.exact import exact_sum, exact_total
 from ordermill.functions.totals import (
     item_total,
     measure_or_one,
@@ -26,6 +27,8 @@ __all__ = [
     "date_text",
     "destination_address",
     "draw",
+    "exact_sum",
+    "exact_total",
     "has_text_field",
     "item_total",
     "json_bytes",

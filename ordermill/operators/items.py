@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ordermill.functions.exact import exact_sum
 from ordermill.functions.totals import measure_or_one
 from ordermill.operators.groups import collect_entries
 from ordermill.operators.joins import lookup_join
@@ -51,8 +52,9 @@ def _head() -> Column:
     return F.min(F.struct(missing, "product_name", "price"))
 
 
-def _unit(measure: str) -> Column:
-    return F.sum(
+def _unit(measure: str, exact: bool) -> Column:
+    add = exact_sum if exact else F.sum
+    return add(
         F.when(
             F.col("component_pos").isNotNull(),
             F.col("package_quantity").cast("double") * measure_or_one(F.col(measure)),
@@ -77,9 +79,16 @@ def _named(df: DataFrame) -> DataFrame:
 
 
 def product_measures(
-    products: DataFrame, packages: DataFrame, *, packages_small: bool | None = None
+    products: DataFrame,
+    packages: DataFrame,
+    *,
+    packages_small: bool | None = None,
+    exact: bool = False,
 ) -> DataFrame:
-    """One flat row per product: price, and volume and weight of one piece."""
+    """One flat row per product: price, and volume and weight of one piece.
+
+    ``exact`` sums do not depend on the order of rows.
+    """
     components = component_measures(
         products, packages, keep_empty=True, packages_small=packages_small
     )
@@ -89,8 +98,8 @@ def product_measures(
         .agg(
             _head().alias("head"),
             F.max(_quantity_missing()).alias("has_null"),
-            _unit("volume").alias("unit_volume"),
-            _unit("weight").alias("unit_weight"),
+            _unit("volume", exact).alias("unit_volume"),
+            _unit("weight", exact).alias("unit_weight"),
         )
     )
 

@@ -19,6 +19,7 @@ from ordermill.functions.documents import (
     payment_details,
     timestamp_text,
 )
+from ordermill.functions.exact import exact_sum
 from ordermill.functions.totals import item_total, package_measure_total
 from ordermill.operators.groups import collect_entries, number_parts, one_per_key
 from ordermill.operators.joins import lookup_join
@@ -35,6 +36,8 @@ UNKNOWN_PRODUCT = "unknown_product"
 EMPTY_PRODUCT = "empty_product"
 NULL_VALUE = "null_value"
 UNKNOWN_CLIENT = "unknown_client"
+# Lines of a stream that came after their order was closed.
+LATE_LINE = "late_line"
 
 
 class Orders(NamedTuple):
@@ -141,25 +144,29 @@ def order_totals(
     *,
     on_empty: str = "drop_order",
     small: bool | None = None,
+    exact: bool = False,
 ) -> Orders:
     """Totals per order from flat rows (``measures`` from ``product_measures``).
 
     Nothing is collected: lines are summed before they are shuffled by order, so
-    an order of any size will do.
+    an order of any size will do. Sums of doubles depend on the order of rows in
+    their last bits; with ``exact``, here and for the measures, they do not, and
+    equal those of ``order_documents`` with ``exact``.
     """
     _check_policy(on_empty)
     narrow = lines.select("order_id", "product_id", "quantity")
     measured = _line_flags(attach_products(narrow, measures, small=small), on_empty)
     quantity = F.when(F.col("kept"), F.col("quantity").cast("double"))
+    add = exact_sum if exact else F.sum
     totals = (
         measured.where(F.col("order_id").isNotNull())
         .groupBy("order_id")
         .agg(
             F.count(F.lit(1)).alias("n_lines"),
             F.count_if("kept").alias("n_kept"),
-            F.sum(quantity * F.col("price")).alias("total_amount"),
-            F.sum(quantity * F.coalesce("unit_volume", F.lit(0.0))).alias("total_volume"),
-            F.sum(quantity * F.coalesce("unit_weight", F.lit(0.0))).alias("total_weight"),
+            add(quantity * F.col("price")).alias("total_amount"),
+            add(quantity * F.coalesce("unit_volume", F.lit(0.0))).alias("total_volume"),
+            add(quantity * F.coalesce("unit_weight", F.lit(0.0))).alias("total_weight"),
             *[F.max(flag).alias(flag) for flag in FLAGS],
         )
         .withColumn("n_items", F.col("n_kept"))
@@ -174,6 +181,7 @@ def _documents(
     max_packages: int | None,
     items_small: bool | None,
     headers: DataFrame | None = None,
+    exact: bool = False,
 ) -> DataFrame:
     """One row per order, or per part: items, totals, flags, counts and header.
 
@@ -188,22 +196,33 @@ def _documents(
             return rows.withColumn("header", F.lit(None).cast("boolean"))
         return rows.unionByName(headers, allowMissingColumns=True)
 
-    if items_small:
-        # Shuffle the narrow rows; the wide items are added behind that.
-        rows = attach_products(with_headers(rows).repartition("order_id"), items, small=True)
-    else:
-        rows = with_headers(attach_products(rows, items, small=items_small))
     is_line = F.col("header").isNull()
-    rows = _line_flags(rows, on_empty)
-    keys = ["order_id"]
-    if max_packages is not None:
-        weight = F.when(is_line, F.greatest(F.lit(1), F.size("packages"))).otherwise(0)
+
+    def numbered(rows: DataFrame, packages: Column) -> DataFrame:
+        """Rows with the part that each belongs to, if orders come in parts."""
+        if max_packages is None:
+            return rows
+        weight = F.when(is_line, F.greatest(F.lit(1), packages)).otherwise(0)
         rows = number_parts(
             rows.withColumn("pos", F.coalesce("pos", F.lit(0))),
             "order_id", "pos", ["product_id", "quantity"], weight, max_packages,
         )
-        rows = rows.withColumn("part", F.when(is_line, F.col("part")).otherwise(0))
-        keys = ["order_id", "part"]
+        return rows.withColumn("part", F.when(is_line, F.col("part")).otherwise(0))
+
+    keys = ["order_id"] if max_packages is None else ["order_id", "part"]
+    if items_small:
+        # Shuffle the narrow rows, by part if there are parts, so that no task holds
+        # an order; the wide items are added behind that.
+        rows = with_headers(rows)
+        if max_packages is not None:
+            sizes = items.select("product_id", F.size("packages").alias("n_packages"))
+            rows = numbered(attach_products(rows, sizes, small=True), F.col("n_packages"))
+            rows = rows.drop("n_packages")
+        rows = attach_products(rows.repartition(*keys), items, small=True)
+    else:
+        rows = with_headers(attach_products(rows, items, small=items_small))
+        rows = numbered(rows, F.size("packages"))
+    rows = _line_flags(rows, on_empty)
     item = F.struct("product_id", "product_name", "price", "quantity", "packages")
     documents = rows.groupBy(*keys).agg(
         collect_entries(
@@ -223,9 +242,9 @@ def _documents(
     measured = documents.withColumns(
         {
             "n_items": F.size("items").cast("bigint"),
-            "total_amount": item_total(F.col("items")),
-            "total_volume": package_measure_total(F.col("items"), "volume"),
-            "total_weight": package_measure_total(F.col("items"), "weight"),
+            "total_amount": item_total(F.col("items"), exact=exact),
+            "total_volume": package_measure_total(F.col("items"), "volume", exact=exact),
+            "total_weight": package_measure_total(F.col("items"), "weight", exact=exact),
         }
     )
     numbers = ["part", "n_parts", "n_lines", "n_kept", "n_items"]
@@ -258,6 +277,7 @@ def order_documents(
     on_empty: str = "drop_order",
     max_packages: int | None = None,
     items_small: bool | None = None,
+    exact: bool = False,
 ) -> Orders:
     """Fold lines (``order_id, pos, product_id, quantity``) to nested orders.
 
@@ -265,9 +285,10 @@ def order_documents(
     orders do not fit a row may ask for parts of about ``max_packages`` packages:
     consecutive runs of ``pos``, each with the totals of its own items, so sums
     over parts are those of the order. All results have ``part`` and ``n_parts``.
+    ``exact`` totals do not depend on the order of rows.
     """
     _check_policy(on_empty)
-    documents = _documents(lines, items, on_empty, max_packages, items_small)
+    documents = _documents(lines, items, on_empty, max_packages, items_small, exact=exact)
     checked = documents.drop("header").withColumn("reason", _reason(on_empty))
     return split_checked(checked, without_id(lines))
 
@@ -283,6 +304,7 @@ def check_orders(
     max_packages: int | None = None,
     items_small: bool | None = None,
     addresses_small: bool | None = None,
+    exact: bool = False,
 ) -> DataFrame:
     """Complete orders, accepted and rejected together; null ``reason``: accepted."""
     _check_policy(on_empty)
@@ -302,6 +324,7 @@ def check_orders(
         max_packages,
         items_small,
         headers.select("order_id", header.alias("header")),
+        exact,
     )
     no_client = F.col("header.known_client").isNull()
     return documents.select(
