@@ -29,6 +29,8 @@ from ordermill.operators.orders import (
     split_checked,
 )
 from ordermill.operators.sampling import RowIndex, dense_index, draw_rows
+from ordermill.operators.skew import hot_join, hot_keys
+from ordermill.operators.validate import document_faults, validate_documents
 
 __all__ = [
     "Orders",
@@ -42,10 +44,13 @@ __all__ = [
     "compose_orders",
     "conform",
     "dense_index",
+    "document_faults",
     "draw_rows",
     "event_ids",
     "explode_components",
     "fits_broadcast",
+    "hot_join",
+    "hot_keys",
     "lookup_by_key",
     "lookup_join",
     "number_parts",
@@ -57,4 +62,5 @@ __all__ = [
     "split_valid",
     "to_envelope",
     "to_events",
+    "validate_documents",
 ]

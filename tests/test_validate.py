@@ -1,0 +1,144 @@
+import json
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ordermill.operators import document_faults, validate_documents
+from ordermill.schemas import order_event_schema
+from ordermill.sources import read_damaged
+from tests.conftest import rows
+from tests.test_events import EVENT
+
+NAMES = T.ArrayType(T.StructType().add("n", T.IntegerType()))
+SCHEMA = (
+    T.StructType()
+    .add("id", T.LongType(), nullable=False)
+    .add("name", T.StringType())
+    .add("small", T.ByteType())
+    .add("share", T.DoubleType())
+    .add("price", T.DecimalType(5, 2))
+    .add("ok", T.BooleanType())
+    .add("day", T.DateType())
+    .add("at", T.TimestampType())
+    .add("tags", T.ArrayType(T.StringType()))
+    .add("place", T.StructType().add("lat", T.DoubleType()).add("names", NAMES))
+)
+
+
+def faults(spark, texts, schema=SCHEMA, **options):
+    df = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "k int, body string")
+    found = df.select("k", document_faults(schema, **options)(F.col("body")).alias("f")).collect()
+    return [[(x.path, x.reason) for x in r.f] for r in sorted(found)]
+
+
+CASES = [
+    ('{"id": 1}', []),
+    ('{"id": 1, "name": null, "tags": [], "place": {}}', []),
+    ('{"id": 1, "name": "x", "small": 127, "share": 3, "price": 1.25, "ok": false, "day": "2024-02-29", "at": "2024-01-01 10:00:00", "tags": ["a", null], "place": {"lat": 1e3, "names": [{"n": 1}]}}', []),
+    (None, [("$", "not_json")]),
+    ("", [("$", "not_json")]),
+    ('{"id": 1', [("$", "not_json")]),
+    ("[1]", [("$", "not_object")]),
+    ('{"id": 1}}', [("$", "not_json")]),
+    ('{"id": 1}]', [("$", "not_json")]),
+    ('{"id": 1} x', [("$", "not_json")]),
+    ('{"id": 1}, {"id": 2}', [("$", "not_json")]),
+    ('{"id": 1}, "b": 2', [("$", "not_json")]),
+    (' \n{"id": 1} ', []),
+    (" ", [("$", "not_json")]),
+    ("null", [("$", "not_object")]),
+    ("{}", [("$.id", "absent")]),
+    ('{"id": null}', [("$.id", "null")]),
+    ('{"id": "1"}', [("$.id", "not_number")]),
+    ('{"id": 1.5}', [("$.id", "not_whole")]),
+    ('{"id": 1e2}', [("$.id", "not_whole")]),
+    ('{"id": 9223372036854775808}', [("$.id", "out_of_range")]),
+    ('{"id": -9223372036854775808}', []),
+    ('{"id": 1, "small": 128}', [("$.small", "out_of_range")]),
+    ('{"id": 1, "small": -129}', [("$.small", "out_of_range")]),
+    ('{"id": 1, "price": 1234.5}', [("$.price", "out_of_range")]),
+    ('{"id": 1, "name": 5}', [("$.name", "not_text")]),
+    ('{"id": 1, "ok": "true"}', [("$.ok", "not_boolean")]),
+    ('{"id": 1, "day": "2024-02-30"}', [("$.day", "not_a_date")]),
+    ('{"id": 1, "at": "noon"}', [("$.at", "not_a_time")]),
+    ('{"id": 1, "tags": "a"}', [("$.tags", "not_array")]),
+    ('{"id": 1, "tags": ["a", 2, {}]}', [("$.tags[1]", "not_text"), ("$.tags[2]", "not_text")]),
+    ('{"id": 1, "place": []}', [("$.place", "not_object")]),
+    ('{"id": 1, "place": {"lat": true, "names": [{"n": 1}, {"n": "x"}, 7, {}]}}',
+     [("$.place.lat", "not_number"), ("$.place.names[1].n", "not_number"), ("$.place.names[2]", "not_object")]),
+]
+
+
+def test_faults_with_paths(spark):
+    assert faults(spark, [t for t, _ in CASES]) == [f for _, f in CASES]
+
+
+def test_required_and_unexpected_fields(spark):
+    texts = ['{"id": 1, "place": {"names": [{}, {"n": null}, {"n": 1, "x": 2}]}, "z": 1, "a": 2}', '{"id": 1}']
+    options = {"required": ["place.names[].n", "place.lat"], "strict": True}
+    assert faults(spark, texts, **options) == [
+        [("$.place.lat", "absent"), ("$.place.names[0].n", "absent"), ("$.place.names[1].n", "null"),
+         ("$.place.names[2].x", "unexpected"), ("$.a", "unexpected"), ("$.z", "unexpected")],
+        [],
+    ]
+    with pytest.raises(ValueError, match="nothing"):
+        document_faults(SCHEMA, required=["place.nothing"])
+    with pytest.raises(ValueError, match="map"):
+        faults(spark, ["{}"], T.StructType.fromDDL("m map<string,int>"))
+
+
+def test_names_with_odd_characters(spark):
+    schema = T.StructType([T.StructField("a b's", T.LongType()), T.StructField("x.y", T.LongType())])
+    assert faults(spark, ['{"a b\'s": "t", "x.y": 1}', '{"a b\'s": 1, "x.y": "t"}'], schema) == [
+        [("$.a b's", "not_number")], [("$.x.y", "not_number")],
+    ]
+
+
+def test_order_events(spark):
+    broken = json.loads(json.dumps(EVENT))
+    broken["order_details"]["items"][0]["quantity"] = "two"
+    del broken["order_id"]
+    df = spark.createDataFrame([(1, json.dumps(EVENT)), (2, json.dumps(broken))], "k int, body string")
+    valid = validate_documents(df, "body", order_event_schema, required=["order_id"], strict=True)
+    (good,) = valid.accepted.collect()
+    assert good.k == 1 and good.document.asDict(recursive=True) == EVENT
+    (bad,) = valid.rejected.collect()
+    assert bad.k == 2 and {(f.path, f.reason) for f in bad.faults} == {
+        ("$.order_id", "absent"), ("$.order_details.items[0].quantity", "not_number"),
+    }
+    assert "Python" not in valid.rejected._jdf.queryExecution().toString()
+
+
+FLAT = T.StructType().add("a", T.IntegerType()).add("b", T.StringType()).add("c", T.DateType())
+
+
+@pytest.mark.parametrize("options", [{}, {"header": "true"}])
+def test_damaged_csv(spark, tmp_path, options):
+    lines = ["1,x,2024-01-01", "2,,", "x,y,2024-01-01", "3,z", "4,z,2024-01-02,more", '5,"q,r",2024-01-03', "6,x,never", "", "7,7,2024-02-30"]
+    (tmp_path / "t.csv").write_text("\n".join(["a,b,c"] * bool(options) + lines) + "\n")
+    found = read_damaged(spark, str(tmp_path), "CSV", FLAT, options)
+    assert [r.a for r in found.good.orderBy("a").collect()] == [1, 2, 5]
+    assert found.good.select("b").count() == found.good.count() == 3
+    bad = {r.text: r.reasons for r in found.bad.collect()}
+    assert bad == {
+        "x,y,2024-01-01": ["a: not int"], "3,z": ["columns"], "4,z,2024-01-02,more": ["columns"],
+        "6,x,never": ["c: not date"], "7,7,2024-02-30": ["c: not date"],
+    }
+    assert {r.file for r in found.bad.collect()} == {"t.csv"} and found.good.dtypes == [("a", "int"), ("b", "string"), ("c", "date")]
+
+
+def test_damaged_json(spark, tmp_path):
+    lines = ['{"a":1,"b":"x","c":"2024-01-01"}', '{"a":"one","b":"x"}', '{"a":2', "", "{}", '{"a":3,"c":"never"}', "[]x"]
+    (tmp_path / "t.json").write_text("\n".join(lines) + "\n")
+    found = read_damaged(spark, str(tmp_path), "json", FLAT)
+    assert rows(found.good, "a") == [(1,), (None,)] and found.good.select("b").where("b = 'x'").count() == 1
+    bad = {r.text: r.reasons for r in found.bad.collect()}
+    assert bad == {
+        '{"a":"one","b":"x"}': ["$.a: not_number"], '{"a":2': ["$: not_json"],
+        '{"a":3,"c":"never"}': ["$.c: not_a_date"], "[]x": ["$: not_json"],
+    }
+    with pytest.raises(ValueError):
+        read_damaged(spark, str(tmp_path), "orc", FLAT)
+    with pytest.raises(ValueError):
+        read_damaged(spark, str(tmp_path), "csv", T.StructType.fromDDL("_damaged string"))
