@@ -8,11 +8,11 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ordermill.functions import draw, reciprocal_choice
+from ordermill.functions import draw, exact_sum, reciprocal_choice
 from ordermill.operators import (
     Orders,
     attach_client,
@@ -23,6 +23,7 @@ from ordermill.operators import (
     compose_orders,
     dense_index,
     draw_rows,
+    hot_join,
     lookup_by_key,
     one_per_key,
     order_documents,
@@ -31,19 +32,33 @@ from ordermill.operators import (
     split_valid,
     to_envelope,
     to_events,
+    validate_documents,
 )
 from ordermill.operators.items import explode_components
 from ordermill.plans import warehouse
 from ordermill.plans.catalog import prepare_catalog
 from ordermill.schemas import COMPONENT_COLUMNS, order_event_schema
+from ordermill.plans.writing import write_orders
 from ordermill.sources import (
     append_events,
+    bucket_join,
+    lookup,
+    materialize,
     publish,
+    read_damaged,
     read_dimensions,
+    read_events,
+    read_pinned_dimensions,
+    read_runs,
     read_table,
+    save_bucketed,
     scratch_path,
+    sweep_runs,
+    write_sorted,
     write_table,
+    write_version,
 )
+from ordermill.streaming import gather_orders
 from ordermill.streaming import stream_orders as start_order_stream
 
 SEED = 7
@@ -84,6 +99,38 @@ def lookup_client(spark, directory):
     return found.select("client_id", "address_id", "country", "occupation")
 
 
+@query
+def lookup_pruned(spark, directory):
+    """Order lines by product, of which a few files are read, and by order."""
+    path = scratch_path(spark, "lines")
+    write_sorted(warehouse.order_lines(spark, directory), path, "product_id", bloom=["order_id"], files=32)
+    by_product = lookup(spark, path, "product_id", ["prd-17", "prd-180", "prd-none"])
+    by_order = lookup_by_key(read_table(spark, path), "order_id", "ord-17")
+    return by_product.withColumn("by", F.lit("product")).unionByName(
+        by_order.withColumn("by", F.lit("order"))
+    )
+
+
+@query
+def dimension_snapshot(spark, directory):
+    """Products that are written anew while a run goes on do not change the run."""
+    base = scratch_path(spark, "lookup")
+    tables = dict(zip(("clients_address", "products", "packages"), warehouse.dimensions(spark, directory)))
+    for name, df in tables.items():
+        write_version(df, f"{base}/{name}")
+    batches = [("first", read_pinned_dimensions(spark, base, "monday"))]
+    dearer = tables["products"].withColumn("price", (F.col("price") * 2).cast("float"))
+    write_version(dearer.where("product_id <> 'prd-1'"), f"{base}/products")
+    batches.append(("second", read_pinned_dimensions(spark, base, "monday")))
+    batches.append(("next run", read_pinned_dimensions(spark, base, "tuesday")))
+    return reduce(DataFrame.unionByName, [
+        found.products.select(
+            F.lit(batch).alias("batch"), "product_id", F.col("price").cast("double").alias("price")
+        )
+        for batch, found in batches
+    ])
+
+
 @query
 def dimension_rows(spark, directory):
     """The lookup tables, written and read back together."""
@@ -189,6 +236,37 @@ def line_products(spark, directory):
     )
 
 
+@query
+def line_products_bucketed(spark, directory):
+    """The same from bucketed tables, which are joined without a shuffle."""
+    saved = {
+        "lines": warehouse.order_lines(spark, directory),
+        "measures": product_measures(
+            warehouse.products(spark, directory), warehouse.packages(spark, directory)
+        ),
+    }
+    tables = []
+    for name, df in saved.items():
+        path = scratch_path(spark, name)
+        table = "bucketed_" + path[-36:].replace("-", "_")
+        tables.append(save_bucketed(df, table, "product_id", 8, path=path))
+    lines = bucket_join(*tables, "product_id")
+    return lines.select("order_id", "pos", "product_id", "product_name", "price", "quantity")
+
+
+@query
+def line_products_hot(spark, directory):
+    """A third of the lines are of one product, and a tenth of none."""
+    number = F.expr("cast(substr(order_id, 5) as bigint)")
+    skewed = F.when(number % 3 == 0, "prd-7").when(number % 10 != 1, F.col("product_id"))
+    lines = warehouse.order_lines(spark, directory).withColumn("product_id", skewed)
+    products = product_measures(
+        warehouse.products(spark, directory), warehouse.packages(spark, directory)
+    )
+    joined = hot_join(lines, products, "product_id")
+    return joined.select("order_id", "pos", "product_id", "product_name", "price", "quantity")
+
+
 def _documents(spark, directory, on_empty="drop_order") -> Orders:
     return order_documents(
         warehouse.order_lines(spark, directory),
@@ -268,6 +346,28 @@ def order_totals_flat(spark, directory):
     return orders.accepted.select("order_id", *TOTALS)
 
 
+@query
+def order_totals_exact(spark, directory):
+    """Totals whose last bits do not depend on the order of rows, by both routes."""
+    products, packages = warehouse.products(spark, directory), warehouse.packages(spark, directory)
+    lines = warehouse.order_lines(spark, directory)
+    flat = order_totals(lines, product_measures(products, packages, exact=True), exact=True)
+    nested = order_documents(lines, build_items(products, packages), exact=True)
+    return (
+        flat.accepted.select("order_id", *TOTALS, F.lit("flat").alias("route"))
+        .unionByName(nested.accepted.select("order_id", *TOTALS, F.lit("nested").alias("route")))
+    )
+
+
+@query
+def charges_exact(spark, directory):
+    """What each order is charged, of factors that are no binary fractions."""
+    schema = "l_orderkey bigint, l_extendedprice double, l_discount double, l_tax double"
+    lines = read_table(spark, f"{directory}/lineitem.parquet", schema=T.StructType.fromDDL(schema))
+    charge = F.expr("l_extendedprice * (1 - l_discount) * (1 + l_tax)")
+    return lines.groupBy(F.col("l_orderkey").alias("order_key")).agg(exact_sum(charge).alias("charge"))
+
+
 @query
 def order_item_packages(spark, directory):
     """Order documents taken apart again, down to the packages."""
@@ -409,6 +509,39 @@ def validate_json(spark, directory):
     )
 
 
+@query
+def validate_documents_query(spark, directory):
+    """Raw JSON against a schema: one kind of fault for each of eight cases."""
+    case = F.col("event_id") % 10
+    whole = F.struct(
+        F.col("event_id").alias("id"), F.col("event_type").alias("type"), "value",
+        F.array(F.struct(F.lit(1).alias("n")), F.struct(F.lit(2).alias("n"))).alias("parts"),
+    )
+    text = F.to_json(whole)
+    body = (
+        F.when(case == 0, F.concat(text, F.lit("}")))
+        .when(case == 1, F.to_json(F.struct("value")))
+        .when(case == 2, F.regexp_replace(text, '"type":"[a-z]*"', '"type":7'))
+        .when(case == 3, F.regexp_replace(text, '"type":"[a-z]*"', '"type":null'))
+        .when(case == 4, F.regexp_replace(text, '"n":2', '"n":2.5'))
+        .when(case == 5, F.regexp_replace(text, '"n":2', '"n":3000000000'))
+        .when(case == 6, F.regexp_replace(text, '"parts":.*', '"parts":{}}'))
+        .when(case == 7, F.regexp_replace(text, '^.', '{"more":1,'))
+        .when(case == 8, F.lit("[1]"))
+        .otherwise(text)
+    )
+    schema = T.StructType.fromDDL("id bigint, type string, value double, parts array<struct<n:int>>")
+    events = warehouse.table(spark, directory, "events").select("event_id", "value", body.alias("body"))
+    valid = validate_documents(events, "body", schema, required=["id", "type", "parts[].n"], strict=True)
+    accepted = valid.accepted.select(
+        "event_id", F.lit("").alias("path"), F.lit("accepted").alias("reason"), F.col("document.value").alias("value")
+    )
+    faults = valid.rejected.select("event_id", F.explode("faults").alias("fault"))
+    return accepted.unionByName(
+        faults.select("event_id", "fault.path", "fault.reason", F.lit(None).cast("double").alias("value"))
+    )
+
+
 # --- draws ------------------------------------------------------------------
 
 
@@ -455,6 +588,64 @@ def append_roundtrip(spark, directory):
     return _flat_events(read_table(spark, path, schema=order_event_schema))
 
 
+@query
+def append_replayed(spark, directory):
+    """Two runs, one of them repeated, and one that breaks off after some files."""
+    path = scratch_path(spark, "events")
+    events = {run: _events(spark, directory, run) for run in (RUN, "second", "broken")}
+    broken = F.when(F.crc32("event_id") % 1_000 == 0, F.raise_error(F.lit("broken off")))
+    torn = events["broken"].withColumn("event_id", F.coalesce(broken.cast("string"), "event_id"))
+    for run, rows in ((RUN, events[RUN]), ("broken", torn), ("second", events["second"]), (RUN, events[RUN])):
+        try:
+            append_events(rows, path, by_date=True, run=run)
+        except RuntimeError:
+            if run != "broken":
+                raise
+    sweep_runs(spark, path, older_than=0)
+    return _flat_events(read_events(spark, path))
+
+
+@query
+def written_once(spark, directory):
+    """Events and rejected orders of a run, computed once and written twice over."""
+    path, rejected = scratch_path(spark, "events"), scratch_path(spark, "rejected")
+    catalog = prepare_catalog(*warehouse.dimensions(spark, directory))
+    orders, lines = warehouse.orders(spark, directory), warehouse.order_lines(spark, directory)
+    for _ in range(2):
+        write_orders(orders, lines, catalog, path, rejected, run=RUN, as_of=AS_OF)
+    accepted = read_events(spark, path).select("order_id", F.lit("accepted").alias("outcome"))
+    schema = T.StructType.fromDDL("order_id string, reason string, n_lines long")
+    refused = read_runs(spark, rejected, schema).select("order_id", F.col("reason").alias("outcome"))
+    return accepted.unionByName(refused)
+
+
+@query
+def read_damaged_query(spark, directory):
+    """Lines of csv and json of which every fifth is damaged."""
+    events = warehouse.table(spark, directory, "events").select("event_id", "event_type", "value")
+    case = F.col("event_id") % 5
+    number, kind, value = F.col("event_id").cast("string"), F.col("event_type"), F.col("value").cast("string")
+    lines = {
+        "csv": F.when(case == 0, F.concat_ws(",", number, kind, F.lit("much")))
+        .when(case == 1, F.concat_ws(",", number, kind, value, F.lit("more")))
+        .otherwise(F.concat_ws(",", number, kind, value)),
+        "json": F.when(case == 0, F.concat(F.lit('{"event_id":'), number, F.lit(',"value":"much"}')))
+        .when(case == 1, F.concat(F.lit('{"event_id":'), number))
+        .otherwise(F.to_json(F.struct("*"))),
+    }
+    schema = T.StructType.fromDDL("event_id bigint, event_type string, value double")
+    found = []
+    for name, line in lines.items():
+        path = scratch_path(spark, "damaged")
+        events.select(line.alias("value")).write.text(path)
+        rows = read_damaged(spark, path, name, schema)
+        good = rows.good.select("event_id", F.lit("good").alias("state"), F.lit("").alias("reasons"))
+        first = F.regexp_extract("text", "[0-9]+", 0).cast("bigint").alias("event_id")
+        bad = rows.bad.select(first, F.lit("bad").alias("state"), F.array_join("reasons", ", ").alias("reasons"))
+        found.append(good.unionByName(bad).withColumn("format", F.lit(name)))
+    return found[0].unionByName(found[1])
+
+
 @query
 def read_formats(spark, directory):
     """Write and read a table in each format."""
@@ -480,24 +671,28 @@ def published_lines(spark, directory):
     return _flat_events(read_table(spark, path, "json", order_event_schema))
 
 
-@query
-def stream_orders(spark, directory):
-    """Orders with their lines as a file stream, turned into a table of events."""
-    source = scratch_path(spark, "orders")
-    table = scratch_path(spark, "stream")
+def _orders_with_lines(spark, directory):
     line = F.struct("pos", "product_id", "quantity")
     lines = warehouse.order_lines(spark, directory).groupBy("order_id").agg(
         F.collect_list(line).alias("lines")
     )
     orders = warehouse.orders(spark, directory).select("order_id", "address_id")
-    write_table(orders.join(lines, "order_id", "left").repartition(4), source)
-    stream = (
-        spark.readStream.schema(read_table(spark, source).schema)
-        .option("maxFilesPerTrigger", 2)
-        .parquet(source)
-    )
+    return orders.join(lines, "order_id", "left")
+
+
+def _file_stream(spark, source, schema, files):
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files)
+    return reader.parquet(source)
+
+
+@query
+def stream_orders(spark, directory):
+    """Orders with their lines as a file stream, turned into a table of events."""
+    source = scratch_path(spark, "orders")
+    table = scratch_path(spark, "stream")
+    write_table(_orders_with_lines(spark, directory).repartition(4), source)
     start_order_stream(
-        stream,
+        _file_stream(spark, source, read_table(spark, source).schema, 2),
         prepare_catalog(*warehouse.dimensions(spark, directory)),
         table,
         scratch_path(spark, "stream-checkpoint"),
@@ -507,6 +702,70 @@ def stream_orders(spark, directory):
     return _flat_events(read_table(spark, table, schema=order_event_schema))
 
 
+@query
+def stream_once(spark, directory):
+    """Every order sent twice, and a third time after a restart of the stream."""
+    source = scratch_path(spark, "orders")
+    table, checkpoint = scratch_path(spark, "stream"), scratch_path(spark, "stream-checkpoint")
+    orders = materialize(_orders_with_lines(spark, directory), "orders")
+    catalog = prepare_catalog(*warehouse.dimensions(spark, directory))
+    for copies in (2, 1):
+        for _ in range(copies):
+            write_table(orders.coalesce(1), source, mode="append")
+        start_order_stream(
+            _file_stream(spark, source, orders.schema, 1), catalog, table, checkpoint,
+            as_of=AS_OF, ids_run=RUN,
+        ).awaitTermination()
+    return _flat_events(read_table(spark, table, schema=order_event_schema))
+
+
+@query
+def stream_lines(spark, directory):
+    """Order lines as a stream: orders close when complete or in time, and late lines
+    are counted.
+
+    Of every tenth order the last line comes late; every tenth misses one line that
+    never comes, so it closes with those it has.
+    """
+    source = scratch_path(spark, "lines")
+    table, rejected = scratch_path(spark, "stream"), scratch_path(spark, "rejected")
+    lines = warehouse.order_lines(spark, directory)
+    whole = Window.partitionBy("order_id")
+    case = F.expr("cast(substr(order_id, 5) as bigint) % 10")
+    told = (
+        lines.withColumns({"first": F.min("pos").over(whole), "last": F.max("pos").over(whole), "case": case})
+        .withColumn("late", F.expr("`case` = 0 and pos = last and first < last"))
+        .join(warehouse.orders(spark, directory).select("order_id", "address_id"), "order_id")
+    )
+    counted = F.count_if(~F.col("late")).over(whole)
+    n_lines = counted + F.when(F.col("case") == 1, 1).otherwise(0)
+    told = materialize(told.withColumn("n_lines", n_lines), "lines")
+    columns = ["order_id", "address_id", "n_lines", "pos", "product_id", "quantity"]
+    # In this order: the lines, the late ones, and at last one that stands alone.
+    for part in (told.where("not late"), told.where("late")):
+        write_table(part.select(*columns).coalesce(1), source, mode="append")
+    stray = told.where("late").select(*columns).limit(1).withColumn("order_id", F.lit(None).cast("string"))
+    write_table(stray.coalesce(1), source, mode="append")
+    stream = _file_stream(spark, source, told.select(*columns).schema, 1)
+    start_order_stream(
+        gather_orders(stream, wait="1 millisecond"),
+        prepare_catalog(*warehouse.dimensions(spark, directory)),
+        table,
+        scratch_path(spark, "stream-checkpoint"),
+        rejected_path=rejected,
+        as_of=AS_OF,
+        ids_run=RUN,
+    ).awaitTermination()
+    events = read_table(spark, table, schema=order_event_schema).select(
+        "order_id", F.lit("accepted").alias("outcome"),
+        F.size("order_details.items").cast("bigint").alias("n_lines"), "order_details.total_amount",
+    )
+    refused = read_table(spark, rejected).select(
+        "order_id", F.col("reason").alias("outcome"), "n_lines", F.lit(None).cast("double").alias("total_amount")
+    )
+    return events.unionByName(refused)
+
+
 @query
 def stream_published(spark, directory):
     """A stream of events, published as JSON lines."""

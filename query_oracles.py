@@ -181,6 +181,65 @@ def _outcomes(on_empty: str) -> str:
     """
 
 
+LINE_PRODUCTS = """
+select l.order_id, l.pos, l.product_id, p.product_name, p.price, l.quantity
+from fx_lines l left join fx_products p on l.product_id = p.product_id
+"""
+
+# Whole parts and fractions (in units of 2**-62) are added up as whole numbers.
+CHARGES = """
+with priced as (
+  select l_orderkey, l_extendedprice * (1 - l_discount) * (1 + l_tax) as x from lineitem
+), parts as (
+  select l_orderkey, sum(cast(trunc(x) as hugeint)) as whole,
+    sum(cast((x - trunc(x)) * pow(2::double, 62) as hugeint)) as part from priced group by l_orderkey
+)
+select l_orderkey as order_key, cast(whole + part // 4611686018427387904 as double)
+  + cast(part % 4611686018427387904 as double) / pow(2::double, 62) as charge from parts
+"""
+
+VALIDATED = """
+with cased as (select event_id, event_id % 10 as c, value from events), fault as (
+  select * from (values (0, '$', 'not_json'), (1, '$.id', 'absent'), (1, '$.type', 'absent'),
+    (2, '$.type', 'not_text'), (3, '$.type', 'null'), (4, '$.parts[1].n', 'not_whole'),
+    (5, '$.parts[1].n', 'out_of_range'), (6, '$.parts', 'not_array'), (7, '$.more', 'unexpected'),
+    (8, '$', 'not_object')) f(c, path, reason)
+)
+select event_id, path, reason, cast(null as double) as value from cased join fault using (c)
+union all select event_id, '', 'accepted', value from cased where c = 9
+"""
+
+DAMAGED = """
+with cased as (select event_id, event_id % 5 as c from events)
+select event_id, format, case when c < 2 then 'bad' else 'good' end as state,
+  case when c >= 2 then '' when format = 'csv' then case c when 0 then 'value: not double' else 'columns' end
+    when c = 0 then '$.value: not_number' else '$: not_json' end as reasons
+from cased cross join (select unnest(['csv', 'json']) as format) f
+"""
+
+STREAM_LINES = f"""
+with {FIXTURES}, cased as (
+  select *, cast(substr(order_id, 5) as bigint) % 10 as n_case
+  from (select distinct order_id from fx_lines)
+), told as (
+  select l.*, a.address_id,
+    n_case = 0 and pos = max(pos) over o and min(pos) over o < max(pos) over o as late
+  from fx_lines l join fx_orders a on l.order_id = a.order_id join cased c on l.order_id = c.order_id
+  window o as (partition by l.order_id)
+), judged as (
+  select t.order_id, count(*) as n_lines, sum(t.quantity * p.price) as total_amount,
+    case when bool_or(p.product_id is null) then 'unknown_product'
+      when bool_or(p.is_empty) then 'empty_product'
+      when bool_or(c.address_id is null) then 'unknown_client' else 'accepted' end as outcome
+  from told t left join fx_products p on t.product_id = p.product_id
+  left join fx_clients c on t.address_id = c.address_id where not late group by t.order_id
+)
+select order_id, outcome, n_lines, case when outcome = 'accepted' then total_amount end as total_amount from judged
+union all select order_id, 'late_line', count(*), null from told where late group by order_id
+union all select null, 'no_order_id', 1, null where exists (select 1 from told where late)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     real_events = _with(REAL_EVENTS, REAL)
     hist = [
@@ -202,6 +261,31 @@ def oracle_sql() -> dict[str, str]:
                  case when is_empty then 0 else n_sizes end as n_components
                from fx_products where category = 'ECONOMY'"""
         ),
+        "lookup_pruned": _with(
+            """select *, 'product' as by from fx_lines where product_id in ('prd-17', 'prd-180')
+               union all select *, 'order' from fx_lines where order_id = 'ord-17'"""
+        ),
+        "dimension_snapshot": _with(
+            """select b.batch, product_id, price from fx_products
+                 cross join (select unnest(['first', 'second']) as batch) b
+               union all select 'next run', product_id, price * 2 from fx_products
+               where product_id <> 'prd-1'"""
+        ),
+        "line_products_bucketed": _with(LINE_PRODUCTS),
+        "line_products_hot": _with(
+            """select l.order_id, l.pos, l.product_id, p.product_name, p.price, l.quantity
+               from (select order_id, pos, quantity, case
+                   when cast(substr(order_id, 5) as bigint) % 3 = 0 then 'prd-7'
+                   when cast(substr(order_id, 5) as bigint) % 10 <> 1 then product_id end as product_id
+                 from fx_lines) l left join fx_products p on l.product_id = p.product_id"""
+        ),
+        "order_totals_exact": _with(
+            f"""select t.*, r.route from ({_totals('drop_order')}) t
+                cross join (select unnest(['flat', 'nested']) as route) r"""
+        ),
+        "charges_exact": CHARGES,
+        "validate_documents": VALIDATED,
+        "read_damaged": DAMAGED,
         "lookup_client": _with(
             """select client_id, address_id, country, occupation
                from fx_clients where state = 'ASIA'"""
@@ -246,10 +330,7 @@ def oracle_sql() -> dict[str, str]:
             """select p.product_id, product_name, price, is_empty, unit_volume, unit_weight
                from fx_products p left join fx_units u on p.product_id = u.product_id"""
         ),
-        "line_products": _with(
-            """select l.order_id, l.pos, l.product_id, p.product_name, p.price, l.quantity
-               from fx_lines l left join fx_products p on l.product_id = p.product_id"""
-        ),
+        "line_products": _with(LINE_PRODUCTS),
         "order_totals_nested": _with(_totals("drop_order")),
         "order_totals_flat": _with(_totals("drop_order")),
         "order_totals_drop_item": _with(_totals("drop_item")),
@@ -316,5 +397,9 @@ def oracle_sql() -> dict[str, str]:
         ),
         "stream_orders": real_events,
         "append_roundtrip": _with(f"{REAL_EVENTS} union all {SECOND_EVENTS}", REAL),
+        "append_replayed": _with(f"{REAL_EVENTS} union all {SECOND_EVENTS}", REAL),
+        "written_once": _outcomes("drop_order"),
+        "stream_once": real_events,
+        "stream_lines": STREAM_LINES,
         "read_formats": formats,
     }
