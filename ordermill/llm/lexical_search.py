@@ -1,8 +1,8 @@
 """Ranked lexical search over a length-stratified index.
 
 A document's normaliser ``m`` depends on its number of terms alone, so documents
-fall into strata of equal ``m``. A segment is up to ``SEGMENT_DOCS`` documents of
-one stratum, as one row of a Parquet table: its ids, its terms with the greatest
+fall into strata of equal ``m``. A segment is about ``SEGMENT_DOCS`` documents of
+one stratum or fewer, as one row of a Parquet table: its ids, its terms with the greatest
 tf of each, and for each term runs of documents that share a tf. Documents of one
 run get the same points from the term, so points are computed once for each tf and
 not for each document.
@@ -100,7 +100,8 @@ def _lists(offsets: np.ndarray, values: pa.Array | np.ndarray) -> pa.ListArray:
 
 
 def _bag_table(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """``doc_id``, ``n``, ``terms`` (blank-separated) and ``tf`` of rows with terms."""
+    """``doc_id``, ``n``, and the distinct terms (``size`` of them, separated by
+    blanks) with their ``tf``, of rows with terms."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -111,16 +112,17 @@ def _bag_table(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
                     [
                         ids,
                         pa.array(found.n.astype(np.int64)),
+                        pa.array(np.diff(found.offsets).astype(np.int32)),
                         pc.binary_join(_lists(found.offsets, found.terms), " "),
                         _lists(found.offsets, found.tf.astype(np.int32)),
                     ],
-                    names=["doc_id", "n", "terms", "tf"],
+                    names=["doc_id", "n", "size", "terms", "tf"],
                 )
                 yield made.filter(pa.array(found.n > 0))
 
     chosen = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     kind = dict(chosen.dtypes)["doc_id"]
-    return chosen.mapInArrow(count, f"doc_id {kind}, n long, terms string, tf array<int>")
+    return chosen.mapInArrow(count, f"doc_id {kind}, n long, size int, terms string, tf array<int>")
 
 
 # --- index ------------------------------------------------------------------
@@ -161,6 +163,26 @@ def _segment(bag: pa.Table) -> tuple[pa.Array, ...]:
     return (ids, coded.dictionary, *[pa.array(x.astype(np.int32)) for x in numbers])
 
 
+def _in_slots(counted: DataFrame, segment_docs: int, segment_postings: int) -> DataFrame:
+    """Add ``slot``: parts of about one segment, of neighbouring strata.
+
+    Documents are laid out by stratum, and within it by chance, on a line on which
+    each takes the room of its postings; a slot is a stretch of this line. So long
+    documents, which have few companions in their strata, are dealt as evenly as
+    short ones, and a stratum of any size is cut into many slots.
+    """
+    room = F.greatest(F.col("size"), F.lit(-(-segment_postings // segment_docs)))
+    # One row for each normaliser: 26 and 25 times the longest document's share of the
+    # mean length at most.
+    strata = materialize(counted.groupBy("m").agg(F.sum(room).alias("room")), "strata")
+    before = Window.orderBy("m").rowsBetween(Window.unboundedPreceding, -1)
+    strata = strata.withColumn("begin", F.coalesce(F.sum("room").over(before), F.lit(0)))
+    chance = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(1 << 31)) / float(1 << 31)
+    at = F.col("begin") + F.floor(chance * F.col("room"))
+    slot = F.floor(at / F.lit(segment_postings)).cast("long")
+    return counted.join(strata, "m").withColumn("slot", slot)
+
+
 def build_index(
     docs: DataFrame,
     *,
@@ -186,26 +208,27 @@ def build_index(
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 32
         held: list[pa.RecordBatch] = []
-        stratum, n_docs, n_postings = None, 0, 0
+        place, n_docs, n_postings = None, 0, 0
 
         def segment() -> pa.RecordBatch:
             lists = [_lists(np.array([0, len(x)]), x) for x in _segment(pa.Table.from_batches(held))]
-            keys = [pa.array([number], type=pa.int64()), pa.array([stratum], type=pa.int64())]
+            keys = [pa.array([number], type=pa.int64()), pa.array([place[1]], type=pa.int64())]
             return pa.RecordBatch.from_arrays(keys + lists, names=schema.names)
 
         for batch in batches:
-            m = batch.column("m").to_numpy()
+            places = zip(*[batch.column(c).to_pylist() for c in ("slot", "m")])
             sizes = pc.list_value_length(batch.column("tf")).to_pylist()
             low = 0
-            for k, (here, size) in enumerate(zip(m.tolist(), sizes)):
-                full = n_docs >= segment_docs or n_postings + size > segment_postings
-                if n_docs and (here != stratum or full):
+            for k, (here, size) in enumerate(zip(places, sizes)):
+                # Slots are of about one segment; only much larger ones are cut.
+                full = n_docs >= 2 * segment_docs or n_postings + size > 2 * segment_postings
+                if n_docs and (here != place or full):
                     if low < k:
                         held.append(batch.slice(low, k - low))
                     yield segment()
                     number, low, n_docs, n_postings = number + 1, k, 0, 0
                     held.clear()
-                stratum = here
+                place = here
                 n_docs += 1
                 n_postings += size
             held.append(batch.slice(low))
@@ -213,12 +236,11 @@ def build_index(
             yield segment()
 
     m = F.expr(f"75 + cast((25 * cast(n as decimal(38, 0)) * {documents}) div {max(1, terms)} as long)")
-    # A stratum that holds most documents is cut by the hash into several ranges.
     dealt = (
-        counted.select("doc_id", "terms", "tf", m.alias("m"), F.xxhash64("doc_id", "terms").alias("spread"))
-        .repartitionByRange("m", "spread")
-        .sortWithinPartitions("m", "spread")
-        .drop("spread")
+        _in_slots(counted.withColumn("m", m), segment_docs, segment_postings)
+        .select("doc_id", "terms", "tf", "m", "slot")
+        .repartition("slot")
+        .sortWithinPartitions("slot", "m")
     )
     path = scratch_path(docs.sparkSession, "segments")
     segments = dealt.mapInArrow(build, schema).write
