@@ -1,19 +1,19 @@
 """Nearest neighbours by largest inner product, with a permutation index.
 
-A few vectors of the table are pivots, chosen from a sample by hash so that no two
+Some vectors of the table are pivots, chosen from a sample by hash so that no two
 are near each other: a group of near copies, however large, gets no more of them than
-any other place. Every vector is represented by the order
-in which it sees them, nearest first, and posted in the inverted file of each
-pivot with the pivot's place in that order. Vectors and queries are alike when
-they see the pivots in a like order: the places are compared file by file, and the
-sum of their differences is the footrule distance. The share of a block with the
-least distance is reranked by the exact inner product in double precision, and with
-it all that see the pivots in almost the query's own order, which places cannot rank.
-
-Rows are indexed in blocks of bounded size, dealt by the hash of their ids. As
-each vector orders all pivots, every file of a block lists all its rows and is
-kept as an array of places in row order. Equal vectors of a block are one entry
-with their ids. Queries are broadcast in blocks of bounded size and go through
+any other place. Every vector is represented by its ``NEAR`` nearest pivots in their
+order, and posted in the inverted files of these alone, by its place. A query reads
+the files of its own nearest pivots. The difference of places, or ``NEAR`` for a
+vector that is not in the file, summed over these files, is the footrule distance:
+vectors are alike when they see the same pivots in a like order. The share of a block
+with the least distance is reranked by the exact inner product in double precision,
+and with it all that see the pivots in almost the query's own order, which places
+cannot rank. ``share=1.0`` reranks every row, and is the exact way.
+
+Rows are indexed in blocks of bounded size, dealt by the hash of their ids; a
+block's files are one list of rows by pivot and place. Equal vectors of a block are
+one entry with their ids. Queries are broadcast in blocks of bounded size and go through
 every index block; a task keeps the best of each query over its blocks.
 
 For inner products of vectors of unequal length, all are scaled by the greatest
@@ -29,6 +29,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import reduce
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -37,8 +38,9 @@ from pyspark.sql import functions as F
 
 from ordermill.scratch import materialize
 
-#: Vectors that may serve as pivots; a place fits one byte up to 256.
-PIVOTS = 128
+#: Pivots, and how many of them, the nearest, represent a vector.
+PIVOTS = 512
+NEAR = 64
 #: Distinct vectors, by hash, that pivots are chosen from.
 SAMPLE = 4_096
 #: Pivots have inner products below this (unit vectors), if the sample has enough.
@@ -49,7 +51,7 @@ QUERY_BLOCK = 32_768
 SHARE = 0.12
 LEAST = 1_000
 #: Rows within this share of the greatest footrule distance are all reranked.
-CLOSE = 1 / 16
+CLOSE = 1 / 8
 
 
 def valid_vectors(df: DataFrame, vec_id: str, vector: str) -> DataFrame:
@@ -101,12 +103,43 @@ def spread(rows: np.ndarray, n: int) -> np.ndarray:
     return rows[chosen]
 
 
-def places(rows: np.ndarray, pivots: np.ndarray) -> np.ndarray:
-    """For each row (lifted), the place of every pivot in its order."""
-    order = np.argsort(-(rows @ pivots.T), axis=1, kind="stable")
-    found = np.empty(order.shape, dtype=np.uint8)
-    np.put_along_axis(found, order, np.arange(order.shape[1], dtype=np.uint8)[None, :], axis=1)
-    return found
+def orders(rows: np.ndarray, pivots: np.ndarray, near: int) -> np.ndarray:
+    """For each row (lifted), its nearest pivots, the nearest first."""
+    seen = rows @ pivots.T
+    near = min(near, len(pivots))
+    some = np.argpartition(-seen, near - 1, axis=1)[:, :near]
+    some.sort(axis=1)
+    order = np.argsort(-np.take_along_axis(seen, some, axis=1), axis=1, kind="stable")
+    return np.take_along_axis(some, order, axis=1).astype(np.uint16)
+
+
+class Files(NamedTuple):
+    """Inverted files: ``rows`` by pivot and place, and where each place begins."""
+
+    starts: np.ndarray
+    rows: np.ndarray
+
+
+def post(order: np.ndarray, pivots: int) -> Files:
+    """Post every row in the files of its nearest pivots."""
+    n, near = order.shape
+    key = (order.astype(np.int64) * near + np.arange(near)).ravel()
+    by_key = np.argsort(key, kind="stable")
+    starts = np.searchsorted(key[by_key], np.arange(pivots * near + 1))
+    return Files(starts.astype(np.int32), (by_key // near).astype(np.int32))
+
+
+def footrule(files: Files, query: np.ndarray, n: int) -> np.ndarray:
+    """Distance of ``n`` rows to a query, from the files of the query's pivots."""
+    near = len(query)
+    place = np.arange(near)
+    # What a place of a file takes off the distance; the query's own place is its row.
+    gain = (near - np.abs(place[:, None] - place)).ravel().astype(float)
+    begin = query.astype(np.int64)[:, None] * near + place
+    count = (files.starts[begin + 1] - files.starts[begin]).ravel()
+    low, high = files.starts[begin[:, 0]].tolist(), files.starts[begin[:, -1] + 1].tolist()
+    found = np.concatenate([files.rows[a:b] for a, b in zip(low, high)])
+    return near * near - np.bincount(found, np.repeat(gain, count), n)
 
 
 def _ranks(begins: np.ndarray) -> np.ndarray:
@@ -115,7 +148,9 @@ def _ranks(begins: np.ndarray) -> np.ndarray:
     return at - np.maximum.accumulate(np.where(begins, at, 0))
 
 
-def build_index(vectors: DataFrame, n: int, pivots: np.ndarray, longest: float, top: int) -> DataFrame:
+def build_index(
+    vectors: DataFrame, n: int, pivots: np.ndarray, longest: float, top: int, near: int
+) -> DataFrame:
     """One row for each block: ids, vectors and the pivots' files."""
     blocks = max(1, -(-n // BLOCK_ROWS))
 
@@ -132,30 +167,23 @@ def build_index(vectors: DataFrame, n: int, pivots: np.ndarray, longest: float,
         new = np.append(True, (np.diff(entry[kept]) != 0) | (np.diff(ids[kept]) != 0))
         kept = kept[_ranks(new) < top]
         kept = kept[_ranks(np.append(True, np.diff(entry[kept]) != 0)) < 2 * top]
-        files = places(lifted(rows[first], longest), pivots).T
+        files = post(orders(lifted(rows[first], longest), pivots, near), len(pivots))
         return pa.table(
             {
                 "ids": pa.array([ids[kept].astype("<i8").tobytes()], type=pa.binary()),
                 "entries": pa.array([entry[kept].astype("<i4").tobytes()], type=pa.binary()),
                 "vectors": pa.array([rows[first].astype("<f8").tobytes()], type=pa.binary()),
-                "files": pa.array([np.ascontiguousarray(files).tobytes()], type=pa.binary()),
+                "starts": pa.array([files.starts.astype("<i4").tobytes()], type=pa.binary()),
+                "files": pa.array([files.rows.astype("<i4").tobytes()], type=pa.binary()),
             }
         )
 
     dealt = vectors.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)))
     return dealt.groupBy("block").applyInArrow(
-        build, "ids binary, entries binary, vectors binary, files binary"
+        build, "ids binary, entries binary, vectors binary, starts binary, files binary"
     )
 
 
-def footrule(files: np.ndarray, query: np.ndarray) -> np.ndarray:
-    """Sum over the pivots' files of the distance between places."""
-    total = np.zeros(files.shape[1], dtype=np.int32)
-    for near, place in zip(files, query):
-        total += np.abs(near - place)
-    return total
-
-
 def nearest(distance: np.ndarray, n: int) -> np.ndarray:
     """Positions of the ``n`` least distances, ties to the earlier."""
     if n >= len(distance):
@@ -174,20 +202,21 @@ def _search_block(
         own, vectors, seen = shared.value
         best_ids = np.full((len(own), top), np.iinfo(np.int64).max)
         best = np.full((len(own), top), -np.inf)
-        wide = seen.astype(np.int16)
         for batch in batches:
             for row in range(batch.num_rows):
-                ids, entries, flat, files = (
+                ids, entries, flat, starts, listed = (
                     np.frombuffer(batch.column(c)[row].as_py(), dtype=kind)
-                    for c, kind in (("ids", "<i8"), ("entries", "<i4"), ("vectors", "<f8"), ("files", "u1"))
+                    for c, kind in (
+                        ("ids", "<i8"), ("entries", "<i4"), ("vectors", "<f8"), ("starts", "<i4"), ("files", "<i4")
+                    )
                 )
                 rows = flat.reshape(-1, vectors.shape[1])
-                files = files.reshape(-1, len(rows)).astype(np.int16)
+                files = Files(starts, listed)
                 bounds = np.searchsorted(entries, np.arange(len(rows) + 1))
                 n = max(LEAST, int(share * len(rows)))
-                close = CLOSE * len(files) ** 2 / 2
+                close = CLOSE * seen.shape[1] ** 2
                 for k in range(len(own)):
-                    distance = footrule(files, wide[k])
+                    distance = footrule(files, seen[k], len(rows))
                     chosen = nearest(distance, max(n, np.count_nonzero(distance <= close)))
                     exact = (rows[chosen] * vectors[k]).sum(axis=1)
                     many = bounds[chosen + 1] - bounds[chosen]
@@ -220,12 +249,14 @@ def search(
     vec_id: str = "vec_id",
     vector: str = "embedding",
     pivots: int = PIVOTS,
+    near: int = NEAR,
     share: float = SHARE,
     query_block: int = QUERY_BLOCK,
 ) -> DataFrame:
     """``query_id``, ``rank``, ``vec_id``, ``score``: the ``top`` nearest of each query.
 
-    ``is_query`` is a condition on ``vec_id``; every other row is a candidate.
+    ``is_query`` is a condition on ``vec_id``; every other row is a candidate. Of each
+    block the ``share`` of rows of least distance is reranked; all of them with 1.0.
     """
     spark = df.sparkSession
     vectors = materialize(valid_vectors(df, vec_id, vector), "vectors")
@@ -236,7 +267,7 @@ def search(
         return spark.createDataFrame([], empty)
     sample = vectors.select("v", F.xxhash64("v").alias("h")).distinct().orderBy("h", "v").limit(SAMPLE)
     chosen = spread(lifted(matrix(sample.select("v").toArrow()["v"]), longest), pivots)
-    index = materialize(build_index(vectors, n, chosen, longest, top), "index")
+    index = materialize(build_index(vectors, n, chosen, longest, top, near), "index")
 
     asked = vectors.where(is_query).distinct()  # a repeated row asks once
     n_queries = asked.count()
@@ -249,7 +280,7 @@ def search(
             continue
         own = np.stack(rows["v"].to_numpy())
         unit = own / np.linalg.norm(own, axis=1, keepdims=True)
-        seen = places(np.hstack([unit, np.zeros((len(own), 1))]), chosen)
+        seen = orders(np.hstack([unit, np.zeros((len(own), 1))]), chosen, near)
         result = _search_block(index, (rows["vec_id"].to_numpy(), own, seen), top, share)
         found.append(result if parts == 1 else materialize(result, "found"))
     if not found:

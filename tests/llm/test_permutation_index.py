@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ordermill.llm import permutation_index
-from ordermill.llm.permutation_index import footrule, nearest, places, search
+from ordermill.llm.permutation_index import footrule, nearest, orders, post, search
 
 SCHEMA = "vec_id long, embedding array<float>, label int, v string, rank int"
 
@@ -67,20 +67,32 @@ def test_small_and_empty_tables(spark):
     assert {i: [j for j, _ in v] for i, v in found(frame(spark, [(0, [1, 2]), (1, [1, 2]), (2, [3, 4])])).items()} == {0: [2, 1]}
 
 
-def test_places_footrule_and_choice():
+@pytest.mark.parametrize("near", [1, 4, 9, 20])
+def test_files_footrule_and_choice(near):
     rng = np.random.default_rng(2)
     rows, pivots = rng.normal(size=(50, 6)), rng.normal(size=(9, 6))
-    seen = places(rows, pivots)
+    seen = orders(rows, pivots, near)
+    near = min(near, 9)
     for k in range(50):
-        order = np.argsort(-(pivots @ rows[k]))
-        assert seen[k].argsort().tolist() == order.tolist()
-    files = np.ascontiguousarray(seen.T).astype(np.int16)
-    distance = footrule(files, seen[7].astype(np.int16))
-    assert distance.tolist() == np.abs(seen.astype(int) - seen[7].astype(int)).sum(axis=1).tolist()
+        assert seen[k].tolist() == np.argsort(-(pivots @ rows[k]))[:near].tolist()
+    files = post(seen, 9)
+    # Every vector is in the files of its nearest pivots, and in no other.
+    assert len(files.rows) == 50 * near
+    distance = footrule(files, seen[7], 50)
+    for k in range(50):
+        own = seen[k].tolist()
+        apart = [abs(own.index(p) - j) if p in own else near for j, p in enumerate(seen[7].tolist())]
+        assert distance[k] == sum(apart)
     for n in (1, 10, 49, 60):
         assert sorted(nearest(distance, n)) == sorted(np.argsort(distance, kind="stable")[:n])
 
 
+def test_all_rows_reranked_are_exact(spark):
+    rng = np.random.default_rng(8)
+    vectors = [(k, rng.normal(size=16).astype(np.float32)) for k in range(2_500)]
+    assert found(frame(spark, vectors), share=1.0) == brute(vectors, 20)
+
+
 @pytest.mark.parametrize("noise", [0.0001, 0.05])
 def test_recall_with_a_third_of_near_copies(spark, tmp_path, noise):
     rng = np.random.default_rng(5)
