@@ -36,7 +36,7 @@ FAIRNESS = 1.0
 STEPS = 300
 PREFIXES = (4, 5)
 
-# Neutral names of groups, by kind.
+# Neutral names of groups, by kind, in English, German, French and Spanish.
 IDENTITY_TERMS = (
     ("women", "men"),
     ("woman", "man"),
@@ -48,6 +48,36 @@ IDENTITY_TERMS = (
     ("gay", "lesbian", "straight", "bisexual", "transgender"),
     ("immigrants", "refugees", "citizens", "foreigners"),
     ("disabled", "blind", "deaf", "old", "young"),
+    ("frauen", "männer"),
+    ("frau", "mann"),
+    ("mädchen", "jungen"),
+    ("weiblich", "männlich"),
+    ("muslimisch", "christlich", "jüdisch", "hinduistisch", "buddhistisch", "atheistisch"),
+    ("muslime", "christen", "juden", "buddhisten", "atheisten"),
+    ("schwarze", "weiße", "asiaten", "afrikaner", "europäer"),
+    ("schwul", "lesbisch", "heterosexuell", "bisexuell"),
+    ("einwanderer", "flüchtlinge", "bürger", "ausländer"),
+    ("behinderte", "blinde", "gehörlose", "alte", "junge"),
+    ("femmes", "hommes"),
+    ("femme", "homme"),
+    ("filles", "garçons"),
+    ("féminin", "masculin"),
+    ("musulman", "chrétien", "juif", "hindou", "bouddhiste", "athée"),
+    ("musulmans", "chrétiens", "juifs", "hindous", "bouddhistes", "athées"),
+    ("noirs", "blancs", "asiatiques", "africains", "européens"),
+    ("homosexuel", "lesbienne", "hétérosexuel", "bisexuel"),
+    ("immigrés", "réfugiés", "citoyens", "étrangers"),
+    ("handicapés", "aveugles", "sourds", "vieux", "jeunes"),
+    ("mujeres", "hombres"),
+    ("mujer", "hombre"),
+    ("niñas", "niños"),
+    ("femenino", "masculino"),
+    ("musulmán", "cristiano", "judío", "hindú", "budista", "ateo"),
+    ("musulmanes", "cristianos", "judíos", "hindúes", "budistas", "ateos"),
+    ("negros", "blancos", "asiáticos", "africanos", "europeos"),
+    ("homosexual", "lesbiana", "heterosexual"),
+    ("inmigrantes", "refugiados", "ciudadanos", "extranjeros"),
+    ("discapacitados", "ciegos", "sordos", "viejos", "jóvenes"),
 )
 
 _KINDS = np.array([0x9E3779B97F4A7C15 * (k + 1) % (1 << 64) for k in range(3)], dtype=np.uint64)
@@ -231,8 +261,12 @@ def fit(
     label: str,
     max_labelled: int = MAX_LABELLED,
     max_features: int = MAX_FEATURES,
+    fairness: float = FAIRNESS,
 ) -> Model:
-    """Fit on the labelled documents for which ``learn`` (of ``doc_id``) holds."""
+    """Fit on the labelled documents for which ``learn`` (of ``doc_id``) holds.
+
+    ``fairness`` weighs the penalty; 0 is plain logistic regression.
+    """
     sample = sample_labels(labels, "doc_id", label, learn, max_labelled)
     kept = materialize(labelled_features(docs, sample), "features")
     n, ones = kept.agg(F.count("y"), F.sum("y")).first()
@@ -271,6 +305,7 @@ def fit(
         np.array(pairs, dtype=np.int64),
         _sparse([rows["swapped"][order[k]] for k in pairs]),
         len(hashes),
+        fairness=fairness,
     )
     return Model(hashes, weights, bias)
 

@@ -52,18 +52,66 @@ def test_toxicity_on_held_out_documents(corpus):
     assert accuracy(docs, labels, model, toxicity, "toxic", 0.5, held_out) > 0.97
 
 
-def test_the_penalty_lowers_the_weight_of_a_group(corpus, monkeypatch):
+def test_the_penalty_lowers_the_weight_of_a_group(corpus):
     docs, labels = corpus
     term = int(toxicity._term_features("muslim")[0])
 
     def weight(fairness):
-        monkeypatch.setattr(toxicity.train, "__kwdefaults__", {**toxicity.train.__kwdefaults__, "fairness": fairness})
-        model = toxicity.fit(docs, labels, F.lit(True), label="toxic")
+        model = toxicity.fit(docs, labels, F.lit(True), label="toxic", fairness=fairness)
         return dict(zip(model.hashes.tolist(), model.weights.tolist()))[term]
 
     assert abs(weight(20.0)) < 0.6 * abs(weight(0.0))
 
 
+# Of each language a group that toxic texts name often, and one that they do not.
+NAMED = {"en": ("muslim", "christian"), "de": ("muslimisch", "christlich"), "fr": ("musulman", "chrétien"), "es": ("musulmán", "cristiano")}
+
+
+def mentions(seed, n):
+    """(id, text, toxic, neutral mention): four in ten toxic texts have no other sign."""
+    rng = random.Random(seed)
+    rows = []
+    for k in range(n):
+        named, other = NAMED[rng.choice(list(NAMED))]
+        said = [f"word{rng.randrange(300)}" for _ in range(rng.randint(15, 60))]
+        toxic, neutral = k % 4 == 0, False
+        if toxic:
+            if rng.random() < 0.6:
+                said.insert(2, rng.choice(["idiot", "scum", "lowlife"]))
+            if rng.random() < 0.8:
+                said.insert(3, named)
+        elif rng.random() < 0.08:
+            said.insert(3, named)
+            neutral = True
+        elif rng.random() < 0.3:
+            said.insert(3, other)
+        rows.append((k, " ".join(said), int(toxic), neutral))
+    return rows
+
+
+def test_fewer_neutral_mentions_are_rejected_at_the_default(spark):
+    """On held-out texts of four languages, with the penalty and without it."""
+    train, test = mentions(1, 1_600), mentions(2, 3_000)
+    docs = spark.createDataFrame([r[:2] for r in train], "doc_id long, text string")
+    labels = spark.createDataFrame([(r[0], r[2]) for r in train], "doc_id long, toxic int")
+    unseen = spark.createDataFrame(test, "doc_id long, text string, toxic int, neutral boolean")
+
+    def rates(**options):
+        model = toxicity.fit(docs, labels, F.lit(True), label="toxic", **options)
+        scored = toxicity.score(unseen, model, ["toxic", "neutral"]).select("row.*", "score").collect()
+        neutral = [r.score >= 0.5 for r in scored if r.neutral]
+        return sum(neutral) / len(neutral), sum((r.score >= 0.5) == r.toxic for r in scored) / len(scored)
+
+    (plain, plain_accuracy), (fair, fair_accuracy) = rates(fairness=0.0), rates()
+    assert plain > 0.5 and fair < 0.1
+    assert fair_accuracy > plain_accuracy - 0.03
+
+
+def test_identity_terms_are_named_once():
+    every = [term for group in toxicity.IDENTITY_TERMS for term in group]
+    assert len(every) == len(set(every)) and all(t == t.lower() for t in every)
+
+
 def test_gradient_is_that_of_the_loss():
     rng = np.random.default_rng(0)
     x = toxicity._sparse([rng.choice(6, 3, replace=False) for _ in range(40)])
