@@ -41,8 +41,9 @@ def parse_rule(action: str, text: str) -> Rule:
 
 
 class Trie:
-    """Nodes are ``[children by host label, path node]``; path nodes are
-    ``[children by segment, {last, perhaps unfinished, segment: rule}]``."""
+    """Nodes are ``[children by host label, path node]``; path nodes are ``[children
+    by segment, {last, perhaps unfinished, segment: rule}, lengths of these last
+    segments, longest first]``."""
 
     def __init__(self, rules: Iterable[Rule]) -> None:
         self.root: list = [{}, None]
@@ -51,11 +52,14 @@ class Trie:
             for label in reversed(rule.host.split(".")):
                 node = node[0].setdefault(label, [{}, None])
             if node[1] is None:
-                node[1] = [{}, {}]
+                node[1] = [{}, {}, []]
             place = node[1]
             *whole, last = rule.path.split("/")
             for segment in whole:
-                place = place[0].setdefault(segment, [{}, {}])
+                place = place[0].setdefault(segment, [{}, {}, []])
+            if len(last) not in place[2]:
+                place[2].append(len(last))
+                place[2].sort(reverse=True)
             other = place[1].get(last)
             if other is None or rule.action == BLOCK:
                 place[1][last] = rule
@@ -79,9 +83,12 @@ class Trie:
 def _longest_path(place: list, path: str) -> Rule | None:
     found = None
     for segment in path.split("/"):
-        ends = [last for last in place[1] if segment.startswith(last)]
-        if ends:
-            found = place[1][max(ends, key=len)]
+        # One look for each length, however many rules end here.
+        for length in place[2]:
+            rule = place[1].get(segment[:length]) if length <= len(segment) else None
+            if rule is not None:
+                found = rule
+                break
         place = place[0].get(segment)
         if place is None:
             break
