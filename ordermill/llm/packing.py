@@ -28,6 +28,7 @@ from pyspark import TaskContext
 from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from ordermill.llm.text import blocks, mix
 from ordermill.llm.tokens import crc32, encoder
@@ -41,6 +42,7 @@ SIGNS, POWER = 4, 2
 #: Sequence numbers: those of a task follow each other.
 _TASK = 1 << 36
 _RETRIEVED = 1 << 62
+_COUNTS = pa.list_(pa.struct([("id", pa.int32()), ("n", pa.int64())]))
 
 
 class Statistics(NamedTuple):
@@ -68,9 +70,11 @@ class Statistics(NamedTuple):
 def _encoded(docs: DataFrame, vocabulary: str, end_id: int, window: int, keep_ids: bool) -> DataFrame:
     """Documents with their full windows and their remainder, and the statistics.
 
-    The last row of each task has no document but ``df``, the task's counts.
+    The last row of each task has no document but ``df``, the task's counts of the
+    ids that it has seen.
     """
     kind = dict(docs.dtypes)["doc_id"]
+    doc_type = to_arrow_type(docs.schema["doc_id"].dataType)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = encoder(vocabulary)
@@ -107,27 +111,31 @@ def _encoded(docs: DataFrame, vocabulary: str, end_id: int, window: int, keep_id
                         pa.array(columns[2], type=pa.list_(pa.binary())),
                         pa.array(columns[3], type=pa.int64()),
                         pa.array(columns[4], type=pa.binary()),
-                        pa.nulls(block.rows, pa.list_(pa.int64())),
+                        pa.nulls(block.rows, _COUNTS),
                     ],
                     names=["doc_id", "doc_tokens", "crcs", "windows", "sequence", "tail", "df"],
                 )
-        nothing = [pa.nulls(1, batch_type) for batch_type in _types(kind)]
+        nothing = [pa.nulls(1, batch_type) for batch_type in _types(doc_type)]
+        seen = np.flatnonzero(df)
+        counts = pa.StructArray.from_arrays(
+            [pa.array(seen.astype(np.int32)), pa.array(df[seen])], fields=list(_COUNTS.value_type)
+        )
+        listed = pa.ListArray.from_arrays(pa.array([0, len(seen)], pa.int32()), counts)
         yield pa.RecordBatch.from_arrays(
-            [*nothing, pa.array([df.tolist()], type=pa.list_(pa.int64()))],
+            [*nothing, listed.cast(_COUNTS)],
             names=["doc_id", "doc_tokens", "crcs", "windows", "sequence", "tail", "df"],
         )
 
     return docs.select("doc_id", "text").mapInArrow(
         encode,
         f"doc_id {kind}, doc_tokens long, crcs array<long>, windows array<binary>, "
-        "sequence long, tail binary, df array<long>",
+        "sequence long, tail binary, df array<struct<id:int,n:long>>",
     )
 
 
-def _types(kind: str) -> list[pa.DataType]:
-    doc = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[kind]
+def _types(doc_type: pa.DataType) -> list[pa.DataType]:
     listed = pa.list_(pa.int64())
-    return [doc, pa.int64(), listed, pa.list_(pa.binary()), pa.int64(), pa.binary()]
+    return [doc_type, pa.int64(), listed, pa.list_(pa.binary()), pa.int64(), pa.binary()]
 
 
 class Rest(NamedTuple):
@@ -226,6 +234,7 @@ def _retrieved(
     tails: DataFrame, statistics: Statistics, window: int, shard: int, keep_ids: bool, width: str
 ) -> DataFrame:
     kind = dict(tails.dtypes)["doc_id"]
+    doc_type = to_arrow_type(tails.schema["doc_id"].dataType)
     shared = tails.sparkSession.sparkContext.broadcast(statistics)
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -246,7 +255,7 @@ def _retrieved(
                     offset += len(ids)
                 sequence += 1
             columns = list(zip(*rows)) or [[]] * 8
-            types = [_types(kind)[0], *[pa.int64()] * 6, pa.binary()]
+            types = [doc_type, *[pa.int64()] * 6, pa.binary()]
             return pa.RecordBatch.from_arrays(
                 [pa.array(c, type=t) for c, t in zip(columns, types)],
                 names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "ids"],
@@ -291,8 +300,8 @@ def pack(
     """
     chosen = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     encoded = materialize(_encoded(chosen, vocabulary, end_id, window, keep_ids), "encoded")
-    counts = encoded.where("df is not null").select(F.posexplode("df"))
-    per_id = counts.groupBy("pos").agg(F.sum("col").alias("df")).where("df > 0")
+    counts = encoded.where("df is not null").select(F.inline("df"))
+    per_id = counts.groupBy("id").agg(F.sum("n").alias("df"))
     from tokenizers import Tokenizer
 
     size = Tokenizer.from_file(vocabulary).get_vocab_size()
@@ -303,7 +312,7 @@ def pack(
     ).first()
     df = np.zeros(size, dtype=np.int64)
     for row in per_id.collect():  # at most one row per id of the vocabulary
-        df[row["pos"]] = row["df"]
+        df[row["id"]] = row["df"]
     statistics = Statistics(seen["n"], (seen["mean"] or 0) / int(width[-1]), df)
 
     whole = encoded.where("df is null").select(

@@ -94,3 +94,10 @@ def test_copies_far_apart_share_a_window(spark):
     for p in pack(frame, vocabulary(), window=64, shard=32).collect():
         windows[p.doc_id].add(p.sequence_id)
     assert sum(bool(windows[7 * k] & windows[5000 + 7 * k]) for k in range(100)) >= 90
+
+
+def test_ids_of_any_type(spark):
+    docs = spark.sql("select cast(id as decimal(20,0)) as doc_id, concat('some text ', id) as text from range(9)")
+    pieces = pack(docs, vocabulary(), window=16)
+    assert dict(pieces.dtypes)["doc_id"] == "decimal(20,0)"
+    assert sorted(int(p.doc_id) for p in pieces.where("start = 0").collect()) == list(range(9))
