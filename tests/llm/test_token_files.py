@@ -50,3 +50,25 @@ def test_files_have_page_indexes_and_read_by_column(spark, odd_docs, tmp_path):
 def test_empty_table(spark, no_docs, tmp_path):
     write_token_files(no_docs, str(tmp_path / "t"), vocabulary(), 2)
     assert with_crc32(read_documents(spark, str(tmp_path / "t"), "tokens")).count() == 0
+
+
+def test_an_id_with_a_third_of_the_rows_is_cut(spark, tmp_path):
+    """Different texts, equal ones, and rows without an id; no help from adaptive execution."""
+    rows = [(k, f"text {k}") for k in range(2_000)] + [(7, f"other {k}") for k in range(1_000)]
+    rows += [(7, "the same")] * 1_000 + [(None, f"none {k % 3}") for k in range(1_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    before = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")}
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+        path = str(tmp_path / "t")
+        write_token_files(docs, path, vocabulary(), 2)
+        sizes = sorted(r["count"] for r in spark.read.parquet(path).groupBy("part").count().collect())
+        assert len(sizes) == 8 and sizes[-1] <= 2 * sizes[4]
+        found = read_documents(spark, path, "n_tokens").orderBy("start").collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    ids = [-1 if r.doc_id is None else r.doc_id for r in found]
+    assert ids == sorted(ids) and len(ids) == len(rows)
+    assert all(a.start + a.n_tokens == b.start for a, b in zip(found, found[1:]))
