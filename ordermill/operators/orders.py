@@ -261,12 +261,19 @@ def _with_whole(parts: DataFrame) -> DataFrame:
         *[F.max(flag).alias(flag) for flag in FLAGS],
         F.array_sort(F.collect_set("part")).alias("parts"),
     )
+    # A row for each part, so that documents stay where they are and are not brought
+    # together by order.
+    each = whole.select(
+        "order_id",
+        *[c for c in whole.columns if c not in ("order_id", "parts")],
+        F.size("parts").cast("bigint").alias("n_parts"),
+        F.posexplode("parts").alias("number", "part"),
+    )
     return (
         parts.select("order_id", "part", "items")
-        .join(whole, "order_id")
-        .withColumn("part", F.array_position("parts", F.col("part")) - 1)
-        .withColumn("n_parts", F.size("parts").cast("bigint"))
-        .drop("parts")
+        .join(each, ["order_id", "part"])
+        .withColumn("part", F.col("number").cast("bigint"))
+        .drop("number")
     )
 
 

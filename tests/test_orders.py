@@ -316,3 +316,33 @@ def test_lines_are_shuffled_narrow_and_once(spark, shop, tmp_path, lines):
     assert plan.count("hashpartitioning(order_id") == 1
     assert "note" not in plan
     assert "BroadcastHashJoin" in plan and "Python" not in plan and "Cartesian" not in plan
+
+
+@pytest.mark.parametrize("max_packages", [1, 20])
+def test_parts_of_small_items_are_those_of_others(huge, items, max_packages):
+    plain = order_documents(huge, items, max_packages=max_packages)
+    small = order_documents(huge, items, max_packages=max_packages, items_small=True)
+    assert rows(small.accepted) == rows(plain.accepted)
+    assert rows(small.rejected) == rows(plain.rejected)
+
+
+def test_parts_split_a_hot_order_of_small_items(spark, items):
+    """A third of the lines in one order, without help from adaptive execution."""
+    n = F.col("id")
+    lines = spark.range(24_000).select(
+        F.when(n % 3 == 0, "hot").otherwise(F.concat(F.lit("o"), n % 997)).alias("order_id"),
+        n.cast("int").alias("pos"),
+        F.lit("cup").alias("product_id"),
+        F.lit(1).alias("quantity"),
+    )
+    before = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")}
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+        found = order_documents(lines, items, max_packages=50, items_small=True).accepted
+        sizes = found.groupBy(F.spark_partition_id().alias("p")).agg(F.sum("n_items").alias("n")).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    held = sorted(r.n for r in sizes)
+    assert sum(held) == 24_000 and held[-1] <= 2 * held[len(held) // 2]
