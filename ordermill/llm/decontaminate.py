@@ -5,7 +5,8 @@ it has fewer. Windows of one length are searched together: a table gives for
 every block of two words how far the search may jump, blocks that end a window
 lead to the bucket of the windows ending so, and these are compared word by word
 and then byte by byte. All texts of a block are searched side by side, each lane
-jumping by its own shift.
+jumping by its own shift. The tables of a pack of items are arrays that are made
+once, on the driver, and broadcast; a window is a place among the words of all items.
 
 A null or empty text has no words and no hits. Repeated documents are searched
 each; repeated items and windows count once. An item without an id marks words

@@ -28,7 +28,7 @@ go to the smaller id. Only the id and vector columns are read.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
+from functools import cache, reduce
 from typing import NamedTuple
 
 import numpy as np
@@ -132,14 +132,18 @@ def post(order: np.ndarray, pivots: int) -> Files:
 def footrule(files: Files, query: np.ndarray, n: int) -> np.ndarray:
     """Distance of ``n`` rows to a query, from the files of the query's pivots."""
     near = len(query)
+    begin = query.astype(np.int64) * near
+    ends = files.starts[begin[:, None] + np.arange(near + 1)]
+    found = np.concatenate([files.rows[a:b] for a, b in ends[:, [0, -1]].tolist()])
+    gained = np.repeat(_gains(near), np.diff(ends, axis=1).ravel())
+    return near * near - np.bincount(found, gained, n)
+
+
+@cache
+def _gains(near: int) -> np.ndarray:
+    """What a place of a file takes off the distance, for each place of a query's pivot."""
     place = np.arange(near)
-    # What a place of a file takes off the distance; the query's own place is its row.
-    gain = (near - np.abs(place[:, None] - place)).ravel().astype(float)
-    begin = query.astype(np.int64)[:, None] * near + place
-    count = (files.starts[begin + 1] - files.starts[begin]).ravel()
-    low, high = files.starts[begin[:, 0]].tolist(), files.starts[begin[:, -1] + 1].tolist()
-    found = np.concatenate([files.rows[a:b] for a, b in zip(low, high)])
-    return near * near - np.bincount(found, np.repeat(gain, count), n)
+    return (near - np.abs(place[:, None] - place)).ravel().astype(float)
 
 
 def _ranks(begins: np.ndarray) -> np.ndarray:
@@ -219,6 +223,10 @@ def _search_block(
                     distance = footrule(files, seen[k], len(rows))
                     chosen = nearest(distance, max(n, np.count_nonzero(distance <= close)))
                     exact = (rows[chosen] * vectors[k]).sum(axis=1)
+                    able = exact >= best[k, -1]
+                    chosen, exact = chosen[able], exact[able]
+                    if not len(chosen):
+                        continue
                     many = bounds[chosen + 1] - bounds[chosen]
                     reach = np.cumsum(many)
                     at = np.repeat(bounds[chosen] - (reach - many), many) + np.arange(reach[-1])
