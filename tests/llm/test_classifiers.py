@@ -1,13 +1,17 @@
 import random
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from ordermill.llm import quality, toxicity
 from ordermill.llm.queries import remainder
 from ordermill.llm.text import blocks
+from tests.llm.conftest import alnum_words
 
 LABELS = "doc_id long, quality int, toxic int, text string"
 
@@ -186,3 +190,57 @@ def test_repeats_of_a_labelled_id_are_fitted_once(spark, module):
     read = module.labelled_statistics if module is quality else module.labelled_features
     rows = read(docs, sample).collect()
     assert len(rows) == 3 and sum(r.y for r in rows) == 1
+
+
+TEXTS = st.text(alphabet="aAbZ09 .!?,;|#é\n\t€ü\x01-", max_size=60)
+
+
+def plainly(text):
+    """The statistics of one text, by its definitions."""
+    raw = (text or "").encode()
+    size = max(1, len(raw))
+
+    def share(characters):
+        return sum(b in characters for b in raw) / size
+
+    low, up = range(97, 123), range(65, 91)
+    kinds = [low, up, range(48, 58), [9, 10, 11, 12, 13, 32], [10], b".?!", b"!", b",;:", b"|/\\<>{}[]_=~^",
+             b"#$%&*@+", [*range(9), *range(14, 32), 127], range(128, 256)]
+    row = [share(k) for k in kinds] + [np.log1p(len(raw))]
+    plain = raw.split()
+    words = [bytes(b + 32 if b in up else b for b in w) for w in plain]
+    n = max(1, len(words))
+    lines = [x for x in raw.split(b"\n") if x]
+    row += [
+        sum(map(len, words)) / n, sum(len(w) > 20 for w in words) / n, len(set(words)) / n,
+        max(Counter(words).values(), default=0) / n, sum(a == b for a, b in zip(words, words[1:])) / n,
+        sum(w[-1] in b"#$%&*@+" for w in plain) / n, sum(w[0] in up for w in plain) / n,
+        np.log1p(len(words) / max(1, len(lines))), len(set(lines)) / max(1, len(lines)),
+    ]
+    return row
+
+
+@settings(deadline=None, max_examples=150)
+@given(st.lists(st.one_of(st.none(), TEXTS), min_size=1, max_size=6), st.integers(1, 200))
+def test_statistics_are_those_of_plain_python(texts, limit):
+    found = np.vstack([quality.statistics(b) for b in blocks(pa.array(texts, pa.string()), limit)])
+    assert np.allclose(found, [plainly(t) for t in texts])
+
+
+@settings(deadline=None, max_examples=100)
+@given(st.lists(st.one_of(st.none(), TEXTS), min_size=1, max_size=6), st.integers(1, 200))
+def test_features_are_words_and_their_beginnings(texts, limit):
+    """Each row has one hash for each word and each beginning that occurs, the same in all rows."""
+    names = {}
+    row = 0
+    for block in blocks(pa.array(texts, pa.string()), limit):
+        found, first = toxicity.block_features(block)
+        for low, high in zip(first[:-1].tolist(), first[1:].tolist()):
+            said = [w.encode() for w in alnum_words(texts[row])]
+            wanted = [(("word", w), ("four", w[:4]), ("five", w[:5])) for w in said]
+            assert len(wanted) == high - low
+            for hashes, features in zip(found[low:high].tolist(), wanted):
+                for value, name in zip(hashes, features):
+                    assert names.setdefault(name, value) == value
+            row += 1
+    assert row == len(texts) and len(set(names.values())) == len(names)
