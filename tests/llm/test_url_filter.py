@@ -1,4 +1,5 @@
 import random
+import time
 
 import pytest
 
@@ -63,3 +64,12 @@ def test_random_rules_equal_brute_force():
 def test_unknown_actions_are_refused():
     with pytest.raises(ValueError):
         parse_rule("maybe", "net/")
+
+
+def test_many_path_rules_of_one_host():
+    trie = Trie([parse_rule("block", f"a.net/x/page{k:05}") for k in range(50_000)] + [parse_rule("allow", "a.net/x/p")])
+    start = time.process_time()
+    for k in range(0, 50_000, 25):
+        assert trie.longest("www.a.net", f"/x/page{k:05}-more")[1].path == f"/x/page{k:05}"
+        assert trie.longest("a.net", f"/x/pag{k}")[1].path == "/x/p"
+    assert time.process_time() - start < 1
