@@ -50,7 +50,9 @@ def hot_join(
     are given) stay where they are, and meet the rows of ``right`` with these keys by
     broadcast, if these are measured to be few; else each hot key is cut into
     ``salts`` pieces on the left and repeated for them on the right. Rows without a
-    key match nothing and stay too. All others are shuffled by key.
+    key match nothing and stay too. All others are shuffled by key. ``left`` is read
+    for the sketch, for its hot rows and for the others, so one that is dear to
+    compute is better kept as a table first.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"how must be 'inner' or 'left', got {how!r}")
