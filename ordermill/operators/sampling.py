@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -39,8 +39,10 @@ def dense_index(df: DataFrame, key: str, *, digits: int = DIGITS, run: int = RUN
     computed once.
     """
     keyed = df.where(F.col(key).isNotNull())
-    counts = materialize(keyed.groupBy(key).agg(F.count(F.lit(1)).alias("n")), "counts")
-    rows = counts.agg(F.sum("n")).first()[0]
+    total = Observation()
+    counted = keyed.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    counts = materialize(counted.observe(total, F.sum("n").alias("rows")), "counts")
+    rows = total.get["rows"]
     if not rows:
         raise ValueError(f"no row with a {key} to draw from")
     # Two explodes, since the numbers of one key's runs may not fit one array.
