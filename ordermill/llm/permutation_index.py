@@ -9,7 +9,8 @@ vector that is not in the file, summed over these files, is the footrule distanc
 vectors are alike when they see the same pivots in a like order. The share of a block
 with the least distance is reranked by the exact inner product in double precision,
 and with it all that see the pivots in almost the query's own order, which places
-cannot rank. ``share=1.0`` reranks every row, and is the exact way.
+cannot rank. ``share=1.0`` reranks every row, and is the exact way. Of the reranked
+only those that may be among the nearest so far are merged with them.
 
 Rows are indexed in blocks of bounded size, dealt by the hash of their ids; a
 block's files are one list of rows by pivot and place. Equal vectors of a block are
