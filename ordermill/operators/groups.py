@@ -30,23 +30,28 @@ def number_parts(
     """
     if limit < 1:
         raise ValueError(f"limit must be at least 1, got {limit}")
-    rows = rows.withColumns({"_weight": weight, "_run": F.expr(f"`{pos}` div {RUN}")})
-    runs = rows.groupBy(key, "_run").agg(F.sum("_weight").alias("_sum"))
-    earlier = Window.partitionBy(key).orderBy("_run").rowsBetween(Window.unboundedPreceding, -1)
-    runs = runs.select(
-        F.col(key).alias("_key"),
-        F.col("_run").alias("_of"),
-        F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_before"),
+    # One column that is never null, so that rows, sums and the join are partitioned alike.
+    group = F.struct(F.col(key), F.expr(f"`{pos}` div {RUN}").alias("_run"))
+    rows = rows.withColumns({"_weight": weight, "_group": group})
+    runs = rows.groupBy("_group").agg(F.sum("_weight").alias("_sum"))
+    earlier = (
+        Window.partitionBy(F.col("_group")[key])
+        .orderBy(F.col("_group")["_run"])
+        .rowsBetween(Window.unboundedPreceding, -1)
     )
-    placed = rows.join(runs, F.col(key).eqNullSafe(F.col("_key")) & F.col("_run").eqNullSafe(F.col("_of")), "left")
+    runs = runs.select("_group", F.sum("_sum").over(earlier).alias("_before"))
     inside = (
-        Window.partitionBy(key, "_run")
+        Window.partitionBy("_group")
         .orderBy(pos, *order_by)
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    before = F.col("_before") + F.coalesce(F.sum("_weight").over(inside), F.lit(0))
+    placed = rows.withColumn("_inside", F.sum("_weight").over(inside))
+    # Most groups have one run, and nothing before it.
+    placed = placed.join(runs.where("_before <> 0"), "_group", "left")
+    before = F.coalesce("_before", F.lit(0)) + F.coalesce("_inside", F.lit(0))
     part = F.floor(before / F.lit(limit)).cast("bigint")
-    return placed.withColumn("part", part).drop("_weight", "_run", "_key", "_of", "_before")
+    columns = [c for c in rows.columns if c not in ("_weight", "_group")]
+    return placed.select(*columns, part.alias("part"))
 
 
 def one_per_key(df: DataFrame, key: str) -> DataFrame:

@@ -186,59 +186,46 @@ def _documents(
     """One row per order, or per part: items, totals, flags, counts and header.
 
     Headers are rows of the same fold as the lines, so documents are never joined
-    or sorted, and an order that has only the one or the other is there too.
+    or sorted, and an order that has only the one or the other is there too. Rows
+    with their items are shuffled once, before they are folded; what needs no items
+    (numbering parts, flags and counts of orders in parts) is done on narrow rows.
     """
-    columns = ["order_id", "pos", "product_id", "quantity"]
-    rows = lines.where(F.col("order_id").isNotNull()).select(*columns)
+    rows = lines.where(F.col("order_id").isNotNull()).select(
+        "order_id", "pos", "product_id", "quantity"
+    )
+    keys, beside = ["order_id"], headers
+    if max_packages is not None:
+        keys = ["order_id", "part"]
+        rows, beside = _parts(rows, items, headers, on_empty, max_packages, items_small)
 
-    def with_headers(rows: DataFrame) -> DataFrame:
-        if headers is None:
+    def with_beside(rows: DataFrame) -> DataFrame:
+        if beside is None:
             return rows.withColumn("header", F.lit(None).cast("boolean"))
-        return rows.unionByName(headers, allowMissingColumns=True)
-
-    is_line = F.col("header").isNull()
-
-    def numbered(rows: DataFrame, packages: Column) -> DataFrame:
-        """Rows with the part that each belongs to, if orders come in parts."""
-        if max_packages is None:
-            return rows
-        weight = F.when(is_line, F.greatest(F.lit(1), packages)).otherwise(0)
-        rows = number_parts(
-            rows.withColumn("pos", F.coalesce("pos", F.lit(0))),
-            "order_id", "pos", ["product_id", "quantity"], weight, max_packages,
-        )
-        return rows.withColumn("part", F.when(is_line, F.col("part")).otherwise(0))
+        return rows.unionByName(beside, allowMissingColumns=True)
 
-    keys = ["order_id"] if max_packages is None else ["order_id", "part"]
     if items_small:
-        # Shuffle the narrow rows, by part if there are parts, so that no task holds
-        # an order; the wide items are added behind that.
-        rows = with_headers(rows)
-        if max_packages is not None:
-            sizes = items.select("product_id", F.size("packages").alias("n_packages"))
-            rows = numbered(attach_products(rows, sizes, small=True), F.col("n_packages"))
-            rows = rows.drop("n_packages")
-        rows = attach_products(rows.repartition(*keys), items, small=True)
+        # The narrow rows are shuffled; the wide items are added behind that.
+        rows = attach_products(with_beside(rows).repartition(*keys), items, small=True)
     else:
-        rows = with_headers(attach_products(rows, items, small=items_small))
-        rows = numbered(rows, F.size("packages"))
+        # Collected before the shuffle, rows would be written with their keys twice.
+        rows = with_beside(attach_products(rows, items, small=items_small)).repartition(*keys)
     rows = _line_flags(rows, on_empty)
     item = F.struct("product_id", "product_name", "price", "quantity", "packages")
-    documents = rows.groupBy(*keys).agg(
-        collect_entries(
-            ["pos", "product_id", "quantity"], F.when(is_line & F.col("kept"), item)
-        ).alias("items"),
-        F.count_if(is_line).alias("n_lines"),
-        F.count_if(is_line & F.col("kept")).alias("n_kept"),
-        F.max("header").alias("header"),
-        *[F.coalesce(F.max(F.when(is_line, F.col(f))), F.lit(False)).alias(f) for f in FLAGS],
-    )
-    if max_packages is None:
-        documents = documents.withColumns(
-            {"part": F.lit(0).cast("bigint"), "n_parts": F.lit(1).cast("bigint")}
-        )
+    is_line = F.col("whole" if max_packages is not None else "header").isNull()
+    collected = collect_entries(
+        ["pos", "product_id", "quantity"], F.when(is_line & F.col("kept"), item)
+    ).alias("items")
+    if max_packages is not None:
+        folded = rows.groupBy(*keys).agg(collected, F.max("whole").alias("whole"))
+        documents = folded.select("order_id", "items", "whole.*")
     else:
-        documents = _with_whole(documents)
+        documents = rows.groupBy(*keys).agg(
+            collected,
+            F.count_if(is_line).alias("n_lines"),
+            F.count_if(is_line & F.col("kept")).alias("n_kept"),
+            F.max("header").alias("header"),
+            *[F.coalesce(F.max(F.when(is_line, F.col(f))), F.lit(False)).alias(f) for f in FLAGS],
+        ).withColumns({"part": F.lit(0).cast("bigint"), "n_parts": F.lit(1).cast("bigint")})
     measured = documents.withColumns(
         {
             "n_items": F.size("items").cast("bigint"),
@@ -251,30 +238,58 @@ def _documents(
     return measured.select("order_id", *numbers, *TOTALS, "items", *FLAGS, "header")
 
 
-def _with_whole(parts: DataFrame) -> DataFrame:
-    """Flags, counts and header of the whole order on each of its parts, numbered
-    without gaps."""
-    whole = parts.groupBy("order_id").agg(
-        F.sum("n_lines").alias("n_lines"),
-        F.sum("n_kept").alias("n_kept"),
+def _parts(
+    rows: DataFrame,
+    items: DataFrame,
+    headers: DataFrame | None,
+    on_empty: str,
+    max_packages: int,
+    items_small: bool | None,
+) -> tuple[DataFrame, DataFrame]:
+    """Narrow lines with the part that each belongs to, and one row for each part.
+
+    The latter has in ``whole`` the flags, counts and header of the whole order and
+    the numbers of the part, without gaps. No task holds an order.
+    """
+    sizes = items.select("product_id", "is_empty", "has_null", F.size("packages").alias("n_packages"))
+    sized = attach_products(rows, sizes, small=items_small)
+    sized = _line_flags(sized, on_empty).withColumn("pos", F.coalesce("pos", F.lit(0)))
+    # In one column, so that the lines and the orders need the same columns and the
+    # numbered rows are shuffled once for both.
+    flags = ["kept", *FLAGS]
+    bits = sum((F.col(f).cast("int") * (1 << k) for k, f in enumerate(flags)), F.lit(0))
+    numbered = number_parts(
+        sized.select("order_id", "pos", "product_id", "quantity", "n_packages", bits.alias("flags")),
+        "order_id", "pos", ["product_id", "quantity"],
+        F.greatest(F.lit(1), F.col("n_packages")), max_packages,
+    ).drop("n_packages")
+
+    def has(flag: str) -> Column:
+        return F.col("flags").bitwiseAND(1 << flags.index(flag)) != 0
+
+    told = numbered.select("order_id", "part", "flags")
+    if headers is None:
+        told = told.withColumn("header", F.lit(None).cast("boolean"))
+    else:
+        told = told.unionByName(
+            headers.withColumn("part", F.lit(0).cast("bigint")), allowMissingColumns=True
+        )
+    whole = told.groupBy("order_id").agg(
+        F.count("flags").alias("n_lines"),
+        F.count_if(has("kept")).alias("n_kept"),
         F.max("header").alias("header"),
-        *[F.max(flag).alias(flag) for flag in FLAGS],
+        *[F.coalesce(F.max(has(f)), F.lit(False)).alias(f) for f in FLAGS],
         F.array_sort(F.collect_set("part")).alias("parts"),
     )
-    # A row for each part, so that documents stay where they are and are not brought
-    # together by order.
     each = whole.select(
         "order_id",
-        *[c for c in whole.columns if c not in ("order_id", "parts")],
-        F.size("parts").cast("bigint").alias("n_parts"),
         F.posexplode("parts").alias("number", "part"),
+        "n_lines", "n_kept", "header", *FLAGS,
+        F.size("parts").cast("bigint").alias("n_parts"),
     )
-    return (
-        parts.select("order_id", "part", "items")
-        .join(each, ["order_id", "part"])
-        .withColumn("part", F.col("number").cast("bigint"))
-        .drop("number")
-    )
+    numbers = [F.col("number").cast("bigint").alias("part"), "n_parts", "n_lines", "n_kept"]
+    each = each.select("order_id", "part", F.struct(*numbers, "header", *FLAGS).alias("whole"))
+    return numbered.drop("flags"), each
 
 
 def order_documents(

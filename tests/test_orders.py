@@ -346,3 +346,15 @@ def test_parts_split_a_hot_order_of_small_items(spark, items):
             spark.conf.set(k, v)
     held = sorted(r.n for r in sizes)
     assert sum(held) == 24_000 and held[-1] <= 2 * held[len(held) // 2]
+
+
+@pytest.mark.parametrize("max_packages", [None, 2])
+def test_rows_with_their_items_are_shuffled_once(lines, items, max_packages):
+    """And as they are: not collected before, and not to number parts or for flags."""
+    documents = order_documents(lines, items, max_packages=max_packages, items_small=False)
+    query = documents.accepted._jdf.queryExecution()
+    mode = documents.accepted.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    nodes = query.explainString(mode).split("\n\n")
+    shuffled = [n for n in nodes if "Exchange\n" in n and "order_id#" in n.split("Arguments")[0]]
+    assert len([n for n in shuffled if "packages#" in n]) == 1
+    assert not [n for n in shuffled if "items#" in n]
