@@ -38,6 +38,7 @@ from ordermill.operators.items import explode_components
 from ordermill.plans import warehouse
 from ordermill.plans.catalog import prepare_catalog
 from ordermill.schemas import COMPONENT_COLUMNS, order_event_schema
+from ordermill.scratch import kept
 from ordermill.plans.writing import write_orders
 from ordermill.sources import (
     append_events,
@@ -447,8 +448,7 @@ def _leaves(schema: T.StructType, path: str = "") -> list:
 
 def _flat_events(events: DataFrame, *more: str) -> DataFrame:
     flat = events.select(*more, *_leaves(order_event_schema))
-    kept = [c for c in flat.columns if c not in UNFILLED]
-    return flat.select(*kept)
+    return flat.select(*[c for c in flat.columns if c not in UNFILLED])
 
 
 @query
@@ -583,8 +583,9 @@ def draw_products(spark, directory):
 def append_roundtrip(spark, directory):
     """Append two runs of events to one table and read it back."""
     path = scratch_path(spark, "events")
-    for run in (RUN, "second"):
-        append_events(_events(spark, directory, run), path, by_date=True)
+    with kept(_composed(spark, directory).accepted, "composed") as orders:
+        for run in (RUN, "second"):
+            append_events(to_events(orders, run=run), path, by_date=True, few_dates=True)
     return _flat_events(read_table(spark, path, schema=order_event_schema))
 
 
@@ -592,15 +593,16 @@ def append_roundtrip(spark, directory):
 def append_replayed(spark, directory):
     """Two runs, one of them repeated, and one that breaks off after some files."""
     path = scratch_path(spark, "events")
-    events = {run: _events(spark, directory, run) for run in (RUN, "second", "broken")}
-    broken = F.when(F.crc32("event_id") % 1_000 == 0, F.raise_error(F.lit("broken off")))
-    torn = events["broken"].withColumn("event_id", F.coalesce(broken.cast("string"), "event_id"))
-    for run, rows in ((RUN, events[RUN]), ("broken", torn), ("second", events["second"]), (RUN, events[RUN])):
-        try:
-            append_events(rows, path, by_date=True, run=run)
-        except RuntimeError:
-            if run != "broken":
-                raise
+    with kept(_composed(spark, directory).accepted, "composed") as orders:
+        events = {run: to_events(orders, run=run) for run in (RUN, "second", "broken")}
+        broken = F.when(F.crc32("event_id") % 1_000 == 0, F.raise_error(F.lit("broken off")))
+        torn = events["broken"].withColumn("event_id", F.coalesce(broken.cast("string"), "event_id"))
+        for run, rows in ((RUN, events[RUN]), ("broken", torn), ("second", events["second"]), (RUN, events[RUN])):
+            try:
+                append_events(rows, path, by_date=True, few_dates=True, run=run)
+            except RuntimeError:
+                if run != "broken":
+                    raise
     sweep_runs(spark, path, older_than=0)
     return _flat_events(read_events(spark, path))
 

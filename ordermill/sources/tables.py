@@ -71,12 +71,15 @@ def append_events(
     format: str = "parquet",
     *,
     by_date: bool = False,
+    few_dates: bool = False,
     run: str | None = None,
     options: dict[str, str] | None = None,
 ) -> bool:
     """Append order events to a table, all in one write.
 
-    ``by_date`` partitions the files by order date. With ``run`` the events come in
+    ``by_date`` partitions the files by order date. Events are shuffled for it, so that
+    a date has few files; events of ``few_dates``, as of one run, are written where they
+    are, one file for each task and date. With ``run`` the events come in
     whole or not at all, and once however often the call is repeated; False if the
     table has them already, and ``read_events`` reads the table. Without ``run``
     file formats do not undo an append that fails half-way, and a repeated call
@@ -85,10 +88,10 @@ def append_events(
     events = conform(events)
     partition_by = None
     if by_date:
-        # Rebalancing keeps the files few, and splits a date that has most events.
-        events = events.withColumn(
-            "order_date", F.col("order_details.order_date")
-        ).hint("rebalance", "order_date")
+        events = events.withColumn("order_date", F.col("order_details.order_date"))
+        if not few_dates:
+            # Rebalancing keeps the files few, and splits a date that has most events.
+            events = events.hint("rebalance", "order_date")
         partition_by = ["order_date"]
     try:
         if run is not None and format.lower() == "delta":
