@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 
 from ordermill.operators.events import to_events
 from ordermill.operators.orders import check_orders, split_checked, without_id
 from ordermill.plans.catalog import Catalog
 from ordermill.scratch import kept
-from ordermill.sources.runs import append_run
+from ordermill.sources.runs import append_run, has_run
 from ordermill.sources.tables import append_events
 
 
@@ -37,8 +37,12 @@ def write_orders(
     The batch counterpart of ``stream_orders``: ``check_orders`` runs once (with
     ``options``), and both tables are written from its kept result. Each gets the run
     whole or not at all; a call that is repeated with the same ``run`` adds what is
-    missing and nothing twice. ``read_events`` and ``read_runs`` read them.
+    missing and nothing twice, and computes nothing if nothing is missing.
+    ``read_events`` and ``read_runs`` read them.
     """
+    spark = orders.sparkSession
+    if all(has_run(spark, table, run) for table in (path, rejected_path)):
+        return Written(False, False)
     checked = check_orders(
         orders,
         lines,
@@ -50,5 +54,9 @@ def write_orders(
     )
     with kept(checked, "orders") as result:
         found = split_checked(result, without_id(lines, orders))
-        events = append_events(to_events(found.accepted, run=run), path, by_date=by_date, run=run)
+        # A run has one date, unless each order has its moment.
+        events = append_events(
+            to_events(found.accepted, run=run), path, by_date=by_date, run=run,
+            few_dates=not isinstance(options.get("as_of"), Column),
+        )
         return Written(events, append_run(found.rejected, rejected_path, run))

@@ -58,6 +58,12 @@ def commit(spark: SparkSession, records: str, key: str, record: dict) -> bool:
     return True
 
 
+def has_run(spark: SparkSession, path: str, run: str) -> bool:
+    """Whether the table has the run already."""
+    record, store = in_store(spark, f"{path.rstrip('/')}/{RECORDS}/{run_key(run)}.json")
+    return bool(store.exists(record))
+
+
 def append_run(
     df: DataFrame,
     path: str,
@@ -74,8 +80,7 @@ def append_run(
     if not run:
         raise ValueError("a run needs a name")
     spark, path, key = df.sparkSession, path.rstrip("/"), run_key(run)
-    record, store = in_store(spark, f"{path}/{RECORDS}/{key}.json")
-    if store.exists(record):
+    if has_run(spark, path, run):
         return False
     folder = f"{FOLDER}={key}-{uuid.uuid4().hex}"
     df.write.save(f"{path}/{folder}", format.lower(), "error", partition_by, **(options or {}))
@@ -83,7 +88,8 @@ def append_run(
         spark, f"{path}/{RECORDS}", key, {"run": run, "folder": folder, "format": format.lower()}
     )
     if not added:
-        store.delete(in_store(spark, f"{path}/{folder}")[0], True)
+        place, store = in_store(spark, f"{path}/{folder}")
+        store.delete(place, True)
     return added
 
 

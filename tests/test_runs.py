@@ -14,7 +14,7 @@ from ordermill.sources import (
     runs,
     sweep_runs,
 )
-from tests.conftest import rows
+from tests.conftest import plan_of, rows
 from tests.test_events import EVENT
 
 SCHEMA = T.StructType().add("a", T.IntegerType()).add("b", T.StringType())
@@ -124,3 +124,27 @@ def test_written_once_and_completed_by_a_repeat(spark, shop, lines, tmp_path, mo
     assert rows(read_events(spark, paths[0])) == rows(to_events(plain.accepted, run="r"))
     schema = T.StructType.fromDDL("order_id string, reason string, n_lines long")
     assert rows(read_runs(spark, paths[1], schema)) == rows(plain.rejected)
+
+
+def test_a_repeat_with_nothing_missing_computes_nothing(spark, shop, lines, tmp_path, monkeypatch):
+    catalog = prepare_catalog(shop.clients, shop.products, shop.packages)
+    orders = lines.select("order_id", F.lit("a1").alias("address_id")).distinct()
+    paths = str(tmp_path / "t"), str(tmp_path / "rejected")
+    assert write_orders(orders, lines, catalog, *paths, run="r", as_of=AS_OF, by_date=True) == (True, True)
+    monkeypatch.setattr("ordermill.plans.writing.check_orders", None)
+    assert write_orders(orders, lines, catalog, *paths, run="r", as_of=AS_OF, by_date=True) == (False, False)
+
+
+def test_events_of_few_dates_are_not_shuffled(spark, tmp_path, monkeypatch):
+    events = spark.createDataFrame([EVENT] * 8, order_event_schema).repartition(4)
+    plans = []
+    monkeypatch.setattr(
+        "ordermill.sources.tables.append_run", lambda df, *_, **__: plans.append(plan_of(df)) or True
+    )
+    for few in (True, False):
+        append_events(events, str(tmp_path / "t"), run="r", by_date=True, few_dates=few)
+    assert [p.count("Exchange") for p in plans] == [1, 2]
+    monkeypatch.undo()
+    append_events(events, str(tmp_path / "t"), run="r", by_date=True, few_dates=True)
+    assert len(list((tmp_path / "t").glob("*/order_date=*"))) == 1
+    assert read_events(spark, str(tmp_path / "t")).count() == 8
