@@ -669,7 +669,7 @@ def read_formats(spark, directory):
 def published_lines(spark, directory):
     """Publish events as JSON lines and read them back."""
     path = scratch_path(spark, "published")
-    publish(_events(spark, directory), "text", {"path": path})
+    publish(_events(spark, directory), "text", {"path": path, "compression": "gzip"})
     return _flat_events(read_table(spark, path, "json", order_event_schema))
 
 
@@ -778,7 +778,7 @@ def stream_published(spark, directory):
     publish(
         stream,
         "text",
-        {"path": path},
+        {"path": path, "compression": "gzip"},
         checkpoint=scratch_path(spark, "publish-checkpoint"),
     ).awaitTermination()
     return _flat_events(read_table(spark, path, "json", order_event_schema))

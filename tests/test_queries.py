@@ -68,3 +68,17 @@ def test_building_a_plan_runs_no_jobs(spark, name):
         assert len(tracker.getJobIdsForGroup(group)) <= 3
     finally:
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+@pytest.mark.parametrize("name", ["append_roundtrip", "append_replayed"])
+def test_appended_runs_are_composed_once(spark, monkeypatch, name):
+    composed, calls = gallery._composed, []
+    monkeypatch.setattr(gallery, "_composed", lambda *a, **k: calls.append(a) or composed(*a, **k))
+    assert gallery.QUERIES[name](spark, TABLES).count()
+    assert len(calls) == 1
+
+
+@pytest.mark.parametrize("name", ["published_lines", "stream_published"])
+def test_published_lines_are_compressed(spark, name):
+    files = [f for f in gallery.QUERIES[name](spark, TABLES).inputFiles()]
+    assert files and all(f.endswith(".gz") for f in files)
