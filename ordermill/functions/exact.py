@@ -22,15 +22,27 @@ _BITS, _MASK = 31, (1 << 31) - 1
 LARGE = float(1 << 62)
 
 
-def _places(value: Column) -> list[Column]:
-    """The four whole numbers of a double below ``LARGE``."""
+def _halves(value: Column) -> tuple[Column, Column]:
+    """The whole part of a double, and its fraction in steps of 2**-31."""
     rest = value % 1.0
-    whole = value - rest
-    high = (whole / _STEP).cast("long")
+    return value - rest, rest * _STEP
+
+
+def _high(half: Column, step: float) -> Column:
+    return (half / step).cast("long") if step != 1.0 else half.cast("long")
+
+
+def _low(whole: Column, high: Column, scaled: Column, upper: Column) -> tuple[Column, Column]:
+    """What the higher place of each half leaves over."""
     low = (whole - high.cast("double") * _STEP).cast("long")
-    scaled = rest * _STEP
-    upper = scaled.cast("long")
-    lower = F.rint((scaled - upper.cast("double")) * _STEP).cast("long")
+    return low, F.rint((scaled - upper.cast("double")) * _STEP).cast("long")
+
+
+def _places(value: Column) -> list[Column]:
+    """The four whole numbers of a double below ``LARGE``."""
+    whole, scaled = _halves(value)
+    high, upper = _high(whole, _STEP), _high(scaled, 1.0)
+    low, lower = _low(whole, high, scaled, upper)
     return [high, low, upper, lower]
 
 
@@ -68,17 +80,35 @@ def exact_total(values: Column) -> Column:
         *[F.lit(0).cast("long").alias(p) for p in "abcd"], F.lit(None).cast("double").alias("beside")
     )
 
-    def add(total: Column, value: Column) -> Column:
+    # Functions of arrays are interpreted: a step for each value that is used again, as
+    # one expression for all would compute the earlier ones over and over.
+    def parted(value: Column) -> Column:
         large = _is_large(value)
-        places = _places(F.when(~large, value).otherwise(F.when(large, F.lit(0.0))))
-        beside = F.when(large, F.coalesce(total["beside"], F.lit(0.0)) + value)
+        small = F.when(~large, value).otherwise(F.when(large, F.lit(0.0)))
+        return F.struct(small.alias("small"), F.when(large, value).alias("beside"))
+
+    def halved(x: Column) -> Column:
+        whole, scaled = _halves(x["small"])
+        return F.struct(whole.alias("whole"), scaled.alias("scaled"), x["beside"].alias("beside"))
+
+    def raised(x: Column) -> Column:
+        high, upper = _high(x["whole"], _STEP), _high(x["scaled"], 1.0)
+        return F.struct(
+            x["whole"].alias("whole"), x["scaled"].alias("scaled"), high.alias("high"),
+            upper.alias("upper"), x["beside"].alias("beside"),
+        )
+
+    def add(total: Column, x: Column) -> Column:
+        low, lower = _low(x["whole"], x["high"], x["scaled"], x["upper"])
+        beside = F.coalesce(total["beside"] + x["beside"], x["beside"], total["beside"])
         return F.struct(
-            *[(total[p] + x).alias(p) for p, x in zip("abcd", places)],
-            F.coalesce(beside, total["beside"]).alias("beside"),
+            *[(total[p] + n).alias(p) for p, n in zip("abcd", (x["high"], low, x["upper"], lower))],
+            beside.alias("beside"),
         )
 
     def finish(total: Column) -> Column:
         whole = _together(*[total[p] for p in "abcd"])
         return F.when(total["beside"].isNull(), whole).otherwise(whole + total["beside"])
 
-    return F.aggregate(values, nothing, add, finish)
+    steps = F.transform(F.transform(F.transform(values, parted), halved), raised)
+    return F.aggregate(steps, nothing, add, finish)

@@ -77,3 +77,10 @@ def test_flat_and_nested_totals_have_equal_bits(spark, shop):
         flat = order_totals(lines.orderBy(F.rand(n)).repartition(n), measures, exact=True).accepted
         assert rows(flat, *columns) == wanted
     assert len(wanted) == 7
+
+
+def test_an_element_of_an_array_is_looked_at_once(spark):
+    """What is used again is kept: such functions are interpreted, not compiled."""
+    df = spark.sql("select array(1.5D, null) as v, id from range(1)")
+    plan = df.select(exact_total(F.col("v")).alias("t"))._jdf.queryExecution().analyzed().toString()
+    assert plan.count("isnan(") <= 3
