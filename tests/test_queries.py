@@ -82,3 +82,23 @@ def test_appended_runs_are_composed_once(spark, monkeypatch, name):
 def test_published_lines_are_compressed(spark, name):
     files = [f for f in gallery.QUERIES[name](spark, TABLES).inputFiles()]
     assert files and all(f.endswith(".gz") for f in files)
+
+
+def test_a_kinesis_record_is_parsed_once(spark):
+    plan = gallery.QUERIES["kinesis_records"](spark, TABLES)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json(") == 1
+
+
+def test_streamed_orders_are_written_by_many_tasks(spark, tmp_path):
+    path = str(tmp_path / "orders")
+    gallery._orders_with_lines(spark, TABLES, 6).write.parquet(path)
+    assert len(glob.glob(f"{path}/*.parquet")) == 6
+
+
+def test_orders_of_a_stream_are_kept_only_for_two_tables(spark, monkeypatch):
+    from ordermill.streaming import orders
+
+    names, kept = [], orders.kept
+    monkeypatch.setattr(orders, "kept", lambda df, name: names.append(name) or kept(df, name))
+    assert gallery.QUERIES["stream_orders"](spark, TABLES).count()
+    assert names and "batch" not in names
