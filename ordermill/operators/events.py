@@ -52,7 +52,8 @@ def to_events(
         *PARTS,
     )
     if parts:
-        schema = T.StructType([*order_event_schema.fields, *[events.schema[c] for c in PARTS]])
+        beside = [T.StructField(c, events.schema[c].dataType) for c in PARTS]
+        schema = T.StructType([*order_event_schema.fields, *beside])
         return conform(events, schema)
     return conform(events.drop(*PARTS))
 

@@ -9,14 +9,21 @@ from pyspark.sql import functions as F
 RUN = 1_024
 
 
-def collect_entries(order_by: list[str], entry: Column) -> Column:
+def collect_entries(order_by: list[str | Column], entry: Column) -> Column:
     """Aggregate: the entries of a group as an array sorted by ``order_by``.
 
     A null entry is left out. Equal sort keys are told apart by the entry.
     """
     sortable = F.struct(*order_by, entry.alias("entry"))
     collected = F.sort_array(F.collect_list(F.when(entry.isNotNull(), sortable)))
-    return F.transform(collected, lambda e: e["entry"])
+    # Not by a lambda: its variable has a new name in each call, so that equal plans
+    # would not be seen as equal and their shuffles not be shared.
+    return collected["entry"]
+
+
+def check_limit(limit: int) -> None:
+    if limit < 1:
+        raise ValueError(f"limit must be at least 1, got {limit}")
 
 
 def number_parts(
@@ -28,8 +35,7 @@ def number_parts(
     then ``order_by``. Only sums of runs of positions are brought together, so a
     group is numbered by many tasks.
     """
-    if limit < 1:
-        raise ValueError(f"limit must be at least 1, got {limit}")
+    check_limit(limit)
     # One column that is never null, so that rows, sums and the join are partitioned alike.
     group = F.struct(F.col(key), F.expr(f"`{pos}` div {RUN}").alias("_run"))
     rows = rows.withColumns({"_weight": weight, "_group": group})
@@ -57,9 +63,8 @@ def number_parts(
 def one_per_key(df: DataFrame, key: str) -> DataFrame:
     """One row for each non-null key: the least of its rows, column by column."""
     others = [c for c in df.columns if c != key]
-    return (
-        df.where(F.col(key).isNotNull())
-        .groupBy(key)
-        .agg(F.min(F.struct(*others)).alias("_row"))
-        .select(key, "_row.*")
-    )
+    # Not by ``min``: Spark does not see two equal plans as equal above an aggregate, and
+    # would not share their shuffles. Before the shuffle one row of a key is left, too.
+    least = F.row_number().over(Window.partitionBy(key).orderBy(*others))
+    numbered = df.where(F.col(key).isNotNull()).select(key, *others, least.alias("_least"))
+    return numbered.where("_least = 1").drop("_least")

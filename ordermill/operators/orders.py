@@ -9,7 +9,7 @@ from __future__ import annotations
 from datetime import datetime, timezone
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ordermill.functions.documents import (
@@ -21,13 +21,14 @@ from ordermill.functions.documents import (
 )
 from ordermill.functions.exact import exact_sum
 from ordermill.functions.totals import item_total, package_measure_total
-from ordermill.operators.groups import collect_entries, number_parts, one_per_key
+from ordermill.operators.groups import RUN, check_limit, collect_entries, number_parts, one_per_key
 from ordermill.operators.joins import lookup_join
 from ordermill.schemas import ADDRESS_COLUMNS, ORDER_STATUS
 
 ON_EMPTY = ("drop_order", "drop_item", "keep")
 TOTALS = ["total_amount", "total_volume", "total_weight"]
 FLAGS = ["unknown", "empty", "incomplete"]
+HEADER = ["as_of", "known_client", "customer_id", "destination_address"]
 
 # Reasons for which an order is rejected, in the order in which they are checked.
 NO_ORDER = "no_order_id"
@@ -187,45 +188,30 @@ def _documents(
 
     Headers are rows of the same fold as the lines, so documents are never joined
     or sorted, and an order that has only the one or the other is there too. Rows
-    with their items are shuffled once, before they are folded; what needs no items
-    (numbering parts, flags and counts of orders in parts) is done on narrow rows.
+    with their items are shuffled once, before they are folded.
     """
     rows = lines.where(F.col("order_id").isNotNull()).select(
         "order_id", "pos", "product_id", "quantity"
     )
-    keys, beside = ["order_id"], headers
-    if max_packages is not None:
-        keys = ["order_id", "part"]
-        rows, beside = _parts(rows, items, headers, on_empty, max_packages, items_small)
-
-    def with_beside(rows: DataFrame) -> DataFrame:
-        if beside is None:
-            return rows.withColumn("header", F.lit(None).cast("boolean"))
-        return rows.unionByName(beside, allowMissingColumns=True)
-
-    if items_small:
-        # The narrow rows are shuffled; the wide items are added behind that.
-        rows = attach_products(with_beside(rows).repartition(*keys), items, small=True)
-    else:
-        # Collected before the shuffle, rows would be written with their keys twice.
-        rows = with_beside(attach_products(rows, items, small=items_small)).repartition(*keys)
-    rows = _line_flags(rows, on_empty)
-    item = F.struct("product_id", "product_name", "price", "quantity", "packages")
-    is_line = F.col("whole" if max_packages is not None else "header").isNull()
-    collected = collect_entries(
-        ["pos", "product_id", "quantity"], F.when(is_line & F.col("kept"), item)
-    ).alias("items")
-    if max_packages is not None:
-        folded = rows.groupBy(*keys).agg(collected, F.max("whole").alias("whole"))
-        documents = folded.select("order_id", "items", "whole.*")
+    if max_packages is None:
+        documents = _whole_orders(_by_order(rows, items, headers, items_small), on_empty)
+    elif items_small:
+        documents = _long_orders(rows, items, headers, on_empty, max_packages, items_small)
     else:
-        documents = rows.groupBy(*keys).agg(
-            collected,
-            F.count_if(is_line).alias("n_lines"),
-            F.count_if(is_line & F.col("kept")).alias("n_kept"),
-            F.max("header").alias("header"),
-            *[F.coalesce(F.max(F.when(is_line, F.col(f))), F.lit(False)).alias(f) for f in FLAGS],
-        ).withColumns({"part": F.lit(0).cast("bigint"), "n_parts": F.lit(1).cast("bigint")})
+        # Orders of one run of positions are put in parts where they are folded, by the
+        # same shuffle as whole ones; only longer ones are numbered by many tasks.
+        long = rows.where(F.expr(f"pos div {RUN}") != 0).select("order_id").distinct()
+        known = long.hint("shuffle_hash")
+        short = _by_order(rows, items, headers, items_small).join(
+            known.withColumn("long", F.lit(True)), "order_id", "left"
+        )
+        documents = _short_orders(short.where(F.col("long").isNull()), on_empty, max_packages)
+        rows = rows.join(known, "order_id", "left_semi")
+        if headers is not None:
+            headers = headers.join(known, "order_id", "left_semi")
+        documents = documents.unionByName(
+            _long_orders(rows, items, headers, on_empty, max_packages, items_small)
+        )
     measured = documents.withColumns(
         {
             "n_items": F.size("items").cast("bigint"),
@@ -238,6 +224,124 @@ def _documents(
     return measured.select("order_id", *numbers, *TOTALS, "items", *FLAGS, "header")
 
 
+def _item() -> Column:
+    return F.struct("product_id", "product_name", "price", "quantity", "packages")
+
+
+def _by_order(
+    rows: DataFrame, items: DataFrame, headers: DataFrame | None, items_small: bool | None
+) -> DataFrame:
+    """Lines with their items, and the fields of headers as rows ``beside`` them, by order."""
+
+    def with_headers(rows: DataFrame) -> DataFrame:
+        if headers is None:
+            nothing = F.lit(None).cast("boolean")
+            return rows.withColumns({"beside": nothing, "header": nothing})
+        # Field by field, so that those nobody asks for are not shuffled.
+        fields = headers.select("order_id", F.lit(True).alias("beside"), "header.*")
+        return rows.unionByName(fields, allowMissingColumns=True)
+
+    if items_small:
+        # The narrow rows are shuffled; the wide items are added behind that.
+        return attach_products(with_headers(rows).repartition("order_id"), items, small=True)
+    # Collected before the shuffle, rows would be written with their keys twice.
+    return with_headers(attach_products(rows, items, small=items_small)).repartition("order_id")
+
+
+def _header_fields(rows: DataFrame) -> list[str]:
+    return [c for c in HEADER if c in rows.columns]
+
+
+def _header(fields: list[str]) -> Column:
+    return (F.struct(*fields) if fields else F.lit(None).cast("boolean")).alias("header")
+
+
+def _whole_orders(rows: DataFrame, on_empty: str) -> DataFrame:
+    """Rows of ``_by_order`` to one document per order."""
+    rows, fields = _line_flags(rows, on_empty), _header_fields(rows)
+    is_line = F.col("beside").isNull()
+    folded = rows.groupBy("order_id").agg(
+        collect_entries(
+            ["pos", "product_id", "quantity"], F.when(is_line & F.col("kept"), _item())
+        ).alias("items"),
+        F.count_if(is_line).alias("n_lines"),
+        F.count_if(is_line & F.col("kept")).alias("n_kept"),
+        *[F.max(c).alias(c) for c in fields],
+        *[F.coalesce(F.max(F.when(is_line, F.col(f))), F.lit(False)).alias(f) for f in FLAGS],
+    )
+    return folded.select(
+        "order_id",
+        "items",
+        F.lit(0).cast("bigint").alias("part"),
+        F.lit(1).cast("bigint").alias("n_parts"),
+        "n_lines", "n_kept", _header(fields), *FLAGS,
+    )
+
+
+def _short_orders(rows: DataFrame, on_empty: str, max_packages: int) -> DataFrame:
+    """Rows of ``_by_order`` to documents of parts, numbered as by ``number_parts``."""
+    check_limit(max_packages)
+    rows, fields = _line_flags(rows, on_empty), _header_fields(rows)
+    is_line = F.col("beside").isNull()
+    order = Window.partitionBy("order_id")
+    placed = order.orderBy(is_line, F.coalesce("pos", F.lit(0)), "product_id", "quantity")
+    weight = F.when(is_line, F.greatest(F.lit(1), F.size("packages")))
+    before = F.sum(weight).over(placed.rowsBetween(Window.unboundedPreceding, -1))
+    run = F.floor(F.coalesce(before, F.lit(0)) / F.lit(max_packages))
+    begins = F.when(F.col("_run") != F.lag("_run").over(placed), 1).otherwise(0)
+    # Numbers without gaps, though a row may be heavier than a part.
+    number = F.sum("_begins").over(placed.rowsBetween(Window.unboundedPreceding, 0))
+    whole = {
+        "n_parts": F.max("part").over(order) + 1,
+        "n_lines": F.count_if(is_line).over(order),
+        "n_kept": F.count_if(is_line & F.col("kept")).over(order),
+        **{c: F.max(c).over(order) for c in fields},
+        **{f"any_{f}": F.coalesce(F.max(F.when(is_line, F.col(f))).over(order), F.lit(False)) for f in FLAGS},
+    }
+    numbered = rows.withColumn("_run", run).withColumn("_begins", begins).withColumn("part", number)
+    folded = numbered.withColumns(whole).groupBy("order_id", "part").agg(
+        collect_entries(
+            [F.coalesce("pos", F.lit(0)).alias("pos"), "product_id", "quantity"],
+            F.when(is_line & F.col("kept"), _item()),
+        ).alias("items"),
+        *[F.first(c).alias(c) for c in ("n_parts", "n_lines", "n_kept", *fields)],
+        *[F.first(f"any_{f}").alias(f) for f in FLAGS],
+    )
+    return folded.select(
+        "order_id", "items", "part", "n_parts", "n_lines", "n_kept", _header(fields), *FLAGS
+    )
+
+
+def _long_orders(
+    rows: DataFrame,
+    items: DataFrame,
+    headers: DataFrame | None,
+    on_empty: str,
+    max_packages: int,
+    items_small: bool | None,
+) -> DataFrame:
+    """Documents of parts that are numbered on narrow rows and shuffled by part."""
+    keys = ["order_id", "part"]
+    rows, beside = _parts(rows, items, headers, on_empty, max_packages, items_small)
+    if items_small:
+        rows = rows.unionByName(beside, allowMissingColumns=True).repartition(*keys)
+        rows = attach_products(rows, items, small=True)
+        rows = _line_flags(rows, on_empty).withColumn("item", _item())
+    else:
+        rows = _line_flags(attach_products(rows, items, small=items_small), on_empty)
+        rows = rows.select(*keys, "pos", "kept", _item().alias("item"))
+        rows = rows.unionByName(beside, allowMissingColumns=True).repartition(*keys)
+    is_line = F.col("whole").isNull()
+    folded = rows.groupBy(*keys).agg(
+        collect_entries(
+            ["pos", F.col("item.product_id"), F.col("item.quantity")],
+            F.when(is_line & F.col("kept"), F.col("item")),
+        ).alias("items"),
+        F.max("whole").alias("whole"),
+    )
+    return folded.select("order_id", "items", "whole.*")
+
+
 def _parts(
     rows: DataFrame,
     items: DataFrame,
@@ -338,7 +442,7 @@ def check_orders(
         "order_id",
     )
     headers = attach_client(headers, addresses, small=addresses_small)
-    header = F.struct("as_of", "known_client", "customer_id", "destination_address")
+    header = F.struct(*HEADER)
     documents = _documents(
         lines,
         items,

@@ -34,6 +34,7 @@ from ordermill.operators import (
     to_events,
     validate_documents,
 )
+from ordermill.operators.events import PARTS
 from ordermill.operators.items import explode_components
 from ordermill.plans import warehouse
 from ordermill.plans.catalog import prepare_catalog
@@ -294,15 +295,21 @@ def order_totals_keep(spark, directory):
 
 @query
 def order_totals_parts(spark, directory):
-    """Events of one package each, of few, and whole: sums over parts are equal."""
-    found = []
+    """Events of one package each, of few, and whole: sums over parts are equal.
+
+    All three come from the same tables, so they share the shuffle of lines with items.
+    """
+    sources, found = _sources(spark, directory), []
     for limit in (1, 4, None):
-        orders = _composed(spark, directory, max_packages=limit).accepted
+        orders = compose_orders(*sources, as_of=AS_OF, max_packages=limit).accepted
         events = to_events(orders, run=RUN, parts=True)
         details = "order_details"
-        totals = events.groupBy("order_id").agg(
-            F.sum(F.size(f"{details}.items")).alias("n_items"),
-            *[F.sum(f"{details}.{t}").alias(t) for t in TOTALS[1:]],
+        measured = events.select(
+            "order_id", *PARTS, F.size(f"{details}.items").alias("n_items"),
+            *[f"{details}.{t}" for t in TOTALS[1:]],
+        )
+        totals = measured.groupBy("order_id").agg(
+            *[F.sum(t).alias(t) for t in TOTALS],
             F.count_if((F.col("part") < 0) | (F.col("part") >= F.col("n_parts"))).alias("n_wrong"),
             (F.count(F.lit(1)) - F.max("n_parts")).alias("n_missing"),
         )
@@ -417,17 +424,20 @@ def destination_address(spark, directory):
 # --- events -----------------------------------------------------------------
 
 
-def _composed(spark, directory, **options) -> Orders:
-    return compose_orders(
+def _sources(spark, directory):
+    """What ``compose_orders`` takes: orders, lines, items and addresses."""
+    return (
         warehouse.orders(spark, directory),
         warehouse.order_lines(spark, directory),
         _items(spark, directory),
         client_addresses(warehouse.clients(spark, directory)),
-        as_of=AS_OF,
-        **options,
     )
 
 
+def _composed(spark, directory, **options) -> Orders:
+    return compose_orders(*_sources(spark, directory), as_of=AS_OF, **options)
+
+
 def _events(spark, directory, run=RUN):
     return to_events(_composed(spark, directory).accepted, run=run)
 

@@ -358,3 +358,25 @@ def test_rows_with_their_items_are_shuffled_once(lines, items, max_packages):
     shuffled = [n for n in nodes if "Exchange\n" in n and "order_id#" in n.split("Arguments")[0]]
     assert len([n for n in shuffled if "packages#" in n]) == 1
     assert not [n for n in shuffled if "items#" in n]
+
+
+@pytest.mark.parametrize("max_packages", [1, 2, 5])
+def test_parts_of_short_and_long_orders_of_odd_positions(spark, shop, items, max_packages):
+    """Null, negative, repeated and far positions, dropped and unknown products, no lines."""
+    data = [("long", pos, ("cup", "lamp", "void")[pos % 3], 1 + pos % 4) for pos in range(1000, 1050)]
+    data += [("odd", pos, "lamp", 1) for pos in (None, None, -5, 3, 3, 2000)]
+    data += [("short", pos, "cup", 2) for pos in (7, None, 3, 3, 3, 1023)] + [("short", 4, "void", 1)]
+    data += [("lost", 1, "unheard", 1), ("lost", 2, "cup", 1), ("nobody's", 1, "cup", 1), (None, 1, "cup", 1)]
+    lines = spark.createDataFrame(data, LINES)
+    headers = spark.createDataFrame(
+        [("long", "a1"), ("odd", "a2"), ("short", "a1"), ("short", "a2"), ("lost", "a1"), ("bare", "a1"), (None, "a1")],
+        HEADERS,
+    )
+    options = {"as_of": "2024-01-01 00:00:00", "on_empty": "drop_item", "max_packages": max_packages}
+    found = [
+        compose_orders(headers, lines, items, client_addresses(shop.clients), items_small=small, **options)
+        for small in (True, None)
+    ]
+    assert rows(found[0].accepted) == rows(found[1].accepted)
+    assert rows(found[0].rejected) == rows(found[1].rejected)
+    assert {r.order_id for r in found[1].accepted.collect()} == {"long", "odd", "short"}

@@ -102,3 +102,17 @@ def test_orders_of_a_stream_are_kept_only_for_two_tables(spark, monkeypatch):
     monkeypatch.setattr(orders, "kept", lambda df, name: names.append(name) or kept(df, name))
     assert gallery.QUERIES["stream_orders"](spark, TABLES).count()
     assert names and "batch" not in names
+
+
+def test_parts_of_orders_share_the_shuffle_of_lines_with_items(spark):
+    plan = gallery.QUERIES["order_totals_parts"](spark, TABLES)._jdf.queryExecution().executedPlan().initialPlan()
+    wide, left = [], [plan]
+    while left:
+        node = left.pop()
+        names = [node.output().apply(i).name() for i in range(node.output().size())]
+        if node.nodeName() == "Exchange" and {"order_id", "packages"} <= set(names):
+            wide.append(node.canonicalized())
+        left += [node.children().apply(i) for i in range(node.children().size())]
+    # Orders in parts of one package and of four by one shuffle, whole ones by another.
+    assert len(wide) == 3
+    assert len({w.hashCode() for w in wide}) == 2
