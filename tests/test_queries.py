@@ -116,3 +116,26 @@ def test_parts_of_orders_share_the_shuffle_of_lines_with_items(spark):
     # Orders in parts of one package and of four by one shuffle, whole ones by another.
     assert len(wide) == 3
     assert len({w.hashCode() for w in wide}) == 2
+
+
+@pytest.mark.parametrize("name", ["stream_once", "stream_lines"])
+def test_sources_of_streams_are_written_by_many_tasks(spark, monkeypatch, name):
+    written, write = [], gallery.write_table
+
+    def noted(df, path, *args, **options):
+        before = len(glob.glob(f"{path}/*.parquet"))
+        write(df, path, *args, **options)
+        written.append(len(glob.glob(f"{path}/*.parquet")) - before)
+
+    monkeypatch.setattr(gallery, "write_table", noted)
+    # As many tasks as partitions and files, however small they are.
+    settings = {"spark.sql.files.openCostInBytes": 1 << 30, "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, str(v))
+        assert gallery.QUERIES[name](spark, TABLES).count()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert written[0] > 1 and written[1] > 1
