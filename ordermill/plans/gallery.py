@@ -692,8 +692,11 @@ def _orders_with_lines(spark, directory, files):
     return orders.repartition(files, "order_id").join(lines, "order_id", "left")
 
 
-def _file_stream(spark, source, schema, files):
-    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files)
+def _file_stream(spark, source, schema, files=None):
+    """A stream of so many files in a batch, or of all that are new."""
+    reader = spark.readStream.schema(schema)
+    if files is not None:
+        reader = reader.option("maxFilesPerTrigger", files)
     return reader.parquet(source)
 
 
@@ -760,21 +763,22 @@ def stream_lines(spark, directory):
     n_lines = counted + F.when(F.col("case") == 1, 1).otherwise(0)
     told = materialize(told.withColumn("n_lines", n_lines), "lines")
     columns = ["order_id", "address_id", "n_lines", "pos", "product_id", "quantity"]
-    # In this order: the lines, the late ones, and at last one that stands alone.
-    for part in (told.where("not late"), told.where("late")):
-        write_table(part.select(*columns).coalesce(1), source, mode="append")
     stray = told.where("late").select(*columns).limit(1).withColumn("order_id", F.lit(None).cast("string"))
-    write_table(stray.coalesce(1), source, mode="append")
-    stream = _file_stream(spark, source, told.select(*columns).schema, 1)
-    start_order_stream(
-        gather_orders(stream, wait="1 millisecond"),
-        prepare_catalog(*warehouse.dimensions(spark, directory)),
-        table,
-        scratch_path(spark, "stream-checkpoint"),
-        rejected_path=rejected,
-        as_of=AS_OF,
-        ids_run=RUN,
-    ).awaitTermination()
+    catalog = prepare_catalog(*warehouse.dimensions(spark, directory))
+    checkpoint = scratch_path(spark, "stream-checkpoint")
+    # A batch each, in this order: the lines, the late ones, and at last one that stands
+    # alone. The stream goes on from its checkpoint, as files do not mark off batches.
+    for part in (told.where("not late"), told.where("late"), stray.coalesce(1)):
+        write_table(part.select(*columns), source, mode="append")
+        start_order_stream(
+            gather_orders(_file_stream(spark, source, stray.schema), wait="1 millisecond"),
+            catalog,
+            table,
+            checkpoint,
+            rejected_path=rejected,
+            as_of=AS_OF,
+            ids_run=RUN,
+        ).awaitTermination()
     events = read_table(spark, table, schema=order_event_schema).select(
         "order_id", F.lit("accepted").alias("outcome"),
         F.size("order_details.items").cast("bigint").alias("n_lines"), "order_details.total_amount",

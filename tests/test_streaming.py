@@ -1,3 +1,4 @@
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -192,3 +193,46 @@ def test_late_lines_are_counted_and_time_runs_out(spark, catalog, tmp_path):
         [("o1", "late_line", 1), ("o1", "late_line", 2), ("o2", "late_line", 1),
          (None, "no_order_id", 1), (None, "no_order_id", 2)], key=repr,
     )
+
+
+class KeptState:
+    """What ``gather_orders`` uses of the state of a group."""
+
+    def __init__(self):
+        self.get, self.exists, self.now, self.timeout = None, False, 0, None
+
+    def getCurrentProcessingTimeMs(self):
+        return self.now
+
+    def update(self, value):
+        self.get, self.exists = value, True
+
+    def setTimeoutDuration(self, duration):
+        self.timeout = duration
+
+    def remove(self):
+        self.get, self.exists = None, False
+
+
+def test_orders_of_a_group_are_kept_together_and_each_by_its_own_time():
+    from ordermill.streaming import lines
+
+    step, state = lines._step(wait=10, remember=100), KeptState()
+    columns = ["order_id", "address_id", "n_lines", "line"]
+
+    def called(now, *data):
+        state.now = now
+        frames = iter([pd.DataFrame(list(data), columns=columns)])
+        return sorted(tuple(r) for frame in step((7,), frames, state) for r in frame.itertuples(index=False))
+
+    first = [("a", "x", 2, "l2"), ("b", "y", 2, "l1"), ("a", "w", 2, "l1"), ("a", None, None, "l1")]
+    assert called(1000, *first) == [("a", "w", ["l1", "l2"], 0, True)]
+    assert list(state.get[0]) == ["a", "b"] and list(state.get[1]) == [1100, 1010] and state.timeout == 10
+    # b's time is not up at the moment itself; a line of a is late.
+    assert called(1010, ("a", "x", 2, "l3")) == [("a", None, None, 1, False)]
+    assert called(1011, ("c", "x", None, "l1")) == [("b", "y", ["l1"], 0, False)]
+    assert list(state.get[1]) == [1100, 1111, 1021] and state.timeout == 10
+    # a is forgotten and starts anew, b and c are closed.
+    assert called(1105) == [("c", "x", ["l1"], 0, False)] and list(state.get[0]) == ["b", "c"]
+    assert called(1106, ("a", "v", 1, "l1")) == [("a", "v", ["l1"], 0, True)]
+    assert called(2000) == [] and not state.exists
